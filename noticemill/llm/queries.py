@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import jpeg, packing, tokens
-from .common import table
+from . import jpeg, language, packing, quality, tokens, toxicity
+from .common import fold_of, table
 
 VOCABULARY = "word_bpe_49k.json"
 
@@ -33,10 +34,36 @@ def op9_jpeg_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jpeg.store_texts(table(spark, sf_dir, "documents"))
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every whole text; a fifth of the ids is held out."""
+    held_out = fold_of(F.col("doc_id"), 5) == 0
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = toxicity.score_toxicity(docs, table(spark, sf_dir, "labels"), held_out)
+    return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every whole text; a third of the ids is held out."""
+    held_out = fold_of(F.col("doc_id"), 3) == 1
+    scored = quality.score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), held_out)
+    return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
+def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every whole text; a quarter of the ids is held out."""
+    held_out = fold_of(F.col("doc_id"), 4) == 2
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    found = language.identify(docs, language.learn_filters(docs, held_out))
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_token_counts": op4_token_counts,
     "op6_packing": op6_packing,
+    "op7_toxicity": op7_toxicity,
+    "op8_quality": op8_quality,
     "op9_jpeg_media": op9_jpeg_media,
+    "op10_language": op10_language,
 }
 
 #: SQL twins of the queries that SQL can express.
