@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import jpeg, language, packing, quality, tokens, toxicity
+from . import jpeg, language, mixing, packing, quality, tokens, toxicity
 from .common import fold_of, table
 
 VOCABULARY = "word_bpe_49k.json"
@@ -19,6 +19,11 @@ def vocabulary(name: str = VOCABULARY) -> str:
     return public_tokenizers.path(name)
 
 
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that the mix takes of each document."""
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes and tokens of every whole text."""
     return tokens.count_tokens(table(spark, sf_dir, "documents"), vocabulary())
@@ -58,6 +63,7 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_mixing": op3_mixing,
     "op4_token_counts": op4_token_counts,
     "op6_packing": op6_packing,
     "op7_toxicity": op7_toxicity,
