@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import jpeg, language, mixing, packing, quality, tokens, toxicity
+from . import jpeg, language, mixing, near_duplicates, packing, quality, tokens, toxicity
 from .common import fold_of, table
 
 VOCABULARY = "word_bpe_49k.json"
@@ -29,6 +29,11 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.count_tokens(table(spark, sf_dir, "documents"), vocabulary())
 
 
+def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Component of near-duplicates of each document, by two-word shingles at 80 percent."""
+    return near_duplicates.near_duplicates(table(spark, sf_dir, "documents"), width=2, similarity=0.8)
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of all documents placed into sequences of at most 4096 ids."""
     return packing.pack(table(spark, sf_dir, "documents"), vocabulary())
@@ -65,6 +70,7 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_mixing": op3_mixing,
     "op4_token_counts": op4_token_counts,
+    "op5_near_duplicates": op5_near_duplicates,
     "op6_packing": op6_packing,
     "op7_toxicity": op7_toxicity,
     "op8_quality": op8_quality,
