@@ -1,19 +1,72 @@
-"""Documents to packed training sequences, one stage after another."""
+"""Documents to packed training sequences, one stage after another.
+
+A stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written as Parquet and read again as the next stage's
+docs.  All stages but the last return the columns of ``documents``.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from noticemill.llm import language, mixing, near_duplicates, packing, toxicity
+from noticemill.llm.common import shared_folder, table
+from noticemill.llm.queries import vocabulary
+
+#: Share of a text's n-grams, set against what is usual, that its best language must have.
+LEAST_LANGUAGE_SCORE = 0.3
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the toxicity lexicon does not reject."""
+    scored = toxicity.score_toxicity(docs, table(spark, sf_dir, "labels"), F.lit(False), score_as="_toxicity", predicted_as="_toxic")
+    return scored.where(F.col("_toxic") == 0).select(*docs.columns)
+
+
+def drop_unknown_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in a language that the collection names; texts without letters and those that fit no language go."""
+    filters = language.learn_filters(docs, F.lit(False))
+    found = language.identify(docs, filters, predicted_as="_language", score_as="_fit")
+    if not filters.languages:
+        return docs
+    known = (F.col("_language") != language.UNDETERMINED) & (F.col("_fit") >= LEAST_LANGUAGE_SCORE)
+    return found.where(known).select(*docs.columns)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates, by five-word shingles at 80 percent."""
+    return near_duplicates.one_of_each(docs, width=5, similarity=0.8)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix of sources takes them."""
+    return mixing.mixed_documents(docs)
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of all documents, placed into sequences."""
+    return packing.pack(docs, vocabulary())
+
 
-STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = []
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("toxicity", drop_toxic),
+    ("language", drop_unknown_language),
+    ("near_duplicates", drop_near_duplicates),
+    ("mixing", mix_sources),
+    ("packing", pack_sequences),
+]
 
-#: No stage can be expressed in SQL.
-ORACLE_SQL = None
+#: The stages learn, sketch and tokenise; SQL cannot express them.
+ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    """All stages over ``documents``; each but the last is written once and read again."""
+    docs = table(spark, sf_dir, "documents")
+    folder = shared_folder(spark)
+    for name, stage in STAGES[:-1]:
+        stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
+        docs = spark.read.parquet(f"{folder}/{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -33,6 +33,8 @@ def fold_of(id_col: Column, parts: int) -> Column:
     return F.crc32(F.coalesce(id_col.cast("string"), F.lit("")).cast("binary")) % parts
 
 
-def size_of(df: DataFrame) -> int:
-    """Catalyst's estimate of the bytes behind ``df`` (file sizes for a plain scan)."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+def shared_folder(spark: SparkSession) -> str:
+    """A new folder's path beside the checkpoints, which driver and executors share."""
+    ensure_checkpoint_dir(spark)
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    return f"{base}/written-{uuid.uuid4().hex}"

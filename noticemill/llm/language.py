@@ -190,11 +190,12 @@ def learn_filters(docs: DataFrame, held_out: Column, per_language: int = SAMPLE_
     return filters
 
 
-def identify(docs: DataFrame, filters: Filters) -> DataFrame:
-    """``lang_pred`` and ``score`` (0 to 1) for each row of ``docs``, beside its own columns.
+def identify(docs: DataFrame, filters: Filters, predicted_as: str = "lang_pred", score_as: str = "score") -> DataFrame:
+    """A language and a score (0 to 1) for each row of ``docs``, beside its own columns.
 
     Null texts and texts without a letter are ``und`` with score 0, as is every text where nothing was learnt.  Repeated rows
-    get equal values; an empty table stays empty.  Columns lang_pred and score of ``docs`` are replaced.
+    get equal values; an empty table stays empty.  Columns of ``docs`` of the two
+    names are replaced.
     """
 
     @F.pandas_udf("lang_pred string, score double")
@@ -203,4 +204,4 @@ def identify(docs: DataFrame, filters: Filters) -> DataFrame:
         return pd.DataFrame({"lang_pred": names, "score": scores})
 
     found = docs.withColumn("_found", predict(F.col("text")))
-    return found.withColumns({"lang_pred": F.col("_found.lang_pred"), "score": F.col("_found.score")}).drop("_found")
+    return found.withColumns({predicted_as: F.col("_found.lang_pred"), score_as: F.col("_found.score")}).drop("_found")

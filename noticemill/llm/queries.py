@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import jpeg, language, mixing, near_duplicates, packing, quality, tokens, toxicity
+from . import chat, jpeg, language, mixing, near_duplicates, packing, quality, tokens, top_k, toxicity
 from .common import fold_of, table
 
 VOCABULARY = "word_bpe_49k.json"
@@ -19,6 +19,16 @@ def vocabulary(name: str = VOCABULARY) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every turn with its role after the cheapest repair and its rendering."""
+    return chat.repair(table(spark, sf_dir, "conversations"))
+
+
+def op2_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 highest inner products of every twentieth vector with all others."""
+    return top_k.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that the mix takes of each document."""
     return mixing.mix(table(spark, sf_dir, "documents"))
@@ -68,6 +78,8 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_chat_format": op1_chat_format,
+    "op2_top_k": op2_top_k,
     "op3_mixing": op3_mixing,
     "op4_token_counts": op4_token_counts,
     "op5_near_duplicates": op5_near_duplicates,
@@ -79,4 +91,22 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 #: SQL twins of the queries that SQL can express.
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op2_top_k": """
+        WITH e AS (
+            SELECT vec_id, len(embedding) AS dims, generate_subscripts(embedding, 1) AS i, CAST(unnest(embedding) AS DOUBLE) AS x
+            FROM embeddings WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+        ), bad AS (
+            SELECT DISTINCT vec_id FROM e WHERE x IS NULL OR isnan(x) OR isinf(x)
+        ), v AS (
+            SELECT vec_id, dims, i, CAST(floor(64 * x) AS BIGINT) AS q FROM e WHERE vec_id NOT IN (SELECT vec_id FROM bad)
+        ), s AS (
+            SELECT a.vec_id AS query_id, b.vec_id AS vec_id, CAST(sum(a.q * b.q) AS BIGINT) AS score
+            FROM v a JOIN v b ON a.i = b.i AND a.dims = b.dims AND a.vec_id <> b.vec_id
+            WHERE a.vec_id % 20 = 0 GROUP BY a.vec_id, b.vec_id
+        ), r AS (
+            SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s
+        )
+        SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
+    """,
+}

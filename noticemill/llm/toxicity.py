@@ -169,12 +169,19 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, rounds: int = 50
 DEFAULT_CURVE = (-3.0, 2.0, 1.0)
 
 
-def score_toxicity(docs: DataFrame, labels: DataFrame, held_out: Column, per_class: int = SAMPLE_PER_CLASS) -> DataFrame:
-    """``score`` (0 to 1) and ``predicted`` (0 or 1) for each row of ``docs``, beside its own columns.
+def score_toxicity(
+    docs: DataFrame,
+    labels: DataFrame,
+    held_out: Column,
+    per_class: int = SAMPLE_PER_CLASS,
+    score_as: str = "score",
+    predicted_as: str = "predicted",
+) -> DataFrame:
+    """A score (0 to 1) and a prediction (0 or 1) for each row of ``docs``, beside its own columns.
 
     ``labels`` has doc_id and toxic; rows for which ``held_out``, an expression over doc_id, is true are not learnt from.
     Null and empty texts score as texts without a hit.  Repeated rows score alike.  Without usable labels the seed list and
-    a default curve decide.  ``docs`` may have any other columns but score and predicted, which are replaced.
+    a default curve decide.  Columns of ``docs`` named ``score_as`` or ``predicted_as`` are replaced.
     """
     sample = label_sample(labels, "toxic", ~held_out, per_class)
     given = with_labels(docs, sample, ["doc_id", "text"]).where(F.col("text").isNotNull())
@@ -201,5 +208,5 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, held_out: Column, per_cla
         x = np.array([measures(t, found) for t in texts]).reshape(-1, 2)
         return pd.Series(1 / (1 + np.exp(-np.clip(curve[0] + x @ np.array(curve[1:]), -30, 30))))
 
-    scored = docs.withColumn("score", score(F.col("text")))
-    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+    scored = docs.withColumn(score_as, score(F.col("text")))
+    return scored.withColumn(predicted_as, (F.col(score_as) >= 0.5).cast("int"))
