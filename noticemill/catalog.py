@@ -1,4 +1,132 @@
-"""Every query of the library by name, with its SQL twin."""
+"""Every query of the library by name; each runs over its whole tables."""
 
-QUERIES = {}
-ORACLE_SQL = {}
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from .functions import text, values
+from .operators import charts, diff, history, kpis, merge, search
+from .oracle import ORACLE_SQL
+from .schema import NOTICE
+from .sources import cells, envelopes, star
+from .streaming import windows
+
+FIELDS = [f.name for f in NOTICE]
+
+
+def clean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cells.normalise(star.raw_notices(spark, sf_dir))
+
+
+def notices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merge.merge_duplicates(clean(spark, sf_dir))
+
+
+def records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Even filings as history, odd ones as the live set."""
+    rows = clean(spark, sf_dir)
+    year = values.fiscal_start(values.as_date(F.col("effective_date"))).cast("string")
+    past = rows.where(F.col("filing") % 2 == 0).select("company", "employees", "effective_date", "county", year.alias("fiscal_year"), F.lit("pdf").alias("source"))
+    live = rows.where(F.col("filing") % 2 == 1).select("company", "employees", "effective_date", "county", "city", "industry")
+    return history.union_sources(past, live)
+
+
+def snapshots(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """(latest, snapshot): each lacks a tenth of the filings that the other has."""
+    rows = clean(spark, sf_dir).select("ord", "filing", *FIELDS)
+    return rows.where(F.col("filing") % 10 != 1).drop("filing"), rows.where(F.col("filing") % 10 != 0).drop("filing")
+
+
+def _of_notices(operator: Callable[[DataFrame], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    return lambda spark, sf_dir: operator(notices(spark, sf_dir))
+
+
+def _of_records(operator: Callable[[DataFrame], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    return lambda spark, sf_dir: operator(records(spark, sf_dir))
+
+
+def _strict(side: int) -> Callable[[SparkSession, str], DataFrame]:
+    return lambda spark, sf_dir: diff.strict(*snapshots(spark, sf_dir))[side].select("ord", "company", "effective_date", "employees")
+
+
+def _casefold(side: int, only: Callable[[DataFrame], DataFrame] = lambda x: x) -> Callable[[SparkSession, str], DataFrame]:
+    return lambda spark, sf_dir: only(diff.casefold(*snapshots(spark, sf_dir))[side]).select("first_ord", "company", "employees")
+
+
+def _no_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    latest, _ = snapshots(spark, sf_dir)
+    return diff.strict(latest, spark.createDataFrame([], NOTICE))[0].select("ord", "company", "effective_date", "employees")
+
+
+def _changelog_tail(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    n = F.col("event_id")
+    line = F.to_json(
+        F.struct(
+            F.concat(F.lit("run "), n.cast("string")).alias("timestamp"),
+            (n % 5).cast("int").alias("new_count"),
+            (n % 7).alias("total_employees_new"),
+        )
+    )
+    lines = events.select(n.alias("ord"), F.when(n % 4 == 0, F.lit("{broken")).otherwise(line).alias("value"))
+    return envelopes.log_tail(lines).select("ord", "timestamp", "new_count", "total_employees_new")
+
+
+def _page(filters: search.Filters, order: Callable[[], list], number: int, size: int) -> Callable[[SparkSession, str], DataFrame]:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        rows = search.cells(notices(spark, sf_dir)).where(filters.condition())
+        return search.page(rows, order(), number, size).select(*search.CELLS)
+
+    return run
+
+
+SEARCH = search.Filters(company="Labs", kind="Layoff Permanent", notice_from="1996-01-01", notice_to="1999-12-31")
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "notices_clean": lambda spark, sf_dir: clean(spark, sf_dir).select("ord", *FIELDS),
+    "merge_duplicates": notices,
+    "legacy_merge": lambda spark, sf_dir: merge.merge_by_company(clean(spark, sf_dir)),
+    "payload_totals": _of_notices(merge.payload_totals),
+    "company_groups": _of_notices(lambda n: charts.typed(n).select("company", "company_clean").distinct()),
+    "county_forms": _of_notices(
+        lambda n: n.select("county", text.county_short(F.col("county")).alias("short"), text.county_label(F.col("county")).alias("label")).distinct()
+    ),
+    "timeline": _of_notices(charts.timeline),
+    "monthly_ma3": _of_notices(charts.monthly_ma3),
+    "daily_rolling30": _of_notices(charts.daily_rolling30),
+    "top_companies": _of_notices(charts.top_companies),
+    "county_month_long": _of_notices(charts.county_month),
+    "county_month_pivot": _of_notices(charts.county_month_pivot),
+    "treemap_leaves": _of_notices(charts.treemap_leaves),
+    "treemap_parents": _of_notices(charts.treemap_parents),
+    "sector_breakdown": _of_notices(charts.sector_breakdown),
+    "lead_time_stats": _of_notices(charts.lead_time_stats),
+    "lead_time_hist": _of_notices(charts.lead_time_hist),
+    "county_top10": _of_notices(charts.county_top),
+    "union_sources": _of_records(lambda r: r.select("company", "employees", "effective_date", "county", "city", "industry", "fiscal_year", "source")),
+    "union_totals": _of_records(history.grand_totals),
+    "fiscal_year_summary": _of_records(lambda r: history.fiscal_year_summary(r, list(range(1993, 2004)))),
+    "multiyear_month": _of_records(history.multiyear_month),
+    "kpi_avg_lead": _of_notices(kpis.average_lead),
+    "kpi_largest": _of_notices(kpis.largest),
+    "kpi_top_county": _of_notices(kpis.top_county),
+    "recent_notices": _of_notices(lambda n: search.page(search.cells(n), search.newest_first(), size=0).select(*search.CELLS)),
+    "notice_search_page": _page(SEARCH, search.newest_first, 2, 50),
+    "any_text_search": _of_notices(lambda n: search.cells(n).where(search.Filters(any_text="NATION_1").condition()).select(*search.CELLS)),
+    "js_sort_page": _page(search.Filters(), lambda: search.by_cell("notice"), 3, 100),
+    "filter_options": _of_notices(search.options),
+    "diff_strict_added": _strict(0),
+    "diff_strict_removed": _strict(1),
+    "diff_no_snapshot": _no_snapshot,
+    "diff_casefold_added": _casefold(0),
+    "diff_casefold_removed": _casefold(1),
+    "diff_largest_added": _casefold(0, diff.largest),
+    "diff_totals": lambda spark, sf_dir: diff.totals(*snapshots(spark, sf_dir)),
+    "changelog_tail": _changelog_tail,
+    "stream_event_days": lambda spark, sf_dir: windows.event_days(spark, f"{sf_dir}/events.parquet"),
+}
+
+__all__ = ["ORACLE_SQL", "QUERIES"]
