@@ -28,9 +28,10 @@ def drain(result: DataFrame) -> DataFrame:
 
 
 def event_days(spark: SparkSession, path: str) -> DataFrame:
-    """Daily windows of the events under ``path``, read as a stream of files."""
+    """Daily windows of the events under ``path``, a file or a folder, read as a stream of files."""
     schema = spark.read.parquet(path).schema
-    return drain(daily(spark.readStream.schema(schema).parquet(path)))
+    # as a pattern, since a file stream takes a plain path for a folder
+    return drain(daily(spark.readStream.schema(schema).parquet(f"{path[:-1]}[{path[-1]}]")))
 
 
 def log_changes(baseline: Callable[[], DataFrame], log_path: str, columns: list[str]) -> Callable[[DataFrame, int], None]:
