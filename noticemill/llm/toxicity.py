@@ -88,10 +88,9 @@ def _support(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         counts = {0: Counter(), 1: Counter()}
         for text, label in zip(pdf["text"], pdf["label"], strict=True):
             counts[int(label > 0)].update(_beginnings(set(_WORD.findall(fold(text)))))
-        entries = list(counts[1])
-        yield pd.DataFrame({"entry": entries, "toxic": [counts[1][e] for e in entries], "clean": [counts[0][e] for e in entries]})
-        others = [e for e in counts[0] if e not in counts[1]]
-        yield pd.DataFrame({"entry": others, "toxic": 0, "clean": [counts[0][e] for e in others]})
+        entries = sorted(counts[0].keys() | counts[1].keys())
+        if entries:
+            yield pd.DataFrame({"entry": entries, "toxic": [counts[1][e] for e in entries], "clean": [counts[0][e] for e in entries]})
 
 
 def learn_lexicon(sample: DataFrame, n_toxic: int, n_clean: int) -> dict[str, float]:
