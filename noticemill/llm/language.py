@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .labels import with_labels
+from .labels import sample_of_each, with_labels
 
 #: Bound of the training sample: documents of each language.
 SAMPLE_PER_LANGUAGE = 1500
@@ -141,9 +141,8 @@ class Filters:
 
 
 def _sample(docs: DataFrame, held_out: Column, per_language: int) -> pd.DataFrame:
-    rows = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out).select("doc_id", "lang")
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    return rows.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= per_language).drop("nth").toPandas()
+    rows = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out).select("doc_id", "lang").distinct()
+    return sample_of_each(rows, "lang", per_language).toPandas()
 
 
 def _count_grams(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
