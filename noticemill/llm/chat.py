@@ -102,30 +102,37 @@ def walk(codes: np.ndarray, start: int, rest: np.ndarray, costs: Costs) -> list[
     return out
 
 
-def _runs(keys: list[str]) -> Iterator[tuple[int, int]]:
-    at = 0
-    for i in range(1, len(keys) + 1):
-        if i == len(keys) or keys[i] != keys[at]:
-            yield at, i
-            at = i
+@functools.lru_cache(maxsize=1 << 14)
+def best_roles(codes: bytes, costs: Costs) -> list[int]:
+    """The roles of the best repair of a whole conversation; most conversations share their sequence of roles with others."""
+    c = np.frombuffer(codes, dtype=np.uint8)
+    return walk(c, 0, rest_costs(c, ways(costs)[2], costs), costs)
 
 
-def _segments(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[int, str, pd.DataFrame]]:
-    """The partition's runs of rows of one conversation."""
+def _segments(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[pd.DataFrame, list[tuple[int, int]]]]:
+    """The partition's rows with the bounds of each conversation in them; a conversation is never cut between two frames."""
     kept: list[pd.DataFrame] = []
+
+    def bounded(pdf: pd.DataFrame) -> tuple[pd.DataFrame, list[tuple[int, int]]]:
+        names = pdf["conv"].to_numpy()
+        cuts = [0, *(np.flatnonzero(names[1:] != names[:-1]) + 1).tolist(), len(pdf)]
+        return pdf, list(zip(cuts, cuts[1:], strict=False))
+
     for pdf in batches:
         if not len(pdf):
             continue
-        for a, b in _runs(list(pdf["conv"])):
-            part = pdf.iloc[a:b]
-            if kept and kept[-1]["conv"].iloc[-1] != part["conv"].iloc[0]:
-                whole = pd.concat(kept)
-                yield int(whole["pid"].iloc[0]), whole["conv"].iloc[0], whole
-                kept = []
-            kept.append(part)
+        names = pdf["conv"].to_numpy()
+        other = np.flatnonzero(names != names[-1])
+        first = int(other[-1]) + 1 if len(other) else 0  # of the last conversation
+        if kept and (first or kept[-1]["conv"].iloc[-1] != names[0]):
+            kept.append(pdf.iloc[:first])
+            yield bounded(pd.concat(kept, ignore_index=True))
+            kept = []
+        elif first:
+            yield bounded(pdf.iloc[:first])
+        kept.append(pdf.iloc[first:])
     if kept:
-        whole = pd.concat(kept)
-        yield int(whole["pid"].iloc[0]), whole["conv"].iloc[0], whole
+        yield bounded(pd.concat(kept, ignore_index=True))
 
 
 def role_code(role: Column) -> Column:
@@ -152,11 +159,18 @@ def repair(turns: DataFrame, costs: Costs = Costs()) -> DataFrame:  # noqa: B008
     placed = cut(rows.repartitionByRange(*order).sortWithinPartitions(*order).drop("last", "row").withColumn("pid", F.spark_partition_id()))
     codes = placed.select("pid", "conv", "code")
 
+    def border(pdf: pd.DataFrame, a: int, b: int) -> tuple:
+        return int(pdf["pid"].iloc[0]), pdf["conv"].iloc[a], b - a, product(pdf["code"].to_numpy()[a:b], costs).ravel()
+
     def borders(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         ends: list[tuple] = []
-        for pid, name, own in _segments(batches):
-            row = (pid, name, len(own), product(own["code"].to_numpy(), costs).ravel())
-            ends = [*ends[:1], row]
+        last = None
+        for pdf, runs in _segments(batches):
+            for a, b in (runs[:1] if last is None else []):
+                ends.append(border(pdf, a, b))
+            last = (pdf, *runs[-1])
+        if last is not None and last[0]["conv"].iloc[last[1]] != ends[0][1]:
+            ends.append(border(*last))
         yield pd.DataFrame(ends, columns=["pid", "conv", "n", "m"])
 
     # at most two rows a partition
@@ -172,9 +186,12 @@ def repair(turns: DataFrame, costs: Costs = Costs()) -> DataFrame:  # noqa: B008
             rest = (np.array(r.m).reshape(5, 5) + rest[None, :]).min(1)
 
     def exits(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pid, name, own in _segments(batches):
-            if (pid, name) in ending:
-                c = own["code"].to_numpy()
+        for pdf, runs in _segments(batches):
+            pid, names, codes = int(pdf["pid"].iloc[0]), pdf["conv"].to_numpy(), pdf["code"].to_numpy()
+            for a, b in runs:
+                name, c = names[a], codes[a:b]
+                if (pid, name) not in ending:
+                    continue
                 rest = rest_costs(c, np.array(ending[pid, name]), costs)
                 yield pd.DataFrame([(pid, name, [walk(c, s, rest, costs)[-1] for s in range(5)])], columns=["pid", "conv", "exits"])
 
@@ -188,21 +205,29 @@ def repair(turns: DataFrame, costs: Costs = Costs()) -> DataFrame:  # noqa: B008
                 state, ahead = leads[r.pid, name][state], ahead + r.n
 
     def repaired(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        _, action, close_cost, close = ways(costs)
-        for pid, name, own in _segments(batches):
-            c = own["code"].to_numpy()
-            start, ahead, ends = starting.get((pid, name), (0, 0, True))
-            rest = rest_costs(c, np.array(ending.get((pid, name), close_cost)), costs)
-            states = walk(c, start, rest, costs)
-            steps = [action[int(r), a, b] for r, a, b in zip(c, [start, *states], states, strict=False)]
-            out = own.drop(columns=["pid", "conv", "code"])
-            out["seq"] = np.arange(ahead, ahead + len(own))
-            out["new_role"] = [ROLES[s] for s in states]
-            out["action"] = [w for w, _ in steps]
-            out["inserted_before"] = [[ROLES[x] for x in p] for _, p in steps]
-            out["inserted_after"] = [[]] * (len(own) - 1) + [[ROLES[x] for x in close[states[-1]]] if ends else []]
-            out["ends"] = [False] * (len(own) - 1) + [ends]
-            yield out
+        _, action, _, close = ways(costs)
+        for pdf, runs in _segments(batches):
+            pid, names, codes = int(pdf["pid"].iloc[0]), pdf["conv"].to_numpy(), pdf["code"].to_numpy()
+            seq, roles, words, before = [], [], [], []
+            after, ends = [[]] * len(pdf), np.zeros(len(pdf), dtype=bool)
+            for a, b in runs:
+                c = codes[a:b]
+                start, ahead, is_last = starting.get((pid, names[a]), (0, 0, True))
+                if (pid, names[a]) in ending:
+                    states = walk(c, start, rest_costs(c, np.array(ending[pid, names[a]]), costs), costs)
+                else:
+                    states = best_roles(c.astype(np.uint8).tobytes(), costs)
+                for r, s, t in zip(c.tolist(), [start, *states], states, strict=False):
+                    word, path = action[r, s, t]
+                    words.append(word)
+                    before.append([ROLES[x] for x in path])
+                    roles.append(ROLES[t])
+                seq.extend(range(ahead, ahead + b - a))
+                ends[b - 1] = is_last
+                if is_last:
+                    after[b - 1] = [ROLES[x] for x in close[states[-1]]]
+            out = pdf.drop(columns=["pid", "conv", "code"])
+            yield out.assign(seq=seq, new_role=roles, action=words, inserted_before=before, inserted_after=after, ends=ends)
 
     # ids and turn numbers travel as text: pandas has no whole numbers beside nulls
     plain = placed.select(F.col("conv_id").cast("string"), F.col("turn").cast("string"), "role", "text", "pid", "conv", "code")

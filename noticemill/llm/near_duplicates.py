@@ -8,7 +8,9 @@ BANDS squared.  Pairs that share a table, whose sizes allow the similarity and w
 A group does not emit all its pairs: each document names its best few.  Those are confirmed on the full sets and joined into
 components; then documents that had more candidates than they could name name more of them, but only in other components.
 This goes on until nobody has candidates left over, so that no candidate is lost and close groups of thousands of copies cost
-a few pairs a member.  Texts with the same set of shingles are one node from the start.
+a few pairs a member.  From the second round on a parity sketch goes along: each shingle flips one bit, so that two sketches
+never differ in more bits than the sets do in shingles.  That bound rules out, without error, the many members of such a group
+that are similar to each other, but not similar enough.  Texts with the same set of shingles are one node from the start.
 """
 
 from __future__ import annotations
@@ -29,6 +31,8 @@ SEED = 20
 DEVIATIONS = 3.5
 #: Candidates that a document names in a group in the first round; the next rounds take more.
 FIRST, GROWTH = 4, 8
+#: Bits of a parity sketch.
+PARITY_BITS = 4096
 #: Documents of one band value that are compared together; larger groups are dealt anew for each band.
 GROUP = 4096
 
@@ -103,7 +107,7 @@ def _candidates(similarity: float, named: int):
     alike = similarity + (1 - similarity) / 256
     least = alike - DEVIATIONS * np.sqrt(alike * (1 - alike) / hashes)
 
-    def pairs(doc: np.ndarray, n: np.ndarray, label: np.ndarray, m: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def pairs(doc: np.ndarray, n: np.ndarray, label: np.ndarray, m: np.ndarray, parity: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         g = len(doc)
         second = m[:, BANDS * ROWS :].reshape(g, BANDS, ROWS).astype(np.int32)
         second = second[:, :, 0] << 16 | second[:, :, 1] << 8 | second[:, :, 2]
@@ -120,6 +124,10 @@ def _candidates(similarity: float, named: int):
             i, j, share = i[good], j[good], share[good]
             table = (second[b][i] == second[j]).any(1)
             i, j, share = i[table], j[table], share[table]
+            if parity.shape[1]:
+                apart = np.bitwise_count(parity[b][i] ^ parity[j]).sum(1, dtype=np.int64)
+                near = apart * (1 + similarity) <= (n[b][i] + n[j]) * (1 - similarity) + 1e-6
+                i, j, share = i[near], j[near], share[near]
             order = np.lexsort((doc[j], -share, i))
             i, j = i[order], j[order]
             nth = np.arange(len(i)) - np.searchsorted(i, i)
@@ -136,12 +144,13 @@ def _candidates(similarity: float, named: int):
         def found(pdf: pd.DataFrame) -> Iterator[pd.DataFrame]:
             doc, n, label = (pdf[c].to_numpy() for c in ("doc_id", "n_shingles", "label"))
             m = np.frombuffer(b"".join(pdf["minima"]), dtype=np.uint8).reshape(len(pdf), -1)
+            parity = np.frombuffer(b"".join(pdf["parity"]), dtype=np.uint64).reshape(len(pdf), -1)
             key = pdf[["band", "key", "part"]].to_numpy()
             starts = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]).any(1)]))
             x, y, z = [], [], []
             for a, b in zip(starts, [*starts[1:], len(pdf)], strict=True):
                 if b - a > 1:
-                    left, right, more = pairs(doc[a:b], n[a:b], label[a:b], m[a:b])
+                    left, right, more = pairs(doc[a:b], n[a:b], label[a:b], m[a:b], parity[a:b])
                     x.append(np.minimum(left, right))
                     y.append(np.maximum(left, right))
                     z.append(more)
@@ -166,9 +175,10 @@ def _candidates(similarity: float, named: int):
 def candidate_pairs(nodes: DataFrame, similarity: float, named: int) -> DataFrame:
     """Distinct pairs x < y, and rows x = y for documents with more candidates than ``named``.
 
-    ``nodes`` has doc_id, n_shingles, label, bands and minima; only pairs of different labels are looked for.
+    ``nodes`` has doc_id, n_shingles, label, bands, minima and parity (all empty, or all sketches); only pairs of different
+    labels are looked for.
     """
-    dealt = nodes.select("doc_id", "n_shingles", "label", "minima", F.posexplode("bands").alias("band", "key"))
+    dealt = nodes.select("doc_id", "n_shingles", "label", "minima", "parity", F.posexplode("bands").alias("band", "key"))
     large = dealt.groupBy("band", "key").count().where(F.col("count") > GROUP)
     large = large.select("band", "key", F.ceil(F.col("count") / GROUP).alias("parts"))
     part = F.pmod(F.xxhash64("doc_id", "band"), F.coalesce(F.col("parts"), F.lit(1)))
@@ -182,23 +192,28 @@ def candidate_pairs(nodes: DataFrame, similarity: float, named: int) -> DataFram
 def _sets(width: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            yield pd.DataFrame({"doc_id": pdf["doc_id"], "items": [shingles(t, width).tobytes() for t in pdf["text"]]})
+            sets = [shingles(t, width) for t in pdf["text"]]
+            flips = [np.bincount((s >> np.uint64(20)).astype(np.int64) & (PARITY_BITS - 1), minlength=PARITY_BITS) & 1 for s in sets]
+            parity = [np.packbits(f.astype(np.uint8)).tobytes() for f in flips]
+            yield pd.DataFrame({"doc_id": pdf["doc_id"], "items": [s.view(np.int64) for s in sets], "parity": parity})
 
     return run
 
 
-def confirmed(docs: DataFrame, pairs: DataFrame, width: int, similarity: float) -> DataFrame:
+def full_sets(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
+    """doc_id, full shingle set and parity sketch of the documents that ``ids`` names."""
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(ids, "doc_id", "left_semi")
+    return cut(texts.dropDuplicates(["doc_id"]).mapInPandas(_sets(width), "doc_id long, items array<long>, parity binary"))
+
+
+def confirmed(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     """The pairs whose full shingle sets reach the similarity, exactly: 100 * common >= percent * union."""
     percent = round(100 * similarity)
-    ends = pairs.select(F.explode(F.array("x", "y")).alias("doc_id")).distinct()
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(ends, "doc_id", "left_semi")
-    sets = cut(texts.dropDuplicates(["doc_id"]).mapInPandas(_sets(width), "doc_id long, items binary"))
 
     @F.pandas_udf("boolean")
     def linked(a: pd.Series, b: pd.Series) -> pd.Series:
         out = []
         for u, v in zip(a, b, strict=True):
-            u, v = np.frombuffer(u, dtype=np.uint64), np.frombuffer(v, dtype=np.uint64)
             common = len(np.intersect1d(u, v, assume_unique=True))
             out.append(100 * common >= percent * (len(u) + len(v) - common))
         return pd.Series(out, dtype=bool)
@@ -237,19 +252,30 @@ def near_duplicates(docs: DataFrame, width: int = 5, similarity: float = 0.8) ->
     first = usable.groupBy(*same).agg(F.min("doc_id").alias("node"))
     nodes = usable.join(first, same).where(F.col("doc_id") == F.col("node")).dropDuplicates(["doc_id"])
     nodes = cut(nodes.select("doc_id", "n_shingles", "bands", "minima"))
-    links, labels, named, open_nodes = None, None, FIRST, nodes.withColumn("label", F.col("doc_id"))
+    links, tested, labels, named, sets = None, None, None, FIRST, None
+    open_nodes = nodes.withColumns({"label": F.col("doc_id"), "parity": F.lit(b"")})
     while True:
-        pairs = cut(candidate_pairs(open_nodes, similarity, named))
-        more = pairs.where(F.col("x") == F.col("y")).select(F.col("x").alias("doc_id"))
-        new = confirmed(docs, pairs.where(F.col("x") < F.col("y")), width, similarity)
-        links = cut(new if links is None else links.union(new).distinct())
+        named_pairs = cut(candidate_pairs(open_nodes, similarity, named))
+        more = named_pairs.where(F.col("x") == F.col("y"))
+        pairs = named_pairs.where(F.col("x") < F.col("y"))
+        again = not more.isEmpty()
+        if sets is None:
+            # candidates are mutual, so that whoever has one names one now: no other document is needed later
+            ends = pairs.select(F.explode(F.array("x", "y")).alias("doc_id")).distinct()
+            sets = full_sets(docs, ends, width)
+            if again:
+                nodes = cut(nodes.join(sets.select("doc_id", "parity"), "doc_id"))
+        else:
+            pairs = pairs.join(tested, ["x", "y"], "left_anti")
+        new = confirmed(pairs, sets, similarity)
+        links = cut(new if links is None else links.union(new))
         labels = components(links)
-        if more.isEmpty():
+        if not again:
             break
+        tested = pairs if tested is None else tested.union(pairs)
         named *= GROWTH
         labelled = nodes.join(labels.withColumnRenamed("node", "doc_id"), "doc_id", "left")
         open_nodes = labelled.withColumn("label", F.coalesce("label", "doc_id"))
-        open_nodes = cut(with_neighbours(open_nodes, more))
     found = sketches.select("doc_id", *same).join(first, same, "left")
     found = found.join(labels.select("node", "label"), "node", "left")
     component = F.when(F.col("n_shingles") > 0, F.coalesce("label", "node", "doc_id")).otherwise(F.col("doc_id"))
@@ -259,14 +285,6 @@ def near_duplicates(docs: DataFrame, width: int = 5, similarity: float = 0.8) ->
     )
 
 
-def with_neighbours(nodes: DataFrame, more: DataFrame) -> DataFrame:
-    """The nodes of ``more`` and all that share a band with one of them."""
-    keys = nodes.join(more, "doc_id", "left_semi").select(F.posexplode("bands").alias("band", "key")).distinct()
-    dealt = nodes.select("doc_id", F.posexplode("bands").alias("band", "key"))
-    near = dealt.join(keys, ["band", "key"], "left_semi").select("doc_id").distinct()
-    return nodes.join(near, "doc_id", "left_semi")
-
-
 def one_of_each(docs: DataFrame, width: int = 5, similarity: float = 0.8) -> DataFrame:
     """One row of each group of near-duplicates, the one with the smallest id; rows with null ids stay."""
     kept = near_duplicates(docs, width, similarity).where("kept").select("doc_id").where(F.col("doc_id").isNotNull()).distinct()
