@@ -11,6 +11,10 @@ This goes on until nobody has candidates left over, so that no candidate is lost
 a few pairs a member.  From the second round on a parity sketch goes along: each shingle flips one bit, so that two sketches
 never differ in more bits than the sets do in shingles.  That bound rules out, without error, the many members of such a group
 that are similar to each other, but not similar enough.  Texts with the same set of shingles are one node from the start.
+
+Band values of very many documents are dealt into parts.  In the first round a part is compared in itself.  From the second
+round on, every member that is not of the group's largest component meets all parts, block by block: two members of different
+components are not both of the largest, so that no pair is left out, and the many copies in the largest component cost nothing.
 """
 
 from __future__ import annotations
@@ -31,9 +35,13 @@ SEED = 20
 DEVIATIONS = 3.5
 #: Candidates that a document names in a group in the first round; the next rounds take more.
 FIRST, GROWTH = 4, 8
+#: What a row does in its group: ask and be a candidate, or one of the two.
+BOTH, ASKS, OFFERED = 0, 1, 2
+#: Columns that name a group.
+GROUP_KEY = ["band", "key", "part", "block"]
 #: Bits of a parity sketch.
 PARITY_BITS = 4096
-#: Documents of one band value that are compared together; larger groups are dealt anew for each band.
+#: Documents of one band value that are compared together; larger groups are dealt into parts.
 GROUP = 4096
 
 _rng = np.random.default_rng(SEED)
@@ -102,23 +110,25 @@ def sketch(docs: DataFrame, width: int) -> DataFrame:
 
 
 def _candidates(similarity: float, named: int):
-    """Pairs within each run of rows with equal (band, key, part); ``more`` marks documents with further candidates."""
+    """Pairs within each run of rows of one group; rows x = y mark documents with further candidates."""
     hashes = 2 * BANDS * ROWS
     alike = similarity + (1 - similarity) / 256
     least = alike - DEVIATIONS * np.sqrt(alike * (1 - alike) / hashes)
 
-    def pairs(doc: np.ndarray, n: np.ndarray, label: np.ndarray, m: np.ndarray, parity: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def pairs(doc: np.ndarray, n: np.ndarray, label: np.ndarray, m: np.ndarray, parity: np.ndarray, role: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         g = len(doc)
+        asks, offered = np.flatnonzero(role != OFFERED), np.flatnonzero(role != ASKS)
         second = m[:, BANDS * ROWS :].reshape(g, BANDS, ROWS).astype(np.int32)
         second = second[:, :, 0] << 16 | second[:, :, 1] << 8 | second[:, :, 2]
         lefts, rights, more = [], [], []
         step = max(1, (1 << 22) // (g * hashes))
-        for a in range(0, g, step):
-            b = slice(a, min(a + step, g))
-            fit = (label[b, None] != label[None, :]) & (np.minimum(n[b, None], n[None, :]) >= similarity * np.maximum(n[b, None], n[None, :]) - 1e-9)
-            i, j = np.nonzero(fit)
+        for a in range(0, len(asks), step):
+            b = asks[a : a + step]
+            small, large = np.minimum(n[b, None], n[None, offered]), np.maximum(n[b, None], n[None, offered])
+            i, j = np.nonzero((label[b, None] != label[None, offered]) & (small >= similarity * large - 1e-9))
             if not len(i):
                 continue
+            j = offered[j]
             share = (m[b][i] == m[j]).mean(1)
             good = share >= least
             i, j, share = i[good], j[good], share[good]
@@ -132,9 +142,9 @@ def _candidates(similarity: float, named: int):
             i, j = i[order], j[order]
             nth = np.arange(len(i)) - np.searchsorted(i, i)
             best = nth < named
-            lefts.append(doc[a + i[best]])
+            lefts.append(doc[b[i[best]]])
             rights.append(doc[j[best]])
-            more.append(doc[a + np.unique(i[~best])])
+            more.append(doc[b[np.unique(i[~best])]])
         none = np.zeros(0, dtype=np.int64)
         return np.concatenate([none, *lefts]), np.concatenate([none, *rights]), np.concatenate([none, *more])
 
@@ -142,15 +152,15 @@ def _candidates(similarity: float, named: int):
         kept: pd.DataFrame | None = None
 
         def found(pdf: pd.DataFrame) -> Iterator[pd.DataFrame]:
-            doc, n, label = (pdf[c].to_numpy() for c in ("doc_id", "n_shingles", "label"))
+            doc, n, label, role = (pdf[c].to_numpy() for c in ("doc_id", "n_shingles", "label", "role"))
             m = np.frombuffer(b"".join(pdf["minima"]), dtype=np.uint8).reshape(len(pdf), -1)
             parity = np.frombuffer(b"".join(pdf["parity"]), dtype=np.uint64).reshape(len(pdf), -1)
-            key = pdf[["band", "key", "part"]].to_numpy()
+            key = pdf[GROUP_KEY].to_numpy()
             starts = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]).any(1)]))
             x, y, z = [], [], []
             for a, b in zip(starts, [*starts[1:], len(pdf)], strict=True):
                 if b - a > 1:
-                    left, right, more = pairs(doc[a:b], n[a:b], label[a:b], m[a:b], parity[a:b])
+                    left, right, more = pairs(doc[a:b], n[a:b], label[a:b], m[a:b], parity[a:b], role[a:b])
                     x.append(np.minimum(left, right))
                     y.append(np.maximum(left, right))
                     z.append(more)
@@ -161,7 +171,7 @@ def _candidates(similarity: float, named: int):
 
         for pdf in batches:
             pdf = pdf if kept is None else pd.concat([kept, pdf], ignore_index=True)
-            last = (pdf[["band", "key", "part"]] == pdf[["band", "key", "part"]].iloc[-1]).all(axis=1).to_numpy()
+            last = (pdf[GROUP_KEY] == pdf[GROUP_KEY].iloc[-1]).all(axis=1).to_numpy()
             first = len(pdf) - int(np.argmin(last[::-1])) if not last.all() else 0
             if first:
                 yield from found(pdf.iloc[:first])
@@ -172,21 +182,47 @@ def _candidates(similarity: float, named: int):
     return run
 
 
-def candidate_pairs(nodes: DataFrame, similarity: float, named: int) -> DataFrame:
+def large_groups(nodes: DataFrame) -> DataFrame:
+    """band, key and number of parts of the band values that have more than ``GROUP`` documents."""
+    counted = nodes.select(F.posexplode("bands").alias("band", "key")).groupBy("band", "key").count()
+    return counted.where(F.col("count") > GROUP).select("band", "key", F.ceil(F.col("count") / GROUP).cast("int").alias("parts"))
+
+
+def _dealt_whole(big: DataFrame) -> DataFrame:
+    """Rows of large groups, so that all members outside a group's largest component meet every part of it."""
+    per_label = big.groupBy("band", "key", "label").count()
+    main = per_label.groupBy("band", "key").agg(
+        F.max_by("label", "count").alias("main"), F.ceil((F.sum("count") - F.max("count")) / GROUP).cast("int").alias("blocks")
+    )
+    met = big.join(main.where(F.col("blocks") > 0), ["band", "key"])
+    place = lambda n: F.pmod(F.xxhash64("doc_id", "band"), n).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    offered = met.withColumn("part", place(F.col("parts"))).withColumn("block", every("blocks")).withColumn("role", F.lit(OFFERED))
+    asks = met.where(F.col("label") != F.col("main"))
+    asks = asks.withColumn("block", place(F.col("blocks"))).withColumn("part", every("parts")).withColumn("role", F.lit(ASKS))
+    return offered.unionByName(asks).drop("parts", "blocks", "main")
+
+
+def candidate_pairs(nodes: DataFrame, large: DataFrame | None, similarity: float, named: int, whole: bool) -> DataFrame:
     """Distinct pairs x < y, and rows x = y for documents with more candidates than ``named``.
 
     ``nodes`` has doc_id, n_shingles, label, bands, minima and parity (all empty, or all sketches); only pairs of different
-    labels are looked for.
+    labels are looked for.  ``large`` has the groups that are dealt into parts (None: there is none): each part in itself, or
+    with ``whole`` across all parts.
     """
     dealt = nodes.select("doc_id", "n_shingles", "label", "minima", "parity", F.posexplode("bands").alias("band", "key"))
-    large = dealt.groupBy("band", "key").count().where(F.col("count") > GROUP)
-    large = large.select("band", "key", F.ceil(F.col("count") / GROUP).alias("parts"))
-    part = F.pmod(F.xxhash64("doc_id", "band"), F.coalesce(F.col("parts"), F.lit(1)))
-    dealt = dealt.join(large, ["band", "key"], "left").withColumn("part", part).drop("parts")
-    group = Window.partitionBy("band", "key", "part")
+    one = {"block": F.lit(0), "role": F.lit(BOTH)}
+    if large is None:
+        dealt = dealt.withColumns({"part": F.lit(0), **one})
+    elif not whole:
+        part = F.pmod(F.xxhash64("doc_id", "band"), F.coalesce(F.col("parts"), F.lit(1))).cast("int")
+        dealt = dealt.join(large, ["band", "key"], "left").withColumns({"part": part, **one}).drop("parts")
+    else:
+        small = dealt.join(large, ["band", "key"], "left_anti").withColumns({"part": F.lit(0), **one})
+        dealt = small.unionByName(_dealt_whole(dealt.join(large, ["band", "key"])))
+    group = Window.partitionBy(*GROUP_KEY)
     several = dealt.withColumn("several", F.count("*").over(group)).where(F.col("several") > 1).drop("several")
-    in_order = several.sortWithinPartitions("band", "key", "part")
-    return in_order.mapInPandas(_candidates(similarity, named), "x long, y long").distinct()
+    return several.sortWithinPartitions(*GROUP_KEY).mapInPandas(_candidates(similarity, named), "x long, y long").distinct()
 
 
 def _sets(width: int):
@@ -225,7 +261,8 @@ def confirmed(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame
 
 def components(links: DataFrame) -> DataFrame:
     """node, label: the smallest node reachable from each node that has a link; smallest neighbours with pointer jumping."""
-    both = cut(links.select("x", "y").union(links.select(F.col("y").alias("x"), F.col("x").alias("y"))).distinct())
+    ways = F.array(F.struct("x", "y"), F.struct(F.col("y").alias("x"), F.col("x").alias("y")))
+    both = cut(links.select(F.inline(ways)).distinct())
     labels = cut(both.groupBy(F.col("x").alias("node")).agg(F.min("y").alias("low")).select("node", F.least("node", "low").alias("label")))
     total = None
     while True:
@@ -239,6 +276,17 @@ def components(links: DataFrame) -> DataFrame:
         labels = cut(jumped.join(seen, "node", "left").select("node", F.least("label", "low").alias("label")))
 
 
+def joined(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """``labels`` after further links: only the components that the links touch are looked at again."""
+    of = lambda end: labels.select(F.col("node").alias(end), F.col("label").alias(f"{end}_label"))
+    ends = links.join(of("x"), "x", "left").join(of("y"), "y", "left")
+    between = ends.select(F.coalesce("x_label", "x").alias("x"), F.coalesce("y_label", "y").alias("y"))
+    merged = components(between.where(F.col("x") != F.col("y")))
+    up = merged.select(F.col("node").alias("label"), F.col("label").alias("above"))
+    old = labels.join(up, "label", "left").select("node", F.coalesce("above", "label").alias("label"))
+    return cut(old.unionByName(merged.join(labels, "node", "left_anti")))
+
+
 def near_duplicates(docs: DataFrame, width: int = 5, similarity: float = 0.8) -> DataFrame:
     """One row for each row of ``docs``: doc_id, n_shingles, component_id and kept.
 
@@ -252,24 +300,28 @@ def near_duplicates(docs: DataFrame, width: int = 5, similarity: float = 0.8) ->
     first = usable.groupBy(*same).agg(F.min("doc_id").alias("node"))
     nodes = usable.join(first, same).where(F.col("doc_id") == F.col("node")).dropDuplicates(["doc_id"])
     nodes = cut(nodes.select("doc_id", "n_shingles", "bands", "minima"))
-    links, tested, labels, named, sets = None, None, None, FIRST, None
+    large = cut(large_groups(nodes))
+    dealt = None if large.isEmpty() else large
+    tested, labels, named, sets = None, None, FIRST, None
     open_nodes = nodes.withColumns({"label": F.col("doc_id"), "parity": F.lit(b"")})
     while True:
-        named_pairs = cut(candidate_pairs(open_nodes, similarity, named))
+        named_pairs = cut(candidate_pairs(open_nodes, dealt, similarity, named, whole=labels is not None))
         more = named_pairs.where(F.col("x") == F.col("y"))
         pairs = named_pairs.where(F.col("x") < F.col("y"))
-        again = not more.isEmpty()
+        again = (labels is None and dealt is not None) or not more.isEmpty()
         if sets is None:
-            # candidates are mutual, so that whoever has one names one now: no other document is needed later
-            ends = pairs.select(F.explode(F.array("x", "y")).alias("doc_id")).distinct()
-            sets = full_sets(docs, ends, width)
+            # candidates are mutual: whoever has one names one now, or else is in a large group
+            ends = pairs.select(F.explode(F.array("x", "y")).alias("doc_id"))
+            if dealt is not None:
+                banded = nodes.select("doc_id", F.posexplode("bands").alias("band", "key"))
+                ends = ends.union(banded.join(dealt, ["band", "key"], "left_semi").select("doc_id"))
+            sets = full_sets(docs, ends.distinct(), width)
             if again:
                 nodes = cut(nodes.join(sets.select("doc_id", "parity"), "doc_id"))
         else:
             pairs = pairs.join(tested, ["x", "y"], "left_anti")
         new = confirmed(pairs, sets, similarity)
-        links = cut(new if links is None else links.union(new))
-        labels = components(links)
+        labels = components(new) if labels is None else joined(labels, new)
         if not again:
             break
         tested = pairs if tested is None else tested.union(pairs)

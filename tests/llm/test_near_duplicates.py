@@ -70,6 +70,14 @@ def test_rounds_find_what_the_first_left(spark, monkeypatch):
     assert got == {i: c for i, (_, c) in enumerate(brute(texts, 2))}
 
 
+def test_large_groups_meet_across_parts(spark, monkeypatch):
+    monkeypatch.setattr(nd, "GROUP", 16)
+    texts = corpus()
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in nd.near_duplicates(df, 5).collect()}
+    assert got == {i: c for i, (_, c) in enumerate(brute(texts, 5))}
+
+
 def test_edges_of_tables(spark):
     schema = "doc_id long, text string"
     assert nd.near_duplicates(spark.createDataFrame([], schema), 2).count() == 0
