@@ -6,7 +6,7 @@ document of a pair to the other, in a random direction that keeps both expectati
 The pair's words stay the same, so the source's sum does.  Groups of a few dozen documents are folded like this side by side;
 each leaves at most one fraction over, and these residuals are grouped again, level by level, until a source has one left.
 That one, often a long document, is drawn by its fraction; the words this adds or removes are given back by changing decisions
-of one first-level group, longest document first, wherever that brings the source nearer to its target.
+of as many other documents of the source as it takes, until less than half a usual document is missing or too much.
 """
 
 from __future__ import annotations
@@ -90,12 +90,12 @@ def _fold(units: Column, level: int) -> Column:
 
 
 def _settle(units: Column, gap: Column) -> Column:
-    """Change 0 to 1 (1 to 0) in a group's units while words are missing (too many): longest first, if it narrows the gap."""
+    """Change 0 to 1 (1 to 0) in a group's units while words are missing (too many): longest first, if it fits into the gap."""
     start = F.struct(gap.cast("double").alias("gap"), F.filter(units, lambda u: F.lit(False)).alias("done"))
 
     def step(acc: Column, u: Column) -> Column:
         words = F.when(u["p"] == 0, u["size"]).otherwise(-u["size"]).cast("double")
-        narrows = F.abs(acc["gap"] - words) < F.abs(acc["gap"])
+        narrows = (words * acc["gap"] > 0) & (F.abs(words) <= F.abs(acc["gap"]))
         changed = F.struct((acc["gap"] - words).alias("gap"), F.concat(acc["done"], F.array(u.withField("p", 1.0 - u["p"]))).alias("done"))
         same = F.struct(acc["gap"].alias("gap"), F.concat(acc["done"], F.array(u)).alias("done"))
         return F.when(narrows, changed).otherwise(same)
@@ -103,6 +103,54 @@ def _settle(units: Column, gap: Column) -> Column:
     return F.aggregate(units, start, step)["done"]
 
 
+def _with_source(units: DataFrame, infos: DataFrame) -> DataFrame:
+    """``units`` beside the columns of ``infos``, which has one row a source; dealt by salts, so that no source is one task."""
+    salted = infos.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    salted = salted.withColumnsRenamed({"source": "_source", "salt": "_salt"})
+    same = F.col("source").eqNullSafe(F.col("_source")) & (F.pmod("tag", F.lit(SALTS)).cast("int") == F.col("_salt"))
+    return units.join(salted, same).drop("_source", "_salt")
+
+
+def _give_back(units: DataFrame, gaps: DataFrame) -> DataFrame:
+    """``units`` after changing decisions, until each source's gap is at most half its usual document or nothing narrows it.
+
+    ``gaps`` has source, gap and usual.  A unit narrows a gap if it goes the right way and is no longer than the gap.  Such units
+    are dealt into groups.  Groups change as a whole while their running sum stays within the gap; the group that passes
+    it is settled unit by unit.  What is left then goes to a next round, dealt anew.
+    """
+    narrows = (F.col("p") == F.when(F.col("gap") > 0, 0.0).otherwise(1.0)) & (F.col("size") <= F.abs("gap"))
+    columns, turn = units.columns, 0
+    while True:
+        gaps = gaps.where(F.abs("gap") > F.col("usual") / 2)
+        able = _with_source(units, gaps).where(narrows).groupBy("source", "gap", "usual")
+        able = cut(able.agg(F.ceil(F.count("*") / GROUP).alias("groups"), F.sum("size").alias("words")))
+        if able.isEmpty():
+            return units
+        # about twice the groups that it takes; where they fall short, the next round goes on
+        able = able.withColumn("reach", F.ceil(2 * F.abs("gap") * F.col("groups") / F.col("words")) + 2)
+        dealt = _with_source(units, able.drop("words")).where(narrows)
+        dealt = dealt.withColumn("part", F.pmod(F.xxhash64("tag", "size", F.lit(-2 - turn)), F.col("groups"))).where(F.col("part") < F.col("reach"))
+        before = Window.partitionBy("source").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+        rooms = dealt.groupBy("source", "part", "gap").agg(F.sum("size").alias("words"))
+        rooms = rooms.withColumn("room", F.abs("gap") - F.coalesce(F.sum("words").over(before), F.lit(0))).where(F.col("room") > 0)
+        rooms = rooms.select(F.col("source").alias("_source"), F.col("part").alias("_part"), "room", "words")
+        met = dealt.join(rooms, F.col("source").eqNullSafe(F.col("_source")) & (F.col("part") == F.col("_part")))
+        whole = met.where(F.col("room") >= F.col("words")).withColumn("p", 1.0 - F.col("p")).select(*columns)
+        unit = F.struct(F.col("size").alias("size"), "tag", *[c for c in columns if c not in ("size", "tag", "source")])
+        passing = met.where(F.col("room") < F.col("words")).groupBy("source", "part", (F.signum("gap") * F.col("room")).alias("room"))
+        passing = passing.agg(F.reverse(F.array_sort(F.collect_list(unit))).alias("units"), F.first("gap").alias("gap"))
+        settled = passing.select("source", F.inline(_settle(F.col("units"), F.col("room"))), "gap")
+        settled = settled.where(F.col("p") == F.when(F.col("gap") > 0, 1.0).otherwise(0.0)).select(*columns)
+        changed = cut(whole.unionByName(settled))
+        names = changed.select(F.col("source").alias("_source"), F.col("doc_id").alias("_doc"), F.col("size").alias("_size"))
+        same = F.col("source").eqNullSafe(F.col("_source")) & F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("size") == F.col("_size"))
+        units = cut(units.join(names, same, "left_anti").unionByName(changed))
+        moved = changed.groupBy(F.col("source").alias("_source")).agg(F.sum(F.col("size") * (2 * F.col("p") - 1)).alias("moved"))
+        left = able.join(moved, F.col("source").eqNullSafe(F.col("_source")), "left")
+        gaps = cut(left.select("source", (F.col("gap") - F.coalesce("moved", F.lit(0.0))).alias("gap"), "usual"))
+        turn += 1
+
+
 def plan_copies(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, total: float = TOTAL_SHARE, most: float = MOST_SHARE) -> DataFrame:
     """Copies of each distinct (doc_id, source, size): ``rows`` it has, ``base`` copies of each row, ``sure`` rows that take one
     more, and ``extra`` (0 or 1) for one further row; beside source_size and target.
@@ -144,23 +192,32 @@ def plan_copies(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, total: flo
         units = F.reverse(F.array_sort(F.collect_list(unit)))
         folded = keyed.groupBy("source", "part").agg(units.alias("units")).select("source", "part", _fold(F.col("units"), level).alias("x"))
         folded = cut(folded.select("source", "part", F.col("x.done").alias("done"), F.col("x.rest").alias("rest")))
-        if level == 0:
-            reserve = folded.where(F.col("part") == 0).select("source", "done")
-            folded = folded.withColumn("done", F.when(F.col("part") > 0, F.col("done")).otherwise(F.filter("done", lambda u: F.lit(False))))
         done.append(folded.select("source", F.inline("done")).select("source", *carried))
         rest, level = folded.select("source", F.inline("rest")).select("source", *carried), level + 1
-    last = (F.pmod(F.xxhash64("tag", "size", F.lit(-1), F.lit(SEED)), F.lit(1 << 40)) + 0.5) / float(1 << 40) < F.col("p")
-    drawn = rest.withColumn("gap", (F.col("p") - last.cast("double")) * F.col("size")).withColumn("p", last.cast("double"))
-    result = drawn.select("source", *carried)
-    for part in done:
-        result = result.unionByName(part)
-    if level:
-        gaps = drawn.groupBy("source").agg(F.sum("gap").alias("gap"))
-        met = reserve.join(gaps, reserve["source"].eqNullSafe(gaps["source"]), "left").select(reserve["source"], "done", "gap")
-        by_size = F.reverse(F.array_sort(F.transform("done", lambda u: F.struct(u["size"].alias("k"), u["tag"].alias("t"), u.alias("u")))))
-        settled = _settle(F.transform(by_size, lambda x: x["u"]), F.coalesce(F.col("gap"), F.lit(0.0)))
-        result = result.unionByName(met.select("source", F.inline(settled)).select("source", *carried))
-    return result.select("doc_id", "source", "size", "rows", "base", "sure", F.col("p").cast("long").alias("extra"), "source_size", "target")
+    draw = (F.pmod(F.xxhash64("tag", "size", F.lit(-1), F.lit(SEED)), F.lit(1 << 40)) + 0.5) / float(1 << 40) < F.col("p")
+    if not level:
+        return _planned(done[0].unionByName(rest.withColumn("p", draw.cast("double")).select("source", *carried)))
+    units = done[1]
+    for part in done[2:]:
+        units = units.unionByName(part)
+    able = units.groupBy("source").agg(
+        F.sum(F.when(F.col("p") == 0, F.col("size")).otherwise(0)).alias("more"),
+        F.sum(F.when(F.col("p") == 1, F.col("size")).otherwise(0)).alias("less"),
+        F.percentile_approx("size", 0.5).alias("usual"),
+    )
+    able = able.withColumnRenamed("source", "_source")
+    met = rest.join(able, F.col("source").eqNullSafe(F.col("_source")), "left").drop("_source")
+    # what the others cannot give back, so that the source would miss its target
+    short = F.greatest(F.col("p") * F.col("size") - F.coalesce("more", F.lit(0)), F.lit(0.0))
+    over = F.greatest((1 - F.col("p")) * F.col("size") - F.coalesce("less", F.lit(0)), F.lit(0.0))
+    last = F.when((over > _TINY) & (short <= _TINY), 0.0).when((short > _TINY) & (over <= _TINY), 1.0).otherwise(draw.cast("double"))
+    drawn = cut(met.withColumn("last", last).withColumn("gap", (F.col("p") - F.col("last")) * F.col("size")).withColumn("p", F.col("last")))
+    units = _give_back(units, drawn.where(F.col("usual").isNotNull()).select("source", "gap", "usual"))
+    return _planned(done[0].unionByName(drawn.select("source", *carried)).unionByName(units))
+
+
+def _planned(units: DataFrame) -> DataFrame:
+    return units.select("doc_id", "source", "size", "rows", "base", "sure", F.col("p").cast("long").alias("extra"), "source_size", "target")
 
 
 def document_sizes(docs: DataFrame) -> DataFrame:

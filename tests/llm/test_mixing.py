@@ -80,3 +80,21 @@ def test_small_tables(spark):
     none = df.where("text is null")
     assert [r.taken for r in mixing.mix(none).collect()] == [0, 0, 0]
     assert mixing.mixed_documents(none).count() == 0
+
+
+@pytest.mark.parametrize("total", [1.5, 1.3])
+def test_a_long_document_does_not_miss_the_target(spark, monkeypatch, total):
+    """Sources with one document of a third of their words, and with one of 20,020 words, get their target for any draw."""
+    rnd, rows = random.Random(4), []
+    for source, n, long in (("third", 499, None), ("long", 900, 20020), ("three", 700, 9000)):
+        sizes = [rnd.randrange(60, 140) for _ in range(n)]
+        sizes += [sum(sizes) * 34 // 66] if long is None else [long] * (3 if source == "three" else 1)
+        rows += [(len(rows) + i, source, size) for i, size in enumerate(sizes)]
+    df = spark.createDataFrame(rows, "doc_id long, source string, size long")
+    for seed in (1, 2, 3):
+        monkeypatch.setattr(mixing, "SEED", seed)
+        got = mixing.plan_copies(df, weights=(1,), total=total).toPandas()
+        assert len(got) == len(rows) and not got.duplicated(["doc_id"]).any()
+        assert got["extra"].isin([0, 1]).all()
+        for _, own in got.groupby("source"):
+            assert abs((own["size"] * (own.base + own.sure + own.extra)).sum() - own.target.iloc[0]) < 100
