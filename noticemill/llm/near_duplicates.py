@@ -3,7 +3,7 @@
 Two small collections of band hashes are computed for each document, ``BANDS`` of ``ROWS`` minima each.  A table is a pair of
 bands, one of either collection: BANDS x BANDS tables from 2 x BANDS x ROWS minima.  Documents are dealt by each band of the
 first collection only; the tables of the second are formed inside the group, so that a document travels BANDS times and not
-BANDS squared.  Pairs that share a table, whose sizes allow the similarity and whose minima agree often enough are candidates.
+BANDS squared.  Pairs that share a table and whose sizes allow the similarity are candidates; those whose minima agree most often come first.
 
 A group does not emit all its pairs: each document names its best few.  Those are confirmed on the full sets and joined into
 components; then documents that had more candidates than they could name name more of them, but only in other components.
@@ -31,8 +31,6 @@ from .common import cut
 #: Bands of each collection, and minima of a band.  At similarity 0.8 a pair shares no table once in 2,700 times.
 BANDS, ROWS = 12, 3
 SEED = 20
-#: Share of equal minima (8 bits of each) below which a pair cannot plausibly reach the similarity: this many deviations less.
-DEVIATIONS = 3.5
 #: Candidates that a document names in a group in the first round; the next rounds take more.
 FIRST, GROWTH = 4, 8
 #: What a row does in its group: ask and be a candidate, or one of the two.
@@ -112,8 +110,6 @@ def sketch(docs: DataFrame, width: int) -> DataFrame:
 def _candidates(similarity: float, named: int):
     """Pairs within each run of rows of one group; rows x = y mark documents with further candidates."""
     hashes = 2 * BANDS * ROWS
-    alike = similarity + (1 - similarity) / 256
-    least = alike - DEVIATIONS * np.sqrt(alike * (1 - alike) / hashes)
 
     def pairs(doc: np.ndarray, n: np.ndarray, label: np.ndarray, m: np.ndarray, parity: np.ndarray, role: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         g = len(doc)
@@ -129,15 +125,13 @@ def _candidates(similarity: float, named: int):
             if not len(i):
                 continue
             j = offered[j]
-            share = (m[b][i] == m[j]).mean(1)
-            good = share >= least
-            i, j, share = i[good], j[good], share[good]
             table = (second[b][i] == second[j]).any(1)
-            i, j, share = i[table], j[table], share[table]
+            i, j = i[table], j[table]
             if parity.shape[1]:
                 apart = np.bitwise_count(parity[b][i] ^ parity[j]).sum(1, dtype=np.int64)
                 near = apart * (1 + similarity) <= (n[b][i] + n[j]) * (1 - similarity) + 1e-6
-                i, j, share = i[near], j[near], share[near]
+                i, j = i[near], j[near]
+            share = (m[b][i] == m[j]).mean(1)
             order = np.lexsort((doc[j], -share, i))
             i, j = i[order], j[order]
             nth = np.arange(len(i)) - np.searchsorted(i, i)

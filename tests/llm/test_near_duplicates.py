@@ -78,6 +78,23 @@ def test_large_groups_meet_across_parts(spark, monkeypatch):
     assert got == {i: c for i, (_, c) in enumerate(brute(texts, 5))}
 
 
+def test_a_pair_whose_minima_agree_seldom_is_found(spark):
+    """A pair of similarity 0.8 that shares a table, though fewer than 46 of 72 minima agree."""
+    size = nd.BANDS * nd.ROWS
+    bands = lambda m: m.reshape(2, nd.BANDS, nd.ROWS)
+    for seed in range(40_000):
+        common = [f"c{seed}_{i}" for i in range(40)]
+        x, y = (common + [f"{own}{seed}_{i}" for i in range(5)] for own in "xy")
+        a, b = (nd.minima(nd.shingles(" ".join(t), 1)) for t in (x, y))
+        if ((a & 255) == (b & 255)).sum() < 46 and (bands(a) == bands(b)).all(2).any(1).all():
+            break
+    else:
+        raise AssertionError("no such pair")
+    assert len(a) == 2 * size
+    df = spark.createDataFrame([(1, " ".join(x)), (2, " ".join(y))], "doc_id long, text string")
+    assert {r.component_id for r in nd.near_duplicates(df, 1).collect()} == {1}
+
+
 def test_edges_of_tables(spark):
     schema = "doc_id long, text string"
     assert nd.near_duplicates(spark.createDataFrame([], schema), 2).count() == 0
