@@ -8,17 +8,25 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Rows of keys that may be sent to every executor; joins with more of them shuffle.
+BROADCAST_ROWS = 1_000_000
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the cluster's ``spark.checkpoint.dir``; only where it is unset (tests) take a temporary folder."""
+    """Use the cluster's ``spark.checkpoint.dir``.
+
+    Only a session in local mode, where driver and tasks share one machine, may go without it and gets a temporary folder.
+    """
     sc = spark.sparkContext
     if sc.getCheckpointDir() is not None:
         return
     configured = spark.conf.get("spark.checkpoint.dir", None)
+    if not configured and not (sc.master == "local" or sc.master.startswith("local[")):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
     sc.setCheckpointDir(configured or tempfile.mkdtemp(prefix=f"checkpoint-{uuid.uuid4().hex[:8]}-"))
 
 
@@ -28,6 +36,31 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """Like ``cut`` for large intermediate tables: compressed, in columns, and ``forget`` can remove it again."""
+    spark = df.sparkSession
+    folder = shared_folder(spark)
+    df.write.parquet(folder)
+    return spark.read.schema(df.schema).parquet(folder)
+
+
+def forget(*tables: DataFrame) -> None:
+    """Remove tables that ``stored`` has written and nobody will read again."""
+    for df in tables:
+        if files := df.inputFiles():
+            remove_folder(df.sparkSession, files[0].rpartition("/")[0])
+
+
+def remove_folder(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def matched(rows: DataFrame, few: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
+    """``rows`` joined with ``few``, which is cheap to count: sent along if it has at most ``BROADCAST_ROWS`` rows, else shuffled."""
+    return rows.join(F.broadcast(few) if few.count() <= BROADCAST_ROWS else few, on, how)
+
+
 def fold_of(id_col: Column, parts: int) -> Column:
     """crc32 of the id as text, modulo ``parts``; null ids count as the empty text."""
     return F.crc32(F.coalesce(id_col.cast("string"), F.lit("")).cast("binary")) % parts

@@ -1,51 +1,64 @@
 """MinHash near-duplicates with tensored banding, confirmed on full shingle sets.
 
-Two small collections of band hashes are computed for each document, ``BANDS`` of ``ROWS`` minima each.  A table is a pair of
-bands, one of either collection: BANDS x BANDS tables from 2 x BANDS x ROWS minima.  Documents are dealt by each band of the
-first collection only; the tables of the second are formed inside the group, so that a document travels BANDS times and not
-BANDS squared.  Pairs that share a table and whose sizes allow the similarity are candidates; those whose minima agree most often come first.
-
-A group does not emit all its pairs: each document names its best few.  Those are confirmed on the full sets and joined into
-components; then documents that had more candidates than they could name name more of them, but only in other components.
-This goes on until nobody has candidates left over, so that no candidate is lost and close groups of thousands of copies cost
-a few pairs a member.  From the second round on a parity sketch goes along: each shingle flips one bit, so that two sketches
-never differ in more bits than the sets do in shingles.  That bound rules out, without error, the many members of such a group
-that are similar to each other, but not similar enough.  Texts with the same set of shingles are one node from the start.
-
-Band values of very many documents are dealt into parts.  In the first round a part is compared in itself.  From the second
-round on, every member that is not of the group's largest component meets all parts, block by block: two members of different
-components are not both of the largest, so that no pair is left out, and the many copies in the largest component cost nothing.
+Two small collections of band hashes are computed for each text, ``BANDS`` of ``ROWS`` minima each.  A table's key combines a
+band of the first collection with one of the second: BANDS x BANDS tables from 2 x BANDS x ROWS minima.  Texts are dealt by each
+band of the first collection, and inside such a group the table keys are formed by the bands of the second; only texts of one
+bucket, which share the whole key, are compared.  Buckets are screened without error: sizes must allow the similarity, and a
+parity sketch (each shingle flips one bit, so that two sketches never differ in more bits than the sets do in shingles) bounds
+the difference of two sets from below.
+
+A group does not emit all the pairs that pass, but a spanning forest of them.  The forest's pairs are confirmed on the full sets
+and joined into components.  If all are confirmed, every other pair of the group lies inside a component already and is not
+needed.  A group with a pair that fails is looked at again: among texts of different components, without the pairs that failed,
+and with more forests at a time.  This goes on until no group has a failed pair, so that no pair is left out, and close groups
+of thousands of copies cost a few pairs a member.  Texts with the same set of shingles are one node from the start.
+
+Band values of more than ``GROUP`` texts are first dealt into parts, then one text of each component meets the others.  What
+is still of several components, such as boilerplate that many different texts share, is dealt by whole table keys; tables that
+are still too large are met block by block: every text that is not of the table's largest component meets all its parts.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import functools
+import zlib
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import forget, matched, stored
 
-#: Bands of each collection, and minima of a band.  At similarity 0.8 a pair shares no table once in 2,700 times.
-BANDS, ROWS = 12, 3
+#: Bands of each collection, and minima of a band.  At similarity 0.8 a pair shares no table once in 11,000 times.
+BANDS, ROWS = 14, 3
 SEED = 20
-#: Candidates that a document names in a group in the first round; the next rounds take more.
-FIRST, GROWTH = 4, 8
+#: Forests that a group emits in the first round, and by how much that grows when pairs fail.
+FORESTS, GROWTH = 1, 8
 #: What a row does in its group: ask and be a candidate, or one of the two.
 BOTH, ASKS, OFFERED = 0, 1, 2
 #: Columns that name a group.
 GROUP_KEY = ["band", "key", "part", "block"]
-#: Bits of a parity sketch.
-PARITY_BITS = 4096
-#: Documents of one band value that are compared together; larger groups are dealt into parts.
+#: Bits of a parity sketch: about half the shingles, within these bounds.
+LEAST_BITS, MOST_BITS = 64, 4096
+#: Texts of one band value that are dealt together; larger groups are dealt into parts.
 GROUP = 4096
+#: Members of a bucket up to which all its pairs are listed; larger buckets are searched from one member to the next.
+LISTED = 32
+#: Pairs for each row up to which groups that are looked at again emit all of them.
+PAIRS_PER_ROW = 64
+#: Pairs of different components up to which they are listed in larger buckets as well.
+MOST_LISTED = 1 << 18
+#: Pairs of one text that are confirmed in one place.
+SLICE = 64
 
 _rng = np.random.default_rng(SEED)
 _A = _rng.integers(1, 1 << 63, size=2 * BANDS * ROWS, dtype=np.uint64) | np.uint64(1)
 _B = _rng.integers(0, 1 << 63, size=2 * BANDS * ROWS, dtype=np.uint64)
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
+_SET = ["n_shingles", "sum1", "sum2"]
 
 
 def _mix(h: np.ndarray) -> np.ndarray:
@@ -78,186 +91,353 @@ def minima(s: np.ndarray) -> np.ndarray:
     return out.astype(np.uint32)
 
 
-def _sketch(width: int):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
+def parity(s: np.ndarray) -> bytes:
+    """Parity sketch of a set; half of a larger sketch, folded over the other half, is the sketch of half the size."""
+    bits = min(MOST_BITS, max(LEAST_BITS, 1 << max(0, len(s) - 1).bit_length() >> 1))
+    flips = np.bincount((s >> np.uint64(20)).astype(np.int64) & (bits - 1), minlength=bits) & 1
+    return np.packbits(flips.astype(np.uint8)).tobytes()
+
+
+def identity(s: np.ndarray) -> tuple[int, int, int]:
+    """Size and two sums, which tell sets apart."""
+    return len(s), int(s.sum().view(np.int64)), int(_mix(s ^ np.uint64(SEED)).sum().view(np.int64))
+
+
+def sketch(docs: DataFrame, width: int) -> DataFrame:
+    """doc_id, identity of the set, band keys of the first collection, bands of the second, and parity of each text."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
             rows = []
-            for text in pdf["text"]:
+            for text in batch.column("text").to_pylist():
                 s = shingles(text, width)
                 if not len(s):
-                    rows.append((0, 0, 0, None, None))
+                    rows.append((0, 0, 0, None, None, None))
                     continue
                 m = minima(s)
                 bands = m[: BANDS * ROWS].reshape(BANDS, ROWS).astype(np.uint64)
                 key = np.zeros(BANDS, dtype=np.uint64)
                 for j in range(ROWS):
                     key = _mix(key + bands[:, j] + np.uint64(j + 1))
-                mark = _mix(s ^ np.uint64(SEED))
-                rows.append((len(s), int(s.sum().view(np.int64)), int(mark.sum().view(np.int64)), key.view(np.int64), (m & 255).astype(np.uint8).tobytes()))
-            out = pd.DataFrame(rows, columns=["n_shingles", "sum1", "sum2", "bands", "minima"])
-            out.insert(0, "doc_id", pdf["doc_id"].to_numpy())
-            yield out
-
-    return run
-
+                rows.append((*identity(s), key.view(np.int64), (m[BANDS * ROWS :] & 255).astype(np.uint8).tobytes(), parity(s)))
+            columns = list(zip(*rows, strict=True)) or [[]] * 6
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.binary(), pa.binary())
+            arrays = [pa.array(list(c), kind) for c, kind in zip(columns, kinds, strict=True)]
+            # ids never pass through pandas, which would round longs that stand beside a null
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *arrays], ["doc_id", *_SET, "bands", "second", "parity"])
 
-def sketch(docs: DataFrame, width: int) -> DataFrame:
-    """doc_id, n_shingles, two sums that tell shingle sets apart, band keys and minima of each text."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return rows.mapInPandas(_sketch(width), "doc_id long, n_shingles long, sum1 long, sum2 long, bands array<long>, minima binary")
-
-
-def _candidates(similarity: float, named: int):
-    """Pairs within each run of rows of one group; rows x = y mark documents with further candidates."""
-    hashes = 2 * BANDS * ROWS
-
-    def pairs(doc: np.ndarray, n: np.ndarray, label: np.ndarray, m: np.ndarray, parity: np.ndarray, role: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        g = len(doc)
-        asks, offered = np.flatnonzero(role != OFFERED), np.flatnonzero(role != ASKS)
-        second = m[:, BANDS * ROWS :].reshape(g, BANDS, ROWS).astype(np.int32)
-        second = second[:, :, 0] << 16 | second[:, :, 1] << 8 | second[:, :, 2]
-        lefts, rights, more = [], [], []
-        step = max(1, (1 << 22) // (g * hashes))
-        for a in range(0, len(asks), step):
-            b = asks[a : a + step]
-            small, large = np.minimum(n[b, None], n[None, offered]), np.maximum(n[b, None], n[None, offered])
-            i, j = np.nonzero((label[b, None] != label[None, offered]) & (small >= similarity * large - 1e-9))
-            if not len(i):
-                continue
-            j = offered[j]
-            table = (second[b][i] == second[j]).any(1)
-            i, j = i[table], j[table]
-            if parity.shape[1]:
-                apart = np.bitwise_count(parity[b][i] ^ parity[j]).sum(1, dtype=np.int64)
-                near = apart * (1 + similarity) <= (n[b][i] + n[j]) * (1 - similarity) + 1e-6
-                i, j = i[near], j[near]
-            share = (m[b][i] == m[j]).mean(1)
-            order = np.lexsort((doc[j], -share, i))
-            i, j = i[order], j[order]
-            nth = np.arange(len(i)) - np.searchsorted(i, i)
-            best = nth < named
-            lefts.append(doc[b[i[best]]])
-            rights.append(doc[j[best]])
-            more.append(doc[b[np.unique(i[~best])]])
+    return rows.mapInArrow(run, "doc_id long, n_shingles long, sum1 long, sum2 long, bands array<long>, second binary, parity binary")
+
+
+def forest(i: np.ndarray, j: np.ndarray, n: int) -> np.ndarray:
+    """Positions of pairs (i, j) of 0 .. n-1 that form a spanning forest of them; stars around small numbers first."""
+    label, live, chosen = np.arange(n), np.arange(len(i)), []
+    while len(live):
+        a, b = label[i[live]], label[j[live]]
+        live, high, low = live[a != b], np.maximum(a, b)[a != b], np.minimum(a, b)[a != b]
+        order = np.lexsort((low, high))
+        first = order[np.concatenate([[True], high[order][1:] != high[order][:-1]])] if len(order) else order
+        chosen.append(live[first])
+        up = np.arange(n)
+        up[high[first]] = low[first]
+        while (up != up[up]).any():
+            up = up[up]
+        label = up[label]
+    return np.concatenate([np.zeros(0, dtype=np.int64), *chosen])
+
+
+class _Members:
+    """Rows of whole groups, in the order of their groups, and which pairs of them may be similar."""
+
+    def __init__(self, pdf: pd.DataFrame, similarity: float):
+        self.similarity = similarity
+        self.doc, self.n, self.label, self.role = (pdf[c].to_numpy() for c in ("doc_id", "n_shingles", "label", "role"))
+        key = pdf[GROUP_KEY].to_numpy()
+        self.group = np.cumsum(np.concatenate([[False], (key[1:] != key[:-1]).any(1)])) if len(pdf) else np.zeros(0, dtype=np.int64)
+        second = np.frombuffer(b"".join(pdf["second"]), dtype=np.uint8).reshape(len(pdf), BANDS, ROWS).astype(np.int64)
+        self.second = sum(second[:, :, r] << (8 * r) for r in range(ROWS))
+        self.bits = np.array([len(p) for p in pdf["parity"]])
+        self.at, self.sketches = {}, {}
+        for size in np.unique(self.bits):  # a pair meets at the smaller sketch of its two
+            own, twice = np.flatnonzero(self.bits == size), np.flatnonzero(self.bits == 2 * size)
+            m = np.frombuffer(b"".join(pdf["parity"].iloc[own]), dtype=np.uint8).reshape(len(own), size)
+            if len(twice):
+                large = np.frombuffer(b"".join(pdf["parity"].iloc[twice]), dtype=np.uint8).reshape(len(twice), 2 * size)
+                m = np.concatenate([m, large[:, :size] ^ large[:, size:]])
+            at = np.full(len(pdf), -1)
+            at[np.concatenate([own, twice])] = np.arange(len(own) + len(twice))
+            self.at[size], self.sketches[size] = at, np.ascontiguousarray(m).view(np.uint64)
+        self.docs, self.dense = np.unique(self.doc, return_inverse=True)
+        self.failed = np.zeros(0, dtype=np.int64)
+        tried = [(d, np.asarray(x)) for d, x in zip(self.dense, pdf["failed"], strict=True) if x is not None]
+        if tried:
+            high, low = np.repeat([d for d, _ in tried], [len(x) for _, x in tried]), np.concatenate([x for _, x in tried])
+            at = np.minimum(np.searchsorted(self.docs, low), len(self.docs) - 1)
+            self.fails(high[self.docs[at] == low], at[self.docs[at] == low])
+        # rows of one component in one group count as joined
+        _, first, inverse = np.unique(np.column_stack([self.group, self.label]), axis=0, return_index=True, return_inverse=True)
+        self.joined = first[inverse.ravel()]
+
+    def fails(self, d: np.ndarray, e: np.ndarray) -> None:
+        """Leave out pairs of documents, by their dense numbers, from now on."""
+        code = np.maximum(d, e) * len(self.docs) + np.minimum(d, e)
+        self.failed = np.union1d(self.failed, code)
+
+    def similar(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        """Whether pairs may reach the similarity, differ in component, may meet, and have not failed."""
+        n, m = self.n[i], self.n[j]
+        ok = (self.label[i] != self.label[j]) & ((self.role[i] != self.role[j]) | (self.role[i] == BOTH))
+        ok &= np.minimum(n, m) >= self.similarity * np.maximum(n, m) - 1e-9
+        at = np.flatnonzero(ok)
+        size = np.minimum(self.bits[i[at]], self.bits[j[at]])
+        most = (n[at] + m[at]) * (1 - self.similarity) / (1 + self.similarity) + 1e-6
+        for s in np.unique(size):
+            own = np.flatnonzero(size == s)
+            for a in range(0, len(own), 1 << 14):
+                part = own[a : a + (1 << 14)]
+                left, right = self.at[s][i[at[part]]], self.at[s][j[at[part]]]
+                apart = np.bitwise_count(self.sketches[s][left] ^ self.sketches[s][right]).sum(1, dtype=np.int64)
+                ok[at[part[(left >= 0) & (right >= 0) & (apart > most[part])]]] = False
+        if len(self.failed):
+            at = np.flatnonzero(ok)
+            d, e = self.dense[i[at]], self.dense[j[at]]
+            ok[at] = ~np.isin(np.maximum(d, e) * len(self.docs) + np.minimum(d, e), self.failed)
+        return ok
+
+    def searched(self, members: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Pairs that connect a large bucket: from each member reached to all that it is similar to and that are not reached."""
+        left, lefts, rights = members[np.argsort(self.doc[members], kind="stable")], [], []
+        waiting: list[int] = []
+        while len(left):
+            if not waiting:
+                waiting, left = [int(left[0])], left[1:]
+            a = waiting.pop(0)
+            new = self.similar(np.full(len(left), a), left)
+            lefts.append(np.full(int(new.sum()), a))
+            rights.append(left[new])
+            new |= self.joined[left] == self.joined[a]
+            waiting += left[new].tolist()
+            left = left[~new]
         none = np.zeros(0, dtype=np.int64)
-        return np.concatenate([none, *lefts]), np.concatenate([none, *rights]), np.concatenate([none, *more])
+        return np.concatenate([none, *lefts]), np.concatenate([none, *rights])
+
+    def across(self, members: np.ndarray) -> tuple[np.ndarray, np.ndarray] | None:
+        """Pairs of a large bucket that are of different components; None if they are too many to be listed."""
+        whose, size = np.unique(self.joined[members], return_counts=True)
+        outside = self.joined[members] != whose[size.argmax()]
+        others = members[outside]
+        if len(others) * len(members) > MOST_LISTED:
+            return None
+        i, j = np.repeat(others, len(members)), np.tile(members, len(others))
+        ok = (self.joined[i] != self.joined[j]) & (~np.tile(outside, len(others)) | (i < j))
+        return i[ok], j[ok]
+
+    def buckets(self) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+        """Pairs that share a table key, once each, of buckets small enough to be listed; members of the others."""
+        codes, large, n = [], {}, len(self.doc)
+        for j in range(BANDS):
+            order = np.lexsort((self.second[:, j], self.group))
+            g, s = self.group[order], self.second[order, j]
+            start = np.flatnonzero(np.concatenate([[True], (g[1:] != g[:-1]) | (s[1:] != s[:-1])]))
+            size = np.diff(np.concatenate([start, [n]]))
+            for a, k in zip(start[size > LISTED], size[size > LISTED], strict=True):
+                large[order[a : a + k].tobytes()] = order[a : a + k]  # copies share many tables; their bucket counts once
+            left = np.repeat(np.where(size > LISTED, 0, start + size), size) - np.arange(n)  # members of the bucket from here on
+            for away in range(1, LISTED):
+                p = np.flatnonzero(left > away)
+                if not len(p):
+                    break
+                a, b = order[p], order[p + away]
+                codes.append(np.minimum(a, b) * n + np.maximum(a, b))
+        rest = []
+        for members in large.values():
+            if (pairs := self.across(members)) is None:
+                rest.append(members)
+            else:
+                codes.append(np.minimum(*pairs) * n + np.maximum(*pairs))
+        code = np.unique(np.concatenate([np.zeros(0, dtype=np.int64), *codes]))
+        return code // max(n, 1), code % max(n, 1), rest
+
+
+def _forests(similarity: float, forests: int, again: bool) -> Callable:
+    """Pairs (x, y) of each group with the group's band and key: ``forests`` spanning forests of the pairs that may be similar.
+
+    A group that is looked at ``again`` emits all of its pairs if they are few; ``whole`` says so.
+    """
+
+    def found(pdf: pd.DataFrame) -> pd.DataFrame:
+        rows = _Members(pdf, similarity)
+        i, j, large = rows.buckets()
+        ok = rows.similar(i, j)
+        i, j = i[ok], j[ok]
+        band, key = pdf["band"].to_numpy(), pdf["key"].to_numpy()
+
+        def pairs(a: np.ndarray, b: np.ndarray, whole: bool) -> pd.DataFrame:
+            x, y = np.minimum(rows.doc[a], rows.doc[b]), np.maximum(rows.doc[a], rows.doc[b])
+            return pd.DataFrame({"x": x, "y": y, "band": band[a], "key": key[a], "whole": whole}).drop_duplicates()
+
+        if again and not large and len(i) <= PAIRS_PER_ROW * len(pdf):
+            return pairs(i, j, True)
+        out = [pairs(i[:0], j[:0], False)]
+        for turn in range(forests):
+            more = [rows.searched(m) for m in large]
+            a, b = (np.concatenate([x, *[m[k] for m in more]]) for k, x in enumerate((i, j)))
+            at = forest(rows.joined[a], rows.joined[b], len(pdf))
+            if not len(at):
+                break
+            out.append(pairs(a[at], b[at], False))
+            if turn + 1 < forests:
+                rows.fails(rows.dense[a[at]], rows.dense[b[at]])
+                rest = rows.similar(i, j)
+                i, j = i[rest], j[rest]
+        return pd.concat(out)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         kept: pd.DataFrame | None = None
-
-        def found(pdf: pd.DataFrame) -> Iterator[pd.DataFrame]:
-            doc, n, label, role = (pdf[c].to_numpy() for c in ("doc_id", "n_shingles", "label", "role"))
-            m = np.frombuffer(b"".join(pdf["minima"]), dtype=np.uint8).reshape(len(pdf), -1)
-            parity = np.frombuffer(b"".join(pdf["parity"]), dtype=np.uint64).reshape(len(pdf), -1)
-            key = pdf[GROUP_KEY].to_numpy()
-            starts = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]).any(1)]))
-            x, y, z = [], [], []
-            for a, b in zip(starts, [*starts[1:], len(pdf)], strict=True):
-                if b - a > 1:
-                    left, right, more = pairs(doc[a:b], n[a:b], label[a:b], m[a:b], parity[a:b], role[a:b])
-                    x.append(np.minimum(left, right))
-                    y.append(np.maximum(left, right))
-                    z.append(more)
-            if x:
-                out = pd.DataFrame({"x": np.concatenate(x), "y": np.concatenate(y)})
-                rest = np.unique(np.concatenate(z))
-                yield pd.concat([out, pd.DataFrame({"x": rest, "y": rest})]).drop_duplicates()
-
         for pdf in batches:
             pdf = pdf if kept is None else pd.concat([kept, pdf], ignore_index=True)
             last = (pdf[GROUP_KEY] == pdf[GROUP_KEY].iloc[-1]).all(axis=1).to_numpy()
             first = len(pdf) - int(np.argmin(last[::-1])) if not last.all() else 0
             if first:
-                yield from found(pdf.iloc[:first])
-            kept = pdf.iloc[first:]
+                yield found(pdf.iloc[:first].reset_index(drop=True))
+            kept = pdf.iloc[first:].reset_index(drop=True)
         if kept is not None and len(kept):
-            yield from found(kept)
+            yield found(kept)
 
     return run
 
 
+_PAYLOAD = ["doc_id", "n_shingles", "label", "second", "parity", "failed"]
+
+
+def _banded(nodes: DataFrame) -> DataFrame:
+    return nodes.select(*_PAYLOAD, F.posexplode("bands").alias("band", "key"))
+
+
 def large_groups(nodes: DataFrame) -> DataFrame:
-    """band, key and number of parts of the band values that have more than ``GROUP`` documents."""
+    """band, key and number of parts of the band values that have more than ``GROUP`` texts."""
     counted = nodes.select(F.posexplode("bands").alias("band", "key")).groupBy("band", "key").count()
     return counted.where(F.col("count") > GROUP).select("band", "key", F.ceil(F.col("count") / GROUP).cast("int").alias("parts"))
 
 
-def _dealt_whole(big: DataFrame) -> DataFrame:
-    """Rows of large groups, so that all members outside a group's largest component meet every part of it."""
-    per_label = big.groupBy("band", "key", "label").count()
-    main = per_label.groupBy("band", "key").agg(
-        F.max_by("label", "count").alias("main"), F.ceil((F.sum("count") - F.max("count")) / GROUP).cast("int").alias("blocks")
-    )
-    met = big.join(main.where(F.col("blocks") > 0), ["band", "key"])
-    place = lambda n: F.pmod(F.xxhash64("doc_id", "band"), n).cast("int")
-    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    offered = met.withColumn("part", place(F.col("parts"))).withColumn("block", every("blocks")).withColumn("role", F.lit(OFFERED))
-    asks = met.where(F.col("label") != F.col("main"))
-    asks = asks.withColumn("block", place(F.col("blocks"))).withColumn("part", every("parts")).withColumn("role", F.lit(ASKS))
-    return offered.unionByName(asks).drop("parts", "blocks", "main")
+def candidate_pairs(groups: DataFrame, similarity: float, forests: int, again: bool) -> DataFrame:
+    """x < y, band, key, whole: pairs that connect what may be similar in each group.  ``groups`` has the payload and GROUP_KEY."""
+    several = groups.withColumn("several", F.count("*").over(Window.partitionBy(*GROUP_KEY))).where(F.col("several") > 1).drop("several")
+    return several.sortWithinPartitions(*GROUP_KEY).mapInPandas(_forests(similarity, forests, again), "x long, y long, band int, key long, whole boolean")
 
 
-def candidate_pairs(nodes: DataFrame, large: DataFrame | None, similarity: float, named: int, whole: bool) -> DataFrame:
-    """Distinct pairs x < y, and rows x = y for documents with more candidates than ``named``.
+def _alone() -> dict:
+    return {"part": F.lit(0), "block": F.lit(0), "role": F.lit(BOTH)}
 
-    ``nodes`` has doc_id, n_shingles, label, bands, minima and parity (all empty, or all sketches); only pairs of different
-    labels are looked for.  ``large`` has the groups that are dealt into parts (None: there is none): each part in itself, or
-    with ``whole`` across all parts.
-    """
-    dealt = nodes.select("doc_id", "n_shingles", "label", "minima", "parity", F.posexplode("bands").alias("band", "key"))
-    one = {"block": F.lit(0), "role": F.lit(BOTH)}
+
+def _place(n: str):
+    return F.pmod(F.xxhash64("doc_id"), F.col(n)).cast("int")
+
+
+def _in_parts(nodes: DataFrame, large: DataFrame | None) -> DataFrame:
+    """First round: all groups, large ones in parts."""
+    dealt = _banded(nodes)
     if large is None:
-        dealt = dealt.withColumns({"part": F.lit(0), **one})
-    elif not whole:
-        part = F.pmod(F.xxhash64("doc_id", "band"), F.coalesce(F.col("parts"), F.lit(1))).cast("int")
-        dealt = dealt.join(large, ["band", "key"], "left").withColumns({"part": part, **one}).drop("parts")
-    else:
-        small = dealt.join(large, ["band", "key"], "left_anti").withColumns({"part": F.lit(0), **one})
-        dealt = small.unionByName(_dealt_whole(dealt.join(large, ["band", "key"])))
-    group = Window.partitionBy(*GROUP_KEY)
-    several = dealt.withColumn("several", F.count("*").over(group)).where(F.col("several") > 1).drop("several")
-    return several.sortWithinPartitions(*GROUP_KEY).mapInPandas(_candidates(similarity, named), "x long, y long").distinct()
+        return dealt.withColumns(_alone())
+    dealt = matched(dealt, large, ["band", "key"], "left").withColumns(_alone())
+    return dealt.withColumn("part", F.when(F.col("parts").isNotNull(), _place("parts")).otherwise(F.lit(0))).drop("parts")
 
 
-def _sets(width: int):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            sets = [shingles(t, width) for t in pdf["text"]]
-            flips = [np.bincount((s >> np.uint64(20)).astype(np.int64) & (PARITY_BITS - 1), minlength=PARITY_BITS) & 1 for s in sets]
-            parity = [np.packbits(f.astype(np.uint8)).tobytes() for f in flips]
-            yield pd.DataFrame({"doc_id": pdf["doc_id"], "items": [s.view(np.int64) for s in sets], "parity": parity})
+def _of_several(dealt: DataFrame) -> DataFrame:
+    """Rows of the groups (band, key) that have texts of several components."""
+    mixed = dealt.groupBy("band", "key").agg(F.min("label").alias("a"), F.max("label").alias("b")).where(F.col("a") < F.col("b"))
+    return matched(dealt, stored(mixed.select("band", "key")), ["band", "key"], "left_semi")
 
-    return run
 
+def _of_each_component(nodes: DataFrame, large: DataFrame) -> DataFrame:
+    """Second round: one text of each component of the large groups, in parts where they are many."""
+    dealt = matched(_banded(nodes), large.select("band", "key"), ["band", "key"], "left_semi")
+    first = Window.partitionBy("band", "key", "label").orderBy("doc_id")
+    ones = dealt.withColumn("nth", F.row_number().over(first)).where(F.col("nth") == 1).drop("nth")
+    many = ones.groupBy("band", "key").agg(F.ceil(F.count("*") / GROUP).cast("int").alias("parts"))
+    return ones.join(many, ["band", "key"]).withColumns(_alone()).withColumn("part", _place("parts")).drop("parts")
+
+
+def _by_tables(nodes: DataFrame, large: DataFrame) -> DataFrame:
+    """Third round: large groups that are of several components still, dealt by whole table keys.
+
+    Tables that are too large as well are dealt so that all texts outside a table's largest component meet every part of it.
+    """
+    dealt = _of_several(matched(_banded(nodes), large.select("band", "key"), ["band", "key"], "left_semi"))
+    tabled = dealt.withColumn("j", F.explode(F.sequence(F.lit(0), F.lit(BANDS - 1))))
+    own = F.substring(F.col("second"), F.col("j") * ROWS + 1, F.lit(ROWS))
+    tabled = tabled.withColumn("key", F.xxhash64("key", own)).withColumn("band", (BANDS * (F.col("band") + 1) + F.col("j")).cast("int")).drop("j")
+    per_label = tabled.groupBy("band", "key", "label").count()
+    main = per_label.groupBy("band", "key").agg(
+        F.max_by("label", "count").alias("main"),
+        F.sum("count").alias("all"),
+        F.ceil(F.sum("count") / GROUP).cast("int").alias("parts"),
+        F.ceil((F.sum("count") - F.max("count")) / GROUP).cast("int").alias("blocks"),
+    )
+    met = tabled.join(main.where(F.col("blocks") > 0), ["band", "key"])
+    small = met.where(F.col("all") <= GROUP).withColumns(_alone())
+    big = met.where(F.col("all") > GROUP)
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    offered = big.withColumn("part", _place("parts")).withColumn("block", every("blocks")).withColumn("role", F.lit(OFFERED))
+    asks = big.where(F.col("label") != F.col("main"))
+    asks = asks.withColumn("block", _place("blocks")).withColumn("part", every("parts")).withColumn("role", F.lit(ASKS))
+    return small.unionByName(offered).unionByName(asks).drop("parts", "blocks", "main", "all")
+
+
+def packed_texts(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
+    """doc_id and compressed text of the ids and sets that ``wanted`` names; of a repeated id the text that has the set."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column("text").to_pylist()
+            wanted = zip(*[batch.column(c).to_pylist() for c in _SET], strict=True)
+            keep = [identity(shingles(t, width)) == w for t, w in zip(texts, wanted, strict=True)]
+            packed = [zlib.compress(t.encode("utf-8", "surrogatepass"), 1) for t, k in zip(texts, keep, strict=True) if k]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id").filter(pa.array(keep, pa.bool_())), pa.array(packed, pa.binary())], ["doc_id", "packed"])
+
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    found = matched(rows, wanted, ["doc_id"]).select("doc_id", "text", *_SET).mapInArrow(run, "doc_id long, packed binary")
+    return stored(found.dropDuplicates(["doc_id"]))
 
-def full_sets(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
-    """doc_id, full shingle set and parity sketch of the documents that ``ids`` names."""
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(ids, "doc_id", "left_semi")
-    return cut(texts.dropDuplicates(["doc_id"]).mapInPandas(_sets(width), "doc_id long, items array<long>, parity binary"))
 
+def confirmed(pairs: DataFrame, texts: DataFrame, width: int, similarity: float) -> DataFrame:
+    """x, y and whether the full shingle sets reach the similarity, exactly: 100 * common >= percent * union.
 
-def confirmed(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """The pairs whose full shingle sets reach the similarity, exactly: 100 * common >= percent * union."""
+    The pairs of one x are checked in slices: its text travels once a slice, and that of y once a pair.
+    """
     percent = round(100 * similarity)
 
-    @F.pandas_udf("boolean")
-    def linked(a: pd.Series, b: pd.Series) -> pd.Series:
-        out = []
-        for u, v in zip(a, b, strict=True):
-            common = len(np.intersect1d(u, v, assume_unique=True))
-            out.append(100 * common >= percent * (len(u) + len(v) - common))
-        return pd.Series(out, dtype=bool)
+    def items(packed: bytes) -> np.ndarray:
+        return shingles(zlib.decompress(packed).decode("utf-8", "surrogatepass"), width)
 
-    both = pairs.join(sets.select(F.col("doc_id").alias("x"), F.col("items").alias("a")), "x")
-    both = both.join(sets.select(F.col("doc_id").alias("y"), F.col("items").alias("b")), "y")
-    return both.where(linked("a", "b")).select("x", "y")
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        hub = None
+        for pdf in batches:
+            out = []
+            for x, y, packed in zip(pdf["x"], pdf["y"], pdf["packed"], strict=True):
+                if x == y:
+                    hub = items(packed)
+                    continue
+                s = items(packed)
+                common = len(np.intersect1d(hub, s, assume_unique=True))
+                out.append((x, y, 100 * common >= percent * (len(hub) + len(s) - common)))
+            yield pd.DataFrame(out, columns=["x", "y", "linked"]).astype({"x": "int64", "y": "int64", "linked": bool})
+
+    many = pairs.groupBy("x").agg(F.ceil(F.count("*") / SLICE).alias("slices")).where(F.col("slices") > 1)
+    part = F.pmod(F.xxhash64("y"), F.coalesce("slices", F.lit(1))).cast("int")
+    sliced = pairs.join(many, "x", "left").select("x", "y", part.alias("slice"))
+    ends = sliced.select("x", "slice", "y").unionByName(sliced.select("x", "slice", F.col("x").alias("y")).distinct())
+    met = ends.join(texts.withColumnRenamed("doc_id", "y"), "y")
+    dealt = met.repartition("x", "slice").sortWithinPartitions("x", "slice", "y")  # x < y, so that x comes first
+    return dealt.select("x", "y", "packed").mapInPandas(run, "x long, y long, linked boolean")
 
 
 def components(links: DataFrame) -> DataFrame:
     """node, label: the smallest node reachable from each node that has a link; smallest neighbours with pointer jumping."""
     ways = F.array(F.struct("x", "y"), F.struct(F.col("y").alias("x"), F.col("x").alias("y")))
-    both = cut(links.select(F.inline(ways)).distinct())
-    labels = cut(both.groupBy(F.col("x").alias("node")).agg(F.min("y").alias("low")).select("node", F.least("node", "low").alias("label")))
+    both = stored(links.select(F.inline(ways)).distinct())
+    labels = stored(both.groupBy(F.col("x").alias("node")).agg(F.min("y").alias("low")).select("node", F.least("node", "low").alias("label")))
     total = None
     while True:
         now = labels.agg(F.sum(F.col("label").cast("decimal(38,0)"))).first()[0]  # labels only ever fall
@@ -267,74 +447,144 @@ def components(links: DataFrame) -> DataFrame:
         up = labels.select(F.col("node").alias("label"), F.col("label").alias("above"))
         jumped = labels.join(up, "label", "left").select("node", F.least("label", "above").alias("label"))
         seen = both.join(jumped.withColumnRenamed("node", "y"), "y").groupBy(F.col("x").alias("node")).agg(F.min("label").alias("low"))
-        labels = cut(jumped.join(seen, "node", "left").select("node", F.least("label", "low").alias("label")))
+        labels = stored(jumped.join(seen, "node", "left").select("node", F.least("label", "low").alias("label")))
 
 
 def joined(labels: DataFrame, links: DataFrame) -> DataFrame:
     """``labels`` after further links: only the components that the links touch are looked at again."""
-    of = lambda end: labels.select(F.col("node").alias(end), F.col("label").alias(f"{end}_label"))
-    ends = links.join(of("x"), "x", "left").join(of("y"), "y", "left")
-    between = ends.select(F.coalesce("x_label", "x").alias("x"), F.coalesce("y_label", "y").alias("y"))
-    merged = components(between.where(F.col("x") != F.col("y")))
+    merged = components(_between(links, labels))
     up = merged.select(F.col("node").alias("label"), F.col("label").alias("above"))
     old = labels.join(up, "label", "left").select("node", F.coalesce("above", "label").alias("label"))
-    return cut(old.unionByName(merged.join(labels, "node", "left_anti")))
+    return stored(old.unionByName(merged.join(labels, "node", "left_anti")))
+
+
+def _ends(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+    of = lambda end: labels.select(F.col("node").alias(end), F.col("label").alias(f"{end}_label"))
+    ends = pairs.join(of("x"), "x", "left").join(of("y"), "y", "left")
+    return ends.withColumns({"x_label": F.coalesce("x_label", "x"), "y_label": F.coalesce("y_label", "y")}).where(F.col("x_label") != F.col("y_label"))
+
+
+def _between(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+    """Pairs of components, as x and y, that ``pairs`` connects."""
+    return _ends(pairs, labels).select(F.col("x_label").alias("x"), F.col("y_label").alias("y"))
+
+
+class _Linking:
+    """Labels of the nodes so far, the texts that are needed to confirm pairs, and the pairs that failed."""
+
+    def __init__(self, docs: DataFrame, nodes: DataFrame, width: int, similarity: float):
+        self.docs, self.nodes, self.width, self.similarity = docs, nodes, width, similarity
+        self.labels: DataFrame | None = None
+        self.failed: DataFrame | None = None
+        self.texts: list[DataFrame] = []
+
+    def _texts(self, pairs: DataFrame) -> DataFrame:
+        """Texts of all ends of ``pairs``, and of earlier ones."""
+        ids = pairs.select(F.explode(F.array("x", "y")).alias("doc_id")).distinct()
+        for have in self.texts:
+            ids = ids.join(have.select("doc_id"), "doc_id", "left_anti")
+        wanted = stored(self.nodes.select("doc_id", *_SET).join(ids, "doc_id", "left_semi"))
+        if not wanted.isEmpty():
+            self.texts.append(packed_texts(self.docs, wanted, self.width))
+        return functools.reduce(DataFrame.unionByName, self.texts)
+
+    def _check(self, pairs: DataFrame, texts: DataFrame) -> DataFrame:
+        checked = stored(confirmed(pairs, texts, self.width, self.similarity))
+        links = checked.where("linked").select("x", "y")
+        if self.labels is None:
+            self.labels = components(links)
+        elif not links.isEmpty():
+            self.labels = joined(self.labels, links)
+        fell = checked.where(~F.col("linked")).select("x", "y")
+        self.failed = fell if self.failed is None else self.failed.unionByName(fell)
+        return checked
+
+    def confirm(self, pairs: DataFrame) -> None:
+        """Join the components that ``pairs`` link.  Of each y one pair goes first; the others only if they still connect two."""
+        if pairs.isEmpty():
+            return
+        texts = self._texts(pairs)
+        checked = self._check(pairs.groupBy("y").agg(F.min("x").alias("x")).select("x", "y"), texts)
+        rest = stored(_ends(pairs.join(checked, ["x", "y"], "left_anti"), self.labels).select("x", "y"))
+        if not rest.isEmpty():
+            self._check(rest, texts)
+
+    def labelled(self) -> DataFrame:
+        """The nodes with their labels and, at the larger end, the pairs that failed."""
+        nodes = self.nodes.drop("label", "failed").join(self.labels.withColumnRenamed("node", "doc_id"), "doc_id", "left")
+        failed = self.failed.groupBy(F.col("y").alias("doc_id")).agg(F.collect_set("x").alias("failed"))
+        return nodes.join(failed, "doc_id", "left").withColumn("label", F.coalesce("label", "doc_id"))
+
+
+def _linked(docs: DataFrame, nodes: DataFrame, width: int, similarity: float) -> DataFrame | None:
+    """node, label of the nodes that have a link (None: there are no pairs at all)."""
+    large = stored(large_groups(nodes))
+    deals: list[Callable[[DataFrame], DataFrame]] = []
+    if large.isEmpty():
+        deals.append(lambda n: _in_parts(n, None))
+    else:
+        deals += [lambda n: _in_parts(n, large), lambda n: _of_each_component(n, large), lambda n: _by_tables(n, large)]
+    state = _Linking(docs, nodes, width, similarity)
+    unmarked = nodes.withColumns({"label": F.col("doc_id"), "failed": F.lit(None).cast("array<long>")})
+    for deal in deals:
+        forests, open_groups = FORESTS, None
+        while True:
+            groups = deal(unmarked if state.labels is None else state.labelled())
+            if open_groups is not None:
+                groups = matched(groups, open_groups, ["band", "key"], "left_semi")
+            emitted = stored(candidate_pairs(groups, similarity, forests, open_groups is not None))
+            before = state.failed
+            state.confirm(stored(emitted.select("x", "y").distinct()))
+            if state.failed is None or state.failed is before:
+                break
+            # forests that lost a pair: their groups may have other pairs that connect the same texts
+            lost = _ends(state.failed, state.labels).select("x", "y").distinct()
+            open_groups = stored(emitted.where(~F.col("whole")).join(lost, ["x", "y"], "left_semi").select("band", "key").distinct())
+            if open_groups.isEmpty():
+                break
+            forests *= GROWTH
+    forget(*state.texts)
+    return state.labels
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, similarity: float = 0.8) -> DataFrame:
     """One row for each row of ``docs``: doc_id, n_shingles, component_id and kept.
 
     Words are runs without ASCII white space, A-Z in lower case.  Null and empty texts, and texts without a word, have no
-    shingles and are linked with nothing.  Rows that repeat an id are one document.  A row whose id is null is linked with
-    nothing, has no component and is kept.  Other columns are not read; an empty table gives an empty result.
+    shingles and are linked with nothing.  Rows that repeat an id are one document; if their texts differ, that of most
+    shingles is linked (ties: by the sums of its hashes), while each row tells the size of its own.  A row whose id is null is
+    linked with nothing, has no component and is kept.  Other columns are not read; an empty table gives an empty result.
     """
-    sketches = cut(sketch(docs, width))
+    sketches = stored(sketch(docs, width))
     usable = sketches.where((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull())
-    same = ["n_shingles", "sum1", "sum2"]
-    first = usable.groupBy(*same).agg(F.min("doc_id").alias("node"))
-    nodes = usable.join(first, same).where(F.col("doc_id") == F.col("node")).dropDuplicates(["doc_id"])
-    nodes = cut(nodes.select("doc_id", "n_shingles", "bands", "minima"))
-    large = cut(large_groups(nodes))
-    dealt = None if large.isEmpty() else large
-    tested, labels, named, sets = None, None, FIRST, None
-    open_nodes = nodes.withColumns({"label": F.col("doc_id"), "parity": F.lit(b"")})
-    while True:
-        named_pairs = cut(candidate_pairs(open_nodes, dealt, similarity, named, whole=labels is not None))
-        more = named_pairs.where(F.col("x") == F.col("y"))
-        pairs = named_pairs.where(F.col("x") < F.col("y"))
-        again = (labels is None and dealt is not None) or not more.isEmpty()
-        if sets is None:
-            # candidates are mutual: whoever has one names one now, or else is in a large group
-            ends = pairs.select(F.explode(F.array("x", "y")).alias("doc_id"))
-            if dealt is not None:
-                banded = nodes.select("doc_id", F.posexplode("bands").alias("band", "key"))
-                ends = ends.union(banded.join(dealt, ["band", "key"], "left_semi").select("doc_id"))
-            sets = full_sets(docs, ends.distinct(), width)
-            if again:
-                nodes = cut(nodes.join(sets.select("doc_id", "parity"), "doc_id"))
-        else:
-            pairs = pairs.join(tested, ["x", "y"], "left_anti")
-        new = confirmed(pairs, sets, similarity)
-        labels = components(new) if labels is None else joined(labels, new)
-        if not again:
-            break
-        tested = pairs if tested is None else tested.union(pairs)
-        named *= GROWTH
-        labelled = nodes.join(labels.withColumnRenamed("node", "doc_id"), "doc_id", "left")
-        open_nodes = labelled.withColumn("label", F.coalesce("label", "doc_id"))
-    found = sketches.select("doc_id", *same).join(first, same, "left")
-    found = found.join(labels.select("node", "label"), "node", "left")
-    component = F.when(F.col("n_shingles") > 0, F.coalesce("label", "node", "doc_id")).otherwise(F.col("doc_id"))
-    component = F.when(F.col("doc_id").isNotNull(), component)
+    own = usable.groupBy("doc_id").agg(F.max(F.struct(*_SET)).alias("own")).select("doc_id", "own.*")
+    first = own.groupBy(*_SET).agg(F.min("doc_id").alias("node"))
+    wanted = first.select(F.col("node").alias("doc_id"), *[F.col(c).alias(f"own_{c}") for c in _SET])
+    same = [F.col(c) == F.col(f"own_{c}") for c in _SET]
+    nodes = usable.join(wanted, "doc_id").where(same[0] & same[1] & same[2]).dropDuplicates(["doc_id"])
+    nodes = stored(nodes.select("doc_id", *_SET, "bands", "second", "parity"))
+    labels = _linked(docs, nodes, width, similarity)
+    forget(nodes)
+    placed = own.join(first, _SET).select("doc_id", "node")
+    if labels is not None:
+        placed = placed.join(labels, "node", "left").select("doc_id", F.coalesce("label", "node").alias("node"))
+    found = sketches.select("doc_id", "n_shingles").join(placed, "doc_id", "left")
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("node", "doc_id"))
     return found.select("doc_id", "n_shingles", component.alias("component_id")).withColumn(
         "kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))
     )
 
 
 def one_of_each(docs: DataFrame, width: int = 5, similarity: float = 0.8) -> DataFrame:
-    """One row of each group of near-duplicates, the one with the smallest id; rows with null ids stay."""
-    kept = near_duplicates(docs, width, similarity).where("kept").select("doc_id").where(F.col("doc_id").isNotNull()).distinct()
-    rows = docs.join(kept, "doc_id", "left_semi")
-    nth = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64("text")))
-    rows = rows.withColumn("_nth", nth).where(F.col("_nth") == 1).select(*docs.columns)
-    return rows.unionByName(docs.where(F.col("doc_id").isNull()))
+    """One row of each group of near-duplicates, the one with the smallest id; rows with null ids stay.
+
+    Of rows that repeat an id one stays, that whose text hashes lowest.  All columns of ``docs`` come back as they are.
+    """
+    found = near_duplicates(docs, width, similarity).where(F.col("doc_id").isNotNull())
+    each = stored(found.groupBy("doc_id").agg(F.bool_or("kept").alias("kept"), F.count("*").alias("rows")))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("hash"), F.struct("*").alias("row"))
+    # texts need not move as long as the ids that go, or are repeated, are few enough to be sent to them
+    single = matched(rows, each.where(~F.col("kept") | (F.col("rows") > 1)).select("doc_id"), ["doc_id"], "left_anti")
+    repeated = matched(rows, each.where(F.col("kept") & (F.col("rows") > 1)).select("doc_id"), ["doc_id"], "left_semi")
+    repeated = repeated.withColumn("nth", F.row_number().over(Window.partitionBy("doc_id").orderBy("hash"))).where(F.col("nth") == 1)
+    return single.select("row").unionByName(repeated.select("row")).select("row.*")

@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 
 from noticemill.llm import near_duplicates as nd
@@ -62,14 +63,50 @@ def test_components_equal_brute_force(spark, width):
     assert got == {i: (n, c, i == c) for i, (n, c) in enumerate(brute(texts, width))}
 
 
-def test_rounds_find_what_the_first_left(spark, monkeypatch):
-    monkeypatch.setattr(nd, "FIRST", 1)
+@pytest.mark.parametrize("listed", [0, 1 << 18])
+def test_groups_with_failed_pairs_are_looked_at_again(spark, monkeypatch, listed):
+    """Without the parity screen nearly all pairs that share a table fail, so that groups need many forests."""
+    monkeypatch.setattr(nd, "LISTED", 8)
+    monkeypatch.setattr(nd, "MOST_LISTED", listed)
+    monkeypatch.setattr(nd, "LEAST_BITS", 64)
+    monkeypatch.setattr(nd, "MOST_BITS", 64)
     texts = corpus()[:250]
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     got = {r.doc_id: r.component_id for r in nd.near_duplicates(df, 2).collect()}
     assert got == {i: c for i, (_, c) in enumerate(brute(texts, 2))}
 
 
+def test_forest_spans():
+    rnd = random.Random(5)
+    for n in (1, 2, 30, 200):
+        pairs = [(rnd.randrange(n), rnd.randrange(n)) for _ in range(n)]
+        i, j = (np.array(x, dtype=np.int64) for x in zip(*pairs, strict=True))
+
+        def parts(at, i=i, j=j, n=n):
+            label = list(range(n))
+            for k in at:
+                a, b = label[i[k]], label[j[k]]
+                label = [a if x == b else x for x in label]
+            return [label.index(x) for x in label]
+
+        chosen = nd.forest(i, j, n)
+        whole = parts(range(n))
+        assert parts(chosen) == whole and len(chosen) == n - len(set(whole))
+
+
+def test_parity_never_exceeds_the_difference():
+    rnd = np.random.default_rng(4)
+    for size in (5, 70, 900, 9000):
+        common = rnd.integers(0, 1 << 63, size, dtype=np.uint64)
+        a, b = (np.unique(np.concatenate([common, rnd.integers(0, 1 << 63, max(1, size // k), dtype=np.uint64)])) for k in (9, 11))
+        p, q = (np.frombuffer(nd.parity(s), dtype=np.uint8) for s in (a, b))
+        while len(p) != len(q):
+            p, q = sorted((p, q), key=len)
+            q = q[: len(q) // 2] ^ q[len(q) // 2 :]
+        apart = int(np.bitwise_count(p ^ q).sum())
+        assert apart <= len(np.setxor1d(a, b))
+
+
 def test_large_groups_meet_across_parts(spark, monkeypatch):
     monkeypatch.setattr(nd, "GROUP", 16)
     texts = corpus()
@@ -78,21 +115,23 @@ def test_large_groups_meet_across_parts(spark, monkeypatch):
     assert got == {i: c for i, (_, c) in enumerate(brute(texts, 5))}
 
 
-def test_a_pair_whose_minima_agree_seldom_is_found(spark):
-    """A pair of similarity 0.8 that shares a table, though fewer than 46 of 72 minima agree."""
-    size = nd.BANDS * nd.ROWS
-    bands = lambda m: m.reshape(2, nd.BANDS, nd.ROWS)
-    for seed in range(40_000):
-        common = [f"c{seed}_{i}" for i in range(40)]
-        x, y = (common + [f"{own}{seed}_{i}" for i in range(5)] for own in "xy")
-        a, b = (nd.minima(nd.shingles(" ".join(t), 1)) for t in (x, y))
-        if ((a & 255) == (b & 255)).sum() < 46 and (bands(a) == bands(b)).all(2).any(1).all():
-            break
-    else:
-        raise AssertionError("no such pair")
-    assert len(a) == 2 * size
-    df = spark.createDataFrame([(1, " ".join(x)), (2, " ".join(y))], "doc_id long, text string")
-    assert {r.component_id for r in nd.near_duplicates(df, 1).collect()} == {1}
+def test_repeated_ids_and_large_ids(spark):
+    """Ids beyond 2^53 stand beside nulls; of two texts under one id the one with more shingles is linked."""
+    big = 2**60 + 1
+    rows = [(None, "a b c d e f"), (big, "a b c d e f"), (big + 2, "a b c d e f"), (7, "x y"), (7, "a b c d e f"), (8, "x y"), (None, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    got = sorted(((r.doc_id, r.n_shingles, r.component_id) for r in nd.near_duplicates(df, 2).collect()), key=str)
+    assert got == sorted([(None, 5, None), (big, 5, 7), (big + 2, 5, 7), (7, 1, 7), (7, 5, 7), (8, 1, 8), (None, 0, None)], key=str)
+
+
+def test_one_of_each_keeps_clashing_columns(spark):
+    schema = "doc_id long, text string, row string, nth int, kept boolean, hash long, _nth int"
+    rows = [(1, "a b c d", "p", 1, False, 5, 7), (2, "a b c d", "q", 2, True, 6, 8), (3, "e f", "r", 3, None, 7, 9), (3, "g h", "s", 4, None, 8, 10), (None, "a b c d", "t", 5, None, 9, 11)]
+    df = spark.createDataFrame(rows, schema)
+    out = nd.one_of_each(df, 2)
+    assert out.columns == df.columns
+    got = [tuple(r) for r in out.collect()]
+    assert rows[0] in got and rows[4] in got and len(got) == 3 and sum(r in got for r in rows[2:4]) == 1
 
 
 def test_edges_of_tables(spark):
