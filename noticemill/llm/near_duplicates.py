@@ -41,8 +41,8 @@ FORESTS, GROWTH = 1, 8
 BOTH, ASKS, OFFERED = 0, 1, 2
 #: Columns that name a group.
 GROUP_KEY = ["band", "key", "part", "block"]
-#: Bits of a parity sketch: about half the shingles, within these bounds.
-LEAST_BITS, MOST_BITS = 64, 4096
+#: Bits of a parity sketch: from the number of shingles to twice it, within these bounds.
+LEAST_BITS, MOST_BITS = 64, 8192
 #: Texts of one band value that are dealt together; larger groups are dealt into parts.
 GROUP = 4096
 #: Members of a bucket up to which all its pairs are listed; larger buckets are searched from one member to the next.
@@ -93,7 +93,7 @@ def minima(s: np.ndarray) -> np.ndarray:
 
 def parity(s: np.ndarray) -> bytes:
     """Parity sketch of a set; half of a larger sketch, folded over the other half, is the sketch of half the size."""
-    bits = min(MOST_BITS, max(LEAST_BITS, 1 << max(0, len(s) - 1).bit_length() >> 1))
+    bits = min(MOST_BITS, max(LEAST_BITS, 1 << max(0, len(s) - 1).bit_length()))
     flips = np.bincount((s >> np.uint64(20)).astype(np.int64) & (bits - 1), minlength=bits) & 1
     return np.packbits(flips.astype(np.uint8)).tobytes()
 
@@ -315,10 +315,10 @@ def _banded(nodes: DataFrame) -> DataFrame:
     return nodes.select(*_PAYLOAD, F.posexplode("bands").alias("band", "key"))
 
 
-def large_groups(nodes: DataFrame) -> DataFrame:
-    """band, key and number of parts of the band values that have more than ``GROUP`` texts."""
+def group_parts(nodes: DataFrame) -> DataFrame:
+    """band, key and number of parts of the band values that more than one text has; parts have ``GROUP`` texts at most."""
     counted = nodes.select(F.posexplode("bands").alias("band", "key")).groupBy("band", "key").count()
-    return counted.where(F.col("count") > GROUP).select("band", "key", F.ceil(F.col("count") / GROUP).cast("int").alias("parts"))
+    return counted.where(F.col("count") > 1).select("band", "key", F.ceil(F.col("count") / GROUP).cast("int").alias("parts"))
 
 
 def candidate_pairs(groups: DataFrame, similarity: float, forests: int, again: bool) -> DataFrame:
@@ -335,13 +335,10 @@ def _place(n: str):
     return F.pmod(F.xxhash64("doc_id"), F.col(n)).cast("int")
 
 
-def _in_parts(nodes: DataFrame, large: DataFrame | None) -> DataFrame:
-    """First round: all groups, large ones in parts."""
-    dealt = _banded(nodes)
-    if large is None:
-        return dealt.withColumns(_alone())
-    dealt = matched(dealt, large, ["band", "key"], "left").withColumns(_alone())
-    return dealt.withColumn("part", F.when(F.col("parts").isNotNull(), _place("parts")).otherwise(F.lit(0))).drop("parts")
+def _in_parts(nodes: DataFrame, shared: DataFrame) -> DataFrame:
+    """First round: all groups, large ones in parts.  A text's sketches go only where its band has company."""
+    dealt = matched(_banded(nodes), shared, ["band", "key"]).withColumns(_alone())
+    return dealt.withColumn("part", _place("parts")).drop("parts")
 
 
 def _of_several(dealt: DataFrame) -> DataFrame:
@@ -427,8 +424,8 @@ def confirmed(pairs: DataFrame, texts: DataFrame, width: int, similarity: float)
     many = pairs.groupBy("x").agg(F.ceil(F.count("*") / SLICE).alias("slices")).where(F.col("slices") > 1)
     part = F.pmod(F.xxhash64("y"), F.coalesce("slices", F.lit(1))).cast("int")
     sliced = pairs.join(many, "x", "left").select("x", "y", part.alias("slice"))
-    ends = sliced.select("x", "slice", "y").unionByName(sliced.select("x", "slice", F.col("x").alias("y")).distinct())
-    met = ends.join(texts.withColumnRenamed("doc_id", "y"), "y")
+    ends = stored(sliced.select("x", "slice", "y").unionByName(sliced.select("x", "slice", F.col("x").alias("y")).distinct()))
+    met = matched(texts.withColumnRenamed("doc_id", "y"), ends, ["y"])
     dealt = met.repartition("x", "slice").sortWithinPartitions("x", "slice", "y")  # x < y, so that x comes first
     return dealt.select("x", "y", "packed").mapInPandas(run, "x long, y long, linked boolean")
 
@@ -518,12 +515,11 @@ class _Linking:
 
 def _linked(docs: DataFrame, nodes: DataFrame, width: int, similarity: float) -> DataFrame | None:
     """node, label of the nodes that have a link (None: there are no pairs at all)."""
-    large = stored(large_groups(nodes))
-    deals: list[Callable[[DataFrame], DataFrame]] = []
-    if large.isEmpty():
-        deals.append(lambda n: _in_parts(n, None))
-    else:
-        deals += [lambda n: _in_parts(n, large), lambda n: _of_each_component(n, large), lambda n: _by_tables(n, large)]
+    shared = stored(group_parts(nodes))
+    large = shared.where(F.col("parts") > 1)
+    deals: list[Callable[[DataFrame], DataFrame]] = [lambda n: _in_parts(n, shared)]
+    if not large.isEmpty():
+        deals += [lambda n: _of_each_component(n, large), lambda n: _by_tables(n, large)]
     state = _Linking(docs, nodes, width, similarity)
     unmarked = nodes.withColumns({"label": F.col("doc_id"), "failed": F.lit(None).cast("array<long>")})
     for deal in deals:
