@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -61,6 +64,20 @@ def matched(rows: DataFrame, few: DataFrame, on: list[str], how: str = "inner")
     return rows.join(F.broadcast(few) if few.count() <= BROADCAST_ROWS else few, on, how)
 
 
+def with_ids(batches: Iterator[pa.RecordBatch], made: Callable[[pd.DataFrame], tuple[list[int] | None, pd.DataFrame]], kept: list[str], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+    """Batches of the columns ``kept``, as they came, beside what ``made`` makes of the others.
+
+    ``made`` gives a frame and the place of the row that each of its rows comes from (None: one each).  Ids do not go through
+    pandas, which turns longs that stand beside a null into doubles.
+    """
+    for batch in batches:
+        rest = [c for c in batch.schema.names if c not in kept]
+        places, frame = made(batch.select(rest).to_pandas())
+        own = [batch.column(c) if places is None else batch.column(c).take(pa.array(places, pa.int64())) for c in kept]
+        own += [pa.array(frame[f.name], f.type, from_pandas=True) for f in schema]
+        yield pa.RecordBatch.from_arrays(own, [*kept, *schema.names])
+
+
 def fold_of(id_col: Column, parts: int) -> Column:
     """crc32 of the id as text, modulo ``parts``; null ids count as the empty text."""
     return F.crc32(F.coalesce(id_col.cast("string"), F.lit("")).cast("binary")) % parts

@@ -18,9 +18,12 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import with_ids
+
 BLOCK = 64
 #: Blocks that are coded or decoded side by side.
 LANES = 1 << 14
@@ -141,7 +144,7 @@ def write(payload: bytes) -> bytes:
     """A grey baseline JPEG whose coefficients are the bytes of ``payload``, whose length is a positive multiple of 64."""
     values = np.frombuffer(payload, dtype=np.uint8).reshape(-1, BLOCK).astype(np.int64) - 128
     n = len(values)
-    wide = n if n <= 4096 else int(np.ceil(np.sqrt(n)))
+    wide = int(np.ceil(np.sqrt(n)))
     high = -(-n // wide)
     values = np.concatenate([values, np.zeros((wide * high - n, BLOCK), dtype=np.int64)])
     dc, ac = own_tables()
@@ -373,25 +376,28 @@ def store_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     rows give repeated results, an empty table an empty one; other columns are not read.  ``feature`` is width x height, the
     64-bit hash of the DC-only thumbnail, and the thumbnail's crc32.  With ``keep_media`` the stored bytes come along.
     """
-    columns = ["doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"]
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            raw = [(t or "").encode() for t in pdf["text"]]
-            rows = []
-            for group in _groups([r + bytes(-len(r) % BLOCK or BLOCK * (not r)) for r in raw]):
-                media = [write(p) for p in group]
-                images = [parse(m) for m in media]
-                for m, image, coefficients in zip(media, images, decode(images), strict=True):
-                    p = payload_of(image, coefficients)
-                    row = (len(p), hashlib.sha256(p).hexdigest(), zlib.crc32(p[-BLOCK:]), len(m), hashlib.sha256(m).hexdigest())
-                    rows.append((*row, feature_of(image, coefficients), *[m] * keep_media))
-            out = pd.DataFrame(rows, columns=columns[2:] + ["media"] * keep_media)
-            out.insert(0, "doc_id", pdf["doc_id"].to_numpy())
-            out.insert(1, "n_bytes", [len(r) for r in raw])
-            yield out
+    long, text = pa.int64(), pa.string()
+    made = [("n_bytes", long), ("payload_bytes", long), ("payload_sha256", text), ("tail_crc32", long), ("media_bytes", long), ("media_sha256", text), ("feature", text)]
+    kinds = pa.schema([*made, *[("media", pa.binary())] * keep_media])
+
+    def described(pdf: pd.DataFrame) -> tuple[None, pd.DataFrame]:
+        raw = [(t or "").encode() for t in pdf["text"]]
+        rows = []
+        for group in _groups([r + bytes(-len(r) % BLOCK or BLOCK * (not r)) for r in raw]):
+            media = [write(p) for p in group]
+            images = [parse(m) for m in media]
+            for m, image, coefficients in zip(media, images, decode(images), strict=True):
+                p = payload_of(image, coefficients)
+                row = (len(p), hashlib.sha256(p).hexdigest(), zlib.crc32(p[-BLOCK:]), len(m), hashlib.sha256(m).hexdigest())
+                rows.append((*row, feature_of(image, coefficients), *[m] * keep_media))
+        out = pd.DataFrame(rows, columns=kinds.names[1:])
+        out.insert(0, "n_bytes", [len(r) for r in raw])
+        return None, out
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return with_ids(batches, described, ["doc_id"], kinds)
 
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
-    return rows.mapInPandas(run, schema + ", media binary" * keep_media)
+    return rows.mapInArrow(run, schema + ", media binary" * keep_media)

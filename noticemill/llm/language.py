@@ -16,6 +16,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import cut
 from .labels import sample_of_each, with_labels
 
 #: Bound of the training sample: documents of each language.
@@ -89,6 +90,8 @@ class Filters:
                 self.slices[i // 64][cell] |= np.uint64(1 << (i % 64))
         self.chance = np.array([self._bit(self.slices[i // 64], i).mean() ** HASHES for i in range(len(languages))])
         self.usual = np.ones(len(languages))
+        #: What nearly all of a language's own documents reach of the usual share.
+        self.least = np.zeros(len(languages))
 
     @staticmethod
     def _bit(masks: np.ndarray, i: int) -> np.ndarray:
@@ -159,19 +162,21 @@ def _count_grams(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def learn_filters(docs: DataFrame, held_out: Column, per_language: int = SAMPLE_PER_LANGUAGE) -> Filters:
     """Filters of all languages that ``docs`` names, from a bounded sample of each.
 
+    A filter takes at most ``GRAMS_PER_LANGUAGE`` n-grams, those that the largest share of the sample has.  Languages are as
+    few as there are; their names, counts and filters are gathered on the driver, ``CELL_BITS`` and 64 languages a slice of 2 MB.
     A document named more than once, under several languages, counts for the first of them.
     """
     sample = _sample(docs, held_out, per_language).drop_duplicates("doc_id").rename(columns={"lang": "label"})
     languages = sorted(sample["label"].unique()) if len(sample) else []
     if not languages:
         return Filters([], {})
-    given = with_labels(docs, sample, ["doc_id", "text"])
+    given = cut(with_labels(docs, sample, ["doc_id", "text"]))  # small by construction; learnt from twice
     sizes = sample["label"].value_counts()
     counted = given.mapInPandas(_count_grams, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     size = F.create_map(*[x for k in languages for x in (F.lit(k), F.lit(float(sizes[k])))])
     share = counted.withColumn("share", F.col("n") / size[F.col("lang")])
     most = share.withColumn("most", F.max("share").over(Window.partitionBy("gram")))
-    fit = most.where((F.col("share") >= LEAST_SHARE) & (F.col("share") >= LEAST_RATIO * F.col("most")) & (F.col("n") > 1))
+    fit = most.where((F.col("share") >= LEAST_SHARE) & (F.col("share") >= LEAST_RATIO * F.col("most")) & ((F.col("n") > 1) | (size[F.col("lang")] == 1)))
     order = Window.partitionBy("lang").orderBy(F.desc("share"), "gram")
     kept = fit.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= GRAMS_PER_LANGUAGE).select("lang", "gram").toPandas()
     grams = {k: kept.loc[kept["lang"] == k, "gram"].to_numpy(np.int64).view(np.uint64) for k in languages}
@@ -183,9 +188,10 @@ def learn_filters(docs: DataFrame, held_out: Column, per_language: int = SAMPLE_
             at = pdf["label"].map(languages.index).to_numpy()
             yield pd.DataFrame({"lang": pdf["label"], "share": share[np.arange(len(pdf)), at]})[n > 0]
 
-    usual = given.mapInPandas(own_share, "lang string, share double").groupBy("lang").agg(F.median("share").alias("share")).toPandas()
-    for name, value in zip(usual["lang"], usual["share"], strict=True):
+    usual = given.mapInPandas(own_share, "lang string, share double").groupBy("lang").agg(F.median("share").alias("share"), F.percentile("share", 0.001).alias("low"))
+    for name, value, low in usual.collect():  # one row a language
         filters.usual[languages.index(name)] = max(value, 1e-3)
+        filters.least[languages.index(name)] = low / max(value, 1e-3)
     return filters
 
 
@@ -202,5 +208,6 @@ def identify(docs: DataFrame, filters: Filters, predicted_as: str = "lang_pred",
         names, scores = filters.decide(list(texts))
         return pd.DataFrame({"lang_pred": names, "score": scores})
 
-    found = docs.withColumn("_found", predict(F.col("text")))
-    return found.withColumns({predicted_as: F.col("_found.lang_pred"), score_as: F.col("_found.score")}).drop("_found")
+    own = [c for c in docs.columns if c not in (predicted_as, score_as)]
+    found = docs.select(F.struct(*own).alias("row"), predict(F.col("text")).alias("found"))
+    return found.select("row.*", F.col("found.lang_pred").alias(predicted_as), F.col("found.score").alias(score_as))

@@ -249,13 +249,20 @@ def copies_of(nth: Column) -> Column:
 def mixed_documents(docs: DataFrame) -> DataFrame:
     """The rows of ``docs``, each as often as the mix takes it; those that it does not take are left out.
 
-    Documents of no words carry nothing to mix and are left out as well.
+    Documents of no words carry nothing to mix and are left out as well.  All columns of ``docs`` come back as they are, whatever
+    their names.  Of rows that agree in id, source and size those whose texts hash low are taken first.
     """
-    sized = docs.withColumn("_size", F.coalesce(F.regexp_count(F.col("text"), F.lit(_WORDS)), F.lit(0)).cast("long"))
-    planned = plan_copies(cut(document_sizes(docs))).where((F.col("size") > 0) & (F.col("base") + F.col("sure") + F.col("extra") > 0))
-    unit = planned.select(F.col("doc_id").alias("_doc"), F.col("source").alias("_source"), F.col("size").alias("_unit"), "base", "sure", "extra")
-    same = sized["doc_id"].eqNullSafe(unit["_doc"]) & sized["source"].eqNullSafe(unit["_source"]) & (sized["_size"] == unit["_unit"])
-    met = sized.join(unit, same)
-    nth = F.row_number().over(Window.partitionBy("_doc", "_source", "_unit").orderBy(F.xxhash64("text")))
-    copies = met.withColumn("_copies", copies_of(nth)).where(F.col("_copies") > 0)
-    return copies.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies")))).select(*docs.columns)
+    planned = plan_copies(cut(document_sizes(docs))).where(F.col("size") > 0)
+    units = planned.groupBy("doc_id", "source").agg(F.collect_list(F.struct("size", "rows", "base", "sure", "extra")).alias("units"))
+    units = units.select(F.xxhash64("doc_id", "source").alias("place"), F.struct("doc_id", "source").alias("key"), "units")
+    rows = docs.select(F.xxhash64("doc_id", "source").alias("place"), F.struct("doc_id", "source").alias("own"), "text", F.struct("*").alias("row"))
+    met = rows.join(units, "place").where(F.col("own").eqNullSafe(F.col("key")))
+    # only ids that are repeated with texts of several sizes are counted again
+    size = F.coalesce(F.regexp_count(F.col("text"), F.lit(_WORDS)), F.lit(0)).cast("long")
+    unit = F.when(F.size("units") == 1, F.col("units")[0]).otherwise(_let(size, lambda n: F.get(F.filter("units", lambda u: u["size"] == n), 0)))
+    met = met.withColumn("unit", unit).where(F.col("text").rlike(_WORDS) & F.col("unit").isNotNull())
+    order = Window.partitionBy("place", "key", "unit.size").orderBy(F.xxhash64("text"))  # of the join's own partitioning
+    unit_of = {c: F.col(f"unit.{c}") for c in ("base", "sure", "extra")}
+    met = met.withColumn("nth", F.row_number().over(order)).withColumns(unit_of)
+    copies = met.withColumn("copies", copies_of(F.col("nth"))).where(F.col("copies") > 0)
+    return copies.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).select("row.*")

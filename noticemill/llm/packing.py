@@ -17,10 +17,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut, with_ids
 from .tokens import encoder
 
 WINDOW = 4096
@@ -115,23 +116,27 @@ def pieces(docs: DataFrame, path: str, window: int = WINDOW, end_id: int = END_I
     """Pieces of every document: doc_id, start, length, ids_crc32, doc_tokens (and ids)."""
     tail = np.array([end_id], dtype="<u4").tobytes()
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        enc = encoder(path)
-        for pdf in batches:
-            rows = []
-            for doc_id, text in zip(pdf["doc_id"], pdf["text"], strict=True):
-                ids = enc.ids(text or "") + tail
-                n = len(ids) >> 2
-                for at in range(0, n, window):
-                    own = ids[4 * at : 4 * (at + window)]
-                    row = (doc_id, at, len(own) >> 2, zlib.crc32(own), n)
-                    rows.append((*row, np.frombuffer(own, "<u4").astype(np.int64)) if keep_ids else row)
-            yield pd.DataFrame(rows, columns=["doc_id", "start", "length", "ids_crc32", "doc_tokens", *["ids"] * keep_ids])
+    made = ["start", "length", "ids_crc32", "doc_tokens"]
+    schema = pa.schema([*((c, pa.int64()) for c in made), *[("ids", pa.list_(pa.int64()))] * keep_ids])
+
+    def pieces_of(pdf: pd.DataFrame) -> tuple[list[int], pd.DataFrame]:
+        enc, places, rows = encoder(path), [], []
+        for place, text in enumerate(pdf["text"]):
+            ids = enc.ids(text or "") + tail
+            n = len(ids) >> 2
+            for at in range(0, n, window):
+                own = ids[4 * at : 4 * (at + window)]
+                row = (at, len(own) >> 2, zlib.crc32(own), n)
+                places.append(place)
+                rows.append((*row, np.frombuffer(own, "<u4").astype(np.int64)) if keep_ids else row)
+        return places, pd.DataFrame(rows, columns=schema.names)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return with_ids(batches, pieces_of, ["doc_id"], schema)
 
     rows = docs.select("doc_id", "text")
     kind = rows.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {kind}, start long, length long, ids_crc32 long, doc_tokens long" + ", ids array<long>" * keep_ids
-    return rows.mapInPandas(run, schema)
+    return rows.mapInArrow(run, f"doc_id {kind}, start long, length long, ids_crc32 long, doc_tokens long" + ", ids array<long>" * keep_ids)
 
 
 def pack(
@@ -165,18 +170,21 @@ def pack(
             slot += m
         first += n
     lookup = {k: np.array(v, dtype=np.int64) for k, v in steps.items()}
+    columns = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", *["ids"] * keep_ids]
 
-    def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            sequence, slot = np.zeros(len(pdf), dtype=np.int64), np.zeros(len(pdf), dtype=np.int64)
-            klass, rank = pdf["klass"].to_numpy(), pdf["rank"].to_numpy()
-            for k in np.unique(klass):
-                own = np.flatnonzero(klass == k)
-                at = lookup[int(k)][np.searchsorted(lookup[int(k)][:, 0], rank[own], side="right") - 1]
-                ahead = rank[own] - at[:, 0]
-                sequence[own] = at[:, 1] + ahead // at[:, 2]
-                slot[own] = at[:, 3] + ahead % at[:, 2]
-            yield pdf.drop(columns=["klass", "rank"]).assign(sequence_id=sequence, slot=slot)
+    def placed_at(pdf: pd.DataFrame) -> tuple[None, pd.DataFrame]:
+        sequence, slot = np.zeros(len(pdf), dtype=np.int64), np.zeros(len(pdf), dtype=np.int64)
+        klass, rank = pdf["klass"].to_numpy(), pdf["rank"].to_numpy()
+        for k in np.unique(klass):
+            own = np.flatnonzero(klass == k)
+            at = lookup[int(k)][np.searchsorted(lookup[int(k)][:, 0], rank[own], side="right") - 1]
+            ahead = rank[own] - at[:, 0]
+            sequence[own] = at[:, 1] + ahead // at[:, 2]
+            slot[own] = at[:, 3] + ahead % at[:, 2]
+        return None, pd.DataFrame({"sequence_id": sequence, "slot": slot})
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return with_ids(batches, placed_at, columns, pa.schema([("sequence_id", pa.int64()), ("slot", pa.int64())]))
 
     buckets = max(1, -(-int(histogram.sum()) // BUCKET_ROWS))
     keyed = made.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), F.lit(buckets)))
@@ -185,10 +193,9 @@ def pack(
     offsets = sizes.select("klass", "bucket", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("ahead"))
     order = Window.partitionBy("klass", "bucket").orderBy("doc_id", "start", "ids_crc32", "length", "doc_tokens")
     ranked = keyed.withColumn("nth", F.row_number().over(order)).join(offsets, ["klass", "bucket"])
-    columns = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", *["ids"] * keep_ids]
     ranked = ranked.select(*columns, "klass", (F.col("nth") - 1 + F.col("ahead")).cast("long").alias("rank"))
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in ranked.schema if f.name in columns)
-    placed = ranked.mapInPandas(place, schema + ", sequence_id long, slot long")
+    placed = ranked.mapInArrow(place, schema + ", sequence_id long, slot long")
     inside = Window.partitionBy("sequence_id").orderBy("slot").rowsBetween(Window.unboundedPreceding, -1)
     offset = F.coalesce(F.sum("length").over(inside), F.lit(0)).cast("long")
     return placed.withColumn("offset", offset).drop("slot")

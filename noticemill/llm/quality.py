@@ -12,10 +12,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut, with_ids
 from .labels import label_sample, with_labels
 
 #: Bound of the labelled sample, for each label value.
@@ -23,7 +24,7 @@ SAMPLE_PER_CLASS = 10_000
 #: Share of the pooled covariance in a class's, and of the diagonal in the pooled one.
 TO_POOLED, TO_DIAGONAL = 0.1, 0.05
 
-STATISTICS = ("words", "word_length", "distinct", "repeat", "upper", "digit", "sign", "stop", "lines", "line_copies", "top_word", "alpha")
+STATISTICS = ("words", "word_length", "distinct", "repeat", "upper", "digit", "sign", "short_words", "lines", "line_copies", "marks", "letters")
 
 
 def _byte_classes() -> np.ndarray:
@@ -93,9 +94,12 @@ class Discriminant:
         return 1 / (1 + np.exp(-np.clip(logs[1] - logs[0], -30, 30)))
 
 
-def _measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for pdf in batches:
-        yield pd.DataFrame({"doc_id": pdf["doc_id"], "x": [statistics(t) for t in pdf["text"]]})
+def _measured(pdf: pd.DataFrame) -> tuple[None, pd.DataFrame]:
+    return None, pd.DataFrame({"x": [statistics(t) for t in pdf["text"]]})
+
+
+def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    return with_ids(batches, _measured, ["doc_id"], pa.schema([("x", pa.list_(pa.float64()))]))
 
 
 def score_quality(docs: DataFrame, labels: DataFrame, held_out: Column, per_class: int = SAMPLE_PER_CLASS) -> DataFrame:
@@ -107,7 +111,7 @@ def score_quality(docs: DataFrame, labels: DataFrame, held_out: Column, per_clas
     """
     rows = docs.select("doc_id", "text")
     kind = rows.schema["doc_id"].dataType.simpleString()
-    measured = cut(rows.mapInPandas(_measure, f"doc_id {kind}, x array<double>"))
+    measured = cut(rows.mapInArrow(_measure, f"doc_id {kind}, x array<double>"))
     sample = with_labels(measured, label_sample(labels, "quality", ~held_out, per_class), ["doc_id", "x"]).toPandas()
     y = (sample["label"].to_numpy(float) > 0).astype(int) if len(sample) else np.zeros(0, dtype=int)
     model = Discriminant(np.array(sample["x"].tolist()), y) if 1 < y.sum() < len(y) - 1 else None

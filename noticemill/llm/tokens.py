@@ -20,9 +20,12 @@ import struct
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import with_ids
+
 #: Bound of a worker's memory of pieces; at the bound it starts afresh.
 MEMO_ENTRIES = 400_000
 #: Longest word that is remembered as it stands; the pieces of longer ones are.
@@ -185,15 +188,16 @@ def count_tokens(
     ``path`` is the vocabulary file; it must exist under that name on every worker.
     """
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def counted(pdf: pd.DataFrame) -> tuple[None, pd.DataFrame]:
         enc = encoder(path)
-        for pdf in batches:
-            texts = [t or "" for t in pdf["text"]]
-            n = [len(enc.ids(t)) >> 2 if len(t) <= chunk else spliced_count(enc, t, chunk, overlap) for t in texts]
-            yield pd.DataFrame({"doc_id": pdf["doc_id"], "n_bytes": pdf["n_bytes"], "n_tokens": n})
+        n = [len(enc.ids(t)) >> 2 if len(t) <= chunk else spliced_count(enc, t, chunk, overlap) for t in pdf["text"]]
+        return None, pd.DataFrame({"n_tokens": n})
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return with_ids(batches, counted, ["doc_id", "n_bytes"], pa.schema([("n_tokens", pa.int64())]))
 
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(F.col(id_col).alias("doc_id"), F.octet_length(text).cast("long").alias("n_bytes"), text.alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
-    counted = rows.mapInPandas(run, f"doc_id {kind}, n_bytes long, n_tokens long")
-    return counted.withColumn("over_limit", F.col("n_tokens") > limit)
+    made = rows.mapInArrow(run, f"doc_id {kind}, n_bytes long, n_tokens long")
+    return made.withColumn("over_limit", F.col("n_tokens") > limit)

@@ -9,6 +9,7 @@ at the boundary, all of equal score, go to the smaller ids.
 
 from __future__ import annotations
 
+import operator
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,8 +24,8 @@ BLOCK_ROWS = 16_384
 QUERY_ROWS = 512
 SCALE = 64
 TOP = 20
-#: Quantised components beyond this are refused: scores would not fit 64 bits.
-MOST = 1 << 24
+#: Tasks that the block pairs are dealt over at most.
+MOST_TASKS = 10_000
 
 
 def quantised(rows: DataFrame, vector: str = "embedding", scale: int = SCALE) -> DataFrame:
@@ -41,7 +42,7 @@ def slices_of(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     The row count is filled up to whole 64-bit words.
     """
     low = values.min(0)
-    shifted = (values - low).astype(np.uint64)
+    shifted = values.astype(np.uint64) - low.astype(np.uint64)  # modulo 2^64, hence right for any two longs
     depth = np.array([int(m).bit_length() for m in shifted.max(0)], dtype=np.int64)
     words = -(-len(values) // 64)
     out = np.zeros((int(depth.sum()), words * 8), dtype=np.uint8)
@@ -117,7 +118,7 @@ class Block:
     def search(self, query: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids and scores of the block's k best rows for a query."""
         columns: list[list[np.ndarray]] = [[]]
-        base = int(query @ self.low)
+        base = sum(map(operator.mul, query.tolist(), self.low.tolist()))  # whole numbers of any size
         for d in np.flatnonzero(query):
             weight, n, at = int(query[d]), int(self.depth[d]), int(self.start[d])
             source = self.bitmaps
@@ -135,10 +136,11 @@ class Block:
                 shift += 1
         score = add_slices(columns, self.words)
         rows = top_rows(score, self.there, k)
-        total = np.zeros(len(rows), dtype=np.int64)
-        for b, s in enumerate(score):
-            total += ((s[rows >> 6] >> (rows & 63).astype(np.uint64)) & np.uint64(1)).astype(np.int64) << b
-        return self.ids[rows], total + base
+        bits = np.array([(s[rows >> 6] >> (rows & 63).astype(np.uint64)) & np.uint64(1) for s in score], dtype=np.int64)
+        if len(score) < 62 and abs(base) < 1 << 62:
+            return self.ids[rows], (bits << np.arange(len(score))[:, None]).sum(0) + base
+        total = [base + sum(1 << b for b in np.flatnonzero(own).tolist()) for own in bits.T]
+        return self.ids[rows], np.array(total, dtype=np.int64)  # raises if a score does not fit a long
 
 
 def build_index(rows: DataFrame, id_col: str = "vec_id", block_rows: int = BLOCK_ROWS) -> DataFrame:
@@ -151,8 +153,6 @@ def build_index(rows: DataFrame, id_col: str = "vec_id", block_rows: int = BLOCK
     def build(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("id", kind="stable")
         values = np.array(pdf["q"].tolist(), dtype=np.int64)
-        if values.size and np.abs(values).max() > MOST:
-            raise ValueError("quantised components are too large")
         bitmaps, low, depth = slices_of(values)
         row = (pdf["dims"].iloc[0], pdf["block"].iloc[0], pdf["id"].to_numpy(), bitmaps.tobytes(), low, depth)
         return pd.DataFrame([row], columns=["dims", "block", "ids", "bitmaps", "low", "depth"])
@@ -167,7 +167,8 @@ def search(rows: DataFrame, is_query: Column, k: int = TOP, id_col: str = "vec_i
     Every usable row is a candidate for every query but itself; a query meets rows of as many components as it has.  Rows with
     a null id or a vector that is null, empty or has a null or non-finite component take no part.  Fewer than k candidates
     give fewer rows, an empty table none.  Rows that repeat an id are candidates each, and not for a query of that id; such a
-    query is asked once.  Other columns are not read.
+    query is asked once.  Components of any size are exact, as long as 64 * x and the scores returned fit a long.  Other columns
+    are not read.
     """
     usable = cut(quantised(rows.select(id_col, vector).where(F.col(id_col).isNotNull()), vector).select(id_col, "q"))
     index = cut(build_index(usable, id_col))
@@ -178,7 +179,8 @@ def search(rows: DataFrame, is_query: Column, k: int = TOP, id_col: str = "vec_i
     asked = asked.groupBy("dims", "part").agg(F.collect_list(F.struct("query_id", "q")).alias("asked"))
     # a stated query set against all rows: each block of the index meets each block of queries of its number of components
     dealt = index.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
-    met = dealt.join(asked, ["dims", "part"]).repartition("block", "part")
+    tasks = min(MOST_TASKS, 1 + 2 * parts * index.count())
+    met = dealt.join(asked, ["dims", "part"]).repartition(tasks, "block", "part")
 
     def find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:

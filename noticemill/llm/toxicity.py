@@ -22,6 +22,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import cut
 from .labels import label_sample, with_labels
 
 #: Bound of the labelled sample, for each label value.
@@ -148,7 +149,7 @@ def measures(text: str | None, found) -> tuple[float, float]:
     if not text or not len(found):
         return 0.0, 0.0
     total = sum(w for _, _, w in hits(fold(text), found))
-    return (math.log1p(total), math.log1p(100 * total / (text.count(" ") + 1))) if total else (0.0, 0.0)
+    return (math.log1p(total), math.log1p(100 * total / len(text.split()))) if total else (0.0, 0.0)
 
 
 def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, rounds: int = 50) -> np.ndarray:
@@ -180,11 +181,12 @@ def score_toxicity(
 
     ``labels`` has doc_id and toxic; rows for which ``held_out``, an expression over doc_id, is true are not learnt from.
     Null and empty texts score as texts without a hit.  Repeated rows score alike.  Without usable labels the seed list and
-    a default curve decide.  Columns of ``docs`` named ``score_as`` or ``predicted_as`` are replaced.
+    a default curve decide.  A text with both labels counts as toxic.  The lexicon has ``MOST_ENTRIES`` entries at most, those
+    of most toxic documents, of ``SHORTEST`` to ``LONGEST`` letters; longer words match by their beginnings.  Columns of ``docs`` named ``score_as`` or ``predicted_as`` are replaced.
     """
     sample = label_sample(labels, "toxic", ~held_out, per_class)
     given = with_labels(docs, sample, ["doc_id", "text"]).where(F.col("text").isNotNull())
-    given = given.dropDuplicates(["text"])
+    given = cut(given.groupBy("text").agg(F.max("label").alias("label")))  # small by construction; learnt from three times
     lexicon, curve = dict(SEEDS), DEFAULT_CURVE
     counts = {int(r.label > 0): r["count"] for r in given.groupBy("label").count().collect()} if len(sample) else {}
     if counts.get(0) and counts.get(1):

@@ -106,3 +106,51 @@ def test_labels_never_reach_held_out_rows(spark):
     turned = labels.withColumn("quality", F.when(held_out, 1 - F.col("quality")).otherwise(F.col("quality")))
     a = {r.doc_id: r.score for r in quality.score_quality(docs, labels, held_out).collect()}
     assert a == {r.doc_id: r.score for r in quality.score_quality(docs, turned, held_out).collect()}
+
+
+def test_automaton_equals_a_plain_scan():
+    """Every entry at every place, without an automaton."""
+    import random
+
+    rnd, letters = random.Random(6), "abcd "
+    entries = {"".join(rnd.choice("abcd") for _ in range(rnd.randint(2, 4))) + rnd.choice(["", " "]): 1.0 + rnd.random() for _ in range(40)}
+    found = toxicity.automaton(tuple(sorted(entries.items())))
+    weights, whole = {}, {}
+    for e, w in entries.items():
+        weights[e.strip()] = max(w, weights.get(e.strip(), 0))
+        whole[e.strip()] = e.endswith(" ") and whole.get(e.strip(), True)
+    for _ in range(200):
+        text = "".join(rnd.choice(letters) for _ in range(60))
+        plain = []
+        for word, weight in weights.items():
+            for a in range(len(text) - len(word) + 1):
+                b = a + len(word)
+                if text[a:b] == word and not text[a - 1 : a].isalpha() and not (whole[word] and text[b : b + 1].isalpha()):
+                    plain.append((a, b, weight))
+        assert sorted(toxicity.hits(text, found)) == sorted(plain)
+
+
+def test_filters_against_exact_sets():
+    """Every n-gram that a language has is found; the rest pass no oftener than the fill says, and shares are corrected for that."""
+    rng = np.random.default_rng(8)
+    grams = {k: rng.integers(0, 1 << 63, 3000, dtype=np.uint64) for k in "abc"}
+    filters = language.Filters(list("abc"), grams)
+    other = rng.integers(0, 1 << 63, 50_000, dtype=np.uint64)
+    for i, k in enumerate("abc"):
+        held = [language.Filters._bit(filters.slices[0][c], i) for c in language.cells_of(grams[k])]
+        assert all(h.all() for h in held)
+        passed = np.logical_and.reduce([language.Filters._bit(filters.slices[0][c], i).astype(bool) for c in language.cells_of(other)])
+        assert abs(passed.mean() - filters.chance[i]) < 0.002
+
+
+def test_a_language_of_one_document_is_learnt(spark):
+    rows = [(i, f"common words of the first tongue number {'abcdefghij'[i % 10]}", "aa") for i in range(40)] + [(99, "зовсім інша мова з власними літерами", "bb")]
+    filters = language.learn_filters(spark.createDataFrame(rows, "doc_id long, text string, lang string"), F.lit(False))
+    assert filters.decide(["інша мова", "words of the tongue"])[0] == ["bb", "aa"]
+
+
+def test_a_text_with_both_labels_counts_as_toxic(spark):
+    docs = spark.createDataFrame([(i, f"text {i // 2} vileword") for i in range(20)] + [(i, f"plain {i}") for i in range(20, 60)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2 if i < 20 else 0) for i in range(60)], "doc_id long, toxic int")
+    got = toxicity.score_toxicity(docs, labels, F.lit(False)).collect()
+    assert all(r.predicted == (r.doc_id < 20) for r in got)

@@ -184,3 +184,26 @@ def test_bit_sliced_block():
             ids, scores = block.search(q, 10)
             want = sorted((-int(s), i * 3) for i, s in enumerate(values @ q))[:10]
             assert sorted((-int(s), int(i)) for i, s in zip(ids, scores, strict=True)) == want
+
+
+def test_ids_beside_nulls(spark):
+    """Longs beyond 2^53 stay exact where a null stands beside them."""
+    import public_tokenizers
+
+    from noticemill.llm import packing, quality, tokens
+
+    big = 2**60 + 1
+    df = spark.createDataFrame([(None, "some text"), (big, "other text"), (big + 2, None)], "doc_id long, text string").coalesce(1)
+    labels = spark.createDataFrame([], "doc_id long, quality int")
+    path = public_tokenizers.path("word_bpe_49k.json")
+    for out in (jpeg.store_texts(df), tokens.count_tokens(df, path), packing.pack(df, path), quality.score_quality(df, labels, F.lit(False))):
+        assert {r.doc_id for r in out.select("doc_id").collect()} == {None, big, big + 2}
+
+
+def test_top_k_of_large_components(spark):
+    rows = [(i, [float((-1) ** i * (i * 7919 % 1000) * 1e4 + i), 3e5 * i, -1.0]) for i in range(60)]
+    got = {(r.query_id, r.rank): (r.vec_id, r.score) for r in top_k.search(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") % 20 == 0, 5).collect()}
+    q = {i: [int(x * 64 // 1) for x in v] for i, v in rows}
+    for a in (0, 20, 40):
+        best = sorted(((-sum(x * y for x, y in zip(q[a], q[b], strict=True)), b) for b in q if b != a))[:5]
+        assert [got[a, k + 1] for k in range(5)] == [(b, -s) for s, b in best]

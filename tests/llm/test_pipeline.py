@@ -1,3 +1,5 @@
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from noticemill.llm.common import table
 
@@ -32,3 +34,22 @@ def test_edges(spark):
             out.collect()
             if name != "packing":
                 assert out.columns == docs.columns
+
+
+def test_stages_keep_clashing_columns_and_large_ids(spark):
+    """Names that stages might use themselves, ids beyond 2^53 beside null, a very long text, one id with two texts."""
+    clash = ["_size", "base", "_nth", "_found", "row", "units", "place", "score", "predicted", "lang_pred", "copies", "label", "kept", "rows"]
+    base = table(spark, SMALL, "documents").where("source is not null").limit(150).coalesce(1)
+    more = spark.createDataFrame(
+        [(2**60 + 1, "the quick words of a long text " * 20000, "en", "src", 1), (None, "some words that have no id", "en", "src", 1), (5, "one text of an id", "en", "src", 1), (5, "another text of the same id", "en", "src", 1)],
+        base.schema,
+    )
+    docs = base.unionByName(more).select("*", *[F.lit(f"mine {c}").alias(c) for c in clash])
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, SMALL)
+        assert out.columns == docs.columns, name
+        rows = out.collect()
+        assert rows and all(r[c] == f"mine {c}" for r in rows for c in clash), name
+        assert {r.doc_id for r in rows} <= {r.doc_id for r in docs.select("doc_id").collect()}, name
+    packed = corpus_pipeline.STAGES[-1][1](spark, docs.coalesce(1), SMALL)
+    assert {r.doc_id for r in packed.select("doc_id").distinct().collect()} == {r.doc_id for r in docs.select("doc_id").distinct().collect()}
