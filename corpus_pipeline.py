@@ -12,41 +12,52 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from noticemill.llm import language, mixing, near_duplicates, packing, toxicity
-from noticemill.llm.common import shared_folder, table
+from noticemill.llm.common import remove_folder, shared_folder, table
 from noticemill.llm.queries import vocabulary
 
-#: Share of a text's n-grams, set against what is usual, that its best language must have.
-LEAST_LANGUAGE_SCORE = 0.3
+#: Share of a text's n-grams, set against what is usual, that its best language must have, and the part of what nearly all of
+#: that language's own documents have; the larger of the two decides.
+LEAST_LANGUAGE_SCORE, LEAST_OF_OWN = 0.3, 0.8
+
+
+def _whole(docs: DataFrame, *columns: str) -> DataFrame:
+    """``columns`` of each row beside the whole row, so that a stage's own columns never meet the caller's."""
+    return docs.select(*columns, F.struct("*").alias("row"))
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the toxicity lexicon does not reject."""
-    scored = toxicity.score_toxicity(docs, table(spark, sf_dir, "labels"), F.lit(False), score_as="_toxicity", predicted_as="_toxic")
-    return scored.where(F.col("_toxic") == 0).select(*docs.columns)
+    """Documents that the toxicity lexicon does not reject; null and empty texts stay, repeated rows fare alike."""
+    scored = toxicity.score_toxicity(_whole(docs, "doc_id", "text"), table(spark, sf_dir, "labels"), F.lit(False))
+    return scored.where(F.col("predicted") == 0).select("row.*")
 
 
 def drop_unknown_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a language that the collection names; texts without letters and those that fit no language go."""
+    """Documents in a language that the collection names; texts without letters, null ones too, and those that fit none go.
+
+    Where no document names a language nothing can be learnt, and all stay.
+    """
     filters = language.learn_filters(docs, F.lit(False))
-    found = language.identify(docs, filters, predicted_as="_language", score_as="_fit")
     if not filters.languages:
         return docs
-    known = (F.col("_language") != language.UNDETERMINED) & (F.col("_fit") >= LEAST_LANGUAGE_SCORE)
-    return found.where(known).select(*docs.columns)
+    found = language.identify(_whole(docs, "text"), filters)
+    least = F.lit(1.0)
+    for name, own in zip(filters.languages, filters.least, strict=True):
+        least = F.when(F.col("lang_pred") == name, max(LEAST_LANGUAGE_SCORE, LEAST_OF_OWN * float(own))).otherwise(least)
+    return found.where((F.col("lang_pred") != language.UNDETERMINED) & (F.col("score") >= least)).select("row.*")
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates, by five-word shingles at 80 percent."""
+    """One document of each group of near-duplicates, by five-word shingles at 80 percent; texts without words all stay."""
     return near_duplicates.one_of_each(docs, width=5, similarity=0.8)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix of sources takes them."""
+    """Documents as often as the mix of sources takes them; those without words go."""
     return mixing.mixed_documents(docs)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of all documents, placed into sequences."""
+    """Pieces of all documents, placed into sequences; a null text is one closing id."""
     return packing.pack(docs, vocabulary())
 
 
@@ -63,10 +74,13 @@ ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; each but the last is written once and read again."""
+    """All stages over ``documents``; each but the last is written once and read again, and removed when the next is written."""
     docs = table(spark, sf_dir, "documents")
-    folder = shared_folder(spark)
+    folder, before = shared_folder(spark), None
     for name, stage in STAGES[:-1]:
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
         docs = spark.read.parquet(f"{folder}/{name}")
+        if before:
+            remove_folder(spark, before)
+        before = f"{folder}/{name}"
     return STAGES[-1][1](spark, docs, sf_dir)
