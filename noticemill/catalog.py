@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions import text, values
 from .operators import charts, diff, history, kpis, merge, search
-from .oracle import ORACLE_SQL
+from .oracle import MONTH_RANGE, ORACLE_SQL
 from .schema import NOTICE
 from .sources import cells, envelopes, star
 from .streaming import windows
@@ -40,6 +40,71 @@ def snapshots(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     return rows.where(F.col("filing") % 10 != 1).drop("filing"), rows.where(F.col("filing") % 10 != 0).drop("filing")
 
 
+# Cells of sheets and page tables made from the raw notices, in the ways that extractors give them.
+NAMED_HEADER = ["Notice Date", "Effective Date", "Company", "No. Of\nEmployees", "County/Parish", "City", "Layoff/Closure Type", "Address", "Related Industry"]
+NAMED_FIELDS = ["notice_date", "effective_date", "company", "employees", "county", "city", "layoff_type", "address", "industry"]
+PAGE_TABLES = (
+    (["County", "Notice Date", "Effective Date", "Company", "No. Of Employees", "Address", "Layoff/Closure"],
+     ["county", "notice_date", "effective_date", "company", "employees", "address", "layoff_type"]),
+    (["Received Date", "Employer", "Laid Off", "Effective", "Parish", "Address", "Type"],
+     ["notice_date", "company", "employees", "effective_date", "county", "address", "layoff_type"]),
+)
+
+
+def _any_format(date: Column) -> Column:
+    """The date in one of the six formats of spreadsheets, by filing."""
+    day = values.as_date(date)
+    formats = F.array(*[F.date_format(day, f) for f in values.SHEET_FORMATS])
+    return F.get(formats, (F.col("filing") % len(values.SHEET_FORMATS)).cast("int"))
+
+
+def _spaced(date: Column) -> Column:
+    """The date as page tables have it: two digits a year and blanks between all characters; other texts as they are."""
+    return F.coalesce(F.regexp_replace(F.date_format(values.as_date(date), "MM/dd/yy"), "(.)", "$1 "), date)
+
+
+def _sheet(sheet: str, fields: list[str | None], top: list[tuple[str, list[str]]]) -> Callable[[SparkSession, str], DataFrame]:
+    """Notices of a grid with the rows ``top`` (ord, cells) before all others; None is a column without meaning."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        raw = star.raw_notices(spark, sf_dir).withColumn("notice_date", _any_format(F.col("notice_date")))
+        grid = raw.select("ord", F.array(*[F.col(f) if f else F.lit("-") for f in fields]).alias("cells"))
+        if top:
+            grid = grid.unionByName(spark.createDataFrame(top, "ord string, cells array<string>"))
+        return cells.parse_grid(grid, sheet)
+
+    return run
+
+
+def page_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Notices of page tables of two layouts; one has its notice dates in the first cell, where they are not read."""
+    raw = star.raw_notices(spark, sf_dir)
+    raw = raw.withColumns({c: _spaced(F.col(c)) for c in ("notice_date", "effective_date")})
+    pages = [
+        raw.where(F.col("filing") % 2 == k).select(F.lit(k).alias("page"), F.lit(0).alias("nth"), F.lit(header).alias("header"), "ord", F.array(*fields).alias("cells"))
+        for k, (header, fields) in enumerate(PAGE_TABLES)
+    ]
+    return cells.parse_page_tables(pages[0].unionByName(pages[1]), 2014).drop("page", "nth")
+
+
+def legacy_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = star.raw_notices(spark, sf_dir).select("ord", "company", "effective_date", "employees")
+    return merge.merge_by_company(cells.legacy_notices(cells.without_trailer(raw)))
+
+
+def _change(with_snapshot: bool) -> Callable[[SparkSession, str], DataFrame]:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        new, baseline = snapshots(spark, sf_dir)
+        entry = diff.change_entry(new, baseline if with_snapshot else None, "run", FIELDS)
+        sums = ["timestamp", "new_count", "removed_count", "total_employees_new", "total_employees_removed"]
+        if not with_snapshot:
+            return entry.select(*sums)
+        listed = [F.size("new_entries").alias("new_listed"), F.size("removed_entries").alias("removed_listed")]
+        return entry.select(*sums, *listed, F.array_join("new_entries.company", "|").alias("new_companies"))
+
+    return run
+
+
 def _of_notices(operator: Callable[[DataFrame], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     return lambda spark, sf_dir: operator(notices(spark, sf_dir))
 
@@ -83,10 +148,23 @@ def _page(filters: search.Filters, order: Callable[[], list], number: int, size:
     return run
 
 
+#: Months that have a column in the matrix of counties and months.
+MONTHS = charts.months_between(*MONTH_RANGE)
 SEARCH = search.Filters(company="Labs", kind="Layoff Permanent", notice_from="1996-01-01", notice_to="1999-12-31")
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "notices_clean": lambda spark, sf_dir: clean(spark, sf_dir).select("ord", *FIELDS),
+    "sheet_named": _sheet("Sheet1", NAMED_FIELDS, [("", NAMED_HEADER)]),
+    "sheet_detailed": _sheet(
+        "Detailed WARN Report", [None, *NAMED_FIELDS], [("", ["Report", "of all notices"]), (" ", ["#", *(h.replace("No. Of\n", "") for h in NAMED_HEADER)])]
+    ),
+    "sheet_positions": _sheet(
+        "Detailed WARN Report", ["county", "notice_date", None, "effective_date", "company", "layoff_type", "employees", "address", "industry"], []
+    ),
+    "page_tables": page_tables,
+    "legacy_sheet": legacy_sheet,
+    "change_entry": _change(True),
+    "change_entry_no_snapshot": _change(False),
     "merge_duplicates": notices,
     "legacy_merge": lambda spark, sf_dir: merge.merge_by_company(clean(spark, sf_dir)),
     "payload_totals": _of_notices(merge.payload_totals),
@@ -99,7 +177,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "daily_rolling30": _of_notices(charts.daily_rolling30),
     "top_companies": _of_notices(charts.top_companies),
     "county_month_long": _of_notices(charts.county_month),
-    "county_month_pivot": _of_notices(charts.county_month_pivot),
+    "county_month_pivot": _of_notices(lambda n: charts.county_month_pivot(n, MONTHS)),
     "treemap_leaves": _of_notices(charts.treemap_leaves),
     "treemap_parents": _of_notices(charts.treemap_parents),
     "sector_breakdown": _of_notices(charts.sector_breakdown),

@@ -44,5 +44,5 @@ def _first_match(x: Column, lists: tuple, otherwise: Column) -> Column:
 def sector(industry: Column, company: Column) -> Column:
     """An industry that no list knows stays, cut to 40 characters."""
     field = strip(F.coalesce(industry, F.lit("")))
-    given = (field != "") & (F.lower(field) != "nan")
+    given = (field != "") & (field != "nan")
     return F.when(given, _first_match(field, BY_INDUSTRY, F.substring(field, 1, 40))).otherwise(_first_match(company, BY_NAME, F.lit("Other")))

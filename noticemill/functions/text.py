@@ -9,17 +9,22 @@ from pyspark.sql import functions as F
 AIRPORTS = ("LAX", "SFO", "SNA", "SJC", "OAK", "SAN", "BUR", "LGB", "SMF", "ONT", "SCK", "FAT", "MRY", "SBS", "SCZ")
 
 
+# White space of any script.
+WHITE_SPACE = "\t\n\x0b\f\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+
+
 def strip(x: Column) -> Column:
-    """Without white space of any script at both ends; ``trim`` takes blanks only."""
-    return F.regexp_replace(x, r"(?U)^\s+|\s+$", "")
+    """Without white space of any script at both ends; plain ``trim`` takes blanks only."""
+    return F.btrim(x, F.lit(WHITE_SPACE))
 
 
 def _entities(x: Column, nbsp: bool) -> Column:
-    x = F.regexp_replace(strip(x), "(?i)&rsquo;", "'")
-    x = F.regexp_replace(x, "(?i)&amp;", "&")
+    plain = strip(x)
+    decoded = F.regexp_replace(F.regexp_replace(plain, "(?i)&rsquo;", "'"), "(?i)&amp;", "&")
     if nbsp:
-        x = F.regexp_replace(x, "(?i)&nbsp;", " ")
-    return F.regexp_replace(x, r"(?U)\s+", " ")
+        decoded = F.regexp_replace(decoded, "(?i)&nbsp;", " ")
+    # most names have no entity, and are spared the patterns
+    return F.regexp_replace(F.when(plain.contains("&"), decoded).otherwise(plain), r"(?U)\s+", " ")
 
 
 def fix_company(x: Column, word_boundary: bool = False) -> Column:
@@ -27,9 +32,9 @@ def fix_company(x: Column, word_boundary: bool = False) -> Column:
 
     The brand rule rewrites any name that contains its letters; ``word_boundary`` confines it to whole words.
     """
-    x = _entities(x, nbsp=True)
     brand = r"(?i)\bju+l+\b" if word_boundary else "(?i)ju+l+"
-    return F.when(x.rlike(brand), F.lit("Juul Labs, Inc.")).otherwise(x)
+    named = F.lower(x).contains("ju") & x.rlike(brand)  # on the text as it came: entities hold no such letters
+    return F.when(named, F.lit("Juul Labs, Inc.")).otherwise(_entities(x, nbsp=True))
 
 
 def fix_company_pdf(x: Column) -> Column:

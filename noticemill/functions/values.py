@@ -25,7 +25,9 @@ def _parsed(x: Column, formats: tuple[str, ...]) -> Column:
 def sheet_date(x: Column) -> Column:
     """A cell's date as ISO text; a text that no format reads stays as it is."""
     text = F.trim(x.cast("string"))
-    return F.coalesce(F.date_format(_parsed(text, SHEET_FORMATS), "yyyy-MM-dd"), x.cast("string"))
+    iso = text.rlike(r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$") & text.try_cast("date").isNotNull()
+    other = F.when(text.rlike("[0-9]"), F.date_format(_parsed(text, SHEET_FORMATS), "yyyy-MM-dd"))  # a text without digits is no date
+    return F.when(iso, text).otherwise(F.coalesce(other, x.cast("string")))
 
 
 def page_date(x: Column) -> Column:

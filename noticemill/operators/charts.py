@@ -37,13 +37,13 @@ def timeline(notices: DataFrame) -> DataFrame:
     """Dated notices with their hover text, coloured by county, or by company where no notice has a county."""
     any_county = F.bool_or(F.coalesce(F.trim("county") != "", F.lit(False)))
     dated = _dated(notices)
-    by_county = bool(dated.agg(any_county.alias("x")).first().x)
+    by_county = dated.agg(any_county.alias("by_county"))  # one row
     hover = F.concat(
         F.lit("<b>"), F.col("company"), F.lit("</b><br>"), F.date_format("effective_on", "MMM dd, yyyy"),
         F.lit("<br>"), F.format_number("employees", 0), F.lit(" employees"),
     )
-    colour = F.col("county") if by_county else F.col("company")
-    return dated.select("company", "effective_on", "employees", colour.alias("colour"), hover.alias("hover"))
+    colour = F.when(F.col("by_county"), F.col("county")).otherwise(F.col("company"))
+    return dated.join(F.broadcast(by_county)).select("company", "effective_on", "employees", colour.alias("colour"), hover.alias("hover"))
 
 
 def monthly_ma3(notices: DataFrame) -> DataFrame:
@@ -80,23 +80,31 @@ def _with_county(notices: DataFrame) -> DataFrame:
 def county_month(notices: DataFrame, n: int = TOP_COUNTIES) -> DataFrame:
     """Employees by county and month, for the counties with most."""
     each = _with_county(_dated(notices)).groupBy("county", values.month_key(F.col("effective_on")).alias("month")).agg(_total())
-    top = each.groupBy("county").agg(F.sum("employees").alias("total")).orderBy(F.desc("total"), "county").limit(n)
-    return each.join(top, "county", "left_semi")
+    months = F.collect_list(F.struct("month", "employees")).alias("months")  # one entry a month
+    top = each.groupBy("county").agg(F.sum("employees").alias("total"), months).orderBy(F.desc("total"), "county").limit(n)
+    return top.select("county", F.inline("months"))
 
 
-def county_month_pivot(notices: DataFrame, n: int = TOP_COUNTIES) -> DataFrame:
-    """The same as a matrix, with a column for each month that any county has."""
-    months = _with_county(_dated(notices)).select(values.month_key(F.col("effective_on")).alias("m")).distinct()
-    names = [r.m for r in months.orderBy("m").collect()]  # one row a month
-    wide = county_month(notices, n).groupBy("county").pivot("month", names).agg(F.sum("employees"))
-    return wide.na.fill(0)
+def months_between(first: str, last: str) -> list[str]:
+    """Months as ``yyyy-MM``, both ends included."""
+    (a, m), (b, n) = (map(int, x.split("-")) for x in (first, last))
+    return [f"{k // 12}-{k % 12 + 1:02d}" for k in range(12 * a + m - 1, 12 * b + n)]
+
+
+def county_month_pivot(notices: DataFrame, months: list[str], n: int = TOP_COUNTIES) -> DataFrame:
+    """The same as a matrix with a column for each of ``months``; a county's month that is not among them stops the query."""
+    known = F.col("month").isin(months)
+    unknown = F.raise_error(F.concat(F.lit("month without a column: "), "month")).cast("long")
+    each = county_month(notices, n).withColumn("employees", F.when(known, F.col("employees")).otherwise(unknown))
+    return each.groupBy("county").pivot("month", months).agg(F.sum("employees")).na.fill(0)
 
 
 def _by_type(notices: DataFrame, n: int) -> DataFrame:
     kind = F.coalesce(F.when(F.col("layoff_type") != "", F.col("layoff_type")), F.lit("Unknown"))
     each = typed(notices).groupBy(kind.alias("layoff_type"), "company").agg(_total())
-    top = each.groupBy("company").agg(F.sum("employees").alias("total")).orderBy(F.desc("total"), "company").limit(n)
-    return each.join(top, "company", "left_semi").select("layoff_type", "company", "employees")
+    kinds = F.collect_list(F.struct("layoff_type", "employees")).alias("kinds")  # one entry a type
+    top = each.groupBy("company").agg(F.sum("employees").alias("total"), kinds).orderBy(F.desc("total"), "company").limit(n)
+    return top.select("company", F.inline("kinds")).select("layoff_type", "company", "employees")
 
 
 def treemap_leaves(notices: DataFrame, n: int = TOP_TREEMAP) -> DataFrame:

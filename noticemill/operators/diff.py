@@ -23,13 +23,17 @@ def strict(new: DataFrame, baseline: DataFrame) -> tuple[DataFrame, DataFrame]:
     return _only_in(new, baseline), _only_in(baseline, new)
 
 
-def _folded(rows: DataFrame) -> DataFrame:
-    """One row for each key without regard to case: the last record, at the first one's place."""
-    key = {
+def _key() -> dict[str, Column]:
+    return {
         "k_company": F.lower(text.strip(F.coalesce(F.col("company"), F.lit("")))),
         "k_date": F.coalesce(F.col("effective_date"), F.lit("None")),
         "k_employees": F.coalesce(F.col("employees").cast("string"), F.lit("None")),
     }
+
+
+def _folded(rows: DataFrame) -> DataFrame:
+    """One row for each key without regard to case: the last record, at the first one's place."""
+    key = _key()
     record = F.struct(*rows.columns)
     each = rows.withColumns(key).groupBy(*key).agg(F.max_by(record, "ord").alias("r"), F.min("ord").alias("first_ord"))
     return each.select(*key, "first_ord", "r.*")
@@ -48,21 +52,25 @@ def largest(changes: DataFrame, n: int = REPORT_ENTRIES) -> DataFrame:
 
 def totals(new: DataFrame, baseline: DataFrame) -> DataFrame:
     """Counts and sums of both snapshots and of the changes by folded keys.  Snapshots count all rows, changes each key once."""
-    added, removed = casefold(new, baseline)
-
-    def sums(rows: DataFrame, name: str) -> DataFrame:
-        return rows.agg(F.count("*").alias(f"{name}_count"), F.coalesce(F.sum("employees"), F.lit(0)).cast("long").alias(f"{name}_employees"))
-
-    whole = sums(new, "latest")
-    for rows, name in ((baseline, "snapshot"), (added, "added"), (removed, "removed")):
-        whole = whole.join(sums(rows, name))  # one row each
+    sides = [rows.select("company", "effective_date", "employees", F.lit(side).alias("side")) for side, rows in enumerate((new, baseline))]
+    rows = lambda side: F.sum((F.col("side") == side).cast("long"))
+    # the number of employees is part of the key, so that all rows of a key have the same
+    keys = sides[0].unionByName(sides[1]).groupBy(*[c.alias(k) for k, c in _key().items()])
+    keys = keys.agg(rows(0).alias("new"), rows(1).alias("old"), F.coalesce(F.max("employees"), F.lit(0)).cast("long").alias("each"))
+    count = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("long")
+    only = lambda own, other: ((F.col(own) > 0) & (F.col(other) == 0)).cast("long")
+    counts = {"latest": F.col("new"), "snapshot": F.col("old"), "added": only("new", "old"), "removed": only("old", "new")}
+    whole = keys.agg(*[count(c * f).alias(f"{n}_{what}") for n, c in counts.items() for what, f in (("count", F.lit(1)), ("employees", F.col("each")))])
     delta: Column = F.col("latest_employees") - F.col("snapshot_employees")
     return whole.withColumn("employees_delta", delta)
 
 
-def change_entry(new: DataFrame, baseline: DataFrame, run_ts: str, columns: list[str], n: int = LOG_ENTRIES) -> DataFrame:
-    """One line for the change log: counts, sums, and the first ``n`` entries of either direction."""
-    added, removed = strict(new, baseline)
+def change_entry(new: DataFrame, baseline: DataFrame | None, run_ts: str, columns: list[str], n: int = LOG_ENTRIES) -> DataFrame:
+    """One line for the change log: counts, sums, and the first ``n`` entries of either direction.
+
+    Without a baseline everything is new, and the line has no total of removed employees.
+    """
+    added, removed = (new, new.where(F.lit(False))) if baseline is None else strict(new, baseline)
 
     def side(rows: DataFrame, count: str, entries: str, total: str) -> DataFrame:
         first = rows.orderBy("ord").limit(n).agg(F.array_sort(F.collect_list(F.struct("ord", F.struct(*columns).alias("e")))).alias("x"))
@@ -70,4 +78,6 @@ def change_entry(new: DataFrame, baseline: DataFrame, run_ts: str, columns: list
         return rows.agg(F.count("*").cast("int").alias(count), F.coalesce(F.sum("employees"), F.lit(0)).cast("long").alias(total)).join(first)
 
     entry = side(added, "new_count", "new_entries", "total_employees_new").join(side(removed, "removed_count", "removed_entries", "total_employees_removed"))
+    if baseline is None:
+        entry = entry.withColumn("total_employees_removed", F.lit(None).cast("long"))
     return entry.select(F.lit(run_ts).alias("timestamp"), "*")

@@ -13,13 +13,21 @@ def first_in_order(name: str, order: str = "ord") -> Column:
     return F.min_by(name, F.when(F.col(name).isNotNull(), F.col(order)))
 
 
+def payload_order() -> Column:
+    """A merged notice's place in a payload as a text that sorts: by effective date, nulls last, then by the other keys."""
+    names = ("effective_date", *[k for k in KEYS if k != "effective_date"])
+    return F.concat_ws("\x01", *[F.coalesce(F.col(k), F.lit("\uffff")) for k in names])
+
+
 def merge_duplicates(rows: DataFrame) -> DataFrame:
-    """One row for each filing: employees add up, other fields keep their first value.  Null keys are a key like any other."""
+    """One row for each filing: employees add up, other fields keep their first value.  Null keys are a key like any other.
+
+    ``ord`` is the place in the payload, which decides ties from here on.
+    """
     return rows.groupBy(*KEYS).agg(
         F.sum("employees").cast("long").alias("employees"),
         *[first_in_order(c).alias(c) for c in ("notice_date", "address", "industry")],
-        F.min("ord").alias("ord"),
-    )
+    ).withColumn("ord", payload_order())
 
 
 def merge_by_company(rows: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text
@@ -72,17 +72,19 @@ def by_cell(name: str, descending: bool = False) -> list[Column]:
 
 def page(rows: DataFrame, order: list[Column], number: int = 1, size: int = PAGE_SIZES[0]) -> DataFrame:
     """Rows of a page; size 0 is everything.  A page beyond the last is the last, one before the first is the first."""
-    ordered = rows.orderBy(*order)
     if not size:
-        return ordered
-    pages = max(1, -(-rows.count() // size))
-    at = min(max(1, number), pages)
-    return ordered.offset((at - 1) * size).limit(size)
+        return rows.orderBy(*order)
+    at = max(1, number)
+    # the rows up to the page asked for tell how many pages there are, as far as it matters
+    top = rows.orderBy(*order).limit(at * size)
+    placed = top.select("*", F.row_number().over(Window.orderBy(*order)).alias("_place"), F.count("*").over(Window.partitionBy()).alias("_rows"))
+    page_at = F.least(F.lit(at), F.greatest(F.lit(1), F.ceil(F.col("_rows") / size)))
+    return placed.where((F.col("_place") > (page_at - 1) * size) & (F.col("_place") <= page_at * size)).drop("_place", "_rows")
 
 
 def options(notices: DataFrame) -> DataFrame:
-    """Values of the filters: kind and value."""
+    """Values of the filters: kind and value, in their order."""
     given = lambda c: F.coalesce(F.col(c), F.lit(""))
     values = {"county": text.county_label(given("county")), "industry": text.strip(given("industry")), "type": text.strip(given("layoff_type"))}
     pairs = F.array(*[F.struct(F.lit(k).alias("kind"), v.alias("value")) for k, v in values.items()])
-    return notices.select(F.inline(pairs)).where(F.col("value") != "").distinct()
+    return notices.select(F.inline(pairs)).where(F.col("value") != "").distinct().orderBy("kind", "value")

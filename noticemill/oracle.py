@@ -18,6 +18,13 @@ def _fixed(x: str) -> str:
     return f"CASE WHEN regexp_matches({x}, '(?i)ju+l+') THEN 'Juul Labs, Inc.' ELSE {out} END"
 
 
+def _entities_only(x: str) -> str:
+    out = _strip(x)
+    for pattern, new in (("(?i)&rsquo;", "''"), ("(?i)&amp;", "&"), (r"\s+", " ")):
+        out = f"regexp_replace({out}, '{pattern}', '{new}', 'g')"
+    return out
+
+
 def _group(x: str) -> str:
     cut = rf"regexp_replace({_strip(x)}, '(?i)\s+({'|'.join(AIRPORTS)})\s*\d*.*$', '')"
     bare = _strip(rf"regexp_replace({cut}, '\s+\(\d+\)\s*$', '')")
@@ -31,7 +38,7 @@ def _sector(industry: str, company: str) -> str:
 
     field = _strip(f"coalesce({industry}, '')")
     known = chain(field, BY_INDUSTRY, f"substr({field}, 1, 40)")
-    return f"CASE WHEN {field} <> '' AND lower({field}) <> 'nan' THEN {known} ELSE {chain(company, BY_NAME, "'Other'")} END"
+    return f"CASE WHEN {field} <> '' AND {field} <> 'nan' THEN {known} ELSE {chain(company, BY_NAME, "'Other'")} END"
 
 
 def _text(x: str) -> str:
@@ -39,6 +46,8 @@ def _text(x: str) -> str:
 
 
 RAW = f"raw AS ({RAW_SQL.format(**{t: t for t in TABLES})})"
+EMPLOYEES = "CAST(trunc(try_cast(trim(replace(employees, ',', '')) AS DOUBLE)) AS INTEGER)"
+FIELD_NAMES = "company, notice_date, effective_date, employees, county, city, layoff_type, address, industry"
 CLEAN = f"""{RAW}, clean AS (
     SELECT * FROM (
         SELECT ord, filing, {_fixed("coalesce(company, 'nan')")} AS company, notice_date, effective_date,
@@ -47,11 +56,13 @@ CLEAN = f"""{RAW}, clean AS (
                {_text("address")} AS address, {_text("industry")} AS industry
         FROM raw) t
     WHERE lower(company) NOT IN ('company', 'nan', '') AND employees > 0)"""
+PAYLOAD_ORDER = " || chr(1) || ".join(f"coalesce({k}, chr(65535))" for k in ("effective_date", "company", "county", "city", "layoff_type"))
 MERGED = f"""{CLEAN}, notices AS (
     SELECT company, effective_date, county, city, layoff_type, CAST(sum(employees) AS BIGINT) AS employees,
            arg_min(notice_date, ord) FILTER (WHERE notice_date IS NOT NULL) AS notice_date,
            arg_min(address, ord) FILTER (WHERE address IS NOT NULL) AS address,
-           arg_min(industry, ord) FILTER (WHERE industry IS NOT NULL) AS industry, min(ord) AS ord
+           arg_min(industry, ord) FILTER (WHERE industry IS NOT NULL) AS industry,
+           {PAYLOAD_ORDER} AS ord
     FROM clean GROUP BY company, effective_date, county, city, layoff_type)"""
 TYPED = f"""{MERGED}, typed AS (
     SELECT *, try_cast(effective_date AS DATE) AS effective_on, try_cast(notice_date AS DATE) AS notice_on, {_group("company")} AS company_clean
@@ -103,8 +114,34 @@ CELLS = f"""{MERGED}, cells AS (
     FROM notices)"""
 CELL_NAMES = "company, county, employees, notice, effective, type, industry"
 
+MONTH_RANGE = ("1995-01", "2001-12")
+MONTH_SUMS = ", ".join(
+    f"CAST(coalesce(sum(employees) FILTER (WHERE month = '{y}-{m:02d}'), 0) AS BIGINT) AS \"{y}-{m:02d}\"" for y in range(1995, 2002) for m in range(1, 13)
+)
+
 ORACLE_SQL: dict[str, str] = {
     "notices_clean": f"WITH {CLEAN} SELECT ord, company, notice_date, effective_date, employees, county, city, layoff_type, address, industry FROM clean",
+    "sheet_named": f"WITH {CLEAN} SELECT ord, {FIELD_NAMES} FROM clean",
+    "sheet_detailed": f"WITH {CLEAN} SELECT ord, {FIELD_NAMES} FROM clean",
+    "sheet_positions": f"WITH {CLEAN} SELECT ord, {FIELD_NAMES.replace('city', "'' AS city")} FROM clean",
+    "page_tables": f"""WITH {RAW} SELECT * FROM (
+        SELECT ord, {_entities_only("coalesce(company, 'None')")} AS company, {EMPLOYEES} AS employees,
+               CASE WHEN filing % 2 = 0 THEN notice_date END AS notice_date, effective_date, {_strip("coalesce(county, 'None')")} AS county,
+               {_strip("coalesce(address, 'None')")} AS address, {_strip("coalesce(layoff_type, 'None')")} AS layoff_type,
+               '2014' AS fiscal_year, 'pdf' AS source
+        FROM raw) t WHERE trim(company) <> '' AND NOT contains(lower(company), 'company') AND employees >= 1""",
+    "legacy_sheet": f"""WITH {RAW}, kept AS (SELECT * FROM raw WHERE ord NOT IN (SELECT ord FROM raw ORDER BY ord DESC LIMIT 2)), named AS (
+            SELECT ord, effective_date, CASE WHEN contains(company, '&rsquo;')
+                   THEN string_split(company, '&rsquo;')[1] || chr(39) || string_split(company, '&rsquo;')[-1] ELSE company END AS company, {EMPLOYEES} AS employees
+            FROM kept)
+        SELECT effective_date, company, {SUM} AS employees, min(ord) AS ord FROM named WHERE employees > 0 GROUP BY 1, 2""",
+    "change_entry": f"""WITH {DIFF}, added AS ({_anti("latest", "snapshot")}), removed AS ({_anti("snapshot", "latest")})
+        SELECT 'run' AS timestamp, CAST((SELECT count(*) FROM added) AS INTEGER) AS new_count, CAST((SELECT count(*) FROM removed) AS INTEGER) AS removed_count,
+               coalesce((SELECT {SUM} FROM added), 0) AS total_employees_new, coalesce((SELECT {SUM} FROM removed), 0) AS total_employees_removed,
+               CAST((SELECT count(*) FROM (SELECT 1 FROM added LIMIT 50)) AS INTEGER) AS new_listed, CAST((SELECT count(*) FROM (SELECT 1 FROM removed LIMIT 50)) AS INTEGER) AS removed_listed,
+               (SELECT string_agg(company, '|' ORDER BY ord) FROM (SELECT * FROM added ORDER BY ord LIMIT 50)) AS new_companies""",
+    "change_entry_no_snapshot": f"""WITH {DIFF} SELECT 'run' AS timestamp, CAST(count(*) AS INTEGER) AS new_count, 0 AS removed_count,
+        coalesce({SUM}, 0) AS total_employees_new, CAST(NULL AS BIGINT) AS total_employees_removed FROM latest""",
     "merge_duplicates": f"WITH {MERGED} SELECT * FROM notices",
     "legacy_merge": f"WITH {CLEAN} SELECT effective_date, company, {SUM} AS employees, min(ord) AS ord FROM clean GROUP BY 1, 2",
     "payload_totals": f"""WITH {MERGED} SELECT count(*) AS total_records, {SUM} AS total_employees,
@@ -123,10 +160,7 @@ ORACLE_SQL: dict[str, str] = {
                CAST(sum(employees) OVER (ORDER BY day ROWS UNBOUNDED PRECEDING) AS BIGINT) AS cumulative FROM f""",
     "top_companies": f"WITH {TYPED} SELECT company_clean AS company, {SUM} AS employees FROM typed GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 25",
     "county_month_long": f"WITH {COUNTY_MONTH} SELECT county, month, employees FROM each WHERE county IN (SELECT county FROM top)",
-    "county_month_pivot": f"""WITH {COUNTY_MONTH}, whole AS (
-            SELECT t.county, m.month, coalesce(e.employees, 0) AS employees FROM top t CROSS JOIN (SELECT DISTINCT month FROM each) m
-            LEFT JOIN each e ON e.county = t.county AND e.month = m.month)
-        SELECT * FROM (PIVOT whole ON month USING CAST(sum(employees) AS BIGINT) GROUP BY county)""",
+    "county_month_pivot": f"""WITH {COUNTY_MONTH} SELECT county, {MONTH_SUMS} FROM each WHERE county IN (SELECT county FROM top) GROUP BY county""",
     "treemap_leaves": f"WITH {TREEMAP} SELECT * FROM leaves",
     "treemap_parents": f"""WITH {TREEMAP} SELECT layoff_type, {SUM} AS employees,
         round(CAST(sum(employees * employees) AS DOUBLE) / CAST(sum(employees) AS DOUBLE), 6) AS colour FROM leaves GROUP BY 1""",

@@ -8,8 +8,9 @@ from dataclasses import dataclass, field
 from pyspark import StorageLevel
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import functions as F
 
-from ..operators import charts, diff, merge
+from ..operators import charts, diff, history, merge
 from ..sinks import report, store
 
 CHARTS: dict[str, Callable[[DataFrame], DataFrame]] = {
@@ -23,6 +24,11 @@ CHARTS: dict[str, Callable[[DataFrame], DataFrame]] = {
     "lead_time": charts.lead_time_hist,
     "counties": charts.county_top,
 }
+#: Charts over all years, of history and live notices together.
+YEAR_CHARTS: dict[str, Callable[[DataFrame], DataFrame]] = {
+    "years": lambda records: history.fiscal_year_summary(records, list(range(2014, 2025))),
+    "year_months": history.multiyear_month,
+}
 
 
 @dataclass
@@ -35,28 +41,31 @@ class Outcome:
     failed: dict[str, str] = field(default_factory=dict)
 
 
-def run(spark: SparkSession, parsed: DataFrame, folder: str, run_id: str, run_ts: str, source_url: str = "") -> Outcome:
+def run(spark: SparkSession, parsed: DataFrame, folder: str, run_id: str, run_ts: str, source_url: str = "", past: DataFrame | None = None) -> Outcome:
     """Store a snapshot of the parsed notices, its changes against the run before, and the chart datasets.
 
     The baseline of both the change log and the report is the last stored run.  Charts are written under ``charts``; the
-    manifest has the status of each.
+    manifest has the status of each.  ``past`` has the records of earlier years, if there are any.
     """
     before = next((r for r in store.runs(spark, folder) if r < run_id), None)
     notices = merge.merge_duplicates(parsed).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         baseline = store.read_snapshot(spark, folder, before)
-        entry = diff.change_entry(notices, baseline, run_ts, store.FIELDS)
-        store.append_change(entry, f"{folder}/changes")
-        line = store.read_changes(spark, f"{folder}/changes").where(f"timestamp = '{run_ts}'").first()
+        entry = diff.change_entry(notices, baseline if before else None, run_ts, store.FIELDS)
+        store.append_change(entry, f"{folder}/changes", run_id)
+        line = store.read_changes(spark, f"{folder}/changes").where(F.col("entry_id") == run_id).first()
         totals = store.write_snapshot(notices, folder, run_id, run_ts, source_url).first()
         text = report.change_report(notices, baseline, run_ts, [line])
+        live = notices.drop("ord")
+        records = history.union_sources(live.where(F.lit(False)) if past is None else past, live)
+        plans = [*((n, c, notices) for n, c in CHARTS.items()), *((n, c, records) for n, c in YEAR_CHARTS.items())]
         failed = {}
-        for name, chart in CHARTS.items():
+        for name, chart, rows in plans:
             try:
-                chart(notices).write.mode("overwrite").parquet(f"{folder}/charts/{name}")
+                chart(rows).write.mode("overwrite").parquet(f"{folder}/charts/{name}")
             except PySparkException as error:
                 failed[name] = str(error).splitlines()[0]
-        status = [(n, "error" if n in failed else "ok", failed.get(n)) for n in CHARTS]
+        status = [(n, "error" if n in failed else "ok", failed.get(n)) for n, _, _ in plans]
         manifest = spark.createDataFrame(status, "chart string, status string, error string")
         manifest.write.mode("overwrite").json(f"{folder}/manifest")
         return Outcome(totals, line, manifest, text, report.message(line, totals.total_records, totals.total_employees), failed)

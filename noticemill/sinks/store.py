@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..operators import merge
 from ..schema import CHANGE, NOTICE
@@ -32,9 +33,14 @@ def _records(spark: SparkSession, folder: str) -> DataFrame | None:
 
 
 def runs(spark: SparkSession, folder: str) -> list[str]:
-    """Ids of all runs, the last first."""
-    found = _records(spark, folder)
-    return [] if found is None else [r.run_id for r in found.select("run_id").distinct().orderBy(F.desc("run_id")).collect()]
+    """Ids of all runs, the last first; read from the totals, which have one row a run."""
+    try:
+        found = spark.read.schema("total_records long, run_id string").json(f"{folder}/totals")
+    except AnalysisException as error:
+        if "PATH_NOT_FOUND" not in str(error):
+            raise
+        return []
+    return [r.run_id for r in found.select("run_id").distinct().orderBy(F.desc("run_id")).collect()]
 
 
 def read_snapshot(spark: SparkSession, folder: str, run_id: str | None) -> DataFrame:
@@ -45,12 +51,14 @@ def read_snapshot(spark: SparkSession, folder: str, run_id: str | None) -> DataF
     return found.where(F.col("run_id") == run_id).drop("run_id")
 
 
-def append_change(entry: DataFrame, path: str) -> None:
-    entry.write.mode("append").json(path)
+def append_change(entry: DataFrame, path: str, entry_id: str) -> None:
+    """Add a line under its own id; a run or batch that is repeated replaces its line and adds no second one."""
+    entry.write.mode("overwrite").json(f"{path}/entry_id={entry_id}")
 
 
 def read_changes(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(CHANGE).json(path)
+    """All lines of the change log, with the ids that they were added under."""
+    return spark.read.schema(T.StructType([*CHANGE.fields, T.StructField("entry_id", T.StringType())])).json(path)
 
 
 def write_years(records: DataFrame, folder: str) -> None:

@@ -77,20 +77,21 @@ def normalise(rows: DataFrame, keep_missing: bool = True) -> DataFrame:
     Rows without a company or a number of employees above 0 go.  A missing cell of a text column reads ``nan``, as it always
     has; without ``keep_missing`` it stays null.
     """
-    company = text.fix_company(F.coalesce(F.col("company"), F.lit("nan")))
+    raw = F.coalesce(F.col("company"), F.lit("nan"))
+    # decided before the names are cleaned: no entity or inner white space can turn another name into one of these
+    named = ~F.lower(text.strip(raw)).isin("company", "nan", "")
+    rows = rows.where((values.headcount(F.col("employees")) > 0) & named)
     missing = F.lit("nan") if keep_missing else F.lit(None).cast("string")
     plain = {c: text.strip(F.coalesce(F.col(c), missing)) for c in ("county", "city", "layoff_type", "address", "industry")}
-    typed = rows.withColumns(
+    return rows.withColumns(
         {
-            "company": company,
+            "company": text.fix_company(raw),
             "notice_date": values.sheet_date(F.col("notice_date")),
             "effective_date": values.sheet_date(F.col("effective_date")),
             "employees": values.headcount(F.col("employees")),
             **plain,
         }
     )
-    named = ~F.lower("company").isin("company", "nan", "")
-    return typed.where(named & (F.col("employees") > 0))
 
 
 def parse_grid(grid: DataFrame, sheet: str) -> DataFrame:
@@ -111,6 +112,18 @@ def parse_grid(grid: DataFrame, sheet: str) -> DataFrame:
     return normalise(body.select("ord", *[c.cast("string").alias(f) for f, c in fields.items()])).select("ord", *SHEET_FIELDS)
 
 
+def without_trailer(grid: DataFrame, n: int = 2) -> DataFrame:
+    """A grid (ord, ...) without its last ``n`` rows, which older sheets fill with sums and notes."""
+    last = grid.select("ord").orderBy(F.desc("ord")).limit(n).agg(F.min("ord").alias("_from"))
+    return grid.join(F.broadcast(last)).where(F.col("ord") < F.col("_from")).drop("_from")
+
+
+def legacy_notices(rows: DataFrame) -> DataFrame:
+    """Raw text columns company, effective_date and employees of an older sheet: names joined at right quotes, rows of whole numbers."""
+    named = rows.withColumns({"company": text.fix_company_legacy(F.col("company")), "employees": values.headcount(F.col("employees"))})
+    return named.where(F.col("employees") > 0)
+
+
 def parse_page_tables(tables: DataFrame, year: int) -> DataFrame:
     """Notices of page tables (page, nth, header array<string>, ord, cells array<string>) of one fiscal year.
 

@@ -29,6 +29,17 @@ def latest(spark: SparkSession, path: str) -> DataFrame:
     return whole.select(F.inline(F.when(is_list, bare).otherwise(enveloped)))
 
 
+def metadata(spark: SparkSession, path: str) -> DataFrame:
+    """name, value of a flat JSON object; a missing file gives none."""
+    try:
+        whole = spark.read.text(path, wholetext=True)
+    except AnalysisException as error:
+        if "PATH_NOT_FOUND" not in str(error):
+            raise
+        return spark.createDataFrame([], "name string, value string")
+    return whole.select(F.explode(F.from_json("value", "map<string,string>")).alias("name", "value"))
+
+
 def log_tail(lines: DataFrame, n: int = 10) -> DataFrame:
     """The last ``n`` lines (ord, value) of a change log, without those that cannot be read."""
     tail = lines.orderBy(F.desc("ord")).limit(n)

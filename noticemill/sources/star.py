@@ -40,4 +40,9 @@ TABLES = ("lineitem", "orders", "customer", "nation", "region")
 
 
 def raw_notices(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.sql(RAW_SQL, **{t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in TABLES})
+    tables = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in TABLES}
+    cores = spark.sparkContext.defaultParallelism
+    if tables["lineitem"].rdd.getNumPartitions() < cores:  # a small file in few splits would keep all later work in few tasks
+        columns = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_quantity", "l_returnflag", "l_linestatus"]
+        tables["lineitem"] = tables["lineitem"].select(*columns).repartition(cores)
+    return spark.sql(RAW_SQL, **tables)

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import diff
+from ..sinks import store
 
 
 def daily(events: DataFrame, late: str = "1 day") -> DataFrame:
@@ -19,12 +20,21 @@ def daily(events: DataFrame, late: str = "1 day") -> DataFrame:
     return sums.select(F.col("w.start").cast("date").alias("day"), "event_type", "events", F.round("value", 2).alias("value"))
 
 
-def drain(result: DataFrame) -> DataFrame:
-    """All that a streaming aggregate has to say about the input there is now, one row a group."""
-    name = f"drained_{uuid.uuid4().hex}"
-    query = result.writeStream.outputMode("complete").format("memory").queryName(name).trigger(availableNow=True).start()
-    query.awaitTermination()
-    return result.sparkSession.table(name)
+def drain(result: DataFrame, folder: str | None = None) -> DataFrame:
+    """All that a streaming aggregate has to say about the input there is now, one row a group.
+
+    Each batch replaces the files under ``folder`` (a new one beside the warehouse's tables if None), which are read back; nothing
+    is gathered on the driver, and a batch that is repeated changes nothing.
+    """
+    spark = result.sparkSession
+    folder = folder or f"{spark.conf.get('spark.sql.warehouse.dir')}/drained_{uuid.uuid4().hex}"
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{folder}/rows")
+
+    stream = result.writeStream.outputMode("complete").foreachBatch(write).option("checkpointLocation", f"{folder}/progress")
+    stream.trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema(result.schema).parquet(f"{folder}/rows")
 
 
 def event_days(spark: SparkSession, path: str) -> DataFrame:
@@ -35,10 +45,10 @@ def event_days(spark: SparkSession, path: str) -> DataFrame:
 
 
 def log_changes(baseline: Callable[[], DataFrame], log_path: str, columns: list[str]) -> Callable[[DataFrame, int], None]:
-    """A foreachBatch sink that compares every batch with ``baseline()`` and appends a line to the change log."""
+    """A foreachBatch sink that compares every batch with ``baseline()`` and adds its line to the change log, once."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
         entry = diff.change_entry(batch, baseline(), f"batch {batch_id}", columns)
-        entry.write.mode("append").json(log_path)
+        store.append_change(entry, log_path, f"batch-{batch_id}")
 
     return write

@@ -1,11 +1,13 @@
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from noticemill import catalog
 from noticemill.operators import charts, diff, kpis, merge, search
 from noticemill.plans import refresh
 from noticemill.sinks import report, store
+from noticemill.sources import envelopes
 from noticemill.streaming import windows
 
 from .conftest import SMALL
@@ -22,7 +24,7 @@ def test_merge_takes_first_value_that_is_not_null(spark):
     df = notices(spark, [("A", None, "2025-01-01", 5, None, "x"), ("A", "2024-12-01", "2025-01-01", 6, None, "x"), ("A", "2024-11-01", "2025-01-01", 7, None, "x")])
     for n in (1, 3):
         r = merge.merge_duplicates(df.repartition(n)).collect()
-        assert [(x.employees, x.notice_date, x.ord) for x in r] == [(18, "2024-12-01", "0000")]
+        assert [(x.employees, x.notice_date, x.ord) for x in r] == [(18, "2024-12-01", "\x01".join(["2025-01-01", "A", "\uffff", "x", "\uffff"]))]
 
 
 def test_sums_are_kept(spark):
@@ -85,7 +87,39 @@ def test_refresh(spark, tmp_path):
     assert (out.entry.new_count, out.entry.removed_count, out.entry.new_entries[0].company) == (1, 1, "C")
     assert "| C | 9 |" in out.report and store.runs(spark, folder) == ["2", "1"]
     assert report.message(out.entry.__class__(**{**out.entry.asDict(), "new_count": 0}), 1, 1) is None
-    assert out.manifest.where("status = 'ok'").count() == len(refresh.CHARTS)
+    assert out.manifest.where("status = 'ok'").count() == len(refresh.CHARTS) + len(refresh.YEAR_CHARTS) == 11
+    assert refresh.run(spark, second, folder, "2", "t2").entry.new_count == 1  # a repeated run adds no second line
+    assert sorted(r.entry_id for r in store.read_changes(spark, f"{folder}/changes").collect()) == ["1", "2"]
+    lines = [x for p in (tmp_path / "changes" / "entry_id=1").glob("*.json") for x in p.read_text().splitlines()]
+    assert len(lines) == 1 and "total_employees_removed" not in json.loads(lines[0])
+
+
+def test_payload_order_decides_ties(spark):
+    """Ties go by effective date (nulls last), then company, and not by the place in the input."""
+    rows = [("Z", "2025-01-05", None, 9, "Q County"), ("Y", "2025-01-05", "2025-06-01", 9, "P County"), ("X", "2025-01-05", "2025-02-01", 9, "O County"), ("W", "2025-01-05", "2025-06-01", 9, "N County")]
+    merged = merge.merge_duplicates(notices(spark, rows))
+    in_order = ["X", "W", "Y", "Z"]
+    assert [r.company for r in merged.orderBy("ord").collect()] == in_order
+    assert kpis.largest(merged).first().company == "X" and kpis.top_county(merged).first().county == "O County"
+    assert [r.company for r in search.page(search.cells(merged), search.newest_first(), 1, 3).collect()] == in_order[:3]
+
+
+def test_yearly_files_and_metadata(spark, tmp_path):
+    records = spark.createDataFrame([("A", 5, "2014"), ("B", 6, "2015")], "company string, employees long, fiscal_year string")
+    store.write_years(records, str(tmp_path / "years"))
+    store.write_combined(records, str(tmp_path / "whole"))
+    assert {p.name for p in (tmp_path / "years").glob("fiscal*")} == {"fiscal_year=2014", "fiscal_year=2015"}
+    assert spark.read.json(str(tmp_path / "whole")).count() == 2
+    (tmp_path / "meta.json").write_text('{"etag": "x", "changed": true}')
+    assert {tuple(r) for r in envelopes.metadata(spark, str(tmp_path / "meta.json")).collect()} == {("etag", "x"), ("changed", "true")}
+    assert envelopes.metadata(spark, str(tmp_path / "none.json")).count() == 0
+
+
+def test_a_month_without_a_column_stops_the_query(spark):
+    df = notices(spark, [("A", None, "2025-03-01", 5, "X County")])
+    assert charts.county_month_pivot(df, ["2025-02", "2025-03"]).first()["2025-03"] == 5
+    with pytest.raises(Exception, match="month without a column"):
+        charts.county_month_pivot(df, ["2025-02"]).collect()
 
 
 def test_stream_equals_batch(spark):
@@ -101,5 +135,5 @@ def test_changes_by_batch(spark, tmp_path):
     sink = windows.log_changes(lambda: sample.where("company = 'A'"), str(tmp_path / "log"), store.FIELDS)
     query = spark.readStream.schema(sample.schema).parquet(str(tmp_path / "in")).writeStream.foreachBatch(sink).trigger(availableNow=True)
     query.option("checkpointLocation", str(tmp_path / "c")).start().awaitTermination()
-    lines = [json.loads(x) for p in (tmp_path / "log").glob("*.json") for x in p.read_text().splitlines()]
+    lines = [json.loads(x) for p in (tmp_path / "log").glob("*/*.json") for x in p.read_text().splitlines()]
     assert [(x["new_count"], x["removed_count"]) for x in lines] == [(1, 0)]
