@@ -516,6 +516,8 @@ class _Linking:
 def _linked(docs: DataFrame, nodes: DataFrame, width: int, similarity: float) -> DataFrame | None:
     """node, label of the nodes that have a link (None: there are no pairs at all)."""
     shared = stored(group_parts(nodes))
+    if shared.isEmpty():
+        return None
     large = shared.where(F.col("parts") > 1)
     deals: list[Callable[[DataFrame], DataFrame]] = [lambda n: _in_parts(n, shared)]
     if not large.isEmpty():

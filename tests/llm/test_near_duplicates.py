@@ -70,7 +70,7 @@ def test_groups_with_failed_pairs_are_looked_at_again(spark, monkeypatch, listed
     monkeypatch.setattr(nd, "MOST_LISTED", listed)
     monkeypatch.setattr(nd, "LEAST_BITS", 64)
     monkeypatch.setattr(nd, "MOST_BITS", 64)
-    texts = corpus()[:250]
+    texts = corpus()[:130]
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     got = {r.doc_id: r.component_id for r in nd.near_duplicates(df, 2).collect()}
     assert got == {i: c for i, (_, c) in enumerate(brute(texts, 2))}
@@ -109,7 +109,7 @@ def test_parity_never_exceeds_the_difference():
 
 def test_large_groups_meet_across_parts(spark, monkeypatch):
     monkeypatch.setattr(nd, "GROUP", 16)
-    texts = corpus()
+    texts = corpus()[::2]
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     got = {r.doc_id: r.component_id for r in nd.near_duplicates(df, 5).collect()}
     assert got == {i: c for i, (_, c) in enumerate(brute(texts, 5))}
