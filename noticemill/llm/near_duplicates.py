@@ -22,7 +22,7 @@ from __future__ import annotations
 
 import functools
 import zlib
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -41,15 +41,15 @@ FORESTS, GROWTH = 1, 8
 BOTH, ASKS, OFFERED = 0, 1, 2
 #: Columns that name a group.
 GROUP_KEY = ["band", "key", "part", "block"]
-#: Bits of a parity sketch: from the number of shingles to twice it, within these bounds.
-LEAST_BITS, MOST_BITS = 64, 8192
+#: Bits of a parity sketch: from four to eight times the number of shingles, within these bounds.
+LEAST_BITS, MOST_BITS = 256, 8192
 #: Texts of one band value that are dealt together; larger groups are dealt into parts.
 GROUP = 4096
 #: Members of a bucket up to which all its pairs are listed; larger buckets are searched from one member to the next.
 LISTED = 32
 #: Pairs for each row up to which groups that are looked at again emit all of them.
 PAIRS_PER_ROW = 64
-#: Pairs of different components up to which they are listed in larger buckets as well.
+#: Pairs of different components up to which they are listed in larger buckets as well, and that are met at a time.
 MOST_LISTED = 1 << 18
 #: Pairs of one text that are confirmed in one place.
 SLICE = 64
@@ -93,7 +93,7 @@ def minima(s: np.ndarray) -> np.ndarray:
 
 def parity(s: np.ndarray) -> bytes:
     """Parity sketch of a set; half of a larger sketch, folded over the other half, is the sketch of half the size."""
-    bits = min(MOST_BITS, max(LEAST_BITS, 1 << max(0, len(s) - 1).bit_length()))
+    bits = min(MOST_BITS, max(LEAST_BITS, 4 << max(0, len(s) - 1).bit_length()))
     flips = np.bincount((s >> np.uint64(20)).astype(np.int64) & (bits - 1), minlength=bits) & 1
     return np.packbits(flips.astype(np.uint8)).tobytes()
 
@@ -222,18 +222,42 @@ class _Members:
         none = np.zeros(0, dtype=np.int64)
         return np.concatenate([none, *lefts]), np.concatenate([none, *rights])
 
-    def across(self, members: np.ndarray) -> tuple[np.ndarray, np.ndarray] | None:
-        """Pairs of a large bucket that are of different components; None if they are too many to be listed."""
+    def across(self, members: np.ndarray, again: bool) -> tuple[np.ndarray, np.ndarray] | None:
+        """Similar pairs of a large bucket that are of different components, met block by block; None if there are too many.
+
+        In the first look at a group no component is known yet, so that only buckets with few pairs are listed.
+        """
         whose, size = np.unique(self.joined[members], return_counts=True)
         outside = self.joined[members] != whose[size.argmax()]
-        others = members[outside]
-        if len(others) * len(members) > MOST_LISTED:
+        others, most = members[outside], PAIRS_PER_ROW * len(members)
+        if not again and len(others) * len(members) > MOST_LISTED:
             return None
-        i, j = np.repeat(others, len(members)), np.tile(members, len(others))
-        ok = (self.joined[i] != self.joined[j]) & (~np.tile(outside, len(others)) | (i < j))
-        return i[ok], j[ok]
-
-    def buckets(self) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+        none = np.zeros(0, dtype=np.int64)
+        lefts, rights, step = [none], [none], max(1, MOST_LISTED // len(members))
+        for at in range(0, len(others), step):
+            block = others[at : at + step]
+            i, j = np.repeat(block, len(members)), np.tile(members, len(block))
+            ok = (self.joined[i] != self.joined[j]) & (~np.tile(outside, len(block)) | (i < j))
+            i, j = i[ok], j[ok]
+            ok = self.similar(i, j)
+            lefts.append(i[ok])
+            rights.append(j[ok])
+            most -= int(ok.sum())
+            if most < 0:
+                return None
+        return np.concatenate(lefts), np.concatenate(rights)
+
+    def _merged(self, buckets: Iterable[np.ndarray]) -> list[np.ndarray]:
+        """Large buckets, those that lie by half in an earlier one of their group joined with it, so that texts are not met again for each table."""
+        unions: list[np.ndarray] = []  # which rows each has
+        for members in sorted(buckets, key=len, reverse=True):
+            home = next((u for u in unions if 2 * u[members].sum() >= len(members)), None)
+            if home is None:
+                unions.append(home := np.zeros(len(self.doc), dtype=bool))
+            home[members] = True
+        return [np.flatnonzero(u) for u in unions]
+
+    def buckets(self, again: bool) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
         """Pairs that share a table key, once each, of buckets small enough to be listed; members of the others."""
         codes, large, n = [], {}, len(self.doc)
         for j in range(BANDS):
@@ -251,8 +275,8 @@ class _Members:
                 a, b = order[p], order[p + away]
                 codes.append(np.minimum(a, b) * n + np.maximum(a, b))
         rest = []
-        for members in large.values():
-            if (pairs := self.across(members)) is None:
+        for members in self._merged(large.values()):
+            if (pairs := self.across(members, again)) is None:
                 rest.append(members)
             else:
                 codes.append(np.minimum(*pairs) * n + np.maximum(*pairs))
@@ -268,7 +292,7 @@ def _forests(similarity: float, forests: int, again: bool) -> Callable:
 
     def found(pdf: pd.DataFrame) -> pd.DataFrame:
         rows = _Members(pdf, similarity)
-        i, j, large = rows.buckets()
+        i, j, large = rows.buckets(again)
         ok = rows.similar(i, j)
         i, j = i[ok], j[ok]
         band, key = pdf["band"].to_numpy(), pdf["key"].to_numpy()
