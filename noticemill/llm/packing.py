@@ -2,9 +2,9 @@
 
 1. One pass over the texts gives *pieces*: each document's ids plus the closing id, cut at multiples of the window.  Only the
    last piece of a document is shorter than a window.
-2. Piece lengths are rounded up to ``unit`` ids, which leaves window/unit classes, whatever the input's size.  The histogram
-   of the classes is all that reaches the driver.
-3. All combinations of at most ``depth`` classes that fill a window exactly are enumerated.  Non-negative least squares finds
+2. Piece lengths are rounded up to ``unit`` ids; those below ``SHORT`` stay as they are.  That leaves some two hundred classes,
+   named by their width in ids, whatever the input's size.  The histogram of the classes is all that reaches the driver.
+3. All combinations of at most ``depth`` rounded classes that fill a window exactly are enumerated.  Non-negative least squares finds
    how often to repeat each so that together they use up the histogram; the counts are rounded down.
 4. What the rounding leaves over is packed greedily, largest class first.
 5. Each piece gets its rank within its class (hash buckets, bucket offsets), and the rank decides sequence and slot.
@@ -27,6 +27,8 @@ from .tokens import encoder
 WINDOW = 4096
 END_ID = 2
 UNIT = 32
+#: Pieces of fewer ids have a class for each length.
+SHORT = 64
 DEPTH = 4
 #: Pieces of one class that are ranked together.
 BUCKET_ROWS = 20_000
@@ -75,10 +77,14 @@ def nnls(a: np.ndarray, b: np.ndarray, rounds: int = 600) -> np.ndarray:
     return x
 
 
-def plan(histogram: np.ndarray, depth: int = DEPTH) -> list[tuple[list[int], int]]:
-    """(classes of one sequence, number of such sequences) that use each class as often as ``histogram`` (by class) says."""
+def plan(histogram: np.ndarray, depth: int = DEPTH, unit: int = 1) -> list[tuple[list[int], int]]:
+    """(widths of one sequence, number of such sequences) that use each width as often as ``histogram`` (by width) says.
+
+    Combinations are made of the multiples of ``unit``; the greedy rest takes all widths.
+    """
     left = histogram.astype(np.int64).copy()
-    units = len(left) - 1
+    window = len(left) - 1
+    units = window // unit
     made: list[tuple[list[int], int]] = []
 
     def take(parts: list[int], most: int) -> None:
@@ -89,20 +95,21 @@ def plan(histogram: np.ndarray, depth: int = DEPTH) -> list[tuple[list[int], int
             made.append((parts, n))
 
     if left.sum() > 0:
-        take([units], int(left[units]))
+        take([window], int(left[window]))
         combos = combinations(units, depth)[1:]
-        combos = combos[(np.where(combos > 0, left[combos], 1) > 0).all(1)]
+        rounded = left[::unit]
+        combos = combos[(np.where(combos > 0, rounded[combos], 1) > 0).all(1)]
         if len(combos):
             a = np.zeros((units + 1, len(combos)))
             for column in combos.T:
                 np.add.at(a, (column, np.arange(len(combos))), column > 0)
-            x = nnls(a, left.astype(float))
+            x = nnls(a, rounded.astype(float))
             for j in np.argsort(-x, kind="stable"):
                 if x[j] < 1:
                     break
-                take([int(c) for c in combos[j] if c], int(x[j]))
+                take([unit * int(c) for c in combos[j] if c], int(x[j]))
     while left.any():
-        parts, room, spare = [], units, left.copy()
+        parts, room, spare = [], window, left.copy()
         while room and (fits := np.flatnonzero(spare[: room + 1])).size:
             k = int(fits[-1])
             parts += [k] * (n := min(int(spare[k]), room // k))
@@ -154,14 +161,15 @@ def pack(
     not read; an empty table gives an empty result.  Pieces of one sequence have offsets without gaps from 0.  With
     ``keep_ids`` the ids themselves are returned too.
     """
-    made = cut(pieces(docs, path, window, end_id, keep_ids).withColumn("klass", F.ceil(F.col("length") / unit).cast("int")))
-    units = -(-window // unit)
-    histogram = np.zeros(units + 1, dtype=np.int64)
+    length = F.col("length")
+    width = F.when(length < SHORT, length).otherwise(F.least(unit * F.ceil(length / unit), F.lit(window)))
+    made = cut(pieces(docs, path, window, end_id, keep_ids).withColumn("klass", width.cast("int")))
+    histogram = np.zeros(window + 1, dtype=np.int64)
     for klass, n in made.groupBy("klass").count().collect():  # one row for each class
         histogram[klass] = n
     steps: dict[int, list[tuple[int, int, int, int]]] = {}
-    used, first = np.zeros(units + 1, dtype=np.int64), 0
-    for parts, n in plan(histogram, depth):
+    used, first = np.zeros(window + 1, dtype=np.int64), 0
+    for parts, n in plan(histogram, depth, unit):
         slot = 0
         for klass in sorted(set(parts), reverse=True):
             m = parts.count(klass)

@@ -40,6 +40,37 @@ def test_splicing_equals_the_whole(library):
     assert tokens.spliced_count(enc, "x" * 500, 50, 5) == len(library.encode("x" * 500, add_special_tokens=False).ids)
 
 
+def test_texts_without_blanks(library):
+    enc, rnd = tokens.encoder(PATH), random.Random(6)
+    parts = ["日本語", "文。", "テスト、", "が", "\u3099", "の", "no.1x", "3a", "'s", "'S.s", "ก", "ำ", "。", "<|endoftext|>", "é.", "!\u0301a", "각", "，中"]
+    for _ in range(300):
+        t = "".join(rnd.choice(parts) for _ in range(rnd.randint(0, 120)))
+        ids = library.encode(t, add_special_tokens=False).ids
+        assert list(np.frombuffer(enc.ids(t), "<u4")) == ids
+        for chunk, overlap in ((16, 4), (40, 1), (5, 30), (1, 1)):
+            assert tokens.spliced_count(enc, t, chunk, overlap) == len(ids)
+
+
+def test_encoded_characters_grow_with_the_text(monkeypatch):
+    enc, seen = tokens.encoder(PATH), []
+    spans = enc.spans
+    monkeypatch.setattr(enc, "spans", lambda t: (seen.append(len(t)), spans(t))[1])
+    for text in ("abcdefgh" * 20_000, "一二三" * 20_000, "中文。" * 20_000, "a " + "x" * 100_000):
+        seen.clear()
+        tokens.spliced_count(enc, text, 1000, 50)
+        assert sum(seen) <= 1.2 * len(text) + 5000
+    assert max(map(len, enc.runs), default=0) <= tokens.LONGEST_KEPT
+
+
+def test_other_vocabularies_go_to_the_library():
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    enc, other = tokens.encoder(path), Tokenizer.from_file(path)
+    assert not enc.known
+    for t in TEXTS:
+        ids = other.encode(t or "", add_special_tokens=False).ids
+        assert list(np.frombuffer(enc.ids(t or ""), "<u4")) == ids and tokens.spliced_count(enc, t or "", 16, 4) == len(ids)
+
+
 def frame(spark):
     rows = [(i, t, "clash", 1, 2) for i, t in enumerate(TEXTS)] + [(None, "null id", "", 0, 0), (3, TEXTS[3], "again", 0, 0)]
     return spark.createDataFrame(rows, "doc_id long, text string, n_tokens string, length long, klass int")
@@ -104,3 +135,11 @@ def test_padding(spark):
     docs = spark.createDataFrame(pd.DataFrame({"doc_id": range(3000), "text": ["a " * int(n) for n in rng.lognormal(6, 1, 3000)]}))
     got = packing.pack(docs, PATH).toPandas()
     assert got.length.sum() / (4096 * got.sequence_id.nunique()) > 0.97
+
+
+def test_padding_of_short_texts(spark):
+    rng = np.random.default_rng(4)
+    words = [2] * 1500 + [0] * 500 + [int(n) for n in rng.lognormal(6, 1, 2000)]
+    docs = spark.createDataFrame(pd.DataFrame({"doc_id": range(len(words)), "text": ["a " * n for n in words]}))
+    got = packing.pack(docs, PATH).toPandas()
+    assert len(got) >= len(words) and got.length.sum() / (4096 * got.sequence_id.nunique()) > 0.97
