@@ -27,8 +27,8 @@ GRAMS_PER_LANGUAGE = 4000
 LEAST_SHARE, LEAST_RATIO = 0.004, 0.25
 CELL_BITS, HASHES = 18, 3
 SIZES = (2, 3, 4)
-#: Characters that are looked up at once.
-CHUNK_CHARS = 1 << 20
+#: Characters that are looked up at once, about; longer texts go in parts.
+CHUNK_CHARS = 1 << 17
 UNDETERMINED = "und"
 
 
@@ -49,7 +49,7 @@ def gram_hashes(texts: list[str]) -> tuple[list[np.ndarray], list[np.ndarray], n
     letter = letters()[chars]
     keep = letter.copy()
     keep[1:] |= letter[:-1]
-    keep[:1] = True
+    keep[np.cumsum([0] + [len(p) for p in parts])[:-1]] = True  # the blank before each text
     code, owner, letter = np.where(letter, chars, 32).astype(np.uint64)[keep], owner[keep], letter[keep]
     blank = ~letter
     n_letters = np.bincount(owner[letter], minlength=len(texts))
@@ -74,6 +74,36 @@ def gram_hashes(texts: list[str]) -> tuple[list[np.ndarray], list[np.ndarray], n
     return hashes, owners, n_letters
 
 
+def parts_of(text: str | None, most: int) -> Iterator[str]:
+    """A text in parts of about ``most`` characters, cut where a word ends, so that the parts have the text's n-grams."""
+    text = text or ""
+    if len(text) <= most:
+        yield text
+        return
+    text, at = text.lower(), 0
+    while at < len(text):
+        end = min(at + most, len(text))
+        while end < len(text) and text[end].isalpha():
+            end += 1
+        yield text[at:end]
+        at = end
+
+
+def grouped(texts: list[str | None]) -> Iterator[tuple[list[str], list[int]]]:
+    """Parts of texts, and the text each belongs to, as many at a time as bound the memory they take."""
+    group, whose, size = [], [], 0
+    for k, text in enumerate(texts):
+        for part in parts_of(text, CHUNK_CHARS):
+            if group and size + len(part) > CHUNK_CHARS:
+                yield group, whose
+                group, whose, size = [], [], 0
+            group.append(part)
+            whose.append(k)
+            size += len(part)
+    if group:
+        yield group, whose
+
+
 def cells_of(hashes: np.ndarray) -> list[np.ndarray]:
     low = np.uint64((1 << CELL_BITS) - 1)
     return [((hashes >> np.uint64(j * CELL_BITS)) & low).astype(np.int64) for j in range(HASHES)]
@@ -97,50 +127,33 @@ class Filters:
     def _bit(masks: np.ndarray, i: int) -> np.ndarray:
         return (masks >> np.uint64(i % 64)) & np.uint64(1)
 
-    def shares(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def shares(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """Corrected share of each text's n-grams in each language's filter (texts, languages); letters of each text."""
-        hashes, owners, n_letters = gram_hashes(texts)
-        h, owner = np.concatenate(hashes), np.concatenate(owners)
-        n = np.bincount(owner, minlength=len(texts))
-        cells = cells_of(h)
-        out = np.zeros((len(texts), len(self.languages)))
-        for s, masks in enumerate(self.slices):
-            held = masks[cells[0]]
-            for cell in cells[1:]:
-                held &= masks[cell]
-            for i in range(64 * s, min(64 * s + 64, len(self.languages))):
-                out[:, i] = np.bincount(owner[self._bit(held, i).astype(bool)], minlength=len(texts))
+        out, n = np.zeros((len(texts), len(self.languages))), np.zeros(len(texts))
+        n_letters = np.zeros(len(texts), dtype=np.int64)
+        for parts, whose in grouped(texts):
+            hashes, owners, letters_of = gram_hashes(parts)
+            np.add.at(n_letters, whose, letters_of)
+            h, owner = np.concatenate(hashes), np.asarray(whose)[np.concatenate(owners)]
+            n += np.bincount(owner, minlength=len(texts))
+            cells = cells_of(h)
+            for s, masks in enumerate(self.slices):
+                held = masks[cells[0]]
+                for cell in cells[1:]:
+                    held &= masks[cell]
+                for i in range(64 * s, min(64 * s + 64, len(self.languages))):
+                    out[:, i] += np.bincount(owner[self._bit(held, i).astype(bool)], minlength=len(texts))
         share = out / np.maximum(n, 1)[:, None]
         return np.clip((share - self.chance) / (1 - self.chance), 0, 1), n_letters
 
     def decide(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
-        names: list[str] = []
-        scores: list[float] = []
-        group: list[str] = []
-
-        def flush() -> None:
-            share, n_letters = self.shares(group)
-            fit = share / self.usual
-            best = fit.argmax(1) if self.languages else np.zeros(len(group), dtype=int)
-            for k, b in enumerate(best):
-                if not n_letters[k] or not self.languages:
-                    names.append(UNDETERMINED)
-                    scores.append(0.0)
-                else:
-                    names.append(self.languages[b])
-                    scores.append(float(min(1.0, fit[k, b])))
-            group.clear()
-
-        size = 0
-        for t in texts:
-            group.append(t or "")
-            size += len(t or "")
-            if size > CHUNK_CHARS:
-                flush()
-                size = 0
-        if group:
-            flush()
-        return names, scores
+        if not self.languages:
+            return [UNDETERMINED] * len(texts), [0.0] * len(texts)
+        share, n_letters = self.shares(texts)
+        fit = share / self.usual
+        best = [(int(b), bool(n)) for b, n in zip(fit.argmax(1), n_letters, strict=True)]
+        names = [self.languages[b] if lettered else UNDETERMINED for b, lettered in best]
+        return names, [float(min(1.0, own[b])) if lettered else 0.0 for own, (b, lettered) in zip(fit, best, strict=True)]
 
 
 def _sample(docs: DataFrame, held_out: Column, per_language: int) -> pd.DataFrame:
@@ -152,10 +165,16 @@ def _count_grams(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Documents of each language that have an n-gram."""
     for pdf in batches:
         for name, own in pdf.groupby("label"):
-            hashes, owners, _ = gram_hashes([t or "" for t in own["text"]])
-            h, owner = np.concatenate(hashes), np.concatenate(owners)
-            seen = pd.DataFrame({"gram": h.view(np.int64), "owner": owner}).drop_duplicates()
-            counts = seen["gram"].value_counts()
+            open_text, found = pd.DataFrame({"gram": np.zeros(0, np.int64), "owner": np.zeros(0, np.int64)}), []
+            for parts, whose in grouped(list(own["text"])):
+                hashes, owners, _ = gram_hashes(parts)
+                seen = pd.DataFrame({"gram": np.concatenate(hashes).view(np.int64), "owner": np.asarray(whose)[np.concatenate(owners)]})
+                seen = pd.concat([open_text, seen]).drop_duplicates()
+                goes_on = seen["owner"] == whose[-1]  # its next part may be in the next group
+                open_text = seen[goes_on]
+                found.append(seen.loc[~goes_on, "gram"].value_counts())
+            found.append(open_text["gram"].value_counts())
+            counts = pd.concat(found).groupby(level=0).sum()
             yield pd.DataFrame({"lang": name, "gram": counts.index.to_numpy(), "n": counts.to_numpy()})
 
 
@@ -184,7 +203,7 @@ def learn_filters(docs: DataFrame, held_out: Column, per_language: int = SAMPLE_
 
     def own_share(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            share, n = filters.shares([t or "" for t in pdf["text"]])
+            share, n = filters.shares(list(pdf["text"]))
             at = pdf["label"].map(languages.index).to_numpy()
             yield pd.DataFrame({"lang": pdf["label"], "share": share[np.arange(len(pdf)), at]})[n > 0]
 

@@ -154,3 +154,19 @@ def test_a_text_with_both_labels_counts_as_toxic(spark):
     labels = spark.createDataFrame([(i, i % 2 if i < 20 else 0) for i in range(60)], "doc_id long, toxic int")
     got = toxicity.score_toxicity(docs, labels, F.lit(False)).collect()
     assert all(r.predicted == (r.doc_id < 20) for r in got)
+
+
+def test_long_texts_go_in_parts(monkeypatch):
+    """Counts and shares do not depend on how texts are cut and put together."""
+    import pandas as pd
+
+    texts = ["Größe und Straße, " * 40, None, "", "the thing that they thought 12 " * 30, "x" * 700, "a b c " * 200]
+    rows = pd.DataFrame({"label": ["aa", "aa", "bb", "bb", "aa", "bb"], "text": texts})
+    grams = {k: np.unique(np.concatenate(language.gram_hashes([t or "" for t in rows.text[rows.label == k]])[0])) for k in ("aa", "bb")}
+    seen = []
+    for most in (1 << 17, 50, 7):
+        monkeypatch.setattr(language, "CHUNK_CHARS", most)
+        counts = pd.concat(language._count_grams(iter([rows]))).sort_values(["lang", "gram"])
+        share, letters = language.Filters(["aa", "bb"], grams).shares(texts)
+        seen.append((counts.to_numpy().tolist(), share.tolist(), letters.tolist()))
+    assert seen[0] == seen[1] == seen[2]
