@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, jpeg, language, mixing, near_duplicates, packing, quality, tokens, top_k, toxicity
+from . import chat, jpeg, language, mixing, near_duplicates, packing, quality, tokens, top_k, toxicity, vector_codes, whitening
 from .common import fold_of, table
 
 VOCABULARY = "word_bpe_49k.json"
@@ -77,6 +77,34 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector on the first four whitened principal components."""
+    found = whitening.whiten(table(spark, sf_dir, "embeddings"))
+    each = found.select("*", F.posexplode(F.arrays_zip("whitened", "explained")).alias("at", "c"))
+    return each.select(
+        "vec_id",
+        (F.col("at") + 1).cast("int").alias("component"),
+        "n",
+        F.col("deviation").try_cast("long").alias("deviation"),
+        F.col("c.whitened").alias("whitened"),
+        F.col("c.explained").alias("explained"),
+        "identity_error",
+    )
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector as four codes of learnt codebooks."""
+    coded, codebooks = vector_codes.compress(table(spark, sf_dir, "embeddings"))
+    digits = F.transform("codes", lambda c: F.lpad(F.lower(F.hex(c)), 2, "0"))
+    return coded.select(
+        "vec_id",
+        F.array_join(digits, "").alias("code"),
+        F.col("error").try_cast("long").alias("error"),
+        F.col("label_error").try_cast("long").alias("label_error"),
+        F.lit(vector_codes.digest(codebooks)).alias("codebooks_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_format": op1_chat_format,
     "op2_top_k": op2_top_k,
@@ -88,8 +116,52 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality": op8_quality,
     "op9_jpeg_media": op9_jpeg_media,
     "op10_language": op10_language,
+    "op11_whitening": op11_whitening,
+    "op12_vector_codes": op12_vector_codes,
 }
 
+
+
+def _codes_sql(rounds: int = vector_codes.ROUNDS) -> str:
+    """SQL of op12: codebooks ``c0`` to ``c4`` and the assignments ``a0`` to ``a4`` to them, a row for each component."""
+    steps = []
+    for k in range(rounds + 1):
+        steps.append(f"""a{k} AS MATERIALIZED (
+            SELECT vec_id, p, CAST(min(d * 1024 + e) AS BIGINT) AS best
+            FROM (SELECT x.vec_id, p, e, sum((x.v - c.v) * (x.v - c.v)) AS d FROM x JOIN c{k} c USING (p, i) GROUP BY x.vec_id, p, e)
+            GROUP BY vec_id, p
+        )""")
+        if k < rounds:
+            steps.append(f"""c{k + 1} AS MATERIALIZED (
+            SELECT c.p, c.e, c.i, coalesce((m.s - ((m.s % m.n) + m.n) % m.n) // m.n, c.v) AS v
+            FROM c{k} c LEFT JOIN (
+                SELECT x.p, a.best % 1024 AS e, x.i, CAST(sum(x.v) AS BIGINT) AS s, count(*) AS n
+                FROM x JOIN a{k} a USING (vec_id, p) GROUP BY 1, 2, 3
+            ) m ON m.p = c.p AND m.e = c.e AND m.i = c.i
+        )""")
+    return f"""
+        WITH e AS (
+            SELECT vec_id, label, len(embedding) AS dims, generate_subscripts(embedding, 1) - 1 AS k, CAST(unnest(embedding) AS DOUBLE) AS v
+            FROM embeddings WHERE embedding IS NOT NULL
+        ), bad AS (
+            SELECT DISTINCT vec_id FROM e WHERE v IS NULL OR isnan(v) OR isinf(v)
+        ), x AS MATERIALIZED (
+            SELECT vec_id, label, k // (dims // 4) AS p, k % (dims // 4) AS i, CAST(floor(1024 * v) AS BIGINT) AS v
+            FROM e WHERE vec_id NOT IN (SELECT vec_id FROM bad)
+        ), f AS (
+            SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS e FROM (SELECT DISTINCT vec_id FROM x ORDER BY vec_id LIMIT 256)
+        ), c0 AS MATERIALIZED (
+            SELECT p, e, i, v FROM x JOIN f USING (vec_id)
+        ), {", ".join(steps)}, r AS (
+            SELECT vec_id, string_agg(printf('%02x', best % 1024), '' ORDER BY p) AS code, CAST(sum(best // 1024) AS BIGINT) AS error
+            FROM a{rounds} GROUP BY vec_id
+        ), t AS (SELECT r.*, x.label FROM r JOIN (SELECT DISTINCT vec_id, label FROM x) x USING (vec_id))
+        SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+               (SELECT sha256(string_agg(CAST(v AS VARCHAR), ',' ORDER BY p, e, i)) FROM c{rounds}) AS codebooks_sha256
+        FROM t
+    """
+
+
 #: SQL twins of the queries that SQL can express.
 ORACLE_SQL: dict[str, str] = {
     "op2_top_k": """
@@ -109,4 +181,5 @@ ORACLE_SQL: dict[str, str] = {
         )
         SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
     """,
+    "op12_vector_codes": _codes_sql(),
 }
