@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import weakref
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -13,6 +14,8 @@ from pyspark.sql import functions as F
 
 #: Rows of keys that may be sent to every executor; joins with more of them shuffle.
 BROADCAST_ROWS = 1_000_000
+#: Folders of the tables that ``stored`` has written and that are still in use.
+_WRITTEN: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -44,14 +47,16 @@ def stored(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     folder = shared_folder(spark)
     df.write.parquet(folder)
-    return spark.read.schema(df.schema).parquet(folder)
+    written = spark.read.schema(df.schema).parquet(folder)
+    _WRITTEN[written] = folder
+    return written
 
 
-def forget(*tables: DataFrame) -> None:
-    """Remove tables that ``stored`` has written and nobody will read again."""
+def forget(*tables: DataFrame | None) -> None:
+    """Remove tables that ``stored`` has written and nobody will read again; others stay as they are."""
     for df in tables:
-        if files := df.inputFiles():
-            remove_folder(df.sparkSession, files[0].rpartition("/")[0])
+        if df is not None and (folder := _WRITTEN.pop(df, None)):
+            remove_folder(df.sparkSession, folder)
 
 
 def remove_folder(spark: SparkSession, folder: str) -> None:

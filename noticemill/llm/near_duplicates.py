@@ -23,6 +23,7 @@ from __future__ import annotations
 import functools
 import zlib
 from collections.abc import Callable, Iterable, Iterator
+from fractions import Fraction
 
 import numpy as np
 import pandas as pd
@@ -58,10 +59,10 @@ _rng = np.random.default_rng(SEED)
 _A = _rng.integers(1, 1 << 63, size=2 * BANDS * ROWS, dtype=np.uint64) | np.uint64(1)
 _B = _rng.integers(0, 1 << 63, size=2 * BANDS * ROWS, dtype=np.uint64)
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
-_SET = ["n_shingles", "sum1", "sum2"]
+SET = ["n_shingles", "sum1", "sum2"]
 
 
-def _mix(h: np.ndarray) -> np.ndarray:
+def mix(h: np.ndarray) -> np.ndarray:
     h = (h ^ (h >> np.uint64(30))) * _M1
     h = (h ^ (h >> np.uint64(27))) * _M2
     return h ^ (h >> np.uint64(31))
@@ -78,7 +79,7 @@ def shingles(text: str | None, width: int) -> np.ndarray:
     size = min(width, len(w))
     h = np.full(len(w) - size + 1, size, dtype=np.uint64)
     for j in range(size):
-        h = _mix(h + w[j : len(w) - size + 1 + j])
+        h = mix(h + w[j : len(w) - size + 1 + j])
     return np.unique(h)
 
 
@@ -100,7 +101,7 @@ def parity(s: np.ndarray) -> bytes:
 
 def identity(s: np.ndarray) -> tuple[int, int, int]:
     """Size and two sums, which tell sets apart."""
-    return len(s), int(s.sum().view(np.int64)), int(_mix(s ^ np.uint64(SEED)).sum().view(np.int64))
+    return len(s), int(s.sum().view(np.int64)), int(mix(s ^ np.uint64(SEED)).sum().view(np.int64))
 
 
 def sketch(docs: DataFrame, width: int) -> DataFrame:
@@ -118,13 +119,13 @@ def sketch(docs: DataFrame, width: int) -> DataFrame:
                 bands = m[: BANDS * ROWS].reshape(BANDS, ROWS).astype(np.uint64)
                 key = np.zeros(BANDS, dtype=np.uint64)
                 for j in range(ROWS):
-                    key = _mix(key + bands[:, j] + np.uint64(j + 1))
+                    key = mix(key + bands[:, j] + np.uint64(j + 1))
                 rows.append((*identity(s), key.view(np.int64), (m[BANDS * ROWS :] & 255).astype(np.uint8).tobytes(), parity(s)))
             columns = list(zip(*rows, strict=True)) or [[]] * 6
             kinds = (pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.binary(), pa.binary())
             arrays = [pa.array(list(c), kind) for c, kind in zip(columns, kinds, strict=True)]
             # ids never pass through pandas, which would round longs that stand beside a null
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *arrays], ["doc_id", *_SET, "bands", "second", "parity"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *arrays], ["doc_id", *SET, "bands", "second", "parity"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     return rows.mapInArrow(run, "doc_id long, n_shingles long, sum1 long, sum2 long, bands array<long>, second binary, parity binary")
@@ -155,7 +156,7 @@ class _Members:
         self.doc, self.n, self.label, self.role = (pdf[c].to_numpy() for c in ("doc_id", "n_shingles", "label", "role"))
         key = pdf[GROUP_KEY].to_numpy()
         self.group = np.cumsum(np.concatenate([[False], (key[1:] != key[:-1]).any(1)])) if len(pdf) else np.zeros(0, dtype=np.int64)
-        second = np.frombuffer(b"".join(pdf["second"]), dtype=np.uint8).reshape(len(pdf), BANDS, ROWS).astype(np.int64)
+        second = np.frombuffer(b"".join(pdf["second"]), dtype=np.uint8).reshape(len(pdf), -1, ROWS).astype(np.int64)
         self.second = sum(second[:, :, r] << (8 * r) for r in range(ROWS))
         self.bits = np.array([len(p) for p in pdf["parity"]])
         self.at, self.sketches = {}, {}
@@ -260,7 +261,7 @@ class _Members:
     def buckets(self, again: bool) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
         """Pairs that share a table key, once each, of buckets small enough to be listed; members of the others."""
         codes, large, n = [], {}, len(self.doc)
-        for j in range(BANDS):
+        for j in range(self.second.shape[1]):
             order = np.lexsort((self.second[:, j], self.group))
             g, s = self.group[order], self.second[order, j]
             start = np.flatnonzero(np.concatenate([[True], (g[1:] != g[:-1]) | (s[1:] != s[:-1])]))
@@ -381,14 +382,19 @@ def _of_each_component(nodes: DataFrame, large: DataFrame) -> DataFrame:
 
 
 def _by_tables(nodes: DataFrame, large: DataFrame) -> DataFrame:
-    """Third round: large groups that are of several components still, dealt by whole table keys.
-
-    Tables that are too large as well are dealt so that all texts outside a table's largest component meet every part of it.
-    """
+    """Third round: large groups that are of several components still, dealt by whole table keys."""
     dealt = _of_several(matched(_banded(nodes), large.select("band", "key"), ["band", "key"], "left_semi"))
     tabled = dealt.withColumn("j", F.explode(F.sequence(F.lit(0), F.lit(BANDS - 1))))
     own = F.substring(F.col("second"), F.col("j") * ROWS + 1, F.lit(ROWS))
     tabled = tabled.withColumn("key", F.xxhash64("key", own)).withColumn("band", (BANDS * (F.col("band") + 1) + F.col("j")).cast("int")).drop("j")
+    return in_blocks(tabled)
+
+
+def in_blocks(tabled: DataFrame) -> DataFrame:
+    """Rows (payload, band, key) of groups of several components, dealt so that all that may still be linked meet.
+
+    Groups that are too large for one place are dealt so that all texts outside a group's largest component meet every part of it.
+    """
     per_label = tabled.groupBy("band", "key", "label").count()
     main = per_label.groupBy("band", "key").agg(
         F.max_by("label", "count").alias("main"),
@@ -412,22 +418,35 @@ def packed_texts(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column("text").to_pylist()
-            wanted = zip(*[batch.column(c).to_pylist() for c in _SET], strict=True)
+            wanted = zip(*[batch.column(c).to_pylist() for c in SET], strict=True)
             keep = [identity(shingles(t, width)) == w for t, w in zip(texts, wanted, strict=True)]
             packed = [zlib.compress(t.encode("utf-8", "surrogatepass"), 1) for t, k in zip(texts, keep, strict=True) if k]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id").filter(pa.array(keep, pa.bool_())), pa.array(packed, pa.binary())], ["doc_id", "packed"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    found = matched(rows, wanted, ["doc_id"]).select("doc_id", "text", *_SET).mapInArrow(run, "doc_id long, packed binary")
+    found = matched(rows, wanted, ["doc_id"]).select("doc_id", "text", *SET).mapInArrow(run, "doc_id long, packed binary")
     return stored(found.dropDuplicates(["doc_id"]))
 
 
+def sliced(pairs: DataFrame, of: list[str]) -> DataFrame:
+    """``pairs`` with a slice number: those that agree in ``of`` are dealt into slices of about ``SLICE``."""
+    many = pairs.groupBy(*of).agg(F.ceil(F.count("*") / SLICE).alias("slices")).where(F.col("slices") > 1)
+    part = F.pmod(F.xxhash64("y"), F.coalesce("slices", F.lit(1))).cast("int")
+    return pairs.join(many, of, "left").withColumn("slice", part).drop("slices")
+
+
+def with_hubs(slices: DataFrame) -> DataFrame:
+    """The rows of ``sliced`` pairs (x, slice, y and others), and for each slice one with x itself as y."""
+    rest = [c for c in slices.columns if c != "y"]
+    return slices.unionByName(slices.select(*rest).distinct().withColumn("y", F.col("x")))
+
+
 def confirmed(pairs: DataFrame, texts: DataFrame, width: int, similarity: float) -> DataFrame:
-    """x, y and whether the full shingle sets reach the similarity, exactly: 100 * common >= percent * union.
+    """x, y and whether the full shingle sets reach the similarity, exactly, as the decimal fraction that it is written as.
 
     The pairs of one x are checked in slices: its text travels once a slice, and that of y once a pair.
     """
-    percent = round(100 * similarity)
+    share = Fraction(str(similarity))
 
     def items(packed: bytes) -> np.ndarray:
         return shingles(zlib.decompress(packed).decode("utf-8", "surrogatepass"), width)
@@ -442,16 +461,15 @@ def confirmed(pairs: DataFrame, texts: DataFrame, width: int, similarity: float)
                     continue
                 s = items(packed)
                 common = len(np.intersect1d(hub, s, assume_unique=True))
-                out.append((x, y, 100 * common >= percent * (len(hub) + len(s) - common)))
+                out.append((x, y, share.denominator * common >= share.numerator * (len(hub) + len(s) - common)))
             yield pd.DataFrame(out, columns=["x", "y", "linked"]).astype({"x": "int64", "y": "int64", "linked": bool})
 
-    many = pairs.groupBy("x").agg(F.ceil(F.count("*") / SLICE).alias("slices")).where(F.col("slices") > 1)
-    part = F.pmod(F.xxhash64("y"), F.coalesce("slices", F.lit(1))).cast("int")
-    sliced = pairs.join(many, "x", "left").select("x", "y", part.alias("slice"))
-    ends = stored(sliced.select("x", "slice", "y").unionByName(sliced.select("x", "slice", F.col("x").alias("y")).distinct()))
+    ends = stored(with_hubs(sliced(pairs.select("x", "y"), ["x"])))
     met = matched(texts.withColumnRenamed("doc_id", "y"), ends, ["y"])
     dealt = met.repartition("x", "slice").sortWithinPartitions("x", "slice", "y")  # x < y, so that x comes first
-    return dealt.select("x", "y", "packed").mapInPandas(run, "x long, y long, linked boolean")
+    checked = stored(dealt.select("x", "y", "packed").mapInPandas(run, "x long, y long, linked boolean"))
+    forget(ends)
+    return checked
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -459,12 +477,14 @@ def components(links: DataFrame) -> DataFrame:
     ways = F.array(F.struct("x", "y"), F.struct(F.col("y").alias("x"), F.col("x").alias("y")))
     both = stored(links.select(F.inline(ways)).distinct())
     labels = stored(both.groupBy(F.col("x").alias("node")).agg(F.min("y").alias("low")).select("node", F.least("node", "low").alias("label")))
-    total = None
+    total, before = None, None
     while True:
         now = labels.agg(F.sum(F.col("label").cast("decimal(38,0)"))).first()[0]  # labels only ever fall
+        forget(before)
         if now is None or now == total:
+            forget(both)
             return labels
-        total = now
+        total, before = now, labels
         up = labels.select(F.col("node").alias("label"), F.col("label").alias("above"))
         jumped = labels.join(up, "label", "left").select("node", F.least("label", "above").alias("label"))
         seen = both.join(jumped.withColumnRenamed("node", "y"), "y").groupBy(F.col("x").alias("node")).agg(F.min("label").alias("low"))
@@ -476,10 +496,12 @@ def joined(labels: DataFrame, links: DataFrame) -> DataFrame:
     merged = components(_between(links, labels))
     up = merged.select(F.col("node").alias("label"), F.col("label").alias("above"))
     old = labels.join(up, "label", "left").select("node", F.coalesce("above", "label").alias("label"))
-    return stored(old.unionByName(merged.join(labels, "node", "left_anti")))
+    whole = stored(old.unionByName(merged.join(labels, "node", "left_anti")))
+    forget(labels, merged)
+    return whole
 
 
-def _ends(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+def between_components(pairs: DataFrame, labels: DataFrame) -> DataFrame:
     of = lambda end: labels.select(F.col("node").alias(end), F.col("label").alias(f"{end}_label"))
     ends = pairs.join(of("x"), "x", "left").join(of("y"), "y", "left")
     return ends.withColumns({"x_label": F.coalesce("x_label", "x"), "y_label": F.coalesce("y_label", "y")}).where(F.col("x_label") != F.col("y_label"))
@@ -487,10 +509,10 @@ def _ends(pairs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def _between(pairs: DataFrame, labels: DataFrame) -> DataFrame:
     """Pairs of components, as x and y, that ``pairs`` connects."""
-    return _ends(pairs, labels).select(F.col("x_label").alias("x"), F.col("y_label").alias("y"))
+    return between_components(pairs, labels).select(F.col("x_label").alias("x"), F.col("y_label").alias("y"))
 
 
-class _Linking:
+class Linking:
     """Labels of the nodes so far, the texts that are needed to confirm pairs, and the pairs that failed."""
 
     def __init__(self, docs: DataFrame, nodes: DataFrame, width: int, similarity: float):
@@ -498,19 +520,26 @@ class _Linking:
         self.labels: DataFrame | None = None
         self.failed: DataFrame | None = None
         self.texts: list[DataFrame] = []
+        self.spent: list[DataFrame] = []
 
-    def _texts(self, pairs: DataFrame) -> DataFrame:
+    def texts_of(self, pairs: DataFrame) -> DataFrame:
         """Texts of all ends of ``pairs``, and of earlier ones."""
         ids = pairs.select(F.explode(F.array("x", "y")).alias("doc_id")).distinct()
         for have in self.texts:
             ids = ids.join(have.select("doc_id"), "doc_id", "left_anti")
-        wanted = stored(self.nodes.select("doc_id", *_SET).join(ids, "doc_id", "left_semi"))
+        wanted = stored(self.nodes.select("doc_id", *SET).join(ids, "doc_id", "left_semi"))
         if not wanted.isEmpty():
             self.texts.append(packed_texts(self.docs, wanted, self.width))
+        forget(wanted)
         return functools.reduce(DataFrame.unionByName, self.texts)
 
+    def confirmed(self, pairs: DataFrame, texts: DataFrame) -> DataFrame:
+        """x, y, linked of each pair, written."""
+        return confirmed(pairs, texts, self.width, self.similarity)
+
     def _check(self, pairs: DataFrame, texts: DataFrame) -> DataFrame:
-        checked = stored(confirmed(pairs, texts, self.width, self.similarity))
+        checked = self.confirmed(pairs, texts)
+        self.spent.append(checked)
         links = checked.where("linked").select("x", "y")
         if self.labels is None:
             self.labels = components(links)
@@ -524,49 +553,93 @@ class _Linking:
         """Join the components that ``pairs`` link.  Of each y one pair goes first; the others only if they still connect two."""
         if pairs.isEmpty():
             return
-        texts = self._texts(pairs)
+        texts = self.texts_of(pairs)
         checked = self._check(pairs.groupBy("y").agg(F.min("x").alias("x")).select("x", "y"), texts)
-        rest = stored(_ends(pairs.join(checked, ["x", "y"], "left_anti"), self.labels).select("x", "y"))
+        rest = stored(between_components(pairs.join(checked, ["x", "y"], "left_anti"), self.labels).select("x", "y"))
         if not rest.isEmpty():
             self._check(rest, texts)
+        forget(rest)
 
     def labelled(self) -> DataFrame:
         """The nodes with their labels and, at the larger end, the pairs that failed."""
-        nodes = self.nodes.drop("label", "failed").join(self.labels.withColumnRenamed("node", "doc_id"), "doc_id", "left")
+        if self.labels is None:
+            return self.nodes.withColumns({"label": F.col("doc_id"), "failed": F.lit(None).cast("array<long>")})
+        nodes = self.nodes.join(self.labels.withColumnRenamed("node", "doc_id"), "doc_id", "left")
         failed = self.failed.groupBy(F.col("y").alias("doc_id")).agg(F.collect_set("x").alias("failed"))
         return nodes.join(failed, "doc_id", "left").withColumn("label", F.coalesce("label", "doc_id"))
 
+    def settle(self, deal: Callable[[DataFrame], DataFrame], again: bool = False) -> None:
+        """Confirm forests of the groups that ``deal`` makes of the labelled nodes until no group has a failed pair to make up for.
 
-def _linked(docs: DataFrame, nodes: DataFrame, width: int, similarity: float) -> DataFrame | None:
-    """node, label of the nodes that have a link (None: there are no pairs at all)."""
-    shared = stored(group_parts(nodes))
-    if shared.isEmpty():
-        return None
-    large = shared.where(F.col("parts") > 1)
-    deals: list[Callable[[DataFrame], DataFrame]] = [lambda n: _in_parts(n, shared)]
-    if not large.isEmpty():
-        deals += [lambda n: _of_each_component(n, large), lambda n: _by_tables(n, large)]
-    state = _Linking(docs, nodes, width, similarity)
-    unmarked = nodes.withColumns({"label": F.col("doc_id"), "failed": F.lit(None).cast("array<long>")})
-    for deal in deals:
-        forests, open_groups = FORESTS, None
+        ``again`` says that the groups have been looked at before, so that few pairs are left in them.
+        """
+        forests, open_groups, emitted = FORESTS, None, None
         while True:
-            groups = deal(unmarked if state.labels is None else state.labelled())
+            groups = deal(self.labelled())
             if open_groups is not None:
                 groups = matched(groups, open_groups, ["band", "key"], "left_semi")
-            emitted = stored(candidate_pairs(groups, similarity, forests, open_groups is not None))
-            before = state.failed
-            state.confirm(stored(emitted.select("x", "y").distinct()))
-            if state.failed is None or state.failed is before:
+            forget(emitted)
+            emitted = stored(candidate_pairs(groups, self.similarity, forests, again))
+            forget(open_groups)
+            before, pairs = self.failed, stored(emitted.select("x", "y").distinct())
+            self.confirm(pairs)
+            forget(pairs)
+            if self.failed is None or self.failed is before:
                 break
             # forests that lost a pair: their groups may have other pairs that connect the same texts
-            lost = _ends(state.failed, state.labels).select("x", "y").distinct()
+            lost = between_components(self.failed, self.labels).select("x", "y").distinct()
             open_groups = stored(emitted.where(~F.col("whole")).join(lost, ["x", "y"], "left_semi").select("band", "key").distinct())
             if open_groups.isEmpty():
+                forget(open_groups)
                 break
-            forests *= GROWTH
-    forget(*state.texts)
-    return state.labels
+            forests, again = forests * GROWTH, True
+        forget(emitted)
+
+    def close(self) -> DataFrame | None:
+        """node, label of the nodes that have a link (None: there are no pairs at all); everything else is removed."""
+        forget(*self.texts, *self.spent)
+        return self.labels
+
+
+def _linked(docs: DataFrame, nodes: DataFrame, width: int, similarity: float) -> DataFrame | None:
+    shared = stored(group_parts(nodes))
+    state = Linking(docs, nodes, width, similarity)
+    if not shared.isEmpty():
+        state.settle(lambda n: _in_parts(n, shared))
+        large = shared.where(F.col("parts") > 1)
+        if not large.isEmpty():
+            state.settle(lambda n: _of_each_component(n, large))
+            state.settle(lambda n: _by_tables(n, large))
+    forget(shared)
+    return state.close()
+
+
+class Sketched:
+    """Sketches of all rows, one node for each different set of shingles, and which document is which node.
+
+    ``columns`` of the sketches go with the nodes.  Rows that repeat an id are one document, that of the largest set.
+    """
+
+    def __init__(self, sketches: DataFrame, columns: list[str]):
+        self.sketches = stored(sketches)
+        usable = self.sketches.where((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull())
+        self.own = usable.groupBy("doc_id").agg(F.max(F.struct(*SET)).alias("own")).select("doc_id", "own.*")
+        self.first = self.own.groupBy(*SET).agg(F.min("doc_id").alias("node"))
+        wanted = self.first.select(F.col("node").alias("doc_id"), *[F.col(c).alias(f"own_{c}") for c in SET])
+        same = [F.col(c) == F.col(f"own_{c}") for c in SET]
+        nodes = usable.join(wanted, "doc_id").where(same[0] & same[1] & same[2]).dropDuplicates(["doc_id"])
+        self.nodes = stored(nodes.select("doc_id", *SET, *columns))
+
+    def placed(self, labels: DataFrame | None) -> DataFrame:
+        """doc_id, n_shingles, component_id of every row; the sketches themselves are removed, but for the columns needed."""
+        placed = self.own.join(self.first, SET).select("doc_id", "node")
+        if labels is not None:
+            placed = placed.join(labels, "node", "left").select("doc_id", F.coalesce("label", "node").alias("node"))
+        found = self.sketches.select("doc_id", "n_shingles").join(placed, "doc_id", "left")
+        component = F.when(F.col("doc_id").isNotNull(), F.coalesce("node", "doc_id"))
+        whole = stored(found.select("doc_id", "n_shingles", component.alias("component_id")))
+        forget(self.sketches, self.nodes, labels)
+        return whole
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, similarity: float = 0.8) -> DataFrame:
@@ -577,24 +650,9 @@ def near_duplicates(docs: DataFrame, width: int = 5, similarity: float = 0.8) ->
     shingles is linked (ties: by the sums of its hashes), while each row tells the size of its own.  A row whose id is null is
     linked with nothing, has no component and is kept.  Other columns are not read; an empty table gives an empty result.
     """
-    sketches = stored(sketch(docs, width))
-    usable = sketches.where((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull())
-    own = usable.groupBy("doc_id").agg(F.max(F.struct(*_SET)).alias("own")).select("doc_id", "own.*")
-    first = own.groupBy(*_SET).agg(F.min("doc_id").alias("node"))
-    wanted = first.select(F.col("node").alias("doc_id"), *[F.col(c).alias(f"own_{c}") for c in _SET])
-    same = [F.col(c) == F.col(f"own_{c}") for c in _SET]
-    nodes = usable.join(wanted, "doc_id").where(same[0] & same[1] & same[2]).dropDuplicates(["doc_id"])
-    nodes = stored(nodes.select("doc_id", *_SET, "bands", "second", "parity"))
-    labels = _linked(docs, nodes, width, similarity)
-    forget(nodes)
-    placed = own.join(first, _SET).select("doc_id", "node")
-    if labels is not None:
-        placed = placed.join(labels, "node", "left").select("doc_id", F.coalesce("label", "node").alias("node"))
-    found = sketches.select("doc_id", "n_shingles").join(placed, "doc_id", "left")
-    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("node", "doc_id"))
-    return found.select("doc_id", "n_shingles", component.alias("component_id")).withColumn(
-        "kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))
-    )
+    rows = Sketched(sketch(docs, width), ["bands", "second", "parity"])
+    found = rows.placed(_linked(docs, rows.nodes, width, similarity))
+    return found.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
 def one_of_each(docs: DataFrame, width: int = 5, similarity: float = 0.8) -> DataFrame:

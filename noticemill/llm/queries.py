@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, jpeg, language, mixing, near_duplicates, packing, quality, tokens, top_k, toxicity, vector_codes, whitening
+from . import chat, jaccard_join, jpeg, language, mixing, near_duplicates, packing, quality, tokens, top_k, toxicity, vector_codes, whitening
 from .common import fold_of, table
 
 VOCABULARY = "word_bpe_49k.json"
@@ -105,6 +105,11 @@ def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Component of each document by links of three-word shingles at 90 percent."""
+    return jaccard_join.jaccard_components(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_format": op1_chat_format,
     "op2_top_k": op2_top_k,
@@ -118,6 +123,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_language": op10_language,
     "op11_whitening": op11_whitening,
     "op12_vector_codes": op12_vector_codes,
+    "op13_jaccard_join": op13_jaccard_join,
 }
 
 
@@ -182,4 +188,26 @@ ORACLE_SQL: dict[str, str] = {
         SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
     """,
     "op12_vector_codes": _codes_sql(),
+    "op13_jaccard_join": """
+        WITH RECURSIVE w AS (
+            SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words
+            FROM documents
+        ), s AS MATERIALIZED (
+            SELECT doc_id, list_distinct(CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 3 THEN [array_to_string(words, ' ')]
+                ELSE list_transform(generate_series(1, len(words) - 2), lambda i: words[i] || ' ' || words[i + 1] || ' ' || words[i + 2]) END) AS grams
+            FROM w
+        ), g AS MATERIALIZED (
+            SELECT doc_id, unnest(grams) AS gram FROM s
+        ), pairs AS (
+            SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS common FROM g a JOIN g b ON a.gram = b.gram AND a.doc_id < b.doc_id GROUP BY 1, 2
+        ), links AS MATERIALIZED (
+            SELECT x, y FROM pairs JOIN s a ON a.doc_id = x JOIN s b ON b.doc_id = y
+            WHERE 100 * common >= 90 * (len(a.grams) + len(b.grams) - common)
+        ), ways AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+        reach AS (
+            SELECT x, y FROM ways UNION SELECT r.x, w.y FROM reach r JOIN ways w ON r.y = w.x
+        )
+        SELECT s.doc_id, CAST(len(grams) AS BIGINT) AS n_shingles, least(s.doc_id, coalesce(min(reach.y), s.doc_id)) AS component_id
+        FROM s LEFT JOIN reach ON reach.x = s.doc_id GROUP BY s.doc_id, grams
+    """,
 }
