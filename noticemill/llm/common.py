@@ -52,6 +52,22 @@ def stored(df: DataFrame) -> DataFrame:
     return written
 
 
+#: Bytes of text that a task hands to Python at a time.
+BATCH_BYTES = 8 << 20
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Have Arrow batches bounded in bytes, not in rows alone: ten thousand long texts at a time would be too much for a task.
+
+    This is the session's setting, which plans read when they run; a smaller bound of the caller's stays.
+    """
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = spark.conf.get(name, None)
+    given = int(now.removesuffix("b")) if now and now.removesuffix("b").lstrip("-").isdigit() else None
+    if now is None or given is not None and not 0 < given <= BATCH_BYTES:
+        spark.conf.set(name, str(BATCH_BYTES))
+
+
 def forget(*tables: DataFrame | None) -> None:
     """Remove tables that ``stored`` has written and nobody will read again; others stay as they are."""
     for df in tables:

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import near_duplicates as nd
-from .common import forget, matched, stored
+from .common import bounded_batches, forget, matched, stored
 
 WIDTH, SIMILARITY = 3, 0.9
 #: N-grams of a segment whose overlap is counted in one place, on average at most.
@@ -96,6 +96,7 @@ def sketch(docs: DataFrame, width: int, share: Fraction) -> DataFrame:
                     yield made(batch.column("doc_id").slice(begin, len(rows)), rows)
                     rows, begin, room = [], i + 1, KEYS
 
+    bounded_batches(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     return rows.mapInArrow(run, "doc_id long, n_shingles long, sum1 long, sum2 long, keys array<long>, parity binary")
 

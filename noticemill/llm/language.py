@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import bounded_batches, cut
 from .labels import sample_of_each, with_labels
 
 #: Bound of the training sample: documents of each language.
@@ -185,6 +185,7 @@ def learn_filters(docs: DataFrame, held_out: Column, per_language: int = SAMPLE_
     few as there are; their names, counts and filters are gathered on the driver, ``CELL_BITS`` and 64 languages a slice of 2 MB.
     A document named more than once, under several languages, counts for the first of them.
     """
+    bounded_batches(docs.sparkSession)
     sample = _sample(docs, held_out, per_language).drop_duplicates("doc_id").rename(columns={"lang": "label"})
     languages = sorted(sample["label"].unique()) if len(sample) else []
     if not languages:
@@ -219,8 +220,9 @@ def identify(docs: DataFrame, filters: Filters, predicted_as: str = "lang_pred",
 
     Null texts and texts without a letter are ``und`` with score 0, as is every text where nothing was learnt.  Repeated rows
     get equal values; an empty table stays empty.  Columns of ``docs`` of the two
-    names are replaced.
+    names are replaced.  Whole texts are looked up, long ones in parts.  Of languages that fit equally well the first name wins.
     """
+    bounded_batches(docs.sparkSession)
 
     @F.pandas_udf("lang_pred string, score double")
     def predict(texts: pd.Series) -> pd.DataFrame:

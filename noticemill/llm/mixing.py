@@ -231,7 +231,8 @@ def mix(docs: DataFrame) -> DataFrame:
 
     Null sources are one source, after all others; null texts have size 0 and are never taken; null ids are ids like any
     other.  Rows that agree in id, source and size are alike, and each still is a row of the result.  Reruns agree, whatever
-    the partitioning.  An empty table gives an empty result; other columns are not read.
+    the partitioning.  Words of whole texts are counted, whatever their length.  An empty table gives an empty result; other columns
+    are not read.  Targets are found from one row a source.
     """
     planned = plan_copies(cut(document_sizes(docs)))
     each = planned.withColumn("nth", F.explode(F.sequence(F.lit(1).cast("long"), F.col("rows"))))

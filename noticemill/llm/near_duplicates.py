@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import forget, matched, stored
+from .common import bounded_batches, forget, matched, stored
 
 #: Bands of each collection, and minima of a band.  At similarity 0.8 a pair shares no table once in 11,000 times.
 BANDS, ROWS = 14, 3
@@ -127,6 +127,7 @@ def sketch(docs: DataFrame, width: int) -> DataFrame:
             # ids never pass through pandas, which would round longs that stand beside a null
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *arrays], ["doc_id", *SET, "bands", "second", "parity"])
 
+    bounded_batches(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     return rows.mapInArrow(run, "doc_id long, n_shingles long, sum1 long, sum2 long, bands array<long>, second binary, parity binary")
 
@@ -648,7 +649,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, similarity: float = 0.8) ->
     Words are runs without ASCII white space, A-Z in lower case.  Null and empty texts, and texts without a word, have no
     shingles and are linked with nothing.  Rows that repeat an id are one document; if their texts differ, that of most
     shingles is linked (ties: by the sums of its hashes), while each row tells the size of its own.  A row whose id is null is
-    linked with nothing, has no component and is kept.  Other columns are not read; an empty table gives an empty result.
+    linked with nothing, has no component and is kept.  Whole texts are read, of any length.  Other columns are not read; an empty table gives an empty result.
     """
     rows = Sketched(sketch(docs, width), ["bands", "second", "parity"])
     found = rows.placed(_linked(docs, rows.nodes, width, similarity))

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, with_ids
+from .common import bounded_batches, cut, with_ids
 from .labels import label_sample, with_labels
 
 #: Bound of the labelled sample, for each label value.
@@ -106,9 +106,10 @@ def score_quality(docs: DataFrame, labels: DataFrame, held_out: Column, per_clas
     """doc_id, ``score`` (0 to 1) and ``predicted`` (0 or 1) for each row of ``docs``.
 
     ``labels`` has doc_id and quality; rows for which ``held_out``, an expression over doc_id, is true are not learnt from.
-    Null, empty and blank texts have statistics of zero and are scored like any other.  Repeated rows score alike; an empty
-    table gives an empty result.  If the labels do not show both classes, every score is 0.5.  Other columns are not read.
+    Statistics are of whole texts.  Null, empty and blank texts have statistics of zero and are scored like any other.  Repeated rows score alike, and one of
+    them, that whose statistics hash lowest, is learnt from; an empty table gives an empty result.  If the labels do not show both classes, every score is 0.5.  Other columns are not read.
     """
+    bounded_batches(docs.sparkSession)
     rows = docs.select("doc_id", "text")
     kind = rows.schema["doc_id"].dataType.simpleString()
     measured = cut(rows.mapInArrow(_measure, f"doc_id {kind}, x array<double>"))
