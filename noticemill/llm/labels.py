@@ -34,8 +34,13 @@ def label_sample(labels: DataFrame, label: str, trained: Column, per_class: int,
 
 
 def with_labels(docs: DataFrame, sample: pd.DataFrame, columns: list[str]) -> DataFrame:
-    """The sample's documents with their labels; the sample is small by construction, so it travels to the documents."""
+    """The sample's documents with their labels; the sample is small by construction, so it travels to the documents.
+
+    Of rows that repeat an id one is taken, that whose values hash lowest, so that the sample is bounded in rows as well.
+    """
     if sample.empty:
         return docs.select(*columns).withColumn("label", F.lit(None).cast("int")).limit(0)
     small = docs.sparkSession.createDataFrame(sample[["doc_id", "label"]])
-    return docs.select(*columns).join(F.broadcast(small), "doc_id")
+    given = docs.select(*columns).join(F.broadcast(small), "doc_id")
+    rest = [c for c in given.columns if c != "doc_id"]
+    return given.groupBy("doc_id").agg(F.min_by(F.struct(*rest), F.xxhash64(*rest)).alias("row")).select("doc_id", "row.*")

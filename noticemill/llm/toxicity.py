@@ -14,15 +14,17 @@ import functools
 import math
 import re
 import unicodedata
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import bounded_batches, cut
 from .labels import label_sample, with_labels
 
 #: Bound of the labelled sample, for each label value.
@@ -37,7 +39,11 @@ SHORTEST, LONGEST = 4, 16
 # Seed entries and their weights.
 SEEDS = {"idiot": 3.0, "moron": 3.0, "stupid": 2.0, "imbecile": 3.0, "scumbag": 3.5, "dumbass": 3.5, "retard": 3.0, "bastard": 3.0, "bitch": 3.5, "asshole": 4.0, "fuck": 4.0, "cunt": 4.0, "whore": 3.5, "slut": 3.5}
 # Phrases in which a hit does not count.
-EXCEPTIONS = ("retardant", "flame retard", "fire retard", "retardation factor", "not stupid", "stupidly simple")
+EXCEPTIONS = (
+    "retardant", "flame retard", "fire retard", "retardation factor", "not stupid", "stupidly simple",
+    "bastard file", "bastard sword", "bastard title", "bastard toadflax", "bitches brew", "idiot board", "idiot light", "idiot proof", "idiot-proof", "idiotproof",
+    "not an idiot", "not a moron", "keep it simple stupid", "keep it simple, stupid", "cuntz", "slutsk", "moronidae",
+)
 # Letters that look like a Latin letter, and signs that stand for one.
 HOMOGLYPHS = {
     "a": "аα@4",
@@ -139,9 +145,13 @@ def hits(folded: str, found) -> list[tuple[int, int, float]]:
         if (start and folded[start - 1].isalpha()) or (whole and folded[last + 1 : last + 2].isalpha()):
             continue
         (spans if weight else excused).append((start, last + 1, weight))
-    if excused:
-        spans = [s for s in spans if not any(a <= s[0] and s[1] <= b for a, b, _ in excused)]
-    return spans
+    if not excused:
+        return spans
+    # both lists come in the order of their ends: of the phrases that end no earlier than a hit, the one that begins first decides
+    ends = [b for _, b, _ in excused]
+    begins = list(accumulate((a for a, _, _ in reversed(excused)), min))
+    behind = [len(ends) - bisect_left(ends, b) for _, b, _ in spans]
+    return [s for s, n in zip(spans, behind, strict=True) if not n or begins[n - 1] > s[0]]
 
 
 def measures(text: str | None, found) -> tuple[float, float]:
@@ -180,10 +190,12 @@ def score_toxicity(
     """A score (0 to 1) and a prediction (0 or 1) for each row of ``docs``, beside its own columns.
 
     ``labels`` has doc_id and toxic; rows for which ``held_out``, an expression over doc_id, is true are not learnt from.
-    Null and empty texts score as texts without a hit.  Repeated rows score alike.  Without usable labels the seed list and
+    Null and empty texts score as texts without a hit.  Whole texts are scanned, in time that grows with their length alone.  Repeated
+    rows score alike; of rows that repeat a labelled id one is learnt from, that whose text hashes lowest.  Without usable labels the seed list and
     a default curve decide.  A text with both labels counts as toxic.  The lexicon has ``MOST_ENTRIES`` entries at most, those
     of most toxic documents, of ``SHORTEST`` to ``LONGEST`` letters; longer words match by their beginnings.  Columns of ``docs`` named ``score_as`` or ``predicted_as`` are replaced.
     """
+    bounded_batches(docs.sparkSession)
     sample = label_sample(labels, "toxic", ~held_out, per_class)
     given = with_labels(docs, sample, ["doc_id", "text"]).where(F.col("text").isNotNull())
     given = cut(given.groupBy("text").agg(F.max("label").alias("label")))  # small by construction; learnt from three times

@@ -170,3 +170,34 @@ def test_long_texts_go_in_parts(monkeypatch):
         share, letters = language.Filters(["aa", "bb"], grams).shares(texts)
         seen.append((counts.to_numpy().tolist(), share.tolist(), letters.tolist()))
     assert seen[0] == seen[1] == seen[2]
+
+
+def test_exception_phrases_are_swept_once():
+    """Equal to looking at every phrase for every hit, and in time that grows with the text."""
+    import random
+    import time
+
+    found = toxicity.automaton((("idiot", 2.0), ("stupid", 1.0), ("moron", 3.0)))
+    rnd = random.Random(4)
+    parts = ["idiot", "idiot proof", "not an idiot", "not stupid", "stupid", "moron", "moronidae", "not a moron", "plain"]
+    for _ in range(200):
+        text = " ".join(rnd.choice(parts) for _ in range(30))
+        phrases = [(m, m + len(p)) for p in toxicity.EXCEPTIONS for m in range(len(text)) if text.startswith(p, m)]
+        phrases = [(a, b) for a, b in phrases if not a or not text[a - 1].isalpha()]
+        words = [(a, a + len(w), x) for w, x in (("idiot", 2.0), ("stupid", 1.0), ("moron", 3.0)) for a in range(len(text)) if text.startswith(w, a)]
+        words = [(a, b, x) for a, b, x in words if not a or not text[a - 1].isalpha()]
+        assert sorted(toxicity.hits(text, found)) == sorted(w for w in words if not any(a <= w[0] and w[1] <= b for a, b in phrases))
+    long = "fire retardant idiot proof moron " * 30_000  # 1 MB
+    began = time.time()
+    assert len(toxicity.hits(long, found)) == 30_000
+    assert time.time() - began < 5
+
+
+def test_a_repeated_labelled_id_is_one_row_of_the_sample(spark):
+    from noticemill.llm.labels import label_sample, with_labels
+
+    docs = spark.createDataFrame([(1, f"text {i}") for i in range(3000)] + [(2, "other"), (None, "none")], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (2, 0), (None, 1)], "doc_id long, toxic int")
+    given = with_labels(docs, label_sample(labels, "toxic", F.lit(True), 10), ["doc_id", "text"])
+    assert sorted((r.doc_id, r.label) for r in given.collect()) == [(1, 1), (2, 0)]
+    assert given.collect()[0].text == with_labels(docs.repartition(5), label_sample(labels, "toxic", F.lit(True), 10), ["doc_id", "text"]).collect()[0].text
