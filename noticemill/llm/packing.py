@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -21,8 +22,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut, with_ids
-from .tokens import encoder
+from .common import bounded_batches, cut, with_ids
+from .tokens import encoder, id_runs
 
 WINDOW = 4096
 END_ID = 2
@@ -121,6 +122,7 @@ def plan(histogram: np.ndarray, depth: int = DEPTH, unit: int = 1) -> list[tuple
 
 def pieces(docs: DataFrame, path: str, window: int = WINDOW, end_id: int = END_ID, keep_ids: bool = False) -> DataFrame:
     """Pieces of every document: doc_id, start, length, ids_crc32, doc_tokens (and ids)."""
+    bounded_batches(docs.sparkSession)
     tail = np.array([end_id], dtype="<u4").tobytes()
 
     made = ["start", "length", "ids_crc32", "doc_tokens"]
@@ -129,13 +131,21 @@ def pieces(docs: DataFrame, path: str, window: int = WINDOW, end_id: int = END_I
     def pieces_of(pdf: pd.DataFrame) -> tuple[list[int], pd.DataFrame]:
         enc, places, rows = encoder(path), [], []
         for place, text in enumerate(pdf["text"]):
-            ids = enc.ids(text or "") + tail
-            n = len(ids) >> 2
-            for at in range(0, n, window):
-                own = ids[4 * at : 4 * (at + window)]
+            first, at, rest = len(rows), 0, b""
+            for ids in chain(id_runs(enc, text or ""), [tail]):
+                rest += ids
+                whole = len(rest) // (4 * window) * window
+                for begin in range(0, whole, window):
+                    rows.append((at + begin, rest[4 * begin : 4 * (begin + window)]))
+                at, rest = at + whole, rest[4 * whole :]
+            if rest:
+                rows.append((at, rest))
+            n = rows[-1][0] + (len(rows[-1][1]) >> 2)
+            for i in range(first, len(rows)):
+                at, own = rows[i]
                 row = (at, len(own) >> 2, zlib.crc32(own), n)
-                places.append(place)
-                rows.append((*row, np.frombuffer(own, "<u4").astype(np.int64)) if keep_ids else row)
+                rows[i] = (*row, np.frombuffer(own, "<u4").astype(np.int64)) if keep_ids else row
+            places += [place] * (len(rows) - first)
         return places, pd.DataFrame(rows, columns=schema.names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -157,7 +167,7 @@ def pack(
 ) -> DataFrame:
     """Place every id of every document into exactly one sequence of at most ``window`` ids.
 
-    Null and empty texts give the single closing id.  Rows with the same id or text are packed one by one; other columns are
+    Null and empty texts give the single closing id.  Long texts are encoded from one stable boundary to the next.  Rows with the same id or text are packed one by one; other columns are
     not read; an empty table gives an empty result.  Pieces of one sequence have offsets without gaps from 0.  With
     ``keep_ids`` the ids themselves are returned too.
     """

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import with_ids
+from .common import bounded_batches, with_ids
 
 #: Bound of a worker's memory of pieces; at the bound it starts afresh.
 MEMO_ENTRIES = 400_000
@@ -183,6 +183,32 @@ def encoder(path: str) -> PieceEncoder:
     return PieceEncoder(path)
 
 
+def _cut_at(text: str, begin: int, end: int) -> int:
+    """A stable boundary: the last one after ``begin`` up to ``end``, else the first one behind, else the end of the text."""
+    back = OVERLAP_CHARS
+    while True:
+        low = max(begin + 1, end - back)
+        if found := [m.start() for m in _STABLE.finditer(text, low, min(end + 1, len(text)))]:
+            return found[-1]
+        if low == begin + 1:
+            behind = _STABLE.search(text, end)
+            return behind.start() if behind else len(text)
+        back *= 4
+
+
+def id_runs(enc: PieceEncoder, text: str, chunk: int = CHUNK_CHARS) -> Iterator[bytes]:
+    """The ids of a text, some ``chunk`` characters at a time: what lies between two stable boundaries has ids of its own."""
+    if not enc.known or len(text) <= chunk:
+        yield enc.ids(text)
+        return
+    begin = 0
+    while begin < len(text):
+        end = begin + chunk
+        end = _cut_at(text, begin, end) if end < len(text) else len(text)
+        yield enc.ids(text[begin:end])
+        begin = end
+
+
 def spliced_count(enc: PieceEncoder, text: str, chunk: int = CHUNK_CHARS, overlap: int = OVERLAP_CHARS) -> int:
     """Tokens of a long text from overlapping chunks, spliced where two neighbours agree on a stable boundary.
 
@@ -239,6 +265,8 @@ def count_tokens(
     ``path`` is the vocabulary file; it must exist under that name on every worker.
     """
 
+    bounded_batches(docs.sparkSession)
+
     def counted(pdf: pd.DataFrame) -> tuple[None, pd.DataFrame]:
         enc = encoder(path)
         n = [len(enc.ids(t)) >> 2 if len(t) <= chunk else spliced_count(enc, t, chunk, overlap) for t in pdf["text"]]

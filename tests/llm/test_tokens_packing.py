@@ -143,3 +143,36 @@ def test_padding_of_short_texts(spark):
     docs = spark.createDataFrame(pd.DataFrame({"doc_id": range(len(words)), "text": ["a " * n for n in words]}))
     got = packing.pack(docs, PATH).toPandas()
     assert len(got) >= len(words) and got.length.sum() / (4096 * got.sequence_id.nunique()) > 0.97
+
+
+def test_ids_of_long_texts_come_in_runs(library):
+    rnd, enc = random.Random(9), tokens.encoder(PATH)
+    for trial in range(300):
+        words = [rnd.choice(["word", "Größe", "日本語。", "don't", "x1.y", "<|endoftext|>", "́", "ab" * 40, "é"]) for _ in range(rnd.randrange(1, 60))]
+        text = rnd.choice(["", " ", "\n\n"]).join(words)
+        runs = list(tokens.id_runs(enc, text, rnd.choice([8, 30, 100])))
+        assert list(np.frombuffer(b"".join(runs), "<u4")) == library.encode(text, add_special_tokens=False).ids
+
+
+def test_memory_of_a_very_long_text():
+    """Pieces of 20 MB of text take little more memory than the text."""
+    import tracemalloc
+
+    text = " ".join(f"w{i % 977} some more words, and others;" for i in range(640_000))
+    enc = tokens.encoder(PATH)
+    list(tokens.id_runs(enc, text[: 1 << 20]))
+    tracemalloc.start()
+    n = sum(len(ids) for ids in tokens.id_runs(enc, text)) // 4
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(text) > 19 << 20 and n > 5_000_000 and peak < 100 << 20
+
+
+def test_pack_of_a_long_text(spark, library, monkeypatch):
+    text = " ".join(f"w{i} and" for i in range(40_000))
+    ids = [*library.encode(text, add_special_tokens=False).ids, packing.END_ID]
+    docs = spark.createDataFrame([(1, text), (2, None)], "doc_id long, text string")
+    got = sorted(packing.pack(docs, PATH, keep_ids=True).collect(), key=lambda r: (r.doc_id, r.start))
+    assert [i for r in got if r.doc_id == 1 for i in r.ids] == ids
+    assert all(r.ids_crc32 == zlib.crc32(np.array(r.ids, "<u4").tobytes()) and r.length == len(r.ids) for r in got)
+    assert {r.doc_tokens for r in got if r.doc_id == 1} == {len(ids)}
