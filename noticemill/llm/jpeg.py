@@ -3,7 +3,8 @@
 A payload of 64-byte blocks is stored as one grey image: each byte minus 128 is a quantised coefficient of an 8x8 block, in
 scan order, with a quantisation table of ones.  Baseline coding of coefficients is lossless, so the payload can be read back.
 
-The decoder reads any baseline image (several components, sampling factors, with or without restart intervals).  Restart
+The decoder reads baseline images of one scan (several components, sampling factors, with or without restart intervals); images of
+several scans are refused.  Restart
 segments are independent, so it decodes the segments of many images side by side: step k decodes the k-th symbol of all of
 them.  The writer restarts after each block for that reason.
 """
@@ -22,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import with_ids
+from .common import bounded_batches, with_ids
 
 BLOCK = 64
 #: Blocks that are coded or decoded side by side.
@@ -185,7 +186,7 @@ class Image:
 
 
 def parse(data: bytes) -> Image:
-    """Markers of a baseline image; raises ValueError for other kinds."""
+    """Markers of a baseline image; raises ValueError for other kinds and for several scans."""
     if data[:2] != bytes([0xFF, SOI]):
         raise ValueError("not a JPEG")
     image, at = Image(), 2
@@ -223,6 +224,8 @@ def parse(data: bytes) -> Image:
             image.comment = body
         elif marker == SOS:
             image.chosen = {body[1 + 2 * i]: body[2 + 2 * i] for i in range(body[0])}
+            if image.chosen.keys() != {c for c, *_ in image.parts}:
+                raise ValueError("an image of several scans")
             end = data.rfind(bytes([0xFF, EOI]))
             image.scan = data[at : end if end >= at else len(data)]
             return image
@@ -372,7 +375,7 @@ def _groups(payloads: list[bytes], most: int = LANES * BLOCK) -> Iterator[list[b
 def store_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep_media: bool = False) -> DataFrame:
     """Store each whole text as a JPEG, read it back and describe it; one row for each row of ``docs``, no shuffle.
 
-    Null texts count as empty, and an empty text is stored as one block of zeros.  Equal texts give equal values.  Repeated
+    Whole texts are stored, of any length.  Null texts count as empty, and an empty text is stored as one block of zeros.  Equal texts give equal values.  Repeated
     rows give repeated results, an empty table an empty one; other columns are not read.  ``feature`` is width x height, the
     64-bit hash of the DC-only thumbnail, and the thumbnail's crc32.  With ``keep_media`` the stored bytes come along.
     """
@@ -397,6 +400,7 @@ def store_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return with_ids(batches, described, ["doc_id"], kinds)
 
+    bounded_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
