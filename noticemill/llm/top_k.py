@@ -17,13 +17,15 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import bounded_batches, stored
 
 #: Rows of an index block and queries of a query block, on average.
 BLOCK_ROWS = 16_384
 QUERY_ROWS = 512
 SCALE = 64
 TOP = 20
+#: Query blocks that meet an index block in one place at most.
+PARTS_TOGETHER = 64
 #: Tasks that the block pairs are dealt over at most.
 MOST_TASKS = 10_000
 
@@ -143,10 +145,8 @@ class Block:
         return self.ids[rows], np.array(total, dtype=np.int64)  # raises if a score does not fit a long
 
 
-def build_index(rows: DataFrame, id_col: str = "vec_id", block_rows: int = BLOCK_ROWS) -> DataFrame:
+def build_index(rows: DataFrame, blocks: int, id_col: str = "vec_id") -> DataFrame:
     """One row for each block: dims, block, ids, bitmaps, low, depth.  ``rows`` has the id and q."""
-    n = rows.count()
-    blocks = max(1, -(-n // block_rows))
     keyed = rows.select(F.col(id_col).cast("long").alias("id"), "q", F.size("q").alias("dims"))
     keyed = keyed.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int"))
 
@@ -161,6 +161,28 @@ def build_index(rows: DataFrame, id_col: str = "vec_id", block_rows: int = BLOCK
     return keyed.where(F.col("dims") > 0).groupBy("dims", "block").applyInPandas(build, schema)
 
 
+def build_queries(asked: DataFrame) -> DataFrame:
+    """One row for each block of queries: dims, part, ids, values (row by row, as narrow as they allow)."""
+
+    def build(pdf: pd.DataFrame) -> pd.DataFrame:
+        values = np.array(pdf["q"].tolist(), dtype=np.int64)
+        kind = next(k for k in ("<i2", "<i4", "<i8") if np.iinfo(k).min <= values.min() and values.max() <= np.iinfo(k).max)
+        row = (pdf["dims"].iloc[0], pdf["part"].iloc[0], pdf["query_id"].to_numpy(), values.astype(kind).tobytes())
+        return pd.DataFrame([row], columns=["dims", "part", "ids", "blob"])
+
+    return asked.where(F.col("dims") > 0).groupBy("dims", "part").applyInPandas(build, "dims int, part int, ids array<long>, blob binary")
+
+
+def _found(block: Block, ids: np.ndarray, queries: np.ndarray, k: int) -> Iterator[pd.DataFrame]:
+    for query_id, q in zip(ids.tolist(), queries, strict=True):
+        own = int(np.searchsorted(block.ids, query_id, "right") - np.searchsorted(block.ids, query_id))
+        rows, scores = block.search(q, k + own)
+        other = rows != query_id
+        rows, scores = rows[other], scores[other]
+        best = np.lexsort((rows, -scores))[:k]
+        yield pd.DataFrame({"query_id": query_id, "id": rows[best], "score": scores[best]})
+
+
 def search(rows: DataFrame, is_query: Column, k: int = TOP, id_col: str = "vec_id", vector: str = "embedding") -> DataFrame:
     """query_id, rank (from 1), the id and score of the k best other rows of each query row.
 
@@ -169,34 +191,42 @@ def search(rows: DataFrame, is_query: Column, k: int = TOP, id_col: str = "vec_i
     give fewer rows, an empty table none.  Rows that repeat an id are candidates each, and not for a query of that id; such a
     query is asked once.  Components of any size are exact, as long as 64 * x and the scores returned fit a long.  Other columns
     are not read.
+
+    Blocks of queries travel to the blocks of the index, which are much larger: an index block is sent once for ``PARTS_TOGETHER``
+    query blocks.  A place is named by index block and group of query blocks, so that no key draws more than those.
     """
-    usable = cut(quantised(rows.select(id_col, vector).where(F.col(id_col).isNotNull()), vector).select(id_col, "q"))
-    index = cut(build_index(usable, id_col))
+    spark = rows.sparkSession
+    bounded_batches(spark)
+    usable = stored(quantised(rows.select(id_col, vector).where(F.col(id_col).isNotNull()), vector).select(id_col, "q"))
+    blocks = max(1, -(-usable.count() // BLOCK_ROWS))
+    index = build_index(usable, blocks, id_col)
     asked = usable.where(is_query).select(F.col(id_col).cast("long").alias("query_id"), "q", F.size("q").alias("dims"))
     asked = asked.dropDuplicates(["query_id"])
     parts = max(1, -(-asked.count() // QUERY_ROWS))
     asked = asked.withColumn("part", F.pmod(F.xxhash64("query_id"), F.lit(parts)).cast("int"))
-    asked = asked.groupBy("dims", "part").agg(F.collect_list(F.struct("query_id", "q")).alias("asked"))
-    # a stated query set against all rows: each block of the index meets each block of queries of its number of components
-    dealt = index.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
-    tasks = min(MOST_TASKS, 1 + 2 * parts * index.count())
-    met = dealt.join(asked, ["dims", "part"]).repartition(tasks, "block", "part")
+    together = max(1, min(PARTS_TOGETHER, parts * blocks // (2 * spark.sparkContext.defaultParallelism)))
+    groups = -(-parts // together)
+    nothing = F.lit(None).cast("array<long>")
+    # a stated query set against all rows: each block of queries meets each block of the index
+    here = build_queries(asked).withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    here = here.select("dims", "block", F.floor(F.col("part") / together).cast("int").alias("group"), "part", "ids", "blob", nothing.alias("low"), nothing.alias("depth"))
+    there = index.withColumn("group", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
+    there = there.select("dims", "block", "group", F.lit(-1).alias("part"), "ids", F.col("bitmaps").alias("blob"), "low", "depth")
+    place = ["dims", "block", "group"]
+    met = there.unionByName(here).repartition(min(MOST_TASKS, 1 + 2 * blocks * groups), *place).sortWithinPartitions(*place, "part")
 
     def find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        block, at = None, None
         for pdf in batches:
             for row in pdf.itertuples(index=False):
-                depth = np.asarray(row.depth, dtype=np.int64)
-                bitmaps = np.frombuffer(row.bitmaps, dtype="<u8").reshape(int(depth.sum()), -(-len(row.ids) // 64))
-                block = Block(np.asarray(row.ids, dtype=np.int64), bitmaps, np.asarray(row.low, dtype=np.int64), depth)
-                out = []
-                for one in row.asked:
-                    own = int(np.searchsorted(block.ids, one["query_id"], "right") - np.searchsorted(block.ids, one["query_id"]))
-                    ids, scores = block.search(np.asarray(one["q"], dtype=np.int64), k + own)
-                    other = ids != one["query_id"]
-                    ids, scores = ids[other], scores[other]
-                    best = np.lexsort((ids, -scores))[:k]
-                    out.append(pd.DataFrame({"query_id": one["query_id"], "id": ids[best], "score": scores[best]}))
-                yield pd.concat(out)
+                ids = np.asarray(row.ids, dtype=np.int64)
+                if row.part < 0:
+                    depth = np.asarray(row.depth, dtype=np.int64)
+                    bitmaps = np.frombuffer(row.blob, dtype="<u8").reshape(int(depth.sum()), -(-len(ids) // 64))
+                    block, at = Block(ids, bitmaps, np.asarray(row.low, dtype=np.int64), depth), (row.dims, row.block, row.group)
+                elif at == (row.dims, row.block, row.group):
+                    values = np.frombuffer(row.blob, dtype=f"<i{len(row.blob) // (len(ids) * row.dims)}")
+                    yield pd.concat(list(_found(block, ids, values.reshape(len(ids), -1).astype(np.int64), k)))
 
     found = met.mapInPandas(find, "query_id long, id long, score long")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "id")

@@ -207,3 +207,36 @@ def test_top_k_of_large_components(spark):
     for a in (0, 20, 40):
         best = sorted(((-sum(x * y for x, y in zip(q[a], q[b], strict=True)), b) for b in q if b != a))[:5]
         assert [got[a, k + 1] for k in range(5)] == [(b, -s) for s, b in best]
+
+
+def test_jpeg_of_several_scans_is_refused():
+    """A scan that names fewer components than the frame."""
+    one = jpeg.write(bytes(range(64)) * 3)
+    at = one.index(bytes([0xFF, jpeg.SOF0]))
+    size = int.from_bytes(one[at + 2 : at + 4], "big")
+    frame = one[at + 4 : at + 2 + size]
+    three = bytes([3]) + bytes([frame[6], 0x11, frame[8]]) + bytes([frame[6] + 1, 0x11, frame[8]]) + bytes([frame[6] + 2, 0x11, frame[8]])
+    body = frame[:5] + three
+    other = one[: at + 2] + (2 + len(body)).to_bytes(2, "big") + body + one[at + 2 + size :]
+    with pytest.raises(ValueError, match="several scans"):
+        jpeg.parse(other)
+
+
+def test_a_long_text_is_stored_whole(spark):
+    text = " ".join(f"w{i}" for i in range(400_000))
+    raw = text.encode() + bytes(-len(text) % 64)
+    row = jpeg.store_texts(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
+    assert (row.n_bytes, row.payload_bytes, row.payload_sha256) == (len(text), len(raw), hashlib.sha256(raw).hexdigest())
+
+
+def test_top_k_over_many_blocks(spark, monkeypatch):
+    """Several index blocks, query blocks and groups of them give what one of each gives."""
+    rnd = random.Random(12)
+    rows = [(i, [rnd.uniform(-1, 1) for _ in range(4 if i % 5 else 3)]) for i in range(400)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    want = sorted(map(tuple, top_k.search(df, F.col("vec_id") % 3 == 0, 7).collect()))
+    for block, asked, together in ((37, 11, 1), (90, 5, 3)):
+        monkeypatch.setattr(top_k, "BLOCK_ROWS", block)
+        monkeypatch.setattr(top_k, "QUERY_ROWS", asked)
+        monkeypatch.setattr(top_k, "PARTS_TOGETHER", together)
+        assert sorted(map(tuple, top_k.search(df, F.col("vec_id") % 3 == 0, 7).collect())) == want
