@@ -3,16 +3,18 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .functions import text, values
-from .operators import charts, diff, history, kpis, merge, search
+from .functions import dates, text, values
+from .operators import charts, diff, digests, history, kpis, merge, search, text_index
 from .oracle import MONTH_RANGE, ORACLE_SQL
 from .schema import NOTICE
-from .sources import cells, envelopes, star
-from .streaming import windows
+from .sinks import runs, scratch, store
+from .sources import cells, envelopes, lines, star
+from .streaming import changes, windows
 
 FIELDS = [f.name for f in NOTICE]
 
@@ -87,6 +89,40 @@ def page_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cells.parse_page_tables(pages[0].unionByName(pages[1]), 2014).drop("page", "nth")
 
 
+def _older_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return star.raw_notices(spark, sf_dir).select("ord", "filing", "company", "effective_date", "employees")
+
+
+def legacy_sheet_newer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A sheet of the newer of the older layouts: headers come again, and one brand is spelled in several ways."""
+    spelled = F.concat(F.get(F.array(*[F.lit(b) for b in text.LEGACY_BRAND]), (F.col("filing") % 3).cast("int")), F.lit(" "), F.col("company"))
+    company = F.when(F.col("filing") % 41 == 0, F.lit("Company")).when(F.col("filing") % 37 == 0, spelled).otherwise(F.col("company"))
+    rows = _older_raw(spark, sf_dir).withColumn("company", company)
+    return merge.merge_by_company(cells.legacy_notices(cells.without_trailer(rows), newer=True))
+
+
+def legacy_sheets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All sheets of an older workbook together, each without its own last rows."""
+    rows = _older_raw(spark, sf_dir).withColumn("sheet", F.col("filing") % 3)
+    return merge.merge_by_company(cells.legacy_notices(cells.without_trailer(rows, sheet="sheet")))
+
+
+#: Spellings of dates by order, as patterns; None is a spreadsheet's serial number.
+DATE_PATTERNS = (
+    "yyyy-MM-dd", "M/d/yyyy", "d MMM yyyy", "MMMM d, yyyy", "EEEE, MMMM d, yyyy", "dd-MMM-yy", "yyyyMMdd", "yyyy/M/d h:mm a", "MM.dd.yyyy",
+    "d'th of' MMMM, yyyy", "yyyy-MM-dd'T'HH:mm:ss'Z'", "MMM. d 'yy", None,
+)
+
+
+def date_spellings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The date of every order, read back from one of many spellings."""
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey", F.col("o_orderdate").cast("date").alias("day"))
+    serial = F.datediff("day", F.lit(dates.EPOCH).cast("date")).cast("string")
+    spelled = F.array(*[F.date_format(F.col("day").cast("timestamp"), p.replace("'yy", "''yy") if p.endswith(" 'yy") else p) if p else serial for p in DATE_PATTERNS])
+    spelled = F.get(spelled, (F.col("o_orderkey") % len(DATE_PATTERNS)).cast("int"))
+    return orders.select("o_orderkey", values.sheet_date(spelled).alias("day"))
+
+
 def legacy_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = star.raw_notices(spark, sf_dir).select("ord", "company", "effective_date", "employees")
     return merge.merge_by_company(cells.legacy_notices(cells.without_trailer(raw)))
@@ -126,7 +162,40 @@ def _no_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return diff.strict(latest, spark.createDataFrame([], NOTICE))[0].select("ord", "company", "effective_date", "employees")
 
 
-def _changelog_tail(spark: SparkSession, sf_dir: str) -> DataFrame:
+def successive(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """Three snapshots, one after another, each without another tenth of the filings."""
+    rows = clean(spark, sf_dir).select("ord", "filing", *FIELDS)
+    return [rows.where(F.col("filing") % 10 != k).drop("filing") for k in range(3)]
+
+
+def stream_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Changes between successive snapshots, followed by a stream that stops after the second and goes on with the third."""
+    feeds, folder = scratch.folder(spark), scratch.folder(spark)
+    buckets = max(1, -(-spark.read.parquet(f"{sf_dir}/lineitem.parquet").count() // changes.BUCKET_KEYS))
+    for k, rows in enumerate(successive(spark, sf_dir), 1):
+        changes.feed(rows, k, buckets).write.parquet(f"{feeds}/taken-{k}")
+        if k > 1:
+            found = changes.follow(spark, feeds, folder)
+    scratch.remove(spark, feeds)
+    return changes.added_and_removed(found)
+
+
+def run_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Change line and totals of each of three runs; an attempt that was never committed leaves no trace."""
+    folder, before = scratch.folder(spark), None
+    for k, rows in enumerate(successive(spark, sf_dir), 1):
+        base = runs.head(spark, folder)
+        with scratch.written(rows) as kept:
+            entry = diff.change_entry(kept, store.read_snapshot(spark, folder, before) if before else None, f"at {k}", FIELDS)
+            totals = store.payload(kept, f"at {k}")
+            runs.write(folder, {"totals": totals, "changes": entry})  # a run that stopped here
+            store.write_run(spark, folder, f"run {k}", kept, totals, entry, base)
+        before = f"run {k}"
+    log = store.read_log(spark, folder).select("run_id", "new_count", "removed_count", "total_employees_new", "total_employees_removed")
+    return log.join(store.read_totals(spark, folder).select("run_id", "total_records", "total_employees"), "run_id")
+
+
+def _log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
     n = F.col("event_id")
     line = F.to_json(
@@ -136,8 +205,23 @@ def _changelog_tail(spark: SparkSession, sf_dir: str) -> DataFrame:
             (n % 7).alias("total_employees_new"),
         )
     )
-    lines = events.select(n.alias("ord"), F.when(n % 4 == 0, F.lit("{broken")).otherwise(line).alias("value"))
-    return envelopes.log_tail(lines).select("ord", "timestamp", "new_count", "total_employees_new")
+    return events.select(n.alias("ord"), F.when(n % 4 == 0, F.lit("{broken")).otherwise(line).alias("value"))
+
+
+def _log_file(spark: SparkSession, sf_dir: str) -> str:
+    """The change log as text files, in its order."""
+    folder = scratch.folder(spark)
+    _log_lines(spark, sf_dir).repartitionByRange(8, "ord").sortWithinPartitions("ord").select("value").write.text(folder)
+    return folder
+
+
+def _tail(log: DataFrame) -> DataFrame:
+    return envelopes.log_tail(log).select("ord", "timestamp", "new_count", "total_employees_new")
+
+
+def changelog_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All lines that can be read of a log in text files, with their numbers."""
+    return envelopes.log_entries(lines.numbered(spark, _log_file(spark, sf_dir))).select("ord", "timestamp", "new_count")
 
 
 def _page(filters: search.Filters, order: Callable[[], list], number: int, size: int) -> Callable[[SparkSession, str], DataFrame]:
@@ -148,6 +232,15 @@ def _page(filters: search.Filters, order: Callable[[], list], number: int, size:
     return run
 
 
+def indexed_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Several texts looked for with one index."""
+    index = text_index.build(search.cells(notices(spark, sf_dir)), scratch.folder(spark))
+    found = [text_index.search(spark, index, field, wanted).select(F.lit(wanted).alias("wanted"), *search.CELLS) for field, wanted in INDEXED]
+    return reduce(DataFrame.unionByName, found)
+
+
+#: Fields and texts of the search with an index: three letters and more, fewer, several words, and none that occurs.
+INDEXED = (("any_text", "NATION_1"), ("company", "labs"), ("company", "x "), ("any_text", "77"), ("company", "000001 & Labs"), ("any_text", "nowhere at all"))
 #: Months that have a column in the matrix of counties and months.
 MONTHS = charts.months_between(*MONTH_RANGE)
 SEARCH = search.Filters(company="Labs", kind="Layoff Permanent", notice_from="1996-01-01", notice_to="1999-12-31")
@@ -163,6 +256,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     ),
     "page_tables": page_tables,
     "legacy_sheet": legacy_sheet,
+    "legacy_sheet_newer": legacy_sheet_newer,
+    "legacy_sheets": legacy_sheets,
+    "date_spellings": date_spellings,
     "change_entry": _change(True),
     "change_entry_no_snapshot": _change(False),
     "merge_duplicates": notices,
@@ -187,7 +283,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "union_sources": _of_records(lambda r: r.select("company", "employees", "effective_date", "county", "city", "industry", "fiscal_year", "source")),
     "union_totals": _of_records(history.grand_totals),
     "fiscal_year_summary": _of_records(lambda r: history.fiscal_year_summary(r, list(range(1993, 2004)))),
+    "year_over_year": _of_records(lambda r: history.year_over_year(r, list(range(1993, 2004)))),
     "multiyear_month": _of_records(history.multiyear_month),
+    "month_lines": _of_records(history.month_lines),
     "kpi_avg_lead": _of_notices(kpis.average_lead),
     "kpi_largest": _of_notices(kpis.largest),
     "kpi_top_county": _of_notices(kpis.top_county),
@@ -195,6 +293,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "notice_search_page": _page(SEARCH, search.newest_first, 2, 50),
     "any_text_search": _of_notices(lambda n: search.cells(n).where(search.Filters(any_text="NATION_1").condition()).select(*search.CELLS)),
     "js_sort_page": _page(search.Filters(), lambda: search.by_cell("notice"), 3, 100),
+    "notice_last_page": _page(search.Filters(), search.newest_first, 10**9, 100),
+    "js_sort_far_page": _page(search.Filters(), lambda: search.by_cell("company", descending=True), 400, 100),
+    "indexed_search": indexed_search,
     "filter_options": _of_notices(search.options),
     "diff_strict_added": _strict(0),
     "diff_strict_removed": _strict(1),
@@ -203,7 +304,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "diff_casefold_removed": _casefold(1),
     "diff_largest_added": _casefold(0, diff.largest),
     "diff_totals": lambda spark, sf_dir: diff.totals(*snapshots(spark, sf_dir)),
-    "changelog_tail": _changelog_tail,
+    "digest_casefold_added": lambda spark, sf_dir: digests.casefold(*snapshots(spark, sf_dir))[0].select("first_ord", "company", "employees"),
+    "digest_casefold_removed": lambda spark, sf_dir: digests.casefold(*snapshots(spark, sf_dir))[1].select("first_ord", "company", "employees"),
+    "digest_totals": lambda spark, sf_dir: digests.totals(*snapshots(spark, sf_dir)),
+    "stream_changes": stream_changes,
+    "run_history": run_history,
+    "changelog_tail": lambda spark, sf_dir: _tail(_log_lines(spark, sf_dir)),
+    "changelog_lines": changelog_lines,
+    "changelog_file_tail": lambda spark, sf_dir: _tail(lines.last(spark, _log_file(spark, sf_dir))),
+    "stream_closed_days": lambda spark, sf_dir: windows.closed_days(spark, f"{sf_dir}/events.parquet"),
     "stream_event_days": lambda spark, sf_dir: windows.event_days(spark, f"{sf_dir}/events.parquet"),
 }
 

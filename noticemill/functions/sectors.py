@@ -41,8 +41,12 @@ def _first_match(x: Column, lists: tuple, otherwise: Column) -> Column:
     return chain.otherwise(otherwise)
 
 
+def is_given(industry: Column) -> Column:
+    field = strip(F.coalesce(industry, F.lit("")))
+    return (field != "") & (field != "nan")
+
+
 def sector(industry: Column, company: Column) -> Column:
     """An industry that no list knows stays, cut to 40 characters."""
     field = strip(F.coalesce(industry, F.lit("")))
-    given = (field != "") & (field != "nan")
-    return F.when(given, _first_match(field, BY_INDUSTRY, F.substring(field, 1, 40))).otherwise(_first_match(company, BY_NAME, F.lit("Other")))
+    return F.when(is_given(industry), _first_match(field, BY_INDUSTRY, F.substring(field, 1, 40))).otherwise(_first_match(company, BY_NAME, F.lit("Other")))

@@ -42,11 +42,21 @@ def fix_company_pdf(x: Column) -> Column:
     return _entities(F.coalesce(x, F.lit("None")), nbsp=False)
 
 
-def fix_company_legacy(x: Column) -> Column:
-    """First and last part around a right quote; other parts are lost."""
+# Spellings of the brand that the newer of the older sheets knows.
+LEGACY_BRAND = ("JUUL", "Juul", "JUUl")
+
+
+def fix_company_legacy(x: Column, brand: bool = False) -> Column:
+    """First and last part around a right quote; other parts are lost.  With ``brand`` other names that hold its letters become its."""
     parts = F.split(x, "&rsquo;")
     joined = F.concat(F.element_at(parts, 1), F.lit("'"), F.element_at(parts, -1))
-    return F.when(F.size(parts) > 1, joined).otherwise(x)
+    fixed = F.when(F.size(parts) > 1, joined)
+    if brand:
+        held = F.lit(False)
+        for spelling in LEGACY_BRAND:
+            held = held | x.contains(spelling)
+        fixed = fixed.when(held, F.lit("Juul Labs, Inc."))
+    return fixed.otherwise(x)
 
 
 def company_group(x: Column) -> Column:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from . import dates
+
 # Date formats that spreadsheets use.
 SHEET_FORMATS = ("yyyy-MM-dd", "yyyy-MM-dd HH:mm:ss", "M/d/yyyy", "M-d-yyyy", "MMM d, yyyy", "MMMM d, yyyy")
 
@@ -23,10 +25,11 @@ def _parsed(x: Column, formats: tuple[str, ...]) -> Column:
 
 
 def sheet_date(x: Column) -> Column:
-    """A cell's date as ISO text; a text that no format reads stays as it is."""
+    """A cell's date, in any usual spelling, as ISO text; a text that is no date stays as it is."""
     text = F.trim(x.cast("string"))
     iso = text.rlike(r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$") & text.try_cast("date").isNotNull()
-    other = F.when(text.rlike("[0-9]"), F.date_format(_parsed(text, SHEET_FORMATS), "yyyy-MM-dd"))  # a text without digits is no date
+    # a text without digits is no date, and most dates are ISO already
+    other = F.when(text.rlike("[0-9]"), F.date_format(dates.any_date(text), "yyyy-MM-dd"))
     return F.when(iso, text).otherwise(F.coalesce(other, x.cast("string")))
 
 
@@ -56,6 +59,12 @@ def iso_days(notice: Column, effective: Column) -> Column:
     return F.when((F.length(n) == 10) & (F.length(e) == 10), F.datediff(as_date(e), as_date(n)))
 
 
+def month_label(month: Column) -> Column:
+    """The short name of a month's number."""
+    names = F.array(*[F.lit(m[:3].capitalize()) for m in dates.MONTHS])
+    return F.when(month.between(1, 12), F.element_at(names, F.greatest(F.lit(1), F.least(F.lit(12), month)).cast("int")))
+
+
 def month_key(d: Column) -> Column:
     return F.date_format(d, "yyyy-MM")
 

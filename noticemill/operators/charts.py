@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import sectors, text, values
+from ..sinks import scratch
 
 TOP_COMPANIES, TOP_COUNTIES, TOP_TREEMAP, TOP_COUNTY_BAR = 25, 20, 80, 10
 
@@ -35,15 +36,14 @@ def _total(name: str = "employees"):
 
 def timeline(notices: DataFrame) -> DataFrame:
     """Dated notices with their hover text, coloured by county, or by company where no notice has a county."""
-    any_county = F.bool_or(F.coalesce(F.trim("county") != "", F.lit(False)))
-    dated = _dated(notices)
-    by_county = dated.agg(any_county.alias("by_county"))  # one row
     hover = F.concat(
         F.lit("<b>"), F.col("company"), F.lit("</b><br>"), F.date_format("effective_on", "MMM dd, yyyy"),
         F.lit("<br>"), F.format_number("employees", 0), F.lit(" employees"),
     )
-    colour = F.when(F.col("by_county"), F.col("county")).otherwise(F.col("company"))
-    return dated.join(F.broadcast(by_county)).select("company", "effective_on", "employees", colour.alias("colour"), hover.alias("hover"))
+    # evaluated once with both colours; the first row with a county decides, and the look for it stops there
+    kept = scratch.stored(_dated(notices).select("company", "county", "effective_on", "employees", hover.alias("hover")))
+    colour = "company" if kept.where(F.trim("county") != "").isEmpty() else "county"
+    return kept.select("company", "effective_on", "employees", F.col(colour).alias("colour"), "hover")
 
 
 def monthly_ma3(notices: DataFrame) -> DataFrame:
@@ -118,7 +118,10 @@ def treemap_parents(notices: DataFrame, n: int = TOP_TREEMAP) -> DataFrame:
 
 
 def sector_breakdown(notices: DataFrame) -> DataFrame:
-    each = typed(notices).groupBy(sectors.sector(F.col("industry"), F.col("company_clean")).alias("sector")).agg(_total())
+    # keywords are looked for once in each industry, and in each name that has none
+    given = F.nullif(text.strip(F.coalesce("industry", F.lit(""))), F.lit(""))
+    names = typed(notices).groupBy(given.alias("industry"), F.when(sectors.is_given(given), F.lit("")).otherwise(F.col("company_clean")).alias("name")).agg(_total())
+    each = names.groupBy(sectors.sector(F.col("industry"), F.col("name")).alias("sector")).agg(_total())
     share = F.round(100 * F.col("employees") / F.sum("employees").over(Window.partitionBy()), 6)
     return each.withColumn("share", share).orderBy(F.desc("employees"), "sector")
 

@@ -4,11 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import text
+from ..sinks import scratch
 
 #: Entries that a change log keeps of each direction, and that a report lists.
 LOG_ENTRIES, REPORT_ENTRIES = 50, 20
+#: Keys that may be sent to every task.
+SENT_KEYS = 1_000_000
 STRICT = ("company", "effective_date", "employees")
 
 
@@ -23,7 +27,8 @@ def strict(new: DataFrame, baseline: DataFrame) -> tuple[DataFrame, DataFrame]:
     return _only_in(new, baseline), _only_in(baseline, new)
 
 
-def _key() -> dict[str, Column]:
+def folded_key() -> dict[str, Column]:
+    """Parts of the key without regard to case."""
     return {
         "k_company": F.lower(text.strip(F.coalesce(F.col("company"), F.lit("")))),
         "k_date": F.coalesce(F.col("effective_date"), F.lit("None")),
@@ -33,7 +38,7 @@ def _key() -> dict[str, Column]:
 
 def _folded(rows: DataFrame) -> DataFrame:
     """One row for each key without regard to case: the last record, at the first one's place."""
-    key = _key()
+    key = folded_key()
     record = F.struct(*rows.columns)
     each = rows.withColumns(key).groupBy(*key).agg(F.max_by(record, "ord").alias("r"), F.min("ord").alias("first_ord"))
     return each.select(*key, "first_ord", "r.*")
@@ -55,7 +60,7 @@ def totals(new: DataFrame, baseline: DataFrame) -> DataFrame:
     sides = [rows.select("company", "effective_date", "employees", F.lit(side).alias("side")) for side, rows in enumerate((new, baseline))]
     rows = lambda side: F.sum((F.col("side") == side).cast("long"))
     # the number of employees is part of the key, so that all rows of a key have the same
-    keys = sides[0].unionByName(sides[1]).groupBy(*[c.alias(k) for k, c in _key().items()])
+    keys = sides[0].unionByName(sides[1]).groupBy(*[c.alias(k) for k, c in folded_key().items()])
     keys = keys.agg(rows(0).alias("new"), rows(1).alias("old"), F.coalesce(F.max("employees"), F.lit(0)).cast("long").alias("each"))
     count = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("long")
     only = lambda own, other: ((F.col(own) > 0) & (F.col(other) == 0)).cast("long")
@@ -68,16 +73,28 @@ def totals(new: DataFrame, baseline: DataFrame) -> DataFrame:
 def change_entry(new: DataFrame, baseline: DataFrame | None, run_ts: str, columns: list[str], n: int = LOG_ENTRIES) -> DataFrame:
     """One line for the change log: counts, sums, and the first ``n`` entries of either direction.
 
-    Without a baseline everything is new, and the line has no total of removed employees.
+    Without a baseline everything is new, and the line has no total of removed employees.  Each side is read once and kept
+    until the line is there; the line is small, with ``n`` entries a direction at most.
     """
-    added, removed = (new, new.where(F.lit(False))) if baseline is None else strict(new, baseline)
-
-    def side(rows: DataFrame, count: str, entries: str, total: str) -> DataFrame:
-        first = rows.orderBy("ord").limit(n).agg(F.array_sort(F.collect_list(F.struct("ord", F.struct(*columns).alias("e")))).alias("x"))
-        first = first.select(F.transform("x", lambda v: v["e"]).alias(entries))
-        return rows.agg(F.count("*").cast("int").alias(count), F.coalesce(F.sum("employees"), F.lit(0)).cast("long").alias(total)).join(first)
-
-    entry = side(added, "new_count", "new_entries", "total_employees_new").join(side(removed, "removed_count", "removed_entries", "total_employees_removed"))
-    if baseline is None:
-        entry = entry.withColumn("total_employees_removed", F.lit(None).cast("long"))
-    return entry.select(F.lit(run_ts).alias("timestamp"), "*")
+    spark, kept = new.sparkSession, [F.col(c) for c in dict.fromkeys(("ord", *STRICT, *columns))]
+    tagged = new.select(*kept, F.lit(0).alias("_side"))
+    if baseline is not None:
+        tagged = tagged.unionByName(baseline.select(*kept, F.lit(1).alias("_side")))
+    with scratch.written(tagged) as both:
+        rows = lambda side: F.sum((F.col("_side") == side).cast("long")).alias(f"_rows{side}")
+        only = both.groupBy(*[F.col(c).alias(f"_{c}") for c in STRICT]).agg(rows(0), rows(1)).where((F.col("_rows0") == 0) | (F.col("_rows1") == 0))
+        total = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("long")
+        of = lambda side: [total(f"_rows{side}").alias(f"n{side}"), total(F.col(f"_rows{side}") * F.col("_employees")).alias(f"e{side}")]
+        found = only.agg(F.count("*").alias("keys"), *of(0), *of(1)).first()
+        sent = F.broadcast(only) if found.keys <= SENT_KEYS else only
+        same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in STRICT]
+        listed = []
+        for side in (0, 1):
+            own = both.where(F.col("_side") == side)
+            own = own if baseline is None else own.join(sent, same, "left_semi")
+            listed.append([r.e for r in own.orderBy("ord").limit(n).select(F.struct(*columns).alias("e")).collect()])
+        entry = T.ArrayType(both.select(*columns).schema)
+    line = (run_ts, found.n0, listed[0], found.e0, found.n1, listed[1], found.e1 if baseline is not None else None)
+    kinds = (T.StringType(), T.IntegerType(), entry, T.LongType(), T.IntegerType(), entry, T.LongType())
+    names = ("timestamp", "new_count", "new_entries", "total_employees_new", "removed_count", "removed_entries", "total_employees_removed")
+    return spark.createDataFrame([line], T.StructType([T.StructField(c, k) for c, k in zip(names, kinds, strict=True)]))

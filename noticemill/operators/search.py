@@ -9,9 +9,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text
+from . import positions
+from .positions import Key
 
 CELLS = ("company", "county", "employees", "notice", "effective", "type", "industry")
 PAGE_SIZES = (50, 100, 150, 200, 0)
+#: Rows that may be sorted off the top for a page.
+NEAR = 20_000
 
 
 def cells(notices: DataFrame) -> DataFrame:
@@ -58,26 +62,31 @@ class Filters:
         return reduce(lambda a, b: a & b, found, F.lit(True))
 
 
-def newest_first() -> list[Column]:
-    return [F.desc("notice"), F.asc("ord")]
+def newest_first() -> list[Key]:
+    return [Key(F.col("notice"), descending=True), Key(F.col("ord"))]
 
 
-def by_cell(name: str, descending: bool = False) -> list[Column]:
+def by_cell(name: str, descending: bool = False) -> list[Key]:
     """A browser's sort: cells that begin with a number first, by number (dates, that is, by year); then texts."""
     number, word = text.number_first(F.col(name)), F.lower(name)
-    if descending:
-        return [number.desc_nulls_last(), word.desc(), F.asc("ord")]
-    return [number.asc_nulls_last(), word.asc(), F.asc("ord")]
+    return [Key(number, descending), Key(word, descending), Key(F.col("ord"))]
 
 
-def page(rows: DataFrame, order: list[Column], number: int = 1, size: int = PAGE_SIZES[0]) -> DataFrame:
-    """Rows of a page; size 0 is everything.  A page beyond the last is the last, one before the first is the first."""
+def page(rows: DataFrame, order: list[Key], number: int = 1, size: int = PAGE_SIZES[0]) -> DataFrame:
+    """Rows of a page; size 0 is everything.  A page beyond the last is the last, one before the first is the first.
+
+    Near pages are cut off the top of the rows.  Pages that begin beyond ``NEAR`` rows are found by counts of ranges, at a cost that does
+    not depend on the page.
+    """
+    sorting = [k.sorted() for k in order]
     if not size:
-        return rows.orderBy(*order)
+        return rows.orderBy(*sorting)
     at = max(1, number)
+    if at * size > NEAR:
+        return positions.page(rows, order, at, size)
     # the rows up to the page asked for tell how many pages there are, as far as it matters
-    top = rows.orderBy(*order).limit(at * size)
-    placed = top.select("*", F.row_number().over(Window.orderBy(*order)).alias("_place"), F.count("*").over(Window.partitionBy()).alias("_rows"))
+    top = rows.orderBy(*sorting).limit(at * size)
+    placed = top.select("*", F.row_number().over(Window.orderBy(*sorting)).alias("_place"), F.count("*").over(Window.partitionBy()).alias("_rows"))
     page_at = F.least(F.lit(at), F.greatest(F.lit(1), F.ceil(F.col("_rows") / size)))
     return placed.where((F.col("_place") > (page_at - 1) * size) & (F.col("_place") <= page_at * size)).drop("_place", "_rows")
 

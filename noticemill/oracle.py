@@ -135,6 +135,21 @@ ORACLE_SQL: dict[str, str] = {
                    THEN string_split(company, '&rsquo;')[1] || chr(39) || string_split(company, '&rsquo;')[-1] ELSE company END AS company, {EMPLOYEES} AS employees
             FROM kept)
         SELECT effective_date, company, {SUM} AS employees, min(ord) AS ord FROM named WHERE employees > 0 GROUP BY 1, 2""",
+    "legacy_sheet_newer": f"""WITH {RAW}, kept AS (
+            SELECT ord, effective_date, employees, CASE WHEN filing % 41 = 0 THEN 'Company'
+                   WHEN filing % 37 = 0 THEN CASE filing % 3 WHEN 0 THEN 'JUUL' WHEN 1 THEN 'Juul' ELSE 'JUUl' END || ' ' || company ELSE company END AS company
+            FROM raw WHERE ord NOT IN (SELECT ord FROM raw ORDER BY ord DESC LIMIT 2)), named AS (
+            SELECT ord, effective_date, {EMPLOYEES} AS employees, CASE WHEN contains(company, '&rsquo;')
+                   THEN string_split(company, '&rsquo;')[1] || chr(39) || string_split(company, '&rsquo;')[-1]
+                   WHEN contains(company, 'JUUL') OR contains(company, 'Juul') OR contains(company, 'JUUl') THEN 'Juul Labs, Inc.' ELSE company END AS company
+            FROM kept WHERE NOT contains(company, 'Company'))
+        SELECT effective_date, company, {SUM} AS employees, min(ord) AS ord FROM named WHERE employees > 0 GROUP BY 1, 2""",
+    "legacy_sheets": f"""WITH {RAW}, kept AS (SELECT * FROM raw QUALIFY row_number() OVER (PARTITION BY filing % 3 ORDER BY ord DESC) > 2), named AS (
+            SELECT ord, effective_date, CASE WHEN contains(company, '&rsquo;')
+                   THEN string_split(company, '&rsquo;')[1] || chr(39) || string_split(company, '&rsquo;')[-1] ELSE company END AS company, {EMPLOYEES} AS employees
+            FROM kept)
+        SELECT effective_date, company, {SUM} AS employees, min(ord) AS ord FROM named WHERE employees > 0 GROUP BY 1, 2""",
+    "date_spellings": "SELECT o_orderkey, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS day FROM orders",
     "change_entry": f"""WITH {DIFF}, added AS ({_anti("latest", "snapshot")}), removed AS ({_anti("snapshot", "latest")})
         SELECT 'run' AS timestamp, CAST((SELECT count(*) FROM added) AS INTEGER) AS new_count, CAST((SELECT count(*) FROM removed) AS INTEGER) AS removed_count,
                coalesce((SELECT {SUM} FROM added), 0) AS total_employees_new, coalesce((SELECT {SUM} FROM removed), 0) AS total_employees_removed,
@@ -182,6 +197,16 @@ ORACLE_SQL: dict[str, str] = {
     "multiyear_month": f"""WITH {UNION}, d AS (SELECT try_cast(effective_date AS DATE) AS day, employees FROM records), e AS (
             SELECT CAST(year(day) AS INTEGER) AS year, CAST(month(day) AS INTEGER) AS month, {SUM} AS employees FROM d WHERE day IS NOT NULL GROUP BY 1, 2)
         SELECT *, year = max(year) OVER () AS is_current FROM e""",
+    "year_over_year": f"""WITH {UNION}, years AS (SELECT unnest(generate_series(1993, 2003)) AS y), past AS (
+            SELECT fiscal_year, {SUM} AS employees FROM records WHERE fiscal_year <> 'current' GROUP BY 1)
+        SELECT CAST(y AS VARCHAR) AS fiscal_year, 'FY ' || y || '-' || right(CAST(y + 1 AS VARCHAR), 2) AS label, 'pdf' AS source,
+               coalesce(employees, 0) AS employees, CAST(NULL AS BIGINT) AS notices
+        FROM years LEFT JOIN past ON CAST(y AS VARCHAR) = fiscal_year
+        UNION ALL SELECT 'current', 'FY 2025-26 (Live)', 'xlsx', {SUM}, count(*) FROM records WHERE fiscal_year = 'current' HAVING count(*) > 0""",
+    "month_lines": f"""WITH {UNION}, d AS (SELECT try_cast(effective_date AS DATE) AS day, employees FROM records), e AS (
+            SELECT CAST(year(day) AS INTEGER) AS year, CAST(month(day) AS INTEGER) AS month, strftime(min(day), '%b') AS label, {SUM} AS employees
+            FROM d WHERE day IS NOT NULL GROUP BY 1, 2)
+        SELECT CAST(year AS VARCHAR) AS line, month, label, employees, year = max(year) OVER () AS is_current FROM e""",
     "kpi_avg_lead": f"""WITH {MERGED}, l AS (SELECT date_diff('day', try_cast(substr(notice_date, 1, 10) AS DATE), try_cast(substr(effective_date, 1, 10) AS DATE)) AS d FROM notices)
         SELECT coalesce(CAST(CAST(round_even(avg(d), 0) AS BIGINT) AS VARCHAR) || 'd', 'N/A') AS avg_lead_days FROM l WHERE d > 0 AND d < 730""",
     "kpi_largest": f"WITH {MERGED} SELECT company, format('{{:,}}', employees) AS employees FROM notices ORDER BY notices.employees DESC, ord LIMIT 1",
@@ -193,6 +218,15 @@ ORACLE_SQL: dict[str, str] = {
     "any_text_search": f"""WITH {CELLS} SELECT {CELL_NAMES} FROM cells WHERE contains(lower(concat_ws(' ', {CELL_NAMES})), 'nation_1')""",
     "js_sort_page": rf"""WITH {CELLS} SELECT {CELL_NAMES} FROM cells
         ORDER BY try_cast(regexp_extract(notice, '^\s*([-+]?\d+\.?\d*)', 1) AS DOUBLE) ASC NULLS LAST, lower(notice), ord LIMIT 100 OFFSET 200""",
+    "notice_last_page": f"""WITH {CELLS}, placed AS (SELECT *, row_number() OVER (ORDER BY notice DESC, ord) - 1 AS place, count(*) OVER () AS n FROM cells)
+        SELECT {CELL_NAMES} FROM placed WHERE place // 100 = (n - 1) // 100""",
+    "js_sort_far_page": rf"""WITH {CELLS}, placed AS (
+            SELECT *, row_number() OVER (ORDER BY try_cast(regexp_extract(company, '^\s*([-+]?\d+\.?\d*)', 1) AS DOUBLE) DESC NULLS LAST, lower(company) DESC, ord) - 1 AS place,
+                   count(*) OVER () AS n FROM cells)
+        SELECT {CELL_NAMES} FROM placed WHERE place // 100 = least(399, (n - 1) // 100)""",
+    "indexed_search": f"""WITH {CELLS}, whole AS (SELECT *, lower(concat_ws(' ', {CELL_NAMES})) AS any_text FROM cells)
+        SELECT w.wanted, {CELL_NAMES} FROM whole, (VALUES ('any', 'NATION_1'), ('company', 'labs'), ('company', 'x '), ('any', '77'), ('company', '000001 & Labs'), ('any', 'nowhere at all')) w(field, wanted)
+        WHERE contains(CASE WHEN w.field = 'any' THEN any_text ELSE lower(company) END, lower(w.wanted))""",
     "filter_options": f"""WITH {MERGED} SELECT DISTINCT 'county' AS kind, {COUNTY_LABEL} AS value FROM notices WHERE {COUNTY_LABEL} <> ''
         UNION ALL SELECT DISTINCT 'industry', {_strip("coalesce(industry, '')")} FROM notices WHERE {_strip("coalesce(industry, '')")} <> ''
         UNION ALL SELECT DISTINCT 'type', layoff_type FROM notices WHERE layoff_type <> ''""",
@@ -206,8 +240,34 @@ ORACLE_SQL: dict[str, str] = {
         SELECT *, latest_employees - snapshot_employees AS employees_delta FROM
         (SELECT count(*) AS latest_count, {SUM} AS latest_employees FROM latest), (SELECT count(*) AS snapshot_count, {SUM} AS snapshot_employees FROM snapshot),
         (SELECT count(*) AS added_count, {SUM} AS added_employees FROM added), (SELECT count(*) AS removed_count, {SUM} AS removed_employees FROM removed)""",
+    "stream_changes": f"""WITH {CLEAN}, counts AS (
+            SELECT company, effective_date, employees, 0 AS a0, count(*) FILTER (WHERE filing % 10 <> 0) AS a1,
+                   count(*) FILTER (WHERE filing % 10 <> 1) AS a2, count(*) FILTER (WHERE filing % 10 <> 2) AS a3
+            FROM clean GROUP BY 1, 2, 3), steps AS (
+            SELECT 1 AS taken, a0 AS b, a1 AS a, * FROM counts UNION ALL SELECT 2, a1, a2, * FROM counts UNION ALL SELECT 3, a2, a3, * FROM counts)
+        SELECT CAST(taken AS BIGINT) AS taken, company, effective_date, employees, CASE WHEN a > b THEN 'added' ELSE 'removed' END AS change, CAST(abs(a - b) AS BIGINT) AS rows
+        FROM steps WHERE a <> b""",
+    "run_history": f"""WITH {CLEAN}, counts AS (
+            SELECT company, effective_date, employees, 0 AS a0, count(*) FILTER (WHERE filing % 10 <> 0) AS a1,
+                   count(*) FILTER (WHERE filing % 10 <> 1) AS a2, count(*) FILTER (WHERE filing % 10 <> 2) AS a3
+            FROM clean GROUP BY 1, 2, 3), steps AS (
+            SELECT 1 AS taken, a0 AS b, a1 AS a, employees FROM counts UNION ALL SELECT 2, a1, a2, employees FROM counts UNION ALL SELECT 3, a2, a3, employees FROM counts)
+        SELECT 'run ' || taken AS run_id, CAST(sum(CASE WHEN b = 0 THEN a ELSE 0 END) AS INTEGER) AS new_count, CAST(sum(CASE WHEN a = 0 THEN b ELSE 0 END) AS INTEGER) AS removed_count,
+               CAST(sum(CASE WHEN b = 0 THEN a * employees ELSE 0 END) AS BIGINT) AS total_employees_new,
+               CASE WHEN taken > 1 THEN CAST(sum(CASE WHEN a = 0 THEN b * employees ELSE 0 END) AS BIGINT) END AS total_employees_removed,
+               CAST(sum(a) AS INTEGER) AS total_records, CAST(sum(a * employees) AS BIGINT) AS total_employees
+        FROM steps GROUP BY taken""",
+    "changelog_lines": """WITH t AS (SELECT event_id, row_number() OVER (ORDER BY event_id) - 1 AS ord FROM events)
+        SELECT ord, 'run ' || event_id AS timestamp, CAST(event_id % 5 AS INTEGER) AS new_count FROM t WHERE event_id % 4 <> 0""",
+    "changelog_file_tail": """WITH t AS (SELECT event_id, -row_number() OVER (ORDER BY event_id DESC) AS ord FROM events ORDER BY event_id DESC LIMIT 10)
+        SELECT ord, 'run ' || event_id AS timestamp, CAST(event_id % 5 AS INTEGER) AS new_count, CAST(event_id % 7 AS BIGINT) AS total_employees_new FROM t WHERE event_id % 4 <> 0""",
+    "stream_closed_days": """SELECT CAST(date_trunc('day', ts) AS TIMESTAMP) AS window_start, event_type, count(*) AS events, round(sum(CAST(value AS DECIMAL(18, 2))), 2) AS value
+        FROM events WHERE date_trunc('day', ts) + INTERVAL 1 DAY <= (SELECT max(ts) FROM events) - INTERVAL 1 DAY GROUP BY 1, 2""",
     "changelog_tail": """WITH t AS (SELECT event_id AS ord, event_type FROM events ORDER BY event_id DESC LIMIT 10)
         SELECT ord, 'run ' || ord AS timestamp, CAST(ord % 5 AS INTEGER) AS new_count, CAST(ord % 7 AS BIGINT) AS total_employees_new FROM t WHERE ord % 4 <> 0""",
     "stream_event_days": """SELECT CAST(date_trunc('day', ts) AS DATE) AS day, event_type, count(*) AS events, round(sum(CAST(value AS DECIMAL(18, 2))), 2) AS value
         FROM events GROUP BY 1, 2""",
 }
+
+for _name in ("casefold_added", "casefold_removed", "totals"):
+    ORACLE_SQL[f"digest_{_name}"] = ORACLE_SQL[f"diff_{_name}"]

@@ -11,7 +11,8 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import charts, diff, history, merge
-from ..sinks import report, store
+from ..sinks import report, runs, store
+from ..sources import envelopes
 
 CHARTS: dict[str, Callable[[DataFrame], DataFrame]] = {
     "timeline": charts.timeline,
@@ -30,6 +31,8 @@ YEAR_CHARTS: dict[str, Callable[[DataFrame], DataFrame]] = {
     "year_months": history.multiyear_month,
 }
 
+MANIFEST = "chart string, status string, error string"
+
 
 @dataclass
 class Outcome:
@@ -41,33 +44,44 @@ class Outcome:
     failed: dict[str, str] = field(default_factory=dict)
 
 
-def run(spark: SparkSession, parsed: DataFrame, folder: str, run_id: str, run_ts: str, source_url: str = "", past: DataFrame | None = None) -> Outcome:
+def run(
+    spark: SparkSession, parsed: DataFrame, folder: str, run_id: str, run_ts: str, source_url: str = "", past: DataFrame | str | None = None, dry_run: bool = False
+) -> Outcome:
     """Store a snapshot of the parsed notices, its changes against the run before, and the chart datasets.
 
-    The baseline of both the change log and the report is the last stored run.  Charts are written under ``charts``; the
-    manifest has the status of each.  ``past`` has the records of earlier years, if there are any.
+    The baseline of both the change log and the report is the last committed run.  Records, totals and change line are committed
+    together, before the charts are written under ``charts``; the manifest has the status of each.  ``past`` has the records of
+    earlier years, or names the folder of their envelopes.  A ``dry_run`` writes nothing, and charts are not looked at.
     """
-    before = next((r for r in store.runs(spark, folder) if r < run_id), None)
+    base = runs.head(spark, folder)
+    before = next((r for r in runs.ids(spark, folder) if r < run_id), None)
     notices = merge.merge_duplicates(parsed).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         baseline = store.read_snapshot(spark, folder, before)
         entry = diff.change_entry(notices, baseline if before else None, run_ts, store.FIELDS)
-        store.append_change(entry, f"{folder}/changes", run_id)
-        line = store.read_changes(spark, f"{folder}/changes").where(F.col("entry_id") == run_id).first()
-        totals = store.write_snapshot(notices, folder, run_id, run_ts, source_url).first()
+        sums = store.payload(notices, run_ts, source_url)
+        if not dry_run:
+            store.write_run(spark, folder, run_id, notices, sums, entry, base, run_ts)
+        line, totals = entry.first(), sums.first()
         text = report.change_report(notices, baseline, run_ts, [line])
+        note = report.message(line, totals.total_records, totals.total_employees)
+        if dry_run:
+            return Outcome(totals, line, spark.createDataFrame([], MANIFEST), text, note)
         live = notices.drop("ord")
+        if isinstance(past, str):
+            past = envelopes.history(spark, past)
         records = history.union_sources(live.where(F.lit(False)) if past is None else past, live)
         plans = [*((n, c, notices) for n, c in CHARTS.items()), *((n, c, records) for n, c in YEAR_CHARTS.items())]
-        failed = {}
+        failed, status = {}, []
         for name, chart, rows in plans:
             try:
                 chart(rows).write.mode("overwrite").parquet(f"{folder}/charts/{name}")
+                found = "empty" if spark.read.parquet(f"{folder}/charts/{name}").isEmpty() else "ok"
             except PySparkException as error:
-                failed[name] = str(error).splitlines()[0]
-        status = [(n, "error" if n in failed else "ok", failed.get(n)) for n, _, _ in plans]
-        manifest = spark.createDataFrame(status, "chart string, status string, error string")
+                failed[name], found = str(error).splitlines()[0], "error"
+            status.append((name, found, failed.get(name)))
+        manifest = spark.createDataFrame(status, MANIFEST)
         manifest.write.mode("overwrite").json(f"{folder}/manifest")
-        return Outcome(totals, line, manifest, text, report.message(line, totals.total_records, totals.total_employees), failed)
+        return Outcome(totals, line, manifest, text, note, failed)
     finally:
         notices.unpersist()

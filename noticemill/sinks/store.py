@@ -2,53 +2,50 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators import merge
-from ..schema import CHANGE, NOTICE
+from ..schema import CHANGE, LATEST_ENVELOPE, NOTICE
+from . import runs
 
 FIELDS = [f.name for f in NOTICE]
 
 
-def write_snapshot(notices: DataFrame, folder: str, run_id: str, run_ts: str, source_url: str = "", dry_run: bool = False) -> DataFrame:
-    """Write the records of a run under ``run_id=...`` and its totals beside them; returns the totals."""
-    totals = merge.payload_totals(notices).withColumns({"last_updated": F.lit(run_ts), "source_url": F.lit(source_url)})
-    if not dry_run:
-        notices.select(*FIELDS, "ord").write.mode("overwrite").json(f"{folder}/records/run_id={run_id}")
-        totals.write.mode("overwrite").json(f"{folder}/totals/run_id={run_id}")
-    return totals
+#: Tables of a run: the records, their totals, and the line of the change log.
+TABLES = ("records", "totals", "changes")
 
 
-def _records(spark: SparkSession, folder: str) -> DataFrame | None:
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in NOTICE) + ", ord string, run_id string"
-    try:
-        return spark.read.schema(schema).json(f"{folder}/records")
-    except AnalysisException as error:
-        if "PATH_NOT_FOUND" not in str(error):
-            raise
-        return None
+def payload(notices: DataFrame, run_ts: str, source_url: str = "") -> DataFrame:
+    """Totals of the records of a run."""
+    return merge.payload_totals(notices).withColumns({"last_updated": F.lit(run_ts), "source_url": F.lit(source_url)})
 
 
-def runs(spark: SparkSession, folder: str) -> list[str]:
-    """Ids of all runs, the last first; read from the totals, which have one row a run."""
-    try:
-        found = spark.read.schema("total_records long, run_id string").json(f"{folder}/totals")
-    except AnalysisException as error:
-        if "PATH_NOT_FOUND" not in str(error):
-            raise
-        return []
-    return [r.run_id for r in found.select("run_id").distinct().orderBy(F.desc("run_id")).collect()]
+def write_run(spark: SparkSession, folder: str, run_id: str, notices: DataFrame, totals: DataFrame, entry: DataFrame, base: int, run_ts: str = "") -> int:
+    """Records, totals and change line of a run, visible together or not at all; returns the version.
+
+    ``base`` is ``runs.head`` as the run began; another run committed since then raises ``runs.Conflict``.  A run that
+    is repeated replaces what it committed before.
+    """
+    tables = {"records": notices.select(*FIELDS, "ord"), "totals": totals, "changes": entry}
+    return runs.commit(spark, folder, runs.write(folder, tables), run_id, base, run_ts)
 
 
 def read_snapshot(spark: SparkSession, folder: str, run_id: str | None) -> DataFrame:
-    """Records of a run; no run, no records."""
-    found = _records(spark, folder) if run_id is not None else None
-    if found is None:
-        return spark.createDataFrame([], NOTICE).withColumn("ord", F.lit(None).cast("string"))
-    return found.where(F.col("run_id") == run_id).drop("run_id")
+    """Records of a committed run; no run, no records."""
+    schema = T.StructType([*NOTICE.fields, T.StructField("ord", T.StringType())])
+    return spark.createDataFrame([], schema) if run_id is None else runs.read(spark, folder, "records", schema, run_id).drop("run_id")
+
+
+def read_totals(spark: SparkSession, folder: str) -> DataFrame:
+    """Totals of all committed runs."""
+    return runs.read(spark, folder, "totals", T.StructType([f for f in LATEST_ENVELOPE if f.name != "records"]))
+
+
+def read_log(spark: SparkSession, folder: str) -> DataFrame:
+    """Change lines of all committed runs, one each."""
+    return runs.read(spark, folder, "changes", CHANGE)
 
 
 def append_change(entry: DataFrame, path: str, entry_id: str) -> None:

@@ -112,15 +112,31 @@ def parse_grid(grid: DataFrame, sheet: str) -> DataFrame:
     return normalise(body.select("ord", *[c.cast("string").alias(f) for f, c in fields.items()])).select("ord", *SHEET_FIELDS)
 
 
-def without_trailer(grid: DataFrame, n: int = 2) -> DataFrame:
-    """A grid (ord, ...) without its last ``n`` rows, which older sheets fill with sums and notes."""
-    last = grid.select("ord").orderBy(F.desc("ord")).limit(n).agg(F.min("ord").alias("_from"))
-    return grid.join(F.broadcast(last)).where(F.col("ord") < F.col("_from")).drop("_from")
+def without_trailer(grid: DataFrame, n: int = 2, sheet: str | None = None) -> DataFrame:
+    """A grid (ord, ...) without its last ``n`` rows, which older sheets fill with sums and notes; with ``sheet``, without those of each.
 
-
-def legacy_notices(rows: DataFrame) -> DataFrame:
-    """Raw text columns company, effective_date and employees of an older sheet: names joined at right quotes, rows of whole numbers."""
-    named = rows.withColumns({"company": text.fix_company_legacy(F.col("company")), "employees": values.headcount(F.col("employees"))})
+    The place of the last rows is found by ``n`` aggregates, one row a sheet, so that no sheet is sorted.
+    """
+    by = [F.col(sheet)] if sheet else []
+    rest = grid
+    for _ in range(n):
+        last = rest.groupBy(*by).agg(F.max("ord").alias("_last"))
+        if sheet:
+            last = last.withColumnRenamed(sheet, "_sheet")
+        same = F.col(sheet).eqNullSafe(F.col("_sheet")) if sheet else F.lit(True)
+        rest = rest.join(F.broadcast(last), same).where(F.col("ord") < F.col("_last")).drop("_last", "_sheet")
+    return rest
+
+
+def legacy_notices(rows: DataFrame, newer: bool = False) -> DataFrame:
+    """Raw text columns company, effective_date and employees of an older sheet: names joined at right quotes, rows of whole numbers.
+
+    The ``newer`` layout repeats its header, whose rows go, and spells one brand in several ways.  Sheets in several tables come as
+    rows with a further column, which stays.
+    """
+    if newer:
+        rows = rows.where(~F.coalesce(F.col("company").contains("Company"), F.lit(False)))
+    named = rows.withColumns({"company": text.fix_company_legacy(F.col("company"), brand=newer), "employees": values.headcount(F.col("employees"))})
     return named.where(F.col("employees") > 0)
 
 

@@ -42,8 +42,12 @@ def metadata(spark: SparkSession, path: str) -> DataFrame:
 
 def log_tail(lines: DataFrame, n: int = 10) -> DataFrame:
     """The last ``n`` lines (ord, value) of a change log, without those that cannot be read."""
-    tail = lines.orderBy(F.desc("ord")).limit(n)
-    parsed = tail.withColumn("entry", F.from_json("value", CHANGE, {"mode": "PERMISSIVE"}))
+    return log_entries(lines.orderBy(F.desc("ord")).limit(n))
+
+
+def log_entries(lines: DataFrame) -> DataFrame:
+    """Entries of all lines (ord, value) of a change log that can be read."""
+    parsed = lines.withColumn("entry", F.from_json("value", CHANGE, {"mode": "PERMISSIVE"}))
     return parsed.where(F.col("entry.timestamp").isNotNull() | F.col("entry.new_count").isNotNull()).select("ord", "entry.*")
 
 
