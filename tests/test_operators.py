@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from noticemill import catalog
 from noticemill.operators import charts, diff, kpis, merge, search
 from noticemill.plans import refresh
-from noticemill.sinks import report, store
+from noticemill.sinks import report, runs, store
 from noticemill.sources import envelopes
 from noticemill.streaming import windows
 
@@ -85,13 +85,14 @@ def test_refresh(spark, tmp_path):
     second = notices(spark, [("A", "2025-01-01", "2025-03-01", 5, "X County", "c", "t"), ("C", None, "2025-03-02", 9, "Y County", "c", "t")])
     out = refresh.run(spark, second, folder, "2", "t2")
     assert (out.entry.new_count, out.entry.removed_count, out.entry.new_entries[0].company) == (1, 1, "C")
-    assert "| C | 9 |" in out.report and store.runs(spark, folder) == ["2", "1"]
+    assert "| C | 9 |" in out.report and runs.ids(spark, folder) == ["2", "1"]
     assert report.message(out.entry.__class__(**{**out.entry.asDict(), "new_count": 0}), 1, 1) is None
     assert out.manifest.where("status = 'ok'").count() == len(refresh.CHARTS) + len(refresh.YEAR_CHARTS) == 11
     assert refresh.run(spark, second, folder, "2", "t2").entry.new_count == 1  # a repeated run adds no second line
-    assert sorted(r.entry_id for r in store.read_changes(spark, f"{folder}/changes").collect()) == ["1", "2"]
-    lines = [x for p in (tmp_path / "changes" / "entry_id=1").glob("*.json") for x in p.read_text().splitlines()]
-    assert len(lines) == 1 and "total_employees_removed" not in json.loads(lines[0])
+    assert sorted(r.run_id for r in store.read_log(spark, folder).collect()) == ["1", "2"]
+    parts = sorted((tmp_path / "changes").glob("attempt=*/*.json"))
+    first = [x for p in parts for x in p.read_text().splitlines() if json.loads(x)["timestamp"] == "t1"]
+    assert len(first) == 1 and "total_employees_removed" not in json.loads(first[0])
 
 
 def test_payload_order_decides_ties(spark):
@@ -137,3 +138,72 @@ def test_changes_by_batch(spark, tmp_path):
     query.option("checkpointLocation", str(tmp_path / "c")).start().awaitTermination()
     lines = [json.loads(x) for p in (tmp_path / "log").glob("*/*.json") for x in p.read_text().splitlines()]
     assert [(x["new_count"], x["removed_count"]) for x in lines] == [(1, 0)]
+
+
+def test_pages_by_position(spark, monkeypatch):
+    """Any page of any order is that of a sort of all rows."""
+    from noticemill.operators import positions
+
+    rnd = __import__("random").Random(8)
+    rows = [(rnd.choice([None, "a", "b", "c", "9 z", "10", "007"]), None, rnd.choice([None, "2025-01-01", "2025-01-02"]), rnd.randrange(9)) for _ in range(700)]
+    df = search.cells(notices(spark, rows)).cache()
+    monkeypatch.setattr(positions, "FEW", 40)
+    monkeypatch.setattr(positions, "SAMPLE", 60)
+    monkeypatch.setattr(positions, "RANGES", 5)
+    monkeypatch.setattr(search, "NEAR", 0)
+    for order in (search.newest_first(), search.by_cell("company"), search.by_cell("company", descending=True)):
+        whole = [r.ord for r in df.orderBy(*[k.sorted() for k in order]).collect()]
+        for number, size in ((1, 10), (2, 50), (7, 100), (35, 20), (36, 20), (10**9, 100)):
+            at = min(number, -(-len(whole) // size)) - 1
+            assert [r.ord for r in search.page(df, order, number, size).collect()] == whole[at * size : (at + 1) * size]
+    assert search.page(df.where("false"), search.newest_first(), 10**9, 100).count() == 0
+    df.unpersist()
+
+
+@pytest.mark.parametrize("block", [32_768, 64])
+def test_indexed_search_equals_the_scan(spark, tmp_path, monkeypatch, block):
+    from noticemill.operators import text_index
+
+    monkeypatch.setattr(text_index, "BLOCK_ROWS", block)
+    rnd = __import__("random").Random(2)
+    names = ["Ámbar Labs", "ACME & Sons", "a", "", "Zoë", "x" * 50, "acme acme", "😀 smile", None]
+    rows = [(f"{rnd.choice(names) or ''} {rnd.randrange(50)}" if rnd.random() < 0.9 else rnd.choice(names), None, None, rnd.randrange(9), rnd.choice(["X County", None])) for _ in range(500)]
+    df = search.cells(notices(spark, rows))
+    index = text_index.build(df, str(tmp_path))
+    for field, wanted in (("company", "acme"), ("company", "e & s"), ("company", "z"), ("company", "ë "), ("company", "xx"), ("any_text", "x 7"), ("any_text", "😀"), ("company", "none of these"), ("company", "")):
+        condition = search.Filters(**{field: wanted}).condition()
+        want = sorted(r.ord for r in df.where(condition).collect())
+        assert sorted(r.ord for r in text_index.search(spark, index, field, wanted).collect()) == want
+
+
+def test_indexed_search_reads_matching_blocks_only(spark, tmp_path, monkeypatch):
+    from noticemill.operators import text_index
+
+    monkeypatch.setattr(text_index, "BLOCK_ROWS", 32)
+    df = search.cells(notices(spark, [(f"plain {i}" if i != 77 else "needle here", None, None, i) for i in range(600)]))
+    index = text_index.build(df, str(tmp_path), ("company",))
+    found = text_index.search(spark, index, "company", "NEEDLE")
+    assert [r.headcount for r in found.collect()] == [77]
+    assert len(found.inputFiles()) > 0 and text_index.candidates(spark, index, "company", "needle").count() == 1
+
+
+def test_digests_narrow_to_the_change(spark):
+    from noticemill.operators import digests
+
+    same = [(f"Co {i}", None, "2025-01-01", i % 7) for i in range(3000)]
+    a = notices(spark, [*same, ("New", None, None, 1), ("NEW ", None, None, 1)])
+    b = notices(spark, [*same, ("Old", None, "2025-01-01", None)])
+    near = digests.narrowed(a, b)
+    assert near[0].count() + near[1].count() < 600
+    for own, plain in zip(digests.casefold(a, b), diff.casefold(a, b), strict=True):
+        assert sorted(map(tuple, own.collect())) == sorted(map(tuple, plain.collect()))
+    assert digests.totals(a, b).first().asDict() == diff.totals(a, b).first().asDict()
+    assert all(side.count() == 0 for side in digests.narrowed(a, a))
+
+
+def test_headcounts_that_are_missing_count_as_none(spark):
+    from noticemill.operators import history
+
+    records = spark.createDataFrame([(None, "2020-01-05", "2019", "pdf"), (5, "2020-02-05", "current", "xlsx")], "employees long, effective_date string, fiscal_year string, source string")
+    assert [(r.line, r.label, r.employees) for r in history.month_lines(records).collect()] == [("2020", "Jan", 0), ("2020", "Feb", 5)]
+    assert [(r.fiscal_year, r.notices) for r in history.year_over_year(records, [2019, 2018]).collect()] == [("2018", None), ("2019", None), ("current", 1)]
