@@ -5,15 +5,17 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .functions import dates, text, values
 from .operators import charts, diff, digests, history, kpis, merge, search, text_index
 from .oracle import MONTH_RANGE, ORACLE_SQL
+from .plans import ingest
 from .schema import NOTICE
 from .sinks import runs, scratch, store
 from .sources import cells, envelopes, lines, star
+from .sources import words as words_source
 from .streaming import changes, windows
 
 FIELDS = [f.name for f in NOTICE]
@@ -123,6 +125,48 @@ def date_spellings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orders.select("o_orderkey", values.sheet_date(spelled).alias("day"))
 
 
+def placed_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Notices of pages of which only the words and their places are known.
+
+    Rows are set out on pages, each of one layout: cells wrap after a few words, and every word is a little off its place.
+    """
+    raw = star.raw_notices(spark, sf_dir)
+    raw = raw.withColumns({c: _spaced(F.col(c)) for c in ("notice_date", "effective_date")})
+    pages = max(1, -(-spark.read.parquet(f"{sf_dir}/lineitem.parquet").count() // 100))
+    placed = []
+    for k, (header, fields) in enumerate(PAGE_TABLES):
+        page = 2 * F.pmod(F.xxhash64("ord"), F.lit(pages)) + k
+        rows = raw.where(F.col("filing") % 2 == k).select(page.alias("page"), F.row_number().over(Window.partitionBy(page).orderBy("ord")).alias("row"), F.array(*fields).alias("cells"))
+        titles = rows.select("page").distinct().select("page", F.lit(0).alias("row"), F.array(*[F.lit(h.replace(" ", "  ")) for h in header]).alias("cells"))
+        each = titles.unionByName(rows).select("page", "row", F.posexplode("cells").alias("column", "cell"))
+        # dates hold eight words a line, other cells three
+        wide = F.when(F.col("cell").rlike("^[0-9/ ]+$"), 8).otherwise(3)
+        words = each.select("page", "row", "column", wide.alias("wide"), F.posexplode(F.filter(F.split(F.trim("cell"), r"\s+"), lambda w: w != "")).alias("at", "word"))
+        off = lambda seed: F.pmod(F.xxhash64("page", "row", "column", "at", F.lit(seed)), F.lit(100)) / 100
+        x0 = 600 * F.col("column") + F.col("at") % F.col("wide") * F.when(F.col("wide") == 8, 12).otherwise(150) + 2 * off(1)
+        top = 90 * F.col("row") + 12 * F.floor(F.col("at") / F.col("wide")) + off(2)
+        placed.append(words.select("page", x0.alias("x0"), (x0 + 5 * F.char_length("word")).alias("x1"), top.alias("top"), (top + 10).alias("bottom"), "word"))
+    return cells.parse_page_tables(words_source.tables(placed[0].unionByName(placed[1])), 2014).drop("page", "nth", "ord")
+
+
+def incremental_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Merged filings and monthly sums after two files of a hundred have changed and one has gone."""
+    source, folder = scratch.folder(spark), scratch.folder(spark)
+    raw = star.raw_notices(spark, sf_dir).withColumn("file", F.col("filing") % 100)
+    lines_of = lambda rows, at: rows.drop("filing").repartition("file").write.partitionBy("file").json(at)
+    lines_of(raw, source)
+    ingest.ingest(spark, source, folder)
+    for k in (3, 7, 20):
+        scratch.remove(spark, f"{source}/file={k}")
+    changed = raw.where(((F.col("file") == 3) & (F.col("filing") % 200 == 3)) | (F.col("file") == 20))
+    lines_of(changed.withColumn("employees", F.when(F.col("file") == 20, F.lit("1,000")).otherwise(F.col("employees"))), f"{source}/again")
+    ingest.ingest(spark, source, folder)
+    scratch.remove(spark, source)
+    found = ingest.merged(spark, folder)
+    by_month = ingest.months(spark, folder).select(F.col("month").alias("effective_date"), "employees", F.lit("month").alias("company"))
+    return found.unionByName(by_month, allowMissingColumns=True)
+
+
 def legacy_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = star.raw_notices(spark, sf_dir).select("ord", "company", "effective_date", "employees")
     return merge.merge_by_company(cells.legacy_notices(cells.without_trailer(raw)))
@@ -255,6 +299,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         "Detailed WARN Report", ["county", "notice_date", None, "effective_date", "company", "layoff_type", "employees", "address", "industry"], []
     ),
     "page_tables": page_tables,
+    "placed_words": placed_words,
+    "incremental_ingest": incremental_ingest,
     "legacy_sheet": legacy_sheet,
     "legacy_sheet_newer": legacy_sheet_newer,
     "legacy_sheets": legacy_sheets,

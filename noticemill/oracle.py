@@ -68,6 +68,10 @@ TYPED = f"""{MERGED}, typed AS (
     SELECT *, try_cast(effective_date AS DATE) AS effective_on, try_cast(notice_date AS DATE) AS notice_on, {_group("company")} AS company_clean
     FROM notices), dated AS (SELECT * FROM typed WHERE effective_on IS NOT NULL)"""
 SUM = "CAST(sum(employees) AS BIGINT)"
+INGESTED = TYPED.replace(
+    "FROM raw) t",
+    "FROM (SELECT * REPLACE (CASE WHEN filing % 100 = 20 THEN '1,000' ELSE employees END AS employees) FROM raw WHERE filing % 100 <> 7 AND (filing % 100 <> 3 OR filing % 200 = 3)) raw) t",
+)
 COUNTY_MONTH = f"""{TYPED}, each AS (
     SELECT county, strftime(effective_on, '%Y-%m') AS month, {SUM} AS employees FROM dated WHERE trim(county) <> '' GROUP BY 1, 2
 ), top AS (SELECT county FROM each GROUP BY county ORDER BY sum(employees) DESC, county LIMIT 20)"""
@@ -130,6 +134,14 @@ ORACLE_SQL: dict[str, str] = {
                {_strip("coalesce(address, 'None')")} AS address, {_strip("coalesce(layoff_type, 'None')")} AS layoff_type,
                '2014' AS fiscal_year, 'pdf' AS source
         FROM raw) t WHERE trim(company) <> '' AND NOT contains(lower(company), 'company') AND employees >= 1""",
+    "placed_words": f"""WITH {RAW} SELECT * FROM (
+        SELECT {_entities_only("coalesce(company, 'None')")} AS company, {EMPLOYEES} AS employees,
+               CASE WHEN filing % 2 = 0 THEN notice_date END AS notice_date, effective_date, coalesce(nullif({_strip("county")}, ''), 'None') AS county,
+               {_strip("coalesce(address, 'None')")} AS address, coalesce(nullif({_strip("layoff_type")}, ''), 'None') AS layoff_type,
+               '2014' AS fiscal_year, 'pdf' AS source
+        FROM raw) t WHERE trim(company) <> '' AND NOT contains(lower(company), 'company') AND employees >= 1""",
+    "incremental_ingest": f"""WITH {INGESTED} SELECT * FROM notices
+        UNION ALL BY NAME SELECT 'month' AS company, strftime(effective_on, '%Y-%m') AS effective_date, {SUM} AS employees FROM dated GROUP BY 2""",
     "legacy_sheet": f"""WITH {RAW}, kept AS (SELECT * FROM raw WHERE ord NOT IN (SELECT ord FROM raw ORDER BY ord DESC LIMIT 2)), named AS (
             SELECT ord, effective_date, CASE WHEN contains(company, '&rsquo;')
                    THEN string_split(company, '&rsquo;')[1] || chr(39) || string_split(company, '&rsquo;')[-1] ELSE company END AS company, {EMPLOYEES} AS employees

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from html import escape
 
 from pyspark.sql import DataFrame, Row
 
@@ -40,6 +41,30 @@ def change_report(new: DataFrame, baseline: DataFrame, run_ts: str, log: Iterabl
     return "\n".join(out + (lines or ["No entries yet."])) + "\n"
 
 
+def message_html(entry: Row, total_records: int, total_employees: int, run_ts: str = "") -> str | None:
+    """The same message as a small HTML page; None if nothing is new.  Texts are escaped."""
+    if not entry.new_count:
+        return None
+    text = lambda v: escape(str(v)) if v not in (None, "") else "?"
+    shown = list(entry.new_entries or [])[:MESSAGE_ENTRIES]
+    cell = lambda v, right=False: f'<td style="padding:4px 8px{";text-align:right" if right else ""}">{v}</td>'
+    rows = [f"<tr>{cell(text(r.company))}{cell(_number(r.employees), True)}{cell(text(r.effective_date))}{cell(text(r.county))}</tr>" for r in shown]
+    out = [
+        "<html><body>",
+        f"<h2>{entry.new_count:,} new layoff notice{'s' if entry.new_count > 1 else ''}</h2>",
+        f"<p>{entry.total_employees_new:,} employees affected{', ' + text(run_ts) if run_ts else ''}</p>",
+        "<table><tr><th>Company</th><th>Employees</th><th>Effective</th><th>County</th></tr>",
+        *rows,
+        "</table>",
+    ]
+    if entry.new_count > len(shown):
+        out.append(f"<p>... and {entry.new_count - len(shown):,} more</p>")
+    if entry.removed_count:
+        out.append(f"<p>Removed since the last run: {entry.removed_count:,}</p>")
+    out += [f"<p>All notices: {total_records:,} with {total_employees:,} employees</p>", "</body></html>"]
+    return "\n".join(out)
+
+
 def message(entry: Row, total_records: int, total_employees: int) -> tuple[str, str] | None:
     """(subject, text) of a message about a change-log entry; None if nothing is new."""
     if not entry.new_count:

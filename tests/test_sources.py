@@ -1,7 +1,5 @@
 import json
 
-import pytest
-
 from noticemill.sources import cells, envelopes
 
 SHEET = [
@@ -74,11 +72,3 @@ def test_log_tail_cuts_before_it_drops(spark):
     lines = [(i, "broken" if i % 2 else json.dumps({"timestamp": str(i), "new_count": i})) for i in range(30)]
     tail = envelopes.log_tail(spark.createDataFrame(lines, "ord long, value string"))
     assert sorted(r.ord for r in tail.collect()) == [20, 22, 24, 26, 28]
-
-
-def test_workbook_needs_a_reader(spark):
-    try:
-        import openpyxl  # noqa: F401
-    except ImportError:
-        with pytest.raises(RuntimeError):
-            cells.read_workbook(spark, "x.xlsx")
