@@ -26,7 +26,10 @@ def _whole(docs: DataFrame, *columns: str) -> DataFrame:
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the toxicity lexicon does not reject; null and empty texts stay, repeated rows fare alike."""
+    """Documents that the toxicity lexicon does not reject; null and empty texts stay, repeated rows fare alike.
+
+    Whole texts are scanned, of any length.  An empty table stays empty; columns of any name come back as they are.
+    """
     scored = toxicity.score_toxicity(_whole(docs, "doc_id", "text"), table(spark, sf_dir, "labels"), F.lit(False))
     return scored.where(F.col("predicted") == 0).select("row.*")
 
@@ -34,7 +37,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_unknown_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language that the collection names; texts without letters, null ones too, and those that fit none go.
 
-    Where no document names a language nothing can be learnt, and all stay.
+    Where no document names a language nothing can be learnt, and all stay, as does an empty table.  Repeated rows fare alike; long
+    texts are looked up whole, part by part; columns of any name come back as they are.
     """
     filters = language.learn_filters(docs, F.lit(False))
     if not filters.languages:
@@ -47,17 +51,29 @@ def drop_unknown_language(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates, by five-word shingles at 80 percent; texts without words all stay."""
+    """One document of each group of near-duplicates, by five-word shingles at 80 percent; texts without words all stay.
+
+    Rows with a null id stay; of rows that repeat an id one does.  Texts of any length are compared whole.  An empty table stays
+    empty; columns of any name come back as they are.
+    """
     return near_duplicates.one_of_each(docs, width=5, similarity=0.8)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix of sources takes them; those without words go."""
+    """Documents as often as the mix of sources takes them; those without words go.
+
+    Null sources are one source, null ids are ids.  A very long document is taken whole or not.  An empty table stays empty;
+    columns of any name come back as they are.
+    """
     return mixing.mixed_documents(docs)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of all documents, placed into sequences; a null text is one closing id."""
+    """Pieces of all documents, placed into sequences; a null text is one closing id.
+
+    Repeated rows are packed each; long texts are cut into pieces of a window.  An empty table gives no pieces; only id and text
+    are read.
+    """
     return packing.pack(docs, vocabulary())
 
 
