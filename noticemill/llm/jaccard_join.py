@@ -182,11 +182,16 @@ def _similar_sizes(n: str, m: str, share: Fraction) -> Column:
 
 
 def first_pairs(met: DataFrame, share: Fraction) -> DataFrame:
-    """x < y: each document with one of the smallest documents of its segments, that with which it shares the most."""
+    """x < y, written: each document with one of the smallest documents of its segments, that with which it shares the most."""
+    least = F.min(F.struct("doc_id", "n_shingles")).alias("least")
+    hubs = stored(met.groupBy("key").agg(least).select("key", F.col("least.doc_id").alias("hub"), F.col("least.n_shingles").alias("hub_n")))
+    met = matched(met, hubs, ["key"])
     others = met.where((F.col("doc_id") != F.col("hub")) & _similar_sizes("n_shingles", "hub_n", share))
     counted = others.groupBy("doc_id", "hub").agg(F.count("*").alias("shared"))
     best = counted.groupBy("doc_id").agg(F.max(F.struct("shared", -F.col("hub"))).alias("best"))
-    return best.select((-F.col("best.col2")).alias("x"), F.col("doc_id").alias("y"))
+    pairs = stored(best.select((-F.col("best.col2")).alias("x"), F.col("doc_id").alias("y")))
+    forget(hubs)
+    return pairs
 
 
 def open_keys(met: DataFrame, state: nd.Linking) -> DataFrame:
@@ -207,12 +212,11 @@ def open_keys(met: DataFrame, state: nd.Linking) -> DataFrame:
 def _linked(docs: DataFrame, nodes: DataFrame, width: int, similarity: float) -> DataFrame | None:
     share = Fraction(str(similarity))
     keyed = nodes.select("doc_id", "n_shingles", F.explode("keys").alias("key"))
-    least = F.min(F.struct("doc_id", "n_shingles"))
-    shared = keyed.groupBy("key").agg(F.count("*").alias("members"), least.alias("least")).where(F.col("members") > 1)
-    shared = stored(shared.select("key", F.col("least.doc_id").alias("hub"), F.col("least.n_shingles").alias("hub_n")))
-    met = stored(matched(keyed, shared, ["key"]))
+    # keys are counted alone: most are a single document's, and only the others are dealt with their documents
+    shared = stored(keyed.groupBy("key").agg(F.count("*").alias("members")).where(F.col("members") > 1).select("key"))
+    met = stored(matched(keyed, shared, ["key"], "left_semi"))
     state = FragmentLinking(docs, nodes.drop("keys"), width, similarity)
-    pairs = stored(first_pairs(met, share))
+    pairs = first_pairs(met, share)
     state.confirm(pairs)
     keys = stored(open_keys(met.select("key", "doc_id"), state))
     if not keys.isEmpty():

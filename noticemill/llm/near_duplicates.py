@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, forget, matched, stored
+from .common import BROADCAST_ROWS, bounded_batches, forget, matched, stored
 
 #: Bands of each collection, and minima of a band.  At similarity 0.8 a pair shares no table once in 11,000 times.
 BANDS, ROWS = 14, 3
@@ -618,28 +618,38 @@ def _linked(docs: DataFrame, nodes: DataFrame, width: int, similarity: float) ->
 class Sketched:
     """Sketches of all rows, one node for each different set of shingles, and which document is which node.
 
-    ``columns`` of the sketches go with the nodes.  Rows that repeat an id are one document, that of the largest set.
+    ``columns`` of the sketches go with the nodes.  Rows that repeat an id are one document, that of the largest set.  Nodes are
+    rows of the sketches, picked out by their places, so that sketches are written once and not dealt again.
     """
 
     def __init__(self, sketches: DataFrame, columns: list[str]):
-        self.sketches = stored(sketches)
+        self.sketches = stored(sketches.withColumn("at", F.monotonically_increasing_id()))
         usable = self.sketches.where((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull())
-        self.own = usable.groupBy("doc_id").agg(F.max(F.struct(*SET)).alias("own")).select("doc_id", "own.*")
-        self.first = self.own.groupBy(*SET).agg(F.min("doc_id").alias("node"))
-        wanted = self.first.select(F.col("node").alias("doc_id"), *[F.col(c).alias(f"own_{c}") for c in SET])
-        same = [F.col(c) == F.col(f"own_{c}") for c in SET]
-        nodes = usable.join(wanted, "doc_id").where(same[0] & same[1] & same[2]).dropDuplicates(["doc_id"])
-        self.nodes = stored(nodes.select("doc_id", *SET, *columns))
+        largest = F.max(F.struct(*SET, "at")).alias("own")
+        self.own = stored(usable.groupBy("doc_id").agg(largest).select("doc_id", "own.*"))
+        self.first = self.own.groupBy(*SET).agg(F.min(F.struct("doc_id", "at")).alias("one"), F.count("*").alias("copies"))
+        self.first = stored(self.first.select(*SET, F.col("one.doc_id").alias("node"), F.col("one.at").alias("at"), "copies"))
+        self.nodes = matched(self.sketches.where(F.col("n_shingles") > 0), self.first.select("at"), ["at"], "left_semi").select("doc_id", *SET, *columns)
+
+    def _with_nodes(self) -> DataFrame:
+        """doc_id and node of every document.  Sets of very many copies are sent to them, so that none is dealt to one task."""
+        own, sets = self.own.select("doc_id", *SET), self.first.select(*SET, "node", "copies")
+        size = sets.agg(F.count("*").alias("sets"), F.sum("copies").alias("rows")).first()
+        if size.sets <= BROADCAST_ROWS:
+            return own.join(F.broadcast(sets), SET).select("doc_id", "node")
+        hot = F.col("copies") * BROADCAST_ROWS > size.rows  # no more sets than may be sent
+        rest = own.join(F.broadcast(sets.where(hot)), SET, "left_anti").join(sets.where(~hot), SET)
+        return own.join(F.broadcast(sets.where(hot)), SET).unionByName(rest).select("doc_id", "node")
 
     def placed(self, labels: DataFrame | None) -> DataFrame:
         """doc_id, n_shingles, component_id of every row; the sketches themselves are removed, but for the columns needed."""
-        placed = self.own.join(self.first, SET).select("doc_id", "node")
+        placed = self._with_nodes()
         if labels is not None:
             placed = placed.join(labels, "node", "left").select("doc_id", F.coalesce("label", "node").alias("node"))
         found = self.sketches.select("doc_id", "n_shingles").join(placed, "doc_id", "left")
         component = F.when(F.col("doc_id").isNotNull(), F.coalesce("node", "doc_id"))
         whole = stored(found.select("doc_id", "n_shingles", component.alias("component_id")))
-        forget(self.sketches, self.nodes, labels)
+        forget(self.sketches, self.own, self.first, labels)
         return whole
 
 

@@ -141,3 +141,10 @@ def test_query_equals_its_sql_and_leaves_no_tables(spark):
     con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{SMALL}/documents.parquet')")
     assert sorted(map(tuple, rows.collect())) == sorted(con.execute(queries.ORACLE_SQL["op13_jaccard_join"]).fetchall())
     assert len(set(shared.glob("written-*")) - before) == 1
+
+
+def test_sets_of_many_copies_are_dealt_alike(spark, monkeypatch):
+    """Beyond the bound of what is sent, large groups of copies and the others go different ways."""
+    monkeypatch.setattr(nd, "BROADCAST_ROWS", 3)
+    texts = ["copies of one text here"] * 60 + [f"text {i // 2} of two copies" for i in range(40)] + [f"a single text {i}" for i in range(20)]
+    assert found(spark, texts) == brute(texts, 3, 900)
