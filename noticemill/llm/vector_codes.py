@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import BROADCAST_ROWS, stored
+from .common import BROADCAST_ROWS, forget, stored
 from .top_k import quantised
 from .whitening import matrix
 
@@ -200,6 +200,7 @@ def compress(
     codebooks = learn(vectors, parts, entries, rounds)
     if codebooks:
         coded = with_sums(stored(encode(vectors, codebooks)), "label", "error", "label_error")
+        forget(vectors)
     else:
         kinds = {"codes": "array<int>", "error": "decimal(38,0)", "label_error": "decimal(38,0)"}
         coded = vectors.withColumns({c: F.lit(None).cast(k) for c, k in kinds.items()})

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import forget, stored
 from .top_k import quantised
 
 SCALE = 256
@@ -159,6 +159,7 @@ def whiten(rows: DataFrame, components: int = COMPONENTS, scale: int = SCALE, id
         none = [F.lit(None).cast(kind).alias(name) for name, kind in (c.split(" ", 1) for c in empty.split(", "))]
         return source.select(F.col("id").alias(id_col), *none).limit(0)
     error, dims, k = identity_error(fitted, found), len(found.sums), len(found.components)
+    forget(fitted)  # what is still needed of it is in ``found``
 
     def project(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         digits = pa.decimal128(38, 0)

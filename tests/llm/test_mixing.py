@@ -63,7 +63,7 @@ def test_mix(spark):
 def test_each_document_has_its_share(spark):
     """Over many seeds, every single document's mean number of copies is near its source's target over its size."""
     df = spark.createDataFrame([(i, "s" if i % 4 else "t", 10 + 7 * (i % 5)) for i in range(64)], "doc_id long, source string, size long")
-    runs, copies, share = 24, defaultdict(float), {}
+    runs, copies, share = 12, defaultdict(float), {}
     for seed in range(runs):
         old, mixing.SEED = mixing.SEED, 1000 + seed
         for r in mixing.plan_copies(df).collect():
@@ -72,7 +72,7 @@ def test_each_document_has_its_share(spark):
         mixing.SEED = old
     assert len(copies) == 64
     off = [copies[i] - share[i] for i in copies]
-    assert max(map(abs, off)) < 0.5  # five standard errors of a fair coin
+    assert max(map(abs, off)) < 0.6  # four standard errors of a fair coin
     assert sum(o * o for o in off) / 64 < 1.5 * 0.25 / runs  # the spread of fair draws, not of a fixed choice
 
 def test_small_tables(spark):
