@@ -23,8 +23,12 @@ def _entities(x: Column, nbsp: bool) -> Column:
     decoded = F.regexp_replace(F.regexp_replace(plain, "(?i)&rsquo;", "'"), "(?i)&amp;", "&")
     if nbsp:
         decoded = F.regexp_replace(decoded, "(?i)&nbsp;", " ")
-    # most names have no entity, and are spared the patterns
-    return F.regexp_replace(F.when(plain.contains("&"), decoded).otherwise(plain), r"(?U)\s+", " ")
+    # most names have no entity and single blanks only, and are spared the patterns
+    fixed = F.when(plain.contains("&"), decoded).otherwise(plain)
+    wide = (F.octet_length(plain) != F.char_length(plain)) | plain.contains("&")
+    for space in ("  ", "\t", "\n", "\x0b", "\f", "\r"):
+        wide = wide | plain.contains(space)
+    return F.when(wide, F.regexp_replace(fixed, r"(?U)\s+", " ")).otherwise(plain)
 
 
 def fix_company(x: Column, word_boundary: bool = False) -> Column:
