@@ -44,6 +44,12 @@ def snapshots(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     return rows.where(F.col("filing") % 10 != 1).drop("filing"), rows.where(F.col("filing") % 10 != 0).drop("filing")
 
 
+def stored_snapshots(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The same, written first, as snapshots are when they are compared by digests."""
+    latest, snapshot = snapshots(spark, sf_dir)
+    return scratch.stored(latest), scratch.stored(snapshot)
+
+
 # Cells of sheets and page tables made from the raw notices, in the ways that extractors give them.
 NAMED_HEADER = ["Notice Date", "Effective Date", "Company", "No. Of\nEmployees", "County/Parish", "City", "Layoff/Closure Type", "Address", "Related Industry"]
 NAMED_FIELDS = ["notice_date", "effective_date", "company", "employees", "county", "city", "layoff_type", "address", "industry"]
@@ -350,9 +356,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "diff_casefold_removed": _casefold(1),
     "diff_largest_added": _casefold(0, diff.largest),
     "diff_totals": lambda spark, sf_dir: diff.totals(*snapshots(spark, sf_dir)),
-    "digest_casefold_added": lambda spark, sf_dir: digests.casefold(*snapshots(spark, sf_dir))[0].select("first_ord", "company", "employees"),
-    "digest_casefold_removed": lambda spark, sf_dir: digests.casefold(*snapshots(spark, sf_dir))[1].select("first_ord", "company", "employees"),
-    "digest_totals": lambda spark, sf_dir: digests.totals(*snapshots(spark, sf_dir)),
+    "digest_casefold_added": lambda spark, sf_dir: digests.casefold(*stored_snapshots(spark, sf_dir))[0].select("first_ord", "company", "employees"),
+    "digest_casefold_removed": lambda spark, sf_dir: digests.casefold(*stored_snapshots(spark, sf_dir))[1].select("first_ord", "company", "employees"),
+    "digest_totals": lambda spark, sf_dir: digests.totals(*stored_snapshots(spark, sf_dir)),
     "stream_changes": stream_changes,
     "run_history": run_history,
     "changelog_tail": lambda spark, sf_dir: _tail(_log_lines(spark, sf_dir)),

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..sinks import scratch
 from . import diff
 
 COARSE = 4096
@@ -24,14 +25,14 @@ def _hashed(rows: DataFrame) -> DataFrame:
     return rows.withColumns({"h1": F.xxhash64(*key), "h2": F.xxhash64(F.lit(1), *key)})
 
 
-def _digest(*by: str) -> list[Column]:
+def _digest() -> list[Column]:
     """Sums of halves of hashes with the side's sign: longs hold them for two thousand million rows of a bucket."""
     low, high = (lambda h: F.col(h).bitwiseAND(F.lit((1 << 32) - 1))), (lambda h: F.shiftright(h, 32))
     return [F.sum("sign").alias("d0"), *[F.sum(F.col("sign") * part(h)).alias(f"{h}_{i}") for h in ("h1", "h2") for i, part in enumerate((low, high))]]
 
 
 def _differing(both: DataFrame, by: list[str]) -> DataFrame:
-    sums = both.groupBy(*by).agg(*_digest(*by))
+    sums = both.groupBy(*by).agg(*_digest())
     differs = F.lit(False)
     for c in sums.columns[len(by) :]:
         differs = differs | (F.col(c) != 0)
@@ -42,23 +43,38 @@ def _of(rows: DataFrame, buckets: DataFrame, by: list[str]) -> DataFrame:
     return rows.join(F.broadcast(buckets) if buckets.count() <= SENT_BUCKETS else buckets, by, "left_semi")
 
 
+def _placed(coarse_first: bool, fine_buckets: int = 1) -> list[Column]:
+    coarse = F.pmod("h1", F.lit(COARSE)).cast("int").alias("coarse")
+    fine = F.pmod(F.shiftright("h1", 12), F.lit(fine_buckets)).alias("fine")
+    return [coarse] if coarse_first else [coarse, fine]
+
+
+class _Compared:
+    """Both snapshots, read once for their hashes: the fine buckets that differ, and counts and sums of either side."""
+
+    def __init__(self, new: DataFrame, baseline: DataFrame):
+        self.sides = (new, baseline)
+        sides = [_hashed(rows).select("h1", "h2", "employees", F.lit(sign).cast("long").alias("sign")) for rows, sign in zip(self.sides, (1, -1), strict=True)]
+        with scratch.written(sides[0].unionByName(sides[1])) as both:
+            total = F.coalesce(F.sum("employees"), F.lit(0)).cast("long")
+            self.sums = {r.sign: (r.n, r.e) for r in both.groupBy("sign").agg(F.count("*").alias("n"), total.alias("e")).collect()}  # two rows
+            keyed = both.select("h1", "h2", "sign", *_placed(True))
+            with scratch.written(_differing(keyed, ["coarse"])) as differing:
+                some = _of(keyed, differing, ["coarse"])
+                self.fine = max(1, some.count() // (FINE_ROWS * COARSE))
+                self.buckets = scratch.stored(_differing(some.select("*", _placed(False, self.fine)[1]), ["coarse", "fine"]))
+
+    def narrowed(self) -> tuple[DataFrame, DataFrame]:
+        new, old = (_of(_hashed(rows).select("*", *_placed(False, self.fine)), self.buckets, ["coarse", "fine"]).select(*rows.columns) for rows in self.sides)
+        return new, old
+
+
 def narrowed(new: DataFrame, baseline: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Both snapshots without the rows of buckets that agree; every key keeps all of its rows or none.
 
-    What is added, removed or folded by key is the same for what is left.  Three passes read both sides, two of them keys only.
+    What is added, removed or folded by key is the same for what is left.  Either side is read twice, first for its keys alone.
     """
-    sides = [_hashed(rows) for rows in (new, baseline)]
-    keyed = [s.select("h1", "h2", F.lit(sign).cast("long").alias("sign")) for s, sign in zip(sides, (1, -1), strict=True)]
-    coarse = F.pmod("h1", F.lit(COARSE)).cast("int").alias("coarse")
-    both = keyed[0].unionByName(keyed[1]).select("*", coarse)
-    differing = _differing(both, ["coarse"])
-    some = _of(both, differing, ["coarse"])
-    fine_buckets = max(1, some.count() // (FINE_ROWS * COARSE))
-    fine = F.pmod(F.shiftright("h1", 12), F.lit(fine_buckets)).alias("fine")
-    by = ["coarse", "fine"]
-    buckets = _differing(some.select("*", fine), by)
-    found = [_of(s.select("*", coarse, fine), buckets, by).select(*rows.columns) for s, rows in zip(sides, (new, baseline), strict=True)]
-    return found[0], found[1]
+    return _Compared(new, baseline).narrowed()
 
 
 def casefold(new: DataFrame, baseline: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -67,11 +83,9 @@ def casefold(new: DataFrame, baseline: DataFrame) -> tuple[DataFrame, DataFrame]
 
 
 def totals(new: DataFrame, baseline: DataFrame) -> DataFrame:
-    """As ``diff.totals``: whole sides are counted where they are, changes among the rows that differ."""
-    changes = diff.totals(*narrowed(new, baseline))
-    count = lambda n: F.count("*").alias(f"{n}_count")
-    added_up = lambda n: F.coalesce(F.sum("employees"), F.lit(0)).cast("long").alias(f"{n}_employees")
-    whole = [rows.agg(count(n), added_up(n)) for n, rows in (("latest", new), ("snapshot", baseline))]
-    kept = [c for c in changes.columns if c.startswith(("added", "removed"))]
-    joined = whole[0].join(whole[1]).join(changes.select(*kept))  # one row each
-    return joined.withColumn("employees_delta", F.col("latest_employees") - F.col("snapshot_employees"))
+    """As ``diff.totals``: whole sides are counted with their hashes, changes among the rows that differ."""
+    compared = _Compared(new, baseline)
+    changes = diff.totals(*compared.narrowed())
+    (n1, e1), (n0, e0) = (compared.sums.get(sign, (0, 0)) for sign in (1, -1))
+    whole = {"latest_count": n1, "latest_employees": e1, "snapshot_count": n0, "snapshot_employees": e0, "employees_delta": e1 - e0}
+    return changes.withColumns({c: F.lit(v).cast("long") for c, v in whole.items()})
