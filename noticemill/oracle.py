@@ -273,7 +273,7 @@ ORACLE_SQL: dict[str, str] = {
         SELECT ord, 'run ' || event_id AS timestamp, CAST(event_id % 5 AS INTEGER) AS new_count FROM t WHERE event_id % 4 <> 0""",
     "changelog_file_tail": """WITH t AS (SELECT event_id, -row_number() OVER (ORDER BY event_id DESC) AS ord FROM events ORDER BY event_id DESC LIMIT 10)
         SELECT ord, 'run ' || event_id AS timestamp, CAST(event_id % 5 AS INTEGER) AS new_count, CAST(event_id % 7 AS BIGINT) AS total_employees_new FROM t WHERE event_id % 4 <> 0""",
-    "stream_closed_days": """SELECT CAST(date_trunc('day', ts) AS TIMESTAMP) AS window_start, event_type, count(*) AS events, round(sum(CAST(value AS DECIMAL(18, 2))), 2) AS value
+    "stream_closed_days": """SELECT CAST(date_trunc('day', ts) AS DATE) AS day, event_type, count(*) AS events, round(sum(CAST(value AS DECIMAL(18, 2))), 2) AS value
         FROM events WHERE date_trunc('day', ts) + INTERVAL 1 DAY <= (SELECT max(ts) FROM events) - INTERVAL 1 DAY GROUP BY 1, 2""",
     "changelog_tail": """WITH t AS (SELECT event_id AS ord, event_type FROM events ORDER BY event_id DESC LIMIT 10)
         SELECT ord, 'run ' || ord AS timestamp, CAST(ord % 5 AS INTEGER) AS new_count, CAST(ord % 7 AS BIGINT) AS total_employees_new FROM t WHERE ord % 4 <> 0""",

@@ -96,7 +96,8 @@ def append(result: DataFrame, folder: str) -> Appended:
 
 def closed_days(spark: SparkSession, path: str, late: str = "1 day") -> DataFrame:
     """Daily windows that no event can still reach: those that end ``late`` or more before the newest event."""
-    return append(closed(once(_files(spark, path), late=late)), scratch.folder(spark)).rows
+    found = append(closed(once(_files(spark, path), late=late)), scratch.folder(spark)).rows
+    return found.select(F.col("window_start").cast("date").alias("day"), "event_type", "events", "value")
 
 
 def log_changes(baseline: Callable[[], DataFrame], log_path: str, columns: list[str]) -> Callable[[DataFrame, int], None]:
