@@ -19,6 +19,8 @@ from .search import CELLS
 BLOCK_ROWS = 32_768
 END = "\x01\x01"
 SLOTS = "slot int, block int"
+#: Bitmaps, of 4 KB each, that may be sent to every task.
+SENT_BITMAPS = 10_000
 
 
 def _text(field: str) -> Column:
@@ -92,6 +94,6 @@ def search(spark: SparkSession, index: Index, field: str, text: str) -> DataFram
     if wanted:
         chosen = candidates(spark, index, field, wanted)
         blocks = [r.block for r in chosen.select("block").collect()]  # one number a block of 32,768 rows
-        rows = rows.where(F.col("block").isin(blocks)).join(F.broadcast(chosen), "block")
+        rows = rows.where(F.col("block").isin(blocks)).join(F.broadcast(chosen) if len(blocks) <= SENT_BITMAPS else chosen, "block")
         rows = rows.where(_has(F.col("bits"), F.col("slot")) & _text(field).contains(wanted)).drop("bits")
     return rows.drop("block", "slot")

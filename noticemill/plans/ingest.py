@@ -37,7 +37,7 @@ def json_lines(files: DataFrame | None, spark: SparkSession, paths: list[str]) -
     schema = "ord string, " + ", ".join(f"{f} string" for f in FIELDS)
     rows = spark.read.schema(schema).option("recursiveFileLookup", True).json(paths)
     rows = rows.select("*", F.col("_metadata.file_path").alias("file"))
-    return rows if files is None else rows.join(F.broadcast(files), "file", "left_semi")
+    return rows if files is None else rows.join(files, "file", "left_semi")
 
 
 @dataclass(frozen=True)
@@ -127,7 +127,8 @@ def _bring_up(spark: SparkSession, source: str, folder: str, base: int, attempt:
     if parsed:
         paths = [r.path for r in new.select("path").collect()] if parsed <= NAMED_FILES else [source]
         raw = read(None if parsed <= NAMED_FILES else new.select("file"), spark, paths)
-        rows = cells.normalise(raw).withColumn("k", F.xxhash64(*KEYS)).join(F.broadcast(new.select("file", "md5")), "file")
+        named = new.select("file", "md5")
+        rows = cells.normalise(raw).withColumn("k", F.xxhash64(*KEYS)).join(F.broadcast(named) if parsed <= NAMED_FILES else named, "file")
         rows.select(*FIELDS, "ord", "k", "md5").repartition("md5").write.partitionBy("md5").parquet(f"{folder}/rows/attempt={attempt}")
     # files without a row have no folder; the others give keys and files that share them
     went = _rows_of(spark, folder, gone)
