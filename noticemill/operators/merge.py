@@ -13,6 +13,18 @@ def first_in_order(name: str, order: str = "ord") -> Column:
     return F.min_by(name, F.when(F.col(name).isNotNull(), F.col(order)))
 
 
+SORT_KEY = "_hash"
+
+
+def sort_key(*keys: str | Column) -> Column:
+    """A hash of a group's keys, to be grouped by first.
+
+    First texts by order cannot be held in a hash table, so that rows are sorted by group; a number in front decides nearly all
+    comparisons, which texts that begin alike do not.
+    """
+    return F.xxhash64(*keys).alias(SORT_KEY)
+
+
 def payload_order() -> Column:
     """A merged notice's place in a payload as a text that sorts: by effective date, nulls last, then by the other keys."""
     names = ("effective_date", *[k for k in KEYS if k != "effective_date"])
@@ -24,15 +36,17 @@ def merge_duplicates(rows: DataFrame) -> DataFrame:
 
     ``ord`` is the place in the payload, which decides ties from here on.
     """
-    return rows.groupBy(*KEYS).agg(
+    merged = rows.groupBy(sort_key(*KEYS), *KEYS).agg(
         F.sum("employees").cast("long").alias("employees"),
         *[first_in_order(c).alias(c) for c in ("notice_date", "address", "industry")],
-    ).withColumn("ord", payload_order())
+    )
+    return merged.drop(SORT_KEY).withColumn("ord", payload_order())
 
 
 def merge_by_company(rows: DataFrame) -> DataFrame:
     """The older merge: by date and company only; ``ord`` is where a pair appeared first."""
-    return rows.groupBy("effective_date", "company").agg(F.sum("employees").cast("long").alias("employees"), F.min("ord").alias("ord"))
+    keys = ("effective_date", "company")
+    return rows.groupBy(sort_key(*keys), *keys).agg(F.sum("employees").cast("long").alias("employees"), F.min("ord").alias("ord")).drop(SORT_KEY)
 
 
 def payload_totals(notices: DataFrame) -> DataFrame:
