@@ -39,17 +39,11 @@ def records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def snapshots(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """(latest, snapshot): each lacks a tenth of the filings that the other has."""
-    rows = clean(spark, sf_dir).select("ord", "filing", *FIELDS)
+    """(latest, snapshot): each lacks a tenth of the filings that the other has.  Notices are cleaned once for both."""
+    rows = scratch.stored(clean(spark, sf_dir).select("ord", "filing", *FIELDS))
     return rows.where(F.col("filing") % 10 != 1).drop("filing"), rows.where(F.col("filing") % 10 != 0).drop("filing")
 
 
-def stored_snapshots(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """The same, written first, as snapshots are when they are compared by digests."""
-    latest, snapshot = snapshots(spark, sf_dir)
-    return scratch.stored(latest), scratch.stored(snapshot)
-
-
 # Cells of sheets and page tables made from the raw notices, in the ways that extractors give them.
 NAMED_HEADER = ["Notice Date", "Effective Date", "Company", "No. Of\nEmployees", "County/Parish", "City", "Layoff/Closure Type", "Address", "Related Industry"]
 NAMED_FIELDS = ["notice_date", "effective_date", "company", "employees", "county", "city", "layoff_type", "address", "industry"]
@@ -208,13 +202,13 @@ def _casefold(side: int, only: Callable[[DataFrame], DataFrame] = lambda x: x) -
 
 
 def _no_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    latest, _ = snapshots(spark, sf_dir)
+    latest = clean(spark, sf_dir).where(F.col("filing") % 10 != 1).select("ord", *FIELDS)
     return diff.strict(latest, spark.createDataFrame([], NOTICE))[0].select("ord", "company", "effective_date", "employees")
 
 
 def successive(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
-    """Three snapshots, one after another, each without another tenth of the filings."""
-    rows = clean(spark, sf_dir).select("ord", "filing", *FIELDS)
+    """Three snapshots, one after another, each without another tenth of the filings.  Notices are cleaned once for all."""
+    rows = scratch.stored(clean(spark, sf_dir).select("ord", "filing", *FIELDS))
     return [rows.where(F.col("filing") % 10 != k).drop("filing") for k in range(3)]
 
 
@@ -356,9 +350,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "diff_casefold_removed": _casefold(1),
     "diff_largest_added": _casefold(0, diff.largest),
     "diff_totals": lambda spark, sf_dir: diff.totals(*snapshots(spark, sf_dir)),
-    "digest_casefold_added": lambda spark, sf_dir: digests.casefold(*stored_snapshots(spark, sf_dir))[0].select("first_ord", "company", "employees"),
-    "digest_casefold_removed": lambda spark, sf_dir: digests.casefold(*stored_snapshots(spark, sf_dir))[1].select("first_ord", "company", "employees"),
-    "digest_totals": lambda spark, sf_dir: digests.totals(*stored_snapshots(spark, sf_dir)),
+    "digest_casefold_added": lambda spark, sf_dir: digests.casefold(*snapshots(spark, sf_dir))[0].select("first_ord", "company", "employees"),
+    "digest_casefold_removed": lambda spark, sf_dir: digests.casefold(*snapshots(spark, sf_dir))[1].select("first_ord", "company", "employees"),
+    "digest_totals": lambda spark, sf_dir: digests.totals(*snapshots(spark, sf_dir)),
     "stream_changes": stream_changes,
     "run_history": run_history,
     "changelog_tail": lambda spark, sf_dir: _tail(_log_lines(spark, sf_dir)),
