@@ -74,7 +74,7 @@ def change_entry(new: DataFrame, baseline: DataFrame | None, run_ts: str, column
     """One line for the change log: counts, sums, and the first ``n`` entries of either direction.
 
     Without a baseline everything is new, and the line has no total of removed employees.  Each side is read once and kept
-    until the line is there; the line is small, with ``n`` entries a direction at most.
+    until the line is there, and so are the keys that only one side has; the line is small, with ``n`` entries a direction at most.
     """
     spark, kept = new.sparkSession, [F.col(c) for c in dict.fromkeys(("ord", *STRICT, *columns))]
     tagged = new.select(*kept, F.lit(0).alias("_side"))
@@ -85,14 +85,15 @@ def change_entry(new: DataFrame, baseline: DataFrame | None, run_ts: str, column
         only = both.groupBy(*[F.col(c).alias(f"_{c}") for c in STRICT]).agg(rows(0), rows(1)).where((F.col("_rows0") == 0) | (F.col("_rows1") == 0))
         total = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("long")
         of = lambda side: [total(f"_rows{side}").alias(f"n{side}"), total(F.col(f"_rows{side}") * F.col("_employees")).alias(f"e{side}")]
-        found = only.agg(F.count("*").alias("keys"), *of(0), *of(1)).first()
-        sent = F.broadcast(only) if found.keys <= SENT_KEYS else only
-        same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in STRICT]
-        listed = []
-        for side in (0, 1):
-            own = both.where(F.col("_side") == side)
-            own = own if baseline is None else own.join(sent, same, "left_semi")
-            listed.append([r.e for r in own.orderBy("ord").limit(n).select(F.struct(*columns).alias("e")).collect()])
+        with scratch.written(only) as only:  # read for the sums and for either direction
+            found = only.agg(F.count("*").alias("keys"), *of(0), *of(1)).first()
+            sent = F.broadcast(only) if found.keys <= SENT_KEYS else only
+            same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in STRICT]
+            listed = []
+            for side in (0, 1):
+                own = both.where(F.col("_side") == side)
+                own = own if baseline is None else own.join(sent, same, "left_semi")
+                listed.append([r.e for r in own.orderBy("ord").limit(n).select(F.struct(*columns).alias("e")).collect()])
         entry = T.ArrayType(both.select(*columns).schema)
     line = (run_ts, found.n0, listed[0], found.e0, found.n1, listed[1], found.e1 if baseline is not None else None)
     kinds = (T.StringType(), T.IntegerType(), entry, T.LongType(), T.IntegerType(), entry, T.LongType())
