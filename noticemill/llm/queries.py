@@ -127,7 +127,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 
-
 def _codes_sql(rounds: int = vector_codes.ROUNDS) -> str:
     """SQL of op12: codebooks ``c0`` to ``c4`` and the assignments ``a0`` to ``a4`` to them, a row for each component."""
     steps = []
@@ -168,6 +167,33 @@ def _codes_sql(rounds: int = vector_codes.ROUNDS) -> str:
     """
 
 
+def _components_sql(width: int, percent: int, more: str = "") -> str:
+    """SQL of op5 and op13: components of documents whose shingles of ``width`` words agree to ``percent`` or more."""
+    gram = " || ' ' || ".join(f"words[i + {k}]" if k else "words[i]" for k in range(width))
+    return f"""
+        WITH RECURSIVE w AS (
+            SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words
+            FROM documents
+        ), s AS MATERIALIZED (
+            SELECT doc_id, list_distinct(CASE WHEN len(words) = 0 THEN [] WHEN len(words) < {width} THEN [array_to_string(words, ' ')]
+                ELSE list_transform(generate_series(1, len(words) - {width - 1}), lambda i: {gram}) END) AS grams
+            FROM w
+        ), g AS MATERIALIZED (
+            SELECT doc_id, unnest(grams) AS gram FROM s
+        ), pairs AS (
+            SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS common FROM g a JOIN g b ON a.gram = b.gram AND a.doc_id < b.doc_id GROUP BY 1, 2
+        ), links AS MATERIALIZED (
+            SELECT x, y FROM pairs JOIN s a ON a.doc_id = x JOIN s b ON b.doc_id = y
+            WHERE 100 * common >= {percent} * (len(a.grams) + len(b.grams) - common)
+        ), ways AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+        reach AS (
+            SELECT x, y FROM ways UNION SELECT r.x, w.y FROM reach r JOIN ways w ON r.y = w.x
+        )
+        SELECT s.doc_id, CAST(len(grams) AS BIGINT) AS n_shingles, least(s.doc_id, coalesce(min(reach.y), s.doc_id)) AS component_id{more}
+        FROM s LEFT JOIN reach ON reach.x = s.doc_id GROUP BY s.doc_id, grams
+    """
+
+
 #: SQL twins of the queries that SQL can express.
 ORACLE_SQL: dict[str, str] = {
     "op2_top_k": """
@@ -188,26 +214,6 @@ ORACLE_SQL: dict[str, str] = {
         SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
     """,
     "op12_vector_codes": _codes_sql(),
-    "op13_jaccard_join": """
-        WITH RECURSIVE w AS (
-            SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words
-            FROM documents
-        ), s AS MATERIALIZED (
-            SELECT doc_id, list_distinct(CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 3 THEN [array_to_string(words, ' ')]
-                ELSE list_transform(generate_series(1, len(words) - 2), lambda i: words[i] || ' ' || words[i + 1] || ' ' || words[i + 2]) END) AS grams
-            FROM w
-        ), g AS MATERIALIZED (
-            SELECT doc_id, unnest(grams) AS gram FROM s
-        ), pairs AS (
-            SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS common FROM g a JOIN g b ON a.gram = b.gram AND a.doc_id < b.doc_id GROUP BY 1, 2
-        ), links AS MATERIALIZED (
-            SELECT x, y FROM pairs JOIN s a ON a.doc_id = x JOIN s b ON b.doc_id = y
-            WHERE 100 * common >= 90 * (len(a.grams) + len(b.grams) - common)
-        ), ways AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
-        reach AS (
-            SELECT x, y FROM ways UNION SELECT r.x, w.y FROM reach r JOIN ways w ON r.y = w.x
-        )
-        SELECT s.doc_id, CAST(len(grams) AS BIGINT) AS n_shingles, least(s.doc_id, coalesce(min(reach.y), s.doc_id)) AS component_id
-        FROM s LEFT JOIN reach ON reach.x = s.doc_id GROUP BY s.doc_id, grams
-    """,
+    "op5_near_duplicates": _components_sql(2, 80, ", s.doc_id = component_id AS kept"),
+    "op13_jaccard_join": _components_sql(3, 90),
 }

@@ -1,9 +1,12 @@
 import random
 
+import duckdb
 import numpy as np
 import pytest
 
 from noticemill.llm import near_duplicates as nd
+from noticemill.llm import queries
+from tests.conftest import SMALL
 
 
 def words(rnd, n, size=400):
@@ -148,3 +151,12 @@ def test_components_of_a_long_chain(spark):
     got = {r.node: r.label for r in nd.components(links).collect()}
     assert got == {**dict.fromkeys(range(61), 0), 100: 100, 200: 100, 300: 100}
     assert nd.components(links.where("false")).count() == 0
+
+
+def test_query_equals_its_sql(spark):
+    rows = queries.op5_near_duplicates(spark, SMALL)
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{SMALL}/documents.parquet')")
+    expected = con.execute(queries.ORACLE_SQL["op5_near_duplicates"])
+    assert rows.columns == [d[0] for d in expected.description]
+    assert sorted(map(tuple, rows.collect())) == sorted(expected.fetchall())
