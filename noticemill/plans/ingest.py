@@ -143,13 +143,16 @@ def _bring_up(spark: SparkSession, source: str, folder: str, base: int, attempt:
         shared = unchanged.join(postings.select("md5").distinct(), "md5", "left_semi")
         with scratch.written(_rows_of(spark, folder, shared)) as others:
             with scratch.written(others.join(touched, "k", "left_semi")) as rest:
-                old = _merged(moved.where(~F.col("new")).drop("new").unionByName(rest))
-                fresh = _merged(moved.where("new").drop("new").unionByName(rest))
-                left = old.select("k", *KEYS).join(fresh.select("k"), "k", "left_anti").withColumn("gone", F.lit(True))
-                written = fresh.withColumn("gone", F.lit(False)).unionByName(left, allowMissingColumns=True)
-                written.write.parquet(f"{folder}/merged/attempt={attempt}")
-                sums = _months(fresh, 1).unionByName(_months(old, -1)).groupBy("month").agg(F.sum("employees").alias("employees"))
-                sums.where(F.col("employees") != 0).write.parquet(f"{folder}/months/attempt={attempt}")
+                fresh_rows, old_rows = (moved.where(f).drop("new").unionByName(rest) for f in (F.col("new"), ~F.col("new")))
+                # filings are merged once, and read again for what is gone and for the sums
+                target = f"{folder}/merged/attempt={attempt}"
+                _merged(fresh_rows).withColumn("gone", F.lit(False)).write.parquet(target)
+                fresh = spark.read.schema(MERGED).parquet(target).drop("attempt")
+                with scratch.written(_merged(old_rows).select(*fresh.columns[:-1])) as old:
+                    left = old.select("k", *KEYS).join(fresh.select("k"), "k", "left_anti").withColumn("gone", F.lit(True))
+                    sums = _months(fresh, 1).unionByName(_months(old, -1)).groupBy("month").agg(F.sum("employees").alias("employees"))
+                    sums.where(F.col("employees") != 0).write.parquet(f"{folder}/months/attempt={attempt}")
+                    fresh.where(F.lit(False)).unionByName(left, allowMissingColumns=True).write.mode("append").parquet(target)
                 after.select(*[c.split()[0] for c in LEDGER.split(", ")]).write.parquet(f"{folder}/ledger/attempt={attempt}")
                 read_rows = moved.count() + others.count()
                 found = Ingested(runs.commit(spark, folder, attempt, f"{base + 1:020}", base), changed, parsed, shared.count(), read_rows)
