@@ -34,9 +34,10 @@ def payload_order() -> Column:
 def merge_duplicates(rows: DataFrame) -> DataFrame:
     """One row for each filing: employees add up, other fields keep their first value.  Null keys are a key like any other.
 
-    ``ord`` is the place in the payload, which decides ties from here on.
+    ``ord`` is the place in the payload, which decides ties from here on.  Few rows share a filing: rows are sent as they are and sorted
+    once, where adding up before sending would sort them twice and send their ``ord`` with each of the first values.
     """
-    merged = rows.groupBy(sort_key(*KEYS), *KEYS).agg(
+    merged = rows.withColumn(SORT_KEY, sort_key(*KEYS)).repartition(SORT_KEY).groupBy(SORT_KEY, *KEYS).agg(
         F.sum("employees").cast("long").alias("employees"),
         *[first_in_order(c).alias(c) for c in ("notice_date", "address", "industry")],
     )

@@ -6,6 +6,7 @@ The view's text is plain enough to mean the same in several SQL dialects, so tha
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 RAW_SQL = """
     SELECT lpad(CAST(l_orderkey AS STRING), 14, '0') || lpad(CAST(l_linenumber AS STRING), 4, '0')
@@ -39,10 +40,27 @@ RAW_SQL = """
 TABLES = ("lineitem", "orders", "customer", "nation", "region")
 
 
+#: Head of the joins in the text; Spark reads all that a filing tells about itself as one table beside the lines.
+FROM = RAW_SQL.index("FROM {lineitem}")
+FILINGS = ("o_orderkey", "o_orderdate", "c_name", "c_mktsegment", "n_nationkey", "n_name", "r_name")
+
+
+def filings(tables: dict[str, DataFrame]) -> DataFrame:
+    """Orders with their customer, nation and region."""
+    lands = tables["nation"].join(F.broadcast(tables["region"]), F.col("n_regionkey") == F.col("r_regionkey"))
+    orders = tables["orders"].join(tables["customer"], F.col("o_custkey") == F.col("c_custkey"))
+    return orders.join(F.broadcast(lands), F.col("c_nationkey") == F.col("n_nationkey")).select(*FILINGS)
+
+
 def raw_notices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of ``RAW_SQL``.
+
+    Joined in the text's order, lines are shuffled for their orders and again, with them, for their customers.  Orders find their customers
+    first here, so that lines, four for each order, are shuffled once, by the key that they join by.
+    """
     tables = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in TABLES}
-    cores = spark.sparkContext.defaultParallelism
-    if tables["lineitem"].rdd.getNumPartitions() < cores:  # a small file in few splits would keep all later work in few tasks
+    if tables["lineitem"].rdd.getNumPartitions() < spark.sparkContext.defaultParallelism:  # few splits would keep all later work in few tasks
         columns = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_quantity", "l_returnflag", "l_linestatus"]
-        tables["lineitem"] = tables["lineitem"].select(*columns).repartition(cores)
-    return spark.sql(RAW_SQL, **tables)
+        tables["lineitem"] = tables["lineitem"].select(*columns).repartition("l_orderkey")
+    text = RAW_SQL[:FROM] + "FROM {lineitem} JOIN {filings} ON l_orderkey = o_orderkey"
+    return spark.sql(text, lineitem=tables["lineitem"], filings=filings(tables))
