@@ -1,14 +1,17 @@
 """Substring search with an index of trigrams.
 
-Rows are dealt into blocks and numbered inside them.  For every field and every three letters in a row of a text, the index has a
-bitmap of each block's rows.  A text that is looked for selects the rows of all its trigrams; the rows of those blocks, and no others,
+Rows are dealt into blocks and numbered inside them.  For every field and every three letters in a row of a text, the index has the
+rows of each block, as a list or a bitmap.  A text that is looked for selects the rows of all its trigrams; the rows of those blocks, and no others,
 are read and compared.  Texts end with two marks, so that one or two letters are the beginning of some trigram too.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -19,6 +22,8 @@ from .search import CELLS
 BLOCK_ROWS = 32_768
 END = "\x01\x01"
 SLOTS = "slot int, block int"
+GRAMS = "field string, gram string, block int, slots binary"
+BITMAP_BYTES = 4096
 #: Bitmaps, of 4 KB each, that may be sent to every task.
 SENT_BITMAPS = 10_000
 
@@ -28,16 +33,54 @@ def _text(field: str) -> Column:
     return F.lower(F.concat_ws(" ", *CELLS)) if field == "any_text" else F.lower(F.coalesce(F.col(field), F.lit("")))
 
 
-def _grams(text: Column) -> Column:
-    whole = F.concat(text, F.lit(END))
-    places = F.sequence(F.lit(1), F.char_length(text))
-    grams = F.transform(places, lambda i: F.substring(whole, i, F.lit(3)))
-    return F.array_distinct(F.when(F.char_length(text) > 0, grams).otherwise(F.array().cast("array<string>")))
+def _slots(slots: np.ndarray) -> bytes:
+    """Rows of a block that have a gram: their numbers, two bytes each, or a bitmap where that is shorter."""
+    if 2 * len(slots) < BITMAP_BYTES:
+        return slots.astype("<u2").tobytes()
+    bits = np.zeros(8 * BITMAP_BYTES, dtype=bool)
+    bits[slots] = True
+    return np.packbits(bits, bitorder="little").tobytes()
+
+
+def _bits(slots: bytes) -> np.ndarray:
+    if len(slots) == BITMAP_BYTES:
+        return np.frombuffer(slots, dtype=np.uint8)
+    bits = np.zeros(8 * BITMAP_BYTES, dtype=bool)
+    bits[np.frombuffer(slots, dtype="<u2")] = True
+    return np.packbits(bits, bitorder="little")
+
+
+def _grams(texts: list[str], slots: np.ndarray) -> tuple[list[str], list[bytes]]:
+    """All three letters in a row of a block's texts, in their order, each with the rows that have it."""
+    lengths = np.array([len(t) for t in texts], dtype=np.int64)
+    letters = np.frombuffer("".join(t + END for t in texts).encode("utf-32-le"), dtype="<u4").astype(np.int64)
+    starts = np.ones(len(letters), dtype=bool)
+    ends = np.cumsum(lengths + len(END))
+    starts[ends - 1] = starts[ends - 2] = False  # a gram begins at a letter, never at a mark
+    at = np.flatnonzero(starts)
+    if not len(at):
+        return [], []
+    codes, nth = np.unique(letters[at] << 42 | letters[at + 1] << 21 | letters[at + 2], return_inverse=True)
+    pairs = np.unique(nth * (8 * BITMAP_BYTES) + np.repeat(slots, lengths))
+    cuts = np.searchsorted(pairs // (8 * BITMAP_BYTES), np.arange(1, len(codes)))
+    three = np.stack([codes >> 42, codes >> 21 & 0x1FFFFF, codes & 0x1FFFFF], axis=1).astype("<u4").tobytes().decode("utf-32-le")
+    return [three[3 * i : 3 * i + 3] for i in range(len(codes))], [_slots(p) for p in np.split(pairs % (8 * BITMAP_BYTES), cuts)]
+
+
+def _index_block(fields: tuple[str, ...]) -> Callable[[pa.Table], pa.Table]:
+    def of(rows: pa.Table) -> pa.Table:
+        slots, out = rows["slot"].to_numpy().astype(np.int64), []
+        for field in fields:
+            grams, bits = _grams(rows[f"_{field}"].to_pylist(), slots)
+            out.append(pa.table([pa.array([field] * len(grams), pa.string()), pa.array(grams, pa.string()), pa.array([rows["block"][0].as_py()] * len(grams), pa.int32()), pa.array(bits, pa.binary())], ["field", "gram", "block", "slots"]))
+        return pa.concat_tables(out)
+
+    return of
 
 
 @dataclass(frozen=True)
 class Index:
-    """Folders of the rows, by block, and of the bitmaps, by field."""
+    """Folders of the rows, by block, and of the grams, by field."""
 
     folder: str
     schema: str
@@ -45,8 +88,8 @@ class Index:
     def rows(self, spark: SparkSession) -> DataFrame:
         return spark.read.schema(f"{self.schema}, {SLOTS}").parquet(f"{self.folder}/rows")
 
-    def bitmaps(self, spark: SparkSession) -> DataFrame:
-        return spark.read.schema("gram string, block int, bits binary, field string").parquet(f"{self.folder}/grams")
+    def grams(self, spark: SparkSession) -> DataFrame:
+        return spark.read.schema(GRAMS).parquet(f"{self.folder}/grams")
 
 
 def build(cells: DataFrame, folder: str, fields: tuple[str, ...] = ("any_text", "company")) -> Index:
@@ -64,35 +107,43 @@ def build(cells: DataFrame, folder: str, fields: tuple[str, ...] = ("any_text",
         block = (F.col("home") + homes * F.floor(nth / BLOCK_ROWS)).cast("int")
         numbered = dealt.select(*cells.columns, block.alias("block"), (nth % BLOCK_ROWS).cast("int").alias("slot"))
         numbered.repartition("block").write.partitionBy("block").parquet(f"{folder}/rows")
-    for field in fields:
-        grams = index.rows(spark).select(F.explode(_grams(_text(field))).alias("gram"), "block", "slot")
-        bits = grams.groupBy("gram", "block").agg(F.bitmap_construct_agg(F.col("slot").cast("long")).alias("bits"))
-        bits.sortWithinPartitions("gram").write.parquet(f"{folder}/grams/field={field}")
+    # a block's texts go to one task, which finds its grams: their occurrences, some fifty times the rows, are not shuffled
+    texts = index.rows(spark).select("block", "slot", *[_text(f).alias(f"_{f}") for f in fields])
+    grams = texts.groupBy("block").applyInArrow(_index_block(fields), GRAMS)
+    grams.sortWithinPartitions("field", "gram").write.partitionBy("field").parquet(f"{folder}/grams")
     return index
 
 
 def _has(bits: Column, slot: Column) -> Column:
-    byte = F.conv(F.hex(F.substring(bits, F.floor(slot / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-    return byte.bitwiseAND(F.element_at(F.array(*[F.lit(1 << b) for b in range(8)]), (slot % 8 + 1).cast("int"))) != 0
+    return F.getbit(F.get(bits, F.shiftright(slot, 6)), slot % 64) != 0
+
+
+def _together(needed: int) -> Callable[[pa.Table], pa.Table]:
+    """The rows of a block that have all of ``needed`` grams, or any gram if that is 0."""
+
+    def of(rows: pa.Table) -> pa.Table:
+        bits = [_bits(b) for b in rows["slots"].to_pylist()]
+        found = (np.bitwise_and if needed else np.bitwise_or).reduce(bits)
+        if len(bits) < needed or not found.any():
+            return pa.table([pa.array([], pa.int32()), pa.array([], pa.list_(pa.int64()))], ["block", "bits"])
+        return pa.table([pa.array([rows["block"][0].as_py()], pa.int32()), pa.array([found.view("<i8")], pa.list_(pa.int64()))], ["block", "bits"])
+
+    return of
 
 
 def candidates(spark: SparkSession, index: Index, field: str, text: str) -> DataFrame:
-    """block, bits: rows that may have ``text`` in the field; blocks without any are left out."""
-    found = index.bitmaps(spark).where(F.col("field") == field)
-    if len(text) >= 3:
-        grams = sorted({text[i : i + 3] for i in range(len(text) - 2)})
-        found = found.where(F.col("gram").isin(grams)).groupBy("block").agg(F.count("*").alias("grams"), F.bitmap_and_agg("bits").alias("bits"))
-        found = found.where(F.col("grams") == len(grams))
-    else:
-        found = found.where(F.col("gram").startswith(text)).groupBy("block").agg(F.bitmap_or_agg("bits").alias("bits"))
-    return found.where(F.bitmap_count("bits") > 0).select("block", "bits")
+    """block, bits (64 rows a number): rows that may have ``text`` in the field; blocks without any are left out."""
+    grams = sorted({text[i : i + 3] for i in range(len(text) - 2)})
+    found = index.grams(spark).where(F.col("field") == field)
+    found = found.where(F.col("gram").isin(grams) if grams else F.col("gram").startswith(text))
+    return found.select("block", "slots").groupBy("block").applyInArrow(_together(len(grams)), "block int, bits array<bigint>")
 
 
 def search(spark: SparkSession, index: Index, field: str, text: str) -> DataFrame:
     """Rows with ``text`` in the field, whatever its case; an empty text finds all rows.  Reads the blocks that may have it."""
     rows, wanted = index.rows(spark), text.lower()
     if wanted:
-        chosen = candidates(spark, index, field, wanted)
+        chosen = scratch.stored(candidates(spark, index, field, wanted))
         blocks = [r.block for r in chosen.select("block").collect()]  # one number a block of 32,768 rows
         rows = rows.where(F.col("block").isin(blocks)).join(F.broadcast(chosen) if len(blocks) <= SENT_BITMAPS else chosen, "block")
         rows = rows.where(_has(F.col("bits"), F.col("slot")) & _text(field).contains(wanted)).drop("bits")
