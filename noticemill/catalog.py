@@ -38,9 +38,9 @@ def records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return history.union_sources(past, live)
 
 
-def snapshots(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """(latest, snapshot): each lacks a tenth of the filings that the other has.  Notices are cleaned once for both."""
-    rows = scratch.stored(clean(spark, sf_dir).select("ord", "filing", *FIELDS))
+def snapshots(spark: SparkSession, sf_dir: str, fields: tuple[str, ...] | list[str] = diff.STRICT) -> tuple[DataFrame, DataFrame]:
+    """(latest, snapshot), with ``ord`` and ``fields``: each lacks a tenth of the filings that the other has.  Notices are cleaned once for both."""
+    rows = scratch.stored(clean(spark, sf_dir).select("ord", "filing", *fields))
     return rows.where(F.col("filing") % 10 != 1).drop("filing"), rows.where(F.col("filing") % 10 != 0).drop("filing")
 
 
@@ -174,7 +174,7 @@ def legacy_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _change(with_snapshot: bool) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        new, baseline = snapshots(spark, sf_dir)
+        new, baseline = snapshots(spark, sf_dir, FIELDS)
         entry = diff.change_entry(new, baseline if with_snapshot else None, "run", FIELDS)
         sums = ["timestamp", "new_count", "removed_count", "total_employees_new", "total_employees_removed"]
         if not with_snapshot:
@@ -206,9 +206,9 @@ def _no_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return diff.strict(latest, spark.createDataFrame([], NOTICE))[0].select("ord", "company", "effective_date", "employees")
 
 
-def successive(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+def successive(spark: SparkSession, sf_dir: str, fields: tuple[str, ...] | list[str]) -> list[DataFrame]:
     """Three snapshots, one after another, each without another tenth of the filings.  Notices are cleaned once for all."""
-    rows = scratch.stored(clean(spark, sf_dir).select("ord", "filing", *FIELDS))
+    rows = scratch.stored(clean(spark, sf_dir).select("filing", *fields))
     return [rows.where(F.col("filing") % 10 != k).drop("filing") for k in range(3)]
 
 
@@ -216,7 +216,7 @@ def stream_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Changes between successive snapshots, followed by a stream that stops after the second and goes on with the third."""
     feeds, folder = scratch.folder(spark), scratch.folder(spark)
     buckets = max(1, -(-spark.read.parquet(f"{sf_dir}/lineitem.parquet").count() // changes.BUCKET_KEYS))
-    for k, rows in enumerate(successive(spark, sf_dir), 1):
+    for k, rows in enumerate(successive(spark, sf_dir, diff.STRICT), 1):
         changes.feed(rows, k, buckets).write.parquet(f"{feeds}/taken-{k}")
         if k > 1:
             found = changes.follow(spark, feeds, folder)
@@ -227,13 +227,12 @@ def stream_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
 def run_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Change line and totals of each of three runs; an attempt that was never committed leaves no trace."""
     folder, before = scratch.folder(spark), None
-    for k, rows in enumerate(successive(spark, sf_dir), 1):
+    for k, rows in enumerate(successive(spark, sf_dir, ["ord", *FIELDS]), 1):
         base = runs.head(spark, folder)
-        with scratch.written(rows) as kept:
-            entry = diff.change_entry(kept, store.read_snapshot(spark, folder, before) if before else None, f"at {k}", FIELDS)
-            totals = store.payload(kept, f"at {k}")
-            runs.write(folder, {"totals": totals, "changes": entry})  # a run that stopped here
-            store.write_run(spark, folder, f"run {k}", kept, totals, entry, base)
+        entry = diff.change_entry(rows, store.read_snapshot(spark, folder, before) if before else None, f"at {k}", FIELDS)
+        totals = store.payload(rows, f"at {k}")
+        runs.write(folder, {"totals": totals, "changes": entry})  # a run that stopped here
+        store.write_run(spark, folder, f"run {k}", rows, totals, entry, base)
         before = f"run {k}"
     log = store.read_log(spark, folder).select("run_id", "new_count", "removed_count", "total_employees_new", "total_employees_removed")
     return log.join(store.read_totals(spark, folder).select("run_id", "total_records", "total_employees"), "run_id")

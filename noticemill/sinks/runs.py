@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import json
 import uuid
+from functools import reduce
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -17,6 +18,8 @@ from pyspark.sql import types as T
 
 from . import scratch
 
+#: Tables as long as the notices, written as Parquet; lines for people stay JSON, and so do tables of runs from before.
+COLUMNAR = ("records",)
 COMMIT = "version long, run_id string, attempt string, committed_at string"
 
 
@@ -40,7 +43,10 @@ def write(folder: str, tables: dict[str, DataFrame], attempt: str | None = None)
     """Write the tables of a run; returns the attempt to commit."""
     attempt = attempt or uuid.uuid4().hex
     for name, df in tables.items():
-        df.write.json(f"{folder}/{name}/attempt={attempt}")
+        if name in COLUMNAR:
+            df.write.parquet(f"{folder}/{name}.parquet/attempt={attempt}")
+        else:
+            df.write.json(f"{folder}/{name}/attempt={attempt}")
     return attempt
 
 
@@ -85,10 +91,13 @@ def read(spark: SparkSession, folder: str, name: str, schema: T.StructType, run_
     chosen = commits(spark, folder)
     if run_id is not None:
         chosen = chosen.where(F.col("run_id") == run_id)
-    if not scratch.exists(spark, f"{folder}/{name}"):
-        return spark.createDataFrame([], T.StructType([*schema.fields, T.StructField("run_id", T.StringType())]))
     whole = T.StructType([*schema.fields, T.StructField("attempt", T.StringType())])
-    rows = spark.read.schema(whole).option("basePath", f"{folder}/{name}").json(f"{folder}/{name}")
+    found = [(at, kind) for at, kind in ((f"{folder}/{name}", "json"), (f"{folder}/{name}.parquet", "parquet")) if scratch.exists(spark, at)]
+    if not found:
+        return spark.createDataFrame([], T.StructType([*schema.fields, T.StructField("run_id", T.StringType())]))
+    rows = reduce(DataFrame.unionByName, [spark.read.schema(whole).option("basePath", at).format(kind).load(at) for at, kind in found])
+    if run_id is not None:
+        rows = rows.where(F.col("attempt").isin([r.attempt for r in chosen.collect()]))  # other runs are not opened
     return rows.join(F.broadcast(chosen.select("attempt", "run_id")), "attempt").drop("attempt")  # one row a run is sent
 
 
@@ -96,7 +105,7 @@ def vacuum(spark: SparkSession, folder: str, names: list[str]) -> list[str]:
     """Remove attempts that no commit names; only while no run is being written.  Returns them."""
     kept = {r.attempt for r in commits(spark, folder).collect()}  # one row a run
     gone = set()
-    for name in names:
+    for name in (n for name in names for n in (name, f"{name}.parquet")):
         path, fs = _path(spark, f"{folder}/{name}")
         for found in fs.listStatus(path) if fs.exists(path) else []:
             attempt = found.getPath().getName().partition("=")[2]

@@ -28,7 +28,8 @@ def write_run(spark: SparkSession, folder: str, run_id: str, notices: DataFrame,
     ``base`` is ``runs.head`` as the run began; another run committed since then raises ``runs.Conflict``.  A run that
     is repeated replaces what it committed before.
     """
-    tables = {"records": notices.select(*FIELDS, "ord"), "totals": totals, "changes": entry}
+    typed = [F.col(f.name).try_cast(f.dataType).alias(f.name) for f in NOTICE]
+    tables = {"records": notices.select(*typed, "ord"), "totals": totals, "changes": entry}
     return runs.commit(spark, folder, runs.write(folder, tables), run_id, base, run_ts)
 
 
