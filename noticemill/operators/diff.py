@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -13,6 +13,8 @@ from ..sinks import scratch
 LOG_ENTRIES, REPORT_ENTRIES = 50, 20
 #: Keys that may be sent to every task.
 SENT_KEYS = 1_000_000
+#: Rows of a side that are looked at before all of them are joined with more keys than that.
+FIRST_ROWS = 20_000
 STRICT = ("company", "effective_date", "employees")
 
 
@@ -70,31 +72,47 @@ def totals(new: DataFrame, baseline: DataFrame) -> DataFrame:
     return whole.withColumn("employees_delta", delta)
 
 
+def _entries(rows: DataFrame, only: DataFrame | None, keys: int, columns: list[str], n: int) -> list[Row]:
+    """The first ``n`` rows by ``ord``, of the keys ``only`` if given: a list for the driver.
+
+    Many keys are not sent to every task.  With many of them the first rows of all are likely to hold ``n``, which are found by
+    sending those few rows to the keys; where they do not, rows are joined with the keys.
+    """
+    first = lambda found: [r.e for r in found.orderBy("ord").limit(n).select(F.struct(*columns).alias("e")).collect()]
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in STRICT]
+    if only is None:
+        return first(rows)
+    if keys <= SENT_KEYS:
+        return first(rows.join(F.broadcast(only), same, "left_semi"))
+    with scratch.written(rows.select(*dict.fromkeys(("ord", *STRICT, *columns))).orderBy("ord").limit(FIRST_ROWS)) as head:
+        wanted = F.broadcast(head.select(*STRICT).distinct())
+        found = first(head.join(F.broadcast(only.join(wanted, same, "left_semi")), same, "left_semi"))
+    return found if len(found) == n else first(rows.join(only, same, "left_semi"))
+
+
 def change_entry(new: DataFrame, baseline: DataFrame | None, run_ts: str, columns: list[str], n: int = LOG_ENTRIES) -> DataFrame:
     """One line for the change log: counts, sums, and the first ``n`` entries of either direction.
 
-    Without a baseline everything is new, and the line has no total of removed employees.  Each side is read once and kept
-    until the line is there, and so are the keys that only one side has; the line is small, with ``n`` entries a direction at most.
+    Without a baseline everything is new, and the line has no total of removed employees.  Sides are read for their keys and again for
+    their entries, and should be stored tables; neither is copied.  The keys that only one side has are kept until the line is
+    there; the line is small, with ``n`` entries a direction at most.
     """
-    spark, kept = new.sparkSession, [F.col(c) for c in dict.fromkeys(("ord", *STRICT, *columns))]
-    tagged = new.select(*kept, F.lit(0).alias("_side"))
-    if baseline is not None:
-        tagged = tagged.unionByName(baseline.select(*kept, F.lit(1).alias("_side")))
-    with scratch.written(tagged) as both:
-        rows = lambda side: F.sum((F.col("_side") == side).cast("long")).alias(f"_rows{side}")
-        only = both.groupBy(*[F.col(c).alias(f"_{c}") for c in STRICT]).agg(rows(0), rows(1)).where((F.col("_rows0") == 0) | (F.col("_rows1") == 0))
-        total = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("long")
-        of = lambda side: [total(f"_rows{side}").alias(f"n{side}"), total(F.col(f"_rows{side}") * F.col("_employees")).alias(f"e{side}")]
+    spark, sides = new.sparkSession, [new] if baseline is None else [new, baseline]
+    tagged = [rows.select(*STRICT, F.lit(side).alias("_side")) for side, rows in enumerate(sides)]
+    rows = lambda side: F.sum((F.col("_side") == side).cast("long")).alias(f"_rows{side}")
+    both = tagged[0] if baseline is None else tagged[0].unionByName(tagged[1])
+    only = both.groupBy(*[F.col(c).alias(f"_{c}") for c in STRICT]).agg(rows(0), rows(1)).where((F.col("_rows0") == 0) | (F.col("_rows1") == 0))
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("long")
+    of = lambda side: [total(f"_rows{side}").alias(f"n{side}"), total(F.col(f"_rows{side}") * F.col("_employees")).alias(f"e{side}")]
+    listed = [[], []]
+    if baseline is None:
+        found = only.agg(F.count("*").alias("keys"), *of(0), *of(1)).first()
+        listed[0] = _entries(new, None, found.keys, columns, n)
+    else:
         with scratch.written(only) as only:  # read for the sums and for either direction
             found = only.agg(F.count("*").alias("keys"), *of(0), *of(1)).first()
-            sent = F.broadcast(only) if found.keys <= SENT_KEYS else only
-            same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in STRICT]
-            listed = []
-            for side in (0, 1):
-                own = both.where(F.col("_side") == side)
-                own = own if baseline is None else own.join(sent, same, "left_semi")
-                listed.append([r.e for r in own.orderBy("ord").limit(n).select(F.struct(*columns).alias("e")).collect()])
-        entry = T.ArrayType(both.select(*columns).schema)
+            listed = [_entries(own, only.where(F.col(f"_rows{side}") > 0), found.keys, columns, n) for side, own in enumerate(sides)]
+    entry = T.ArrayType(new.select(*columns).schema)
     line = (run_ts, found.n0, listed[0], found.e0, found.n1, listed[1], found.e1 if baseline is not None else None)
     kinds = (T.StringType(), T.IntegerType(), entry, T.LongType(), T.IntegerType(), entry, T.LongType())
     names = ("timestamp", "new_count", "new_entries", "total_employees_new", "removed_count", "removed_entries", "total_employees_removed")
