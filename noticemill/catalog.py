@@ -75,7 +75,7 @@ def _sheet(sheet: str, fields: list[str | None], top: list[tuple[str, list[str]]
         grid = raw.select("ord", F.array(*[F.col(f) if f else F.lit("-") for f in fields]).alias("cells"))
         if top:
             grid = grid.unionByName(spark.createDataFrame(top, "ord string, cells array<string>"))
-        return cells.parse_grid(grid, sheet)
+        return cells.parse_grid(scratch.stored(grid), sheet)  # a sheet is read for its header first
 
     return run
 

@@ -7,6 +7,7 @@ everything else is a projection.
 from __future__ import annotations
 
 from collections.abc import Iterable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -61,10 +62,11 @@ def resolve(headers: Iterable[object], rules: tuple, last_wins: bool = True) ->
     return found
 
 
-def header_ordinal(grid: DataFrame) -> int | None:
-    """Place of the first row with a cell that contains ``company``."""
-    has = F.exists("cells", lambda c: F.lower(c).contains("company"))
-    return grid.where(has).agg(F.min("ord")).first()[0]
+def header(grid: DataFrame, named: bool = False) -> tuple:
+    """Place and cells of the first row, or of the first with a cell that contains ``company``; (None, None) if there is none."""
+    rows = grid.where(F.exists("cells", lambda c: F.lower(c).contains("company"))) if named else grid
+    found = rows.where(F.col("ord").isNotNull()).orderBy("ord").select("ord", "cells").first()
+    return (found.ord, found.cells) if found else (None, None)
 
 
 def _cell(found: dict[str, int], field: str) -> Column:
@@ -98,15 +100,10 @@ def parse_grid(grid: DataFrame, sheet: str) -> DataFrame:
     """Notices of a grid (ord, cells array<string>); an empty grid gives an empty result.
 
     A modern sheet has its header in its first row.  A detailed sheet has it where a cell names a company; without one, the
-    fields have fixed places.
+    fields have fixed places.  The grid is read for its header and again for its rows.
     """
-    if sheet == "Sheet1":
-        at = grid.agg(F.min("ord")).first()[0]
-        rules = NAMED_SHEET
-    else:
-        at, rules = header_ordinal(grid), DETAILED_SHEET
-    headers = grid.where(F.col("ord") == at).first().cells if at is not None else []
-    found = resolve(headers, rules) or (POSITIONS if sheet != "Sheet1" else {})
+    at, headers = header(grid, named=sheet != "Sheet1")
+    found = resolve(headers or [], NAMED_SHEET if sheet == "Sheet1" else DETAILED_SHEET) or (POSITIONS if sheet != "Sheet1" else {})
     body = grid.where(F.col("ord") > at) if at is not None else grid
     fields = {f: _cell(found, f) if f in found else F.lit("" if f in ("county", "city", "layoff_type", "address", "industry") else None) for f in SHEET_FIELDS}
     return normalise(body.select("ord", *[c.cast("string").alias(f) for f, c in fields.items()])).select("ord", *SHEET_FIELDS)
@@ -147,28 +144,18 @@ def parse_page_tables(tables: DataFrame, year: int) -> DataFrame:
     ``company`` are repeated headers.  A notice date in the first cell is not read.
     """
 
-    def at(field: str) -> Column:
-        groups = dict(PAGE_TABLE)
-        names = F.transform("header", lambda h: F.lower(F.coalesce(h, F.lit("none"))))
-
-        def matches(h: Column, f: str) -> Column:
-            out = F.lit(False)
-            for (word,) in groups[f]:
-                out = out | h.contains(word)
-            return out
-
-        def is_it(h: Column) -> Column:
-            out = matches(h, field)
-            for f, _ in PAGE_TABLE:
-                if f == field:
-                    return out
-                out = out & ~matches(h, f)
-            return out
-
-        return F.array_position(F.transform(names, is_it), True).cast("int") - 1
+    def field_of(h: Column) -> Column:
+        """The first field that a cell of the header fits, by its name."""
+        name = F.lower(F.coalesce(h, F.lit("none")))
+        out = F
+        for field, groups in PAGE_TABLE:
+            out = out.when(reduce(lambda a, b: a | b, [name.contains(word) for (word,) in groups]), F.lit(field))
+        return out.otherwise(F.lit(""))
 
+    # a header's cells are told apart once a row; a generated column is not computed again where it is used
     fields = [f for f, _ in PAGE_TABLE]
-    placed = tables.withColumns({f"_{f}": at(f) for f in fields})
+    placed = tables.select("*", F.explode(F.array(F.transform("header", field_of))).alias("_fields"))
+    placed = placed.withColumns({f"_{f}": F.array_position("_fields", F.lit(f)).cast("int") - 1 for f in fields})
     most = F.greatest(*[F.col(f"_{f}") for f in fields])
     usable = placed.where((F.col("_company") >= 0) & (F.col("_employees") >= 0) & (F.size("cells") > most))
     cell = lambda f: F.get("cells", F.col(f"_{f}"))
