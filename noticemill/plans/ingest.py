@@ -129,7 +129,8 @@ def _bring_up(spark: SparkSession, source: str, folder: str, base: int, attempt:
         raw = read(None if parsed <= NAMED_FILES else new.select("file"), spark, paths)
         named = new.select("file", "md5")
         rows = cells.normalise(raw).withColumn("k", F.xxhash64(*KEYS)).join(F.broadcast(named) if parsed <= NAMED_FILES else named, "file")
-        rows.select(*FIELDS, "ord", "k", "md5").repartition("md5").write.partitionBy("md5").parquet(f"{folder}/rows/attempt={attempt}")
+        # a file is read by few tasks, so that rows need not be brought together by their file
+        rows.select(*FIELDS, "ord", "k", "md5").write.partitionBy("md5").parquet(f"{folder}/rows/attempt={attempt}")
     # files without a row have no folder; the others give keys and files that share them
     went = _rows_of(spark, folder, gone)
     came = _rows_of(spark, folder, come)
