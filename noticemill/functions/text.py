@@ -18,17 +18,31 @@ def strip(x: Column) -> Column:
     return F.btrim(x, F.lit(WHITE_SPACE))
 
 
+def _visible(x: Column) -> Column:
+    """Whether a text begins with an ASCII character that is no white space; false if it is empty."""
+    return (x >= "!") & (x < "\x80")
+
+
+def strip_cell(x: Column) -> Column:
+    """As ``strip``, for columns that are cheap to read: texts that begin and end with plain characters are not searched."""
+    return F.when(_visible(x) & _visible(F.right(x, F.lit(1))), x).otherwise(strip(x))
+
+
 def _entities(x: Column, nbsp: bool) -> Column:
     plain = strip(x)
     decoded = F.regexp_replace(F.regexp_replace(plain, "(?i)&rsquo;", "'"), "(?i)&amp;", "&")
     if nbsp:
         decoded = F.regexp_replace(decoded, "(?i)&nbsp;", " ")
-    # most names have no entity and single blanks only, and are spared the patterns
-    fixed = F.when(plain.contains("&"), decoded).otherwise(plain)
-    wide = (F.octet_length(plain) != F.char_length(plain)) | plain.contains("&")
+    # most names have no entity and single blanks only, and are spared the patterns; that is seen on the text as it came, since
+    # every mention of the stripped one strips it again
+    fixed = F.when(x.contains("&"), decoded).otherwise(plain)
+    foreign = F.octet_length(x) != F.char_length(x)
+    wide = foreign | x.contains("&") | x.startswith(" ") | x.endswith(" ")
     for space in ("  ", "\t", "\n", "\x0b", "\f", "\r"):
-        wide = wide | plain.contains(space)
-    return F.when(wide, F.regexp_replace(fixed, r"(?U)\s+", " ")).otherwise(plain)
+        wide = wide | x.contains(space)
+    # the short pattern finds the same white space in ASCII, and only where something changes
+    single = F.when(foreign, F.regexp_replace(fixed, r"(?U)\s+", " ")).otherwise(F.regexp_replace(fixed, r" \s+|[\t-\r]\s*", " "))
+    return F.when(wide, single).otherwise(x)
 
 
 def fix_company(x: Column, word_boundary: bool = False) -> Column:

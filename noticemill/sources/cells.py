@@ -84,7 +84,7 @@ def normalise(rows: DataFrame, keep_missing: bool = True) -> DataFrame:
     named = ~F.lower(text.strip(raw)).isin("company", "nan", "")
     rows = rows.where((values.headcount(F.col("employees")) > 0) & named)
     missing = F.lit("nan") if keep_missing else F.lit(None).cast("string")
-    plain = {c: text.strip(F.coalesce(F.col(c), missing)) for c in ("county", "city", "layoff_type", "address", "industry")}
+    plain = {c: text.strip_cell(F.coalesce(F.col(c), missing)) for c in ("county", "city", "layoff_type", "address", "industry")}
     return rows.withColumns(
         {
             "company": text.fix_company(raw),
