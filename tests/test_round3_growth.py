@@ -21,3 +21,12 @@ def test_cells_are_stripped_as_texts_are(spark):
 def test_filings_are_sorted_once(spark):
     merged = plan(merge.merge_duplicates(notices(spark, [("A", None, "2025-01-01", 1)])))
     assert merged.count("Sort [") == 1 and merged.count("Exchange hashpartitioning") == 1
+
+
+def test_a_page_is_looked_for_between_two_bounds(spark):
+    from noticemill.operators import positions
+
+    keyed = spark.range(5000).select(F.col("id").alias("_k0"))
+    order = [positions.Key(F.col("id"))]
+    bounds = positions._bounds(keyed, order, 5000, [F.col("_k0").asc()], 2000, 2100)
+    assert len(bounds) == 2 and bounds[0][0] < 2000 and bounds[1][0] >= 2100
