@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from ..functions import text
 from ..sinks import scratch
+from .merge import SORT_KEY, sort_key
 
 #: Entries that a change log keeps of each direction, and that a report lists.
 LOG_ENTRIES, REPORT_ENTRIES = 50, 20
@@ -19,9 +20,11 @@ STRICT = ("company", "effective_date", "employees")
 
 
 def _only_in(left: DataFrame, right: DataFrame) -> DataFrame:
-    other = right.select(*[F.col(c).alias(f"_{c}") for c in STRICT]).distinct()
-    same = [left[c].eqNullSafe(other[f"_{c}"]) for c in STRICT]
-    return left.join(other, same, "left_anti")
+    # a hash in front decides nearly all comparisons; keys that come again need no grouping, which would shuffle them once more
+    other = right.select(*[F.col(c).alias(f"_{c}") for c in STRICT], F.xxhash64(*STRICT).alias("_other"))
+    own = left.withColumn("_own", F.xxhash64(*STRICT))
+    same = [own["_own"] == other["_other"], *[own[c].eqNullSafe(other[f"_{c}"]) for c in STRICT]]
+    return own.join(other, same, "left_anti").drop("_own")
 
 
 def strict(new: DataFrame, baseline: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -38,19 +41,24 @@ def folded_key() -> dict[str, Column]:
     }
 
 
-def _folded(rows: DataFrame) -> DataFrame:
-    """One row for each key without regard to case: the last record, at the first one's place."""
+def _folded_only_in(own: DataFrame, other: DataFrame) -> DataFrame:
+    """One row for each key without regard to case that ``other`` lacks: the last record, at the first one's place.
+
+    Rows of both are sent together by a hash of their keys, ``other``'s with nothing but the key's parts, and sorted once.  Keys are
+    made of their parts again where they arrive.
+    """
+    missing = [c for c in own.columns if c not in STRICT]
+    rows = own.withColumn("_other", F.lit(0)).unionByName(other.select(*STRICT, F.lit(1).alias("_other")), allowMissingColumns=True)
     key = folded_key()
-    record = F.struct(*rows.columns)
-    each = rows.withColumns(key).groupBy(*key).agg(F.max_by(record, "ord").alias("r"), F.min("ord").alias("first_ord"))
-    return each.select(*key, "first_ord", "r.*")
+    sent = rows.select(*STRICT, *missing, "_other", sort_key(*key.values())).repartition(SORT_KEY).withColumns(key)
+    record = F.when(F.col("_other") == 0, F.struct(*own.columns))
+    each = sent.groupBy(SORT_KEY, *key).agg(F.max("_other").alias("_other"), F.max_by(record, "ord").alias("r"), F.min("ord").alias("first_ord"))
+    return each.where(F.col("_other") == 0).select("first_ord", "r.*")
 
 
 def casefold(new: DataFrame, baseline: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(added, removed) by name without case, date and employees; each key once."""
-    a, b = _folded(new), _folded(baseline)
-    keys = ["k_company", "k_date", "k_employees"]
-    return a.join(b, keys, "left_anti").drop(*keys), b.join(a, keys, "left_anti").drop(*keys)
+    return _folded_only_in(new, baseline), _folded_only_in(baseline, new)
 
 
 def largest(changes: DataFrame, n: int = REPORT_ENTRIES) -> DataFrame:

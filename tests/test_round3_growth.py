@@ -30,3 +30,17 @@ def test_a_page_is_looked_for_between_two_bounds(spark):
     order = [positions.Key(F.col("id"))]
     bounds = positions._bounds(keyed, order, 5000, [F.col("_k0").asc()], 2000, 2100)
     assert len(bounds) == 2 and bounds[0][0] < 2000 and bounds[1][0] >= 2100
+
+
+def test_sides_are_sent_once(spark):
+    from noticemill.operators import diff
+
+    a, b = (notices(spark, [(f"Co {i}", None, "2025-01-01", 1) for i in r]).cache() for r in (range(30), range(20, 50)))
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert plan(diff.casefold(a, b)[0]).count("Exchange hashpartitioning") == 1
+        assert plan(diff.strict(a, b)[0]).count("Exchange hashpartitioning") == 2
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert diff.casefold(a, b)[0].count() == 20 and diff.strict(a, b)[1].count() == 20
