@@ -44,3 +44,22 @@ def test_sides_are_sent_once(spark):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
     assert diff.casefold(a, b)[0].count() == 20 and diff.strict(a, b)[1].count() == 20
+
+
+def test_keys_that_share_a_hash_are_told_apart():
+    import pandas as pd
+
+    from noticemill.streaming import changes
+
+    def counts(*rows):
+        df = pd.DataFrame(rows, columns=["hash", "company", "effective_date", "employees", "rows"])
+        return df.astype({"hash": "Int64", "employees": "Int32", "rows": "Int64"})
+
+    def found(before, after):
+        return {(r.company, r.before, r.after) for r in changes.changed(before, after).itertuples()}
+
+    one = counts((1, "A", None, 5, 1), (2, "B", "d", None, 2), (3, "C", "d", 1, 1))
+    assert found(one, counts((2, "B", "d", None, 3), (1, "A", None, 5, 1), (4, "D", "d", 1, 1))) == {("B", 2, 3), ("C", 1, 0), ("D", 0, 1)}
+    assert found(one, counts((1, "X", None, 5, 1), (2, "B", "d", None, 2), (3, "C", "d", 1, 1))) == {("A", 1, 0), ("X", 0, 1)}
+    assert found(one, counts((1, "A", None, 5, 1), (1, "Y", None, 5, 1))) == {("Y", 0, 1), ("B", 2, 0), ("C", 1, 0)}
+    assert found(one, one) == set()
