@@ -2,10 +2,14 @@
 
 Words are put into rows by the gaps between them from top to bottom, and the first row, the header, is cut into columns by its
 gaps from left to right.  Every word then falls into the column whose extent holds its left edge.  All windows are of one page.
+Words become one record a row as soon as rows are known, and cells are told apart inside it, so that nothing is grouped by anything
+but the page: words that come partitioned by page are not shuffled at all, others once.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -24,10 +28,56 @@ def islands(rows: DataFrame, by: list[str], low: str, high: str, gap: float, nam
     return begun.withColumn(name, F.sum("_begins").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)).cast("int")).drop("_begins")
 
 
-def _joined(*order: str) -> Column:
-    """The words of a cell in reading order."""
-    parts = F.array_sort(F.collect_list(F.struct(*order, "word")))
-    return F.array_join(F.transform(parts, lambda p: p["word"]), " ")
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once, however often it is mentioned."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _numbered(spans: Column, gap: float) -> Column:
+    """As ``islands``, for a sorted array of (low, high, ...): the number of each entry's island."""
+    none = F.struct(F.lit(None).cast("double").alias("reached"), F.lit(0).alias("n"), F.array().cast("array<int>").alias("all"))
+
+    def follow(done: Column, span: Column) -> Column:
+        n = done["n"] + F.coalesce((span["low"] > done["reached"] + gap).cast("int"), F.lit(0))
+        return F.struct(F.greatest(done["reached"], span["high"]).alias("reached"), n.alias("n"), F.array_append(done["all"], n).alias("all"))
+
+    return F.aggregate(spans, none, follow)["all"]
+
+
+def _spans(words: Column, low: str, high: str) -> Column:
+    return F.sort_array(F.transform(words, lambda w: F.struct(w[low].cast("double").alias("low"), w[high].cast("double").alias("high"), w.alias("of"))))
+
+
+def _joined(words: Column, line_gap: float) -> Column:
+    """The words of a cell in reading order: by line, as far as there is free space between lines, then from left to right."""
+
+    def ordered(spans: Column) -> Column:
+        placed = _let(_numbered(spans, line_gap), lambda line: F.transform(spans, lambda s, i: F.struct(F.get(line, i).alias("line"), s["of"]["x0"].alias("x0"), s["of"]["word"].alias("word"))))
+        return F.array_join(F.transform(F.sort_array(placed), lambda p: p["word"]), " ")
+
+    # most cells are one word
+    return F.when(F.size(words) == 1, F.get(words, F.lit(0))["word"]).otherwise(_let(_spans(words, "top", "bottom"), ordered))
+
+
+def _extents(words: Column, line_gap: float, column_gap: float, indent: float) -> Column:
+    """The columns of a header in their order: title, and where the left edges of their words begin and end."""
+
+    def cut(spans: Column, column: Column) -> Column:
+        of = F.transform(F.sequence(F.lit(0), F.array_max(column)), lambda k: F.transform(F.filter(spans, lambda _, i: F.get(column, i) == k), lambda s: s["of"]))
+        left = lambda each: F.array_min(F.transform(each, lambda w: w["x0"])).cast("double")
+        return _let(
+            of,
+            lambda columns: F.transform(
+                columns,
+                lambda each, k: F.struct(
+                    _joined(each, line_gap).alias("title"),
+                    F.when(k == 0, F.lit(float("-inf"))).otherwise(left(each) - indent).alias("begins"),
+                    F.coalesce(left(F.get(columns, k + 1)) - indent, F.lit(float("inf"))).alias("ends"),
+                ),
+            ),
+        )
+
+    return _let(_spans(words, "x0", "x1"), lambda spans: _let(_numbered(spans, column_gap), lambda column: cut(spans, column)))
 
 
 def tables(words: DataFrame, row_gap: float = ROW_GAP, line_gap: float = LINE_GAP, column_gap: float = COLUMN_GAP, indent: float = INDENT) -> DataFrame:
@@ -36,30 +86,18 @@ def tables(words: DataFrame, row_gap: float = ROW_GAP, line_gap: float = LINE_GA
     Cells may be wrapped over lines of a row; header cells too.  A cell without words is null, a header without a word on a page
     means no rows.  Words left of the first column belong to it.
     """
-    page = ["page"]
     placed = words.where((F.col("word") != "") & F.col("x0").isNotNull() & F.col("top").isNotNull())
-    placed = islands(placed, page, "top", "bottom", row_gap, "row")
-    head = islands(placed.where(F.col("row") == 0), page, "x0", "x1", column_gap, "column")
-    # lines of the header are told apart as rows are, with a smaller gap
-    head = islands(head, [*page, "column"], "top", "bottom", line_gap, "line")
-    columns = head.groupBy("page", "column").agg(F.min("x0").alias("left"), _joined("line", "x0").alias("title"))
-    across = Window.partitionBy("page").orderBy("column")
-    extents = columns.withColumns(
-        {
-            "begins": F.when(F.col("column") == 0, F.lit(float("-inf"))).otherwise(F.col("left") - indent),
-            "ends": F.coalesce(F.lead("left").over(across) - indent, F.lit(float("inf"))),
-        }
-    )
-    below = placed.where(F.col("row") > 0)
-    same_page = below["page"].eqNullSafe(extents["page"])
-    inside = (below["x0"] >= extents["begins"]) & (below["x0"] < extents["ends"])
-    found = below.join(extents.select("page", "column", "begins", "ends"), same_page & inside).drop(extents["page"])
-    lined = islands(found, ["page", "row", "column"], "top", "bottom", line_gap, "line")
-    cells = lined.groupBy("page", "row", "column").agg(_joined("line", "x0").alias("cell"))
-    by_column = F.map_from_entries(F.collect_list(F.struct("column", "cell")))
-    rows = cells.groupBy("page", "row").agg(by_column.alias("cells"))
-    titles = F.transform(F.array_sort(F.collect_list(F.struct("column", "title"))), lambda c: c["title"])
-    headers = columns.groupBy("page").agg(titles.alias("header"))
-    whole = rows.join(headers.withColumnRenamed("page", "_page"), F.col("page").eqNullSafe(F.col("_page")))
-    each = F.transform(F.sequence(F.lit(0), F.size("header") - 1), lambda i: F.try_element_at("cells", i))
-    return whole.select("page", F.lit(0).alias("nth"), "header", F.col("row").alias("ord"), each.alias("cells"))
+    placed = islands(placed, ["page"], "top", "bottom", row_gap, "row")
+    rows = placed.groupBy("page", "row").agg(F.collect_list(F.struct("x0", "x1", "top", "bottom", "word")).alias("words"))
+    extents = F.when(F.col("row") == 0, _extents(F.col("words"), line_gap, column_gap, indent))
+    down = Window.partitionBy("page").orderBy("row").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    below = rows.withColumn("_columns", extents).withColumn("_columns", F.first("_columns").over(down)).where(F.col("row") > 0)
+
+    def cell(column: Column) -> Column:
+        inside = F.filter("words", lambda w: (w["x0"] >= column["begins"]) & (w["x0"] < column["ends"]))
+        return _let(inside, lambda own: F.when(F.size(own) > 0, _joined(own, line_gap)))
+
+    # a generated column is not computed again in each filter that reads its cells
+    found = below.select("page", F.col("row").alias("ord"), F.transform("_columns", lambda c: c["title"]).alias("header"), F.explode(F.array(F.transform("_columns", cell))).alias("cells"))
+    whole = found.where(F.exists("cells", lambda c: c.isNotNull()))
+    return whole.select("page", F.lit(0).alias("nth"), "header", "ord", "cells")

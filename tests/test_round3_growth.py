@@ -63,3 +63,14 @@ def test_keys_that_share_a_hash_are_told_apart():
     assert found(one, counts((1, "X", None, 5, 1), (2, "B", "d", None, 2), (3, "C", "d", 1, 1))) == {("A", 1, 0), ("X", 0, 1)}
     assert found(one, counts((1, "A", None, 5, 1), (1, "Y", None, 5, 1))) == {("Y", 0, 1), ("B", 2, 0), ("C", 1, 0)}
     assert found(one, one) == set()
+
+
+def test_words_that_lie_with_their_pages_are_not_sent(spark):
+    from noticemill.sources import words
+
+    spans = [(None, 0, 0.0, "Company"), (None, 0, 90.0, "No."), (None, 20, 0.0, "A"), (None, 32, 1.0, "B"), (None, 20, 91.0, "7")]
+    rows = [(page, float(x), x + 10.0, float(top), top + 10.0, word) for _, top, x, word in spans for page in (None, 1)]
+    df = spark.createDataFrame(rows, "page int, x0 double, x1 double, top double, bottom double, word string").repartition(3, "page")
+    found = words.tables(df)
+    assert plan(found).count("Exchange") == 1
+    assert [(r.page, r.header, r.cells) for r in found.orderBy("page").collect()] == [(p, ["Company", "No."], ["A B", "7"]) for p in (None, 1)]
