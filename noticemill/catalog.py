@@ -64,7 +64,9 @@ def _any_format(date: Column) -> Column:
 
 def _spaced(date: Column) -> Column:
     """The date as page tables have it: two digits a year and blanks between all characters; other texts as they are."""
-    return F.coalesce(F.regexp_replace(F.date_format(values.as_date(date), "MM/dd/yy"), "(.)", "$1 "), date)
+    day = values.as_date(date).cast("string")
+    spaced = [F.lit(c) if c == "/" else F.substring(day, c, 1) for c in (6, 7, "/", 9, 10, "/", 3, 4)]
+    return F.coalesce(F.concat(*[part for c in spaced for part in (c, F.lit(" "))]), date)
 
 
 def _sheet(sheet: str, fields: list[str | None], top: list[tuple[str, list[str]]]) -> Callable[[SparkSession, str], DataFrame]:
@@ -80,15 +82,20 @@ def _sheet(sheet: str, fields: list[str | None], top: list[tuple[str, list[str]]
     return run
 
 
+def _by_layout(layout: Column, each: Callable[[list[str], list[str]], list]) -> Column:
+    """An array for each row, made from header and fields of its layout."""
+    return reduce(lambda out, k: out.when(layout == k, F.array(*each(*PAGE_TABLES[k]))), range(len(PAGE_TABLES)), F)
+
+
 def page_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Notices of page tables of two layouts; one has its notice dates in the first cell, where they are not read."""
     raw = star.raw_notices(spark, sf_dir)
     raw = raw.withColumns({c: _spaced(F.col(c)) for c in ("notice_date", "effective_date")})
-    pages = [
-        raw.where(F.col("filing") % 2 == k).select(F.lit(k).alias("page"), F.lit(0).alias("nth"), F.lit(header).alias("header"), "ord", F.array(*fields).alias("cells"))
-        for k, (header, fields) in enumerate(PAGE_TABLES)
-    ]
-    return cells.parse_page_tables(pages[0].unionByName(pages[1]), 2014).drop("page", "nth")
+    # both layouts from one reading of the notices
+    page = F.pmod("filing", F.lit(len(PAGE_TABLES))).cast("int")
+    header = _by_layout(page, lambda header, _: [F.lit(h) for h in header])
+    tables = raw.select(page.alias("page"), F.lit(0).alias("nth"), header.alias("header"), "ord", _by_layout(page, lambda _, fields: fields).alias("cells"))
+    return cells.parse_page_tables(tables, 2014).drop("page", "nth")
 
 
 def _older_raw(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -35,11 +35,22 @@ def sheet_date(x: Column) -> Column:
 
 def page_date(x: Column) -> Column:
     """A page table's date as ISO text: blanks inside are artefacts; what no format reads stays, without blanks."""
+    # nearly all dates are two digits each, which are read by their places; each pattern costs more than all of that
+    plain = F.replace(x, F.lit(" "), F.lit(""))
+    year = F.substring(plain, 7, 2)
+    named = F.concat(F.when(year >= "69", F.lit("19")).otherwise(F.lit("20")), year, F.lit("-"), F.substring(plain, 1, 2), F.lit("-"), F.substring(plain, 4, 2))
+    iso = named.try_cast("date").cast("string")
+    usual = (F.substring(plain, 3, 1) == "/") & (F.substring(plain, 6, 1) == "/") & (F.length(plain) == 8) & (iso == named)
+    # as a function of an element, the long way stays out of the code of the short one, which is compiled only while it is small
+    return F.when(usual, iso).otherwise(F.get(F.transform(F.array(x), _other_page_date), F.lit(0)))
+
+
+def _other_page_date(x: Column) -> Column:
     text = F.regexp_replace(x, r"(?U)\s+", "")
     short = F.regexp_extract(text, r"^(\d{1,2}/\d{1,2}/)(\d{2})$", 2)
     century = F.when(short.try_cast("int") >= 69, F.lit("19")).otherwise(F.lit("20"))
     full = F.when(short != "", F.concat(F.regexp_extract(text, r"^(\d{1,2}/\d{1,2}/)(\d{2})$", 1), century, short)).otherwise(text)
-    iso = F.date_format(_parsed(full, ("M/d/yyyy", "yyyy-MM-dd", "M-d-yyyy")), "yyyy-MM-dd")
+    iso = F.when(x.rlike("[0-9]"), F.date_format(_parsed(full, ("M/d/yyyy", "yyyy-MM-dd", "M-d-yyyy")), "yyyy-MM-dd"))
     missing = x.isNull() | F.trim(x).isin("", "nan", "None")
     return F.when(~missing, F.coalesce(iso, text))
 

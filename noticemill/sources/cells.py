@@ -144,35 +144,36 @@ def parse_page_tables(tables: DataFrame, year: int) -> DataFrame:
     ``company`` are repeated headers.  A notice date in the first cell is not read.
     """
 
-    def field_of(h: Column) -> Column:
+    def field_of(name: Column) -> Column:
         """The first field that a cell of the header fits, by its name."""
-        name = F.lower(F.coalesce(h, F.lit("none")))
         out = F
         for field, groups in PAGE_TABLE:
             out = out.when(reduce(lambda a, b: a | b, [name.contains(word) for (word,) in groups]), F.lit(field))
         return out.otherwise(F.lit(""))
 
-    # a header's cells are told apart once a row; a generated column is not computed again where it is used
+    # a header's cells are told apart once a row, and so are names and numbers: a generated column is not computed again where it is used
     fields = [f for f, _ in PAGE_TABLE]
-    placed = tables.select("*", F.explode(F.array(F.transform("header", field_of))).alias("_fields"))
-    placed = placed.withColumns({f"_{f}": F.array_position("_fields", F.lit(f)).cast("int") - 1 for f in fields})
+    names = F.transform(F.transform("header", lambda h: F.lower(F.coalesce(h, F.lit("none")))), field_of)
+    placed = tables.select("*", F.explode(F.array(names)).alias("_fields"))
+    placed = placed.select("*", F.inline(F.array(F.struct(*[(F.array_position("_fields", F.lit(f)).cast("int") - 1).alias(f"_{f}") for f in fields]))))
     most = F.greatest(*[F.col(f"_{f}") for f in fields])
     usable = placed.where((F.col("_company") >= 0) & (F.col("_employees") >= 0) & (F.size("cells") > most))
     cell = lambda f: F.get("cells", F.col(f"_{f}"))
-    company = text.fix_company_pdf(cell("company"))
-    rows = usable.select(
+    read = F.struct(text.fix_company_pdf(F.col("_name")).alias("company"), values.headcount(F.col("_number"), inner_blanks=True).alias("employees"))
+    rows = usable.withColumns({"_name": cell("company"), "_number": cell("employees")}).select("*", F.inline(F.array(read)))
+    rows = rows.where((F.trim("company") != "") & ~F.lower("company").contains("company") & (F.col("employees") >= 1))
+    given = {"notice": F.when(F.col("_notice") > 0, cell("notice")), "effective": F.when(F.col("_effective") >= 0, cell("effective"))}
+    given |= {f: F.when(F.col(f"_{f}") >= 0, F.coalesce(cell(f), F.lit("None"))).otherwise(F.lit("")) for f in ("county", "address", "type")}
+    rows = rows.select("page", "nth", "ord", "company", "employees", F.inline(F.array(F.struct(*[c.alias(f"_{f}") for f, c in given.items()]))))
+    return rows.select(
         "page",
         "nth",
         "ord",
-        company.alias("company"),
-        values.headcount(cell("employees"), inner_blanks=True).alias("employees"),
-        F.when(F.col("_notice") > 0, values.page_date(cell("notice"))).alias("notice_date"),
-        F.when(F.col("_effective") >= 0, values.page_date(cell("effective"))).alias("effective_date"),
-        *[
-            F.when(F.col(f"_{f}") >= 0, text.strip(F.coalesce(cell(f), F.lit("None")))).otherwise(F.lit("")).alias(name)
-            for f, name in (("county", "county"), ("address", "address"), ("type", "layoff_type"))
-        ],
+        "company",
+        "employees",
+        values.page_date(F.col("_notice")).alias("notice_date"),
+        values.page_date(F.col("_effective")).alias("effective_date"),
+        *[text.strip_cell(F.col(f"_{f}")).alias(name) for f, name in (("county", "county"), ("address", "address"), ("type", "layoff_type"))],
         F.lit(year).cast("string").alias("fiscal_year"),
         F.lit("pdf").alias("source"),
     )
-    return rows.where((F.trim("company") != "") & ~F.lower("company").contains("company") & (F.col("employees") >= 1))
