@@ -140,19 +140,18 @@ def placed_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = star.raw_notices(spark, sf_dir)
     raw = raw.withColumns({c: _spaced(F.col(c)) for c in ("notice_date", "effective_date")})
     pages = max(1, -(-spark.read.parquet(f"{sf_dir}/lineitem.parquet").count() // 100))
-    layout = F.col("filing") % len(PAGE_TABLES)
-    by_layout = lambda each: reduce(lambda out, k: out.when(layout == k, F.array(*each(*PAGE_TABLES[k]))), range(len(PAGE_TABLES)), F)
-    titles = by_layout(lambda header, _: [F.lit(h.replace(" ", "  ")) for h in header])
+    layout = F.pmod("filing", F.lit(len(PAGE_TABLES)))
     page = 2 * F.pmod(F.xxhash64("ord"), F.lit(pages)) + layout
-    rows = raw.select(page.alias("page"), "ord", titles.alias("titles"), by_layout(lambda _, fields: fields).alias("cells"))
+    rows = raw.select(page.alias("page"), "ord", _by_layout(layout, lambda _, fields: fields).alias("cells"))
     # rows are sent to their pages, and a page is set out and read where its rows are: words, some thirty a row, are not sent
     rows = rows.repartition(max(-(-pages // 500), spark.sparkContext.defaultParallelism), "page")
     rows = rows.withColumn("row", F.row_number().over(Window.partitionBy("page").orderBy("ord")))
-    top = F.when(F.col("row") == 1, F.array(F.struct(F.lit(0).alias("row"), F.col("titles").alias("cells")))).otherwise(F.array().cast("array<struct<row:int,cells:array<string>>>"))
-    each = rows.select("page", F.inline(F.concat(top, F.array(F.struct("row", "cells"))))).select("page", "row", F.posexplode("cells").alias("column", "cell"))
+    titles = _by_layout(F.pmod("page", F.lit(len(PAGE_TABLES))), lambda header, _: [F.lit(h.replace(" ", "  ")) for h in header])
+    lines = F.when(F.col("row") == 1, F.array(F.struct(F.lit(0).alias("row"), titles.alias("cells")), F.struct("row", "cells"))).otherwise(F.array(F.struct("row", "cells")))
+    each = rows.select("page", F.inline(lines)).select("page", "row", F.posexplode("cells").alias("column", "cell"))
     # dates hold eight words a line, other cells three
-    wide = F.when(F.col("cell").rlike("^[0-9/ ]+$"), 8).otherwise(3)
-    words = each.select("page", "row", "column", wide.alias("wide"), F.posexplode(F.filter(F.split(F.trim("cell"), r"\s+"), lambda w: w != "")).alias("at", "word"))
+    each = each.withColumn("wide", F.when(F.col("cell").rlike("^[0-9/ ]+$"), 8).otherwise(3))
+    words = each.select("page", "row", "column", "wide", F.posexplode(F.array_remove(F.split(F.trim("cell"), r"\s+"), "")).alias("at", "word"))
     off = lambda seed: F.pmod(F.xxhash64("page", "row", "column", "at", F.lit(seed)), F.lit(100)) / 100
     x0 = 600 * F.col("column") + F.col("at") % F.col("wide") * F.when(F.col("wide") == 8, 12).otherwise(150) + 2 * off(1)
     top = 90 * F.col("row") + 12 * F.floor(F.col("at") / F.col("wide")) + off(2)

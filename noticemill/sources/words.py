@@ -1,16 +1,19 @@
 """Tables of pages from placed words: (page, x0, x1, top, bottom, word), as extractors of page layouts give them.
 
 Words are put into rows by the gaps between them from top to bottom, and the first row, the header, is cut into columns by its
-gaps from left to right.  Every word then falls into the column whose extent holds its left edge.  All windows are of one page.
-Words become one record a row as soon as rows are known, and cells are told apart inside it, so that nothing is grouped by anything
-but the page: words that come partitioned by page are not shuffled at all, others once.
+gaps from left to right.  Every word then falls into the column whose extent holds its left edge.  A page is read whole by one task,
+with arrays over all its words; nothing is grouped by anything but the page: words that come partitioned by page are not shuffled at
+all, others once.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, Window
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Free space, in the units of the page, that parts rows, lines of a row, and columns of the header.
@@ -28,56 +31,62 @@ def islands(rows: DataFrame, by: list[str], low: str, high: str, gap: float, nam
     return begun.withColumn(name, F.sum("_begins").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)).cast("int")).drop("_begins")
 
 
-def _let(value: Column, use: Callable[[Column], Column]) -> Column:
-    """``use`` of a value that is computed once, however often it is mentioned."""
-    return F.get(F.transform(F.array(value), use), F.lit(0))
-
-
-def _numbered(spans: Column, gap: float) -> Column:
-    """As ``islands``, for a sorted array of (low, high, ...): the number of each entry's island."""
-    none = F.struct(F.lit(None).cast("double").alias("reached"), F.lit(0).alias("n"), F.array().cast("array<int>").alias("all"))
-
-    def follow(done: Column, span: Column) -> Column:
-        n = done["n"] + F.coalesce((span["low"] > done["reached"] + gap).cast("int"), F.lit(0))
-        return F.struct(F.greatest(done["reached"], span["high"]).alias("reached"), n.alias("n"), F.array_append(done["all"], n).alias("all"))
-
-    return F.aggregate(spans, none, follow)["all"]
-
-
-def _spans(words: Column, low: str, high: str) -> Column:
-    return F.sort_array(F.transform(words, lambda w: F.struct(w[low].cast("double").alias("low"), w[high].cast("double").alias("high"), w.alias("of"))))
-
-
-def _joined(words: Column, line_gap: float) -> Column:
-    """The words of a cell in reading order: by line, as far as there is free space between lines, then from left to right."""
-
-    def ordered(spans: Column) -> Column:
-        placed = _let(_numbered(spans, line_gap), lambda line: F.transform(spans, lambda s, i: F.struct(F.get(line, i).alias("line"), s["of"]["x0"].alias("x0"), s["of"]["word"].alias("word"))))
-        return F.array_join(F.transform(F.sort_array(placed), lambda p: p["word"]), " ")
-
-    # most cells are one word
-    return F.when(F.size(words) == 1, F.get(words, F.lit(0))["word"]).otherwise(_let(_spans(words, "top", "bottom"), ordered))
-
-
-def _extents(words: Column, line_gap: float, column_gap: float, indent: float) -> Column:
-    """The columns of a header in their order: title, and where the left edges of their words begin and end."""
-
-    def cut(spans: Column, column: Column) -> Column:
-        of = F.transform(F.sequence(F.lit(0), F.array_max(column)), lambda k: F.transform(F.filter(spans, lambda _, i: F.get(column, i) == k), lambda s: s["of"]))
-        left = lambda each: F.array_min(F.transform(each, lambda w: w["x0"])).cast("double")
-        return _let(
-            of,
-            lambda columns: F.transform(
-                columns,
-                lambda each, k: F.struct(
-                    _joined(each, line_gap).alias("title"),
-                    F.when(k == 0, F.lit(float("-inf"))).otherwise(left(each) - indent).alias("begins"),
-                    F.coalesce(left(F.get(columns, k + 1)) - indent, F.lit(float("inf"))).alias("ends"),
-                ),
-            ),
-        )
-
-    return _let(_spans(words, "x0", "x1"), lambda spans: _let(_numbered(spans, column_gap), lambda column: cut(spans, column)))
+def _islands(low: np.ndarray, high: np.ndarray, gap: float, group: np.ndarray | None = None) -> np.ndarray:
+    """As ``islands``, each of a ``group`` if given; numbers rise from group to group.  Of what has no end, ``high`` is -inf."""
+    group = np.zeros(len(low), dtype=np.int64) if group is None else group
+    order = np.lexsort((high, low, group))
+    ends, nth = np.unique(high[order], return_inverse=True)
+    # the highest end so far of a group, as its place among all ends, groups one after another
+    base = group[order] * len(ends)
+    reached = ends[np.maximum.accumulate(base + nth)[:-1] - base[:-1]]
+    same = group[order][1:] == group[order][:-1]
+    begins = np.where(same, (low[order][1:] > reached + gap) & (reached > -np.inf), True)
+    numbers = np.empty(len(low), dtype=np.int64)
+    numbers[order] = np.concatenate([[0], np.cumsum(begins)])
+    return numbers
+
+
+def _in_order(words: pa.Array, cell: np.ndarray, line: np.ndarray, x0: np.ndarray) -> np.ndarray:
+    """Places of the words by cell, line, left edge, and then by the words themselves."""
+    order = np.lexsort((x0, line, cell))
+    a, b = order[:-1], order[1:]
+    if ((cell[a] == cell[b]) & (line[a] == line[b]) & (x0[a] == x0[b])).any():
+        by_word = np.unique(np.array(words.to_pylist(), dtype=object), return_inverse=True)[1]
+        order = np.lexsort((by_word, x0, line, cell))
+    return order
+
+
+def _lists(values: pa.Array, size: int) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(np.arange(0, len(values) + 1, size), pa.int32()), values)
+
+
+def _read(page: pa.Table, row_gap: float, line_gap: float, column_gap: float, indent: float) -> tuple[np.ndarray, pa.Array, pa.Array]:
+    """Rows of a page below its header: their numbers, the header beside each, and their cells."""
+    x0, x1, top, bottom = (page[c].to_numpy() for c in ("x0", "x1", "top", "bottom"))
+    words = page["word"].combine_chunks().cast(pa.string())
+    if (x1 < x0).any() or (bottom < top).any():  # words without an end: islands of equal places are told apart by all else
+        by_word = np.unique(np.array(words.to_pylist(), dtype=object), return_inverse=True)[1]
+        order = np.lexsort((by_word, bottom, top, x1, x0))
+        x0, x1, top, bottom, words = x0[order], x1[order], top[order], bottom[order], words.take(pa.array(order))
+    row = _islands(top, bottom, row_gap)
+    first = row == 0
+    column = np.empty(len(row), dtype=np.int64)
+    column[first] = _islands(x0[first], x1[first], column_gap)
+    columns = int(column[first].max()) + 1
+    left = np.full(columns, np.inf)
+    np.minimum.at(left, column[first], x0[first])
+    column[~first] = np.searchsorted(left[1:] - indent, x0[~first], side="right")
+    placed = first | (x0 < np.inf)
+    row, x0, top, bottom, words = row[placed], x0[placed], top[placed], bottom[placed], words.filter(pa.array(placed))
+    cell = row * columns + column[placed]
+    order = _in_order(words, cell, _islands(top, bottom, line_gap, cell), x0)
+    cells, begins = np.unique(cell[order], return_index=True)
+    texts = pc.binary_join(pa.ListArray.from_arrays(pa.array(np.append(begins, len(order)), pa.int32()), words.take(pa.array(order))), " ")
+    below = np.unique(row)[1:]
+    at = np.searchsorted(cells, wanted := (below[:, None] * columns + np.arange(columns)).ravel())
+    found = np.append(cells, -1)[at] == wanted
+    header = texts.slice(0, columns).take(pa.array(np.tile(np.arange(columns), len(below))))
+    return below, _lists(header, columns), _lists(texts.take(pa.array(at, mask=~found)), columns)
 
 
 def tables(words: DataFrame, row_gap: float = ROW_GAP, line_gap: float = LINE_GAP, column_gap: float = COLUMN_GAP, indent: float = INDENT) -> DataFrame:
@@ -86,18 +95,13 @@ def tables(words: DataFrame, row_gap: float = ROW_GAP, line_gap: float = LINE_GA
     Cells may be wrapped over lines of a row; header cells too.  A cell without words is null, a header without a word on a page
     means no rows.  Words left of the first column belong to it.
     """
+    number = lambda c: F.nanvl(F.coalesce(F.col(c).cast("double"), F.lit(float("-inf"))), F.lit(float("inf"))).alias(c)
     placed = words.where((F.col("word") != "") & F.col("x0").isNotNull() & F.col("top").isNotNull())
-    placed = islands(placed, ["page"], "top", "bottom", row_gap, "row")
-    rows = placed.groupBy("page", "row").agg(F.collect_list(F.struct("x0", "x1", "top", "bottom", "word")).alias("words"))
-    extents = F.when(F.col("row") == 0, _extents(F.col("words"), line_gap, column_gap, indent))
-    down = Window.partitionBy("page").orderBy("row").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    below = rows.withColumn("_columns", extents).withColumn("_columns", F.first("_columns").over(down)).where(F.col("row") > 0)
-
-    def cell(column: Column) -> Column:
-        inside = F.filter("words", lambda w: (w["x0"] >= column["begins"]) & (w["x0"] < column["ends"]))
-        return _let(inside, lambda own: F.when(F.size(own) > 0, _joined(own, line_gap)))
-
-    # a generated column is not computed again in each filter that reads its cells
-    found = below.select("page", F.col("row").alias("ord"), F.transform("_columns", lambda c: c["title"]).alias("header"), F.explode(F.array(F.transform("_columns", cell))).alias("cells"))
-    whole = found.where(F.exists("cells", lambda c: c.isNotNull()))
-    return whole.select("page", F.lit(0).alias("nth"), "header", "ord", "cells")
+    placed = placed.select("page", *[number(c) for c in ("x0", "x1", "top", "bottom")], "word")
+
+    def read(page: pa.Table) -> pa.Table:
+        rows, header, cells = _read(page, row_gap, line_gap, column_gap, indent)
+        of = page["page"].combine_chunks().take(pa.array(np.zeros(len(rows), dtype=np.int64)))
+        return pa.table([of, pa.array(np.zeros(len(rows)), pa.int32()), header, pa.array(rows, pa.int32()), cells], ["page", "nth", "header", "ord", "cells"])
+
+    return placed.groupBy("page").applyInArrow(read, f"page {placed.schema['page'].dataType.simpleString()}, nth int, header array<string>, ord int, cells array<string>")
