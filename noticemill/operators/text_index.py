@@ -1,18 +1,18 @@
 """Substring search with an index of trigrams.
 
-Rows are dealt into blocks and numbered inside them.  For every field and every three letters in a row of a text, the index has the
-rows of each block, as a list or a bitmap.  A text that is looked for selects the rows of all its trigrams; the rows of those blocks, and no others,
+Rows are cut into blocks where they lie and numbered inside them.  For every field and every three letters in a row of a text, the index
+has the rows of each block, as a list of gaps or a bitmap.  A text that is looked for selects the rows of all its trigrams; the rows of those blocks, and no others,
 are read and compared.  Texts end with two marks, so that one or two letters are the beginning of some trigram too.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sinks import scratch
@@ -21,8 +21,8 @@ from .search import CELLS
 #: Rows of a block: as many as a bitmap has bits.
 BLOCK_ROWS = 32_768
 END = "\x01\x01"
-SLOTS = "slot int, block int"
-GRAMS = "field string, gram string, block int, slots binary"
+SLOTS = "slot int, block long"
+GRAMS = "field string, gram string, block long, slots binary"
 BITMAP_BYTES = 4096
 #: Bitmaps, of 4 KB each, that may be sent to every task.
 SENT_BITMAPS = 10_000
@@ -34,46 +34,83 @@ def _text(field: str) -> Column:
 
 
 def _slots(slots: np.ndarray) -> bytes:
-    """Rows of a block that have a gram: their numbers, two bytes each, or a bitmap where that is shorter."""
-    if 2 * len(slots) < BITMAP_BYTES:
-        return slots.astype("<u2").tobytes()
+    """Rows of a block that have a gram: how many rows are left out before each, a byte and one of 255 for every 255 more, or a bitmap
+    where that is shorter."""
+    gaps = np.diff(slots, prepend=-1) - 1
+    ends = np.cumsum(gaps // 255 + 1)
+    if ends[-1] < BITMAP_BYTES:
+        coded = np.full(ends[-1], 255, dtype=np.uint8)
+        coded[ends - 1] = gaps % 255
+        return coded.tobytes()
     bits = np.zeros(8 * BITMAP_BYTES, dtype=bool)
     bits[slots] = True
     return np.packbits(bits, bitorder="little").tobytes()
 
 
 def _bits(slots: bytes) -> np.ndarray:
+    coded = np.frombuffer(slots, dtype=np.uint8)
     if len(slots) == BITMAP_BYTES:
-        return np.frombuffer(slots, dtype=np.uint8)
+        return coded
     bits = np.zeros(8 * BITMAP_BYTES, dtype=bool)
-    bits[np.frombuffer(slots, dtype="<u2")] = True
+    gaps = np.cumsum(coded, dtype=np.int64)[coded < 255]
+    bits[gaps + np.arange(len(gaps))] = True
     return np.packbits(bits, bitorder="little")
 
 
+def _dense(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct codes in their order, and the place of each code among them."""
+    size = int(codes.max()) + 1
+    if size > 1 << 24:
+        return np.unique(codes, return_inverse=True)
+    seen = np.zeros(size, dtype=bool)
+    seen[codes] = True
+    return np.flatnonzero(seen), (np.cumsum(seen, dtype=np.int32) - 1)[codes]
+
+
 def _grams(texts: list[str], slots: np.ndarray) -> tuple[list[str], list[bytes]]:
-    """All three letters in a row of a block's texts, in their order, each with the rows that have it."""
+    """All three letters in a row of a block's texts, in their order, each with the rows that have it; ``slots`` rise."""
     lengths = np.array([len(t) for t in texts], dtype=np.int64)
-    letters = np.frombuffer("".join(t + END for t in texts).encode("utf-32-le"), dtype="<u4").astype(np.int64)
+    alphabet, letters = _dense(np.frombuffer("".join(t + END for t in texts).encode("utf-32-le"), dtype="<u4"))
     starts = np.ones(len(letters), dtype=bool)
     ends = np.cumsum(lengths + len(END))
     starts[ends - 1] = starts[ends - 2] = False  # a gram begins at a letter, never at a mark
-    at = np.flatnonzero(starts)
+    at, n, letters = np.flatnonzero(starts), len(alphabet), letters.astype(np.int64)
     if not len(at):
         return [], []
-    codes, nth = np.unique(letters[at] << 42 | letters[at + 1] << 21 | letters[at + 2], return_inverse=True)
-    pairs = np.unique(nth * (8 * BITMAP_BYTES) + np.repeat(slots, lengths))
-    cuts = np.searchsorted(pairs // (8 * BITMAP_BYTES), np.arange(1, len(codes)))
-    three = np.stack([codes >> 42, codes >> 21 & 0x1FFFFF, codes & 0x1FFFFF], axis=1).astype("<u4").tobytes().decode("utf-32-le")
-    return [three[3 * i : 3 * i + 3] for i in range(len(codes))], [_slots(p) for p in np.split(pairs % (8 * BITMAP_BYTES), cuts)]
-
-
-def _index_block(fields: tuple[str, ...]) -> Callable[[pa.Table], pa.Table]:
-    def of(rows: pa.Table) -> pa.Table:
-        slots, out = rows["slot"].to_numpy().astype(np.int64), []
-        for field in fields:
-            grams, bits = _grams(rows[f"_{field}"].to_pylist(), slots)
-            out.append(pa.table([pa.array([field] * len(grams), pa.string()), pa.array(grams, pa.string()), pa.array([rows["block"][0].as_py()] * len(grams), pa.int32()), pa.array(bits, pa.binary())], ["field", "gram", "block", "slots"]))
-        return pa.concat_tables(out)
+    codes, nth = _dense((letters[at] * n + letters[at + 1]) * n + letters[at + 2])
+    # rows rise within a gram: numbers of two bytes are dealt out, not compared
+    order = np.argsort(nth.astype(np.uint16) if len(codes) <= 1 << 16 else nth, kind="stable")
+    nth, of = nth[order], np.repeat(slots, lengths)[order]
+    once = np.concatenate([[True], (nth[1:] != nth[:-1]) | (of[1:] != of[:-1])])
+    cuts = np.searchsorted(nth[once], np.arange(1, len(codes)))
+    three = alphabet[np.stack([codes // n // n, codes // n % n, codes % n], axis=1)].astype("<u4").tobytes().decode("utf-32-le")
+    return [three[3 * i : 3 * i + 3] for i in range(len(codes))], [_slots(p) for p in np.split(of[once], cuts)]
+
+
+def _index_block(rows: pa.Table, fields: tuple[str, ...]) -> Iterator[pa.RecordBatch]:
+    slots, block = rows["slot"].to_numpy().astype(np.int64), rows["block"][0].as_py()
+    order = np.argsort(slots)
+    for field in fields:
+        grams, bits = _grams(rows[f"_{field}"].take(pa.array(order)).to_pylist(), slots[order])
+        columns = [pa.array([field] * len(grams), pa.string()), pa.array(grams, pa.string()), pa.array([block] * len(grams), pa.int64()), pa.array(bits, pa.binary())]
+        yield pa.record_batch(columns, ["field", "gram", "block", "slots"])
+
+
+def _index_blocks(fields: tuple[str, ...]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """The grams of the blocks of a task, one block after another; one that several tasks read has parts."""
+
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            blocks = batch["block"].to_numpy()
+            cuts = [0, *(np.flatnonzero(blocks[1:] != blocks[:-1]) + 1).tolist(), len(blocks)]
+            for a, b in zip(cuts, cuts[1:], strict=False):
+                if held and a < b and held[0]["block"][0].as_py() != blocks[a]:
+                    yield from _index_block(pa.Table.from_batches(held), fields)
+                    held = []
+                held += [batch.slice(a, b - a)] if a < b else []
+        if held:
+            yield from _index_block(pa.Table.from_batches(held), fields)
 
     return of
 
@@ -95,22 +132,18 @@ class Index:
 def build(cells: DataFrame, folder: str, fields: tuple[str, ...] = ("any_text", "company")) -> Index:
     """Write an index of ``cells`` (see ``search.cells``) under ``folder``.
 
-    Rows are dealt by the hash of ``ord``, which tells them apart, to places of half a block on average, and numbered there; a place
-    with more rows than a bitmap has bits goes on in a block of its own.
+    Rows are numbered by the task that has them, as they come, and written once; a block has the number of its first row.  Its grams are
+    found by the tasks that read it: rows and texts are sent nowhere.
     """
     spark = cells.sparkSession
     index = Index(folder, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in cells.schema))
-    with scratch.written(cells) as kept:
-        homes = max(1, -(-kept.count() // (BLOCK_ROWS // 2)))
-        dealt = kept.withColumn("home", F.pmod(F.xxhash64("ord"), F.lit(homes)).cast("int"))
-        nth = F.row_number().over(Window.partitionBy("home").orderBy("ord")) - 1
-        block = (F.col("home") + homes * F.floor(nth / BLOCK_ROWS)).cast("int")
-        numbered = dealt.select(*cells.columns, block.alias("block"), (nth % BLOCK_ROWS).cast("int").alias("slot"))
-        numbered.repartition("block").write.partitionBy("block").parquet(f"{folder}/rows")
-    # a block's texts go to one task, which finds its grams: their occurrences, some fifty times the rows, are not shuffled
+    numbered = cells.withColumn("_number", F.monotonically_increasing_id())
+    slot = F.col("_number").bitwiseAND((1 << 33) - 1) % BLOCK_ROWS  # the upper bits are the task's
+    numbered = numbered.select(*cells.columns, (F.col("_number") - slot).alias("block"), slot.cast("int").alias("slot"))
+    numbered.write.partitionBy("block").option("compression", "zstd").parquet(f"{folder}/rows")
     texts = index.rows(spark).select("block", "slot", *[_text(f).alias(f"_{f}") for f in fields])
-    grams = texts.groupBy("block").applyInArrow(_index_block(fields), GRAMS)
-    grams.sortWithinPartitions("field", "gram").write.partitionBy("field").parquet(f"{folder}/grams")
+    grams = texts.mapInArrow(_index_blocks(fields), GRAMS)
+    grams.sortWithinPartitions("field", "gram").write.partitionBy("field").option("compression", "zstd").parquet(f"{folder}/grams")
     return index
 
 
@@ -122,11 +155,14 @@ def _together(needed: int) -> Callable[[pa.Table], pa.Table]:
     """The rows of a block that have all of ``needed`` grams, or any gram if that is 0."""
 
     def of(rows: pa.Table) -> pa.Table:
-        bits = [_bits(b) for b in rows["slots"].to_pylist()]
+        parts: dict[str, np.ndarray] = {}
+        for gram, slots in zip(rows["gram"].to_pylist(), rows["slots"].to_pylist(), strict=True):
+            parts[gram] = parts[gram] | _bits(slots) if gram in parts else _bits(slots)
+        bits = list(parts.values())
         found = (np.bitwise_and if needed else np.bitwise_or).reduce(bits)
         if len(bits) < needed or not found.any():
-            return pa.table([pa.array([], pa.int32()), pa.array([], pa.list_(pa.int64()))], ["block", "bits"])
-        return pa.table([pa.array([rows["block"][0].as_py()], pa.int32()), pa.array([found.view("<i8")], pa.list_(pa.int64()))], ["block", "bits"])
+            return pa.table([pa.array([], pa.int64()), pa.array([], pa.list_(pa.int64()))], ["block", "bits"])
+        return pa.table([pa.array([rows["block"][0].as_py()], pa.int64()), pa.array([found.view("<i8")], pa.list_(pa.int64()))], ["block", "bits"])
 
     return of
 
@@ -136,7 +172,7 @@ def candidates(spark: SparkSession, index: Index, field: str, text: str) -> Data
     grams = sorted({text[i : i + 3] for i in range(len(text) - 2)})
     found = index.grams(spark).where(F.col("field") == field)
     found = found.where(F.col("gram").isin(grams) if grams else F.col("gram").startswith(text))
-    return found.select("block", "slots").groupBy("block").applyInArrow(_together(len(grams)), "block int, bits array<bigint>")
+    return found.select("block", "gram", "slots").groupBy("block").applyInArrow(_together(len(grams)), "block long, bits array<bigint>")
 
 
 def search(spark: SparkSession, index: Index, field: str, text: str) -> DataFrame:

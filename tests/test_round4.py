@@ -78,3 +78,32 @@ def test_page_dates_in_the_usual_form_are_read_by_place(spark):
     assert {r.x: r.y for r in df.collect()} == dates
     # the patterns of other dates are no part of the code that reads usual ones
     assert df._jdf.queryExecution().optimizedPlan().toString().split("transform(array(x")[0].count("regexp_replace") == 0
+
+
+def test_an_index_is_built_where_its_rows_lie(spark, tmp_path, monkeypatch):
+    from noticemill.operators import search, text_index
+
+    from .test_operators import notices
+
+    df = search.cells(notices(spark, [(f"Co {i}", None, None, i) for i in range(300)]))
+    sent, write = [], type(df).write
+    monkeypatch.setattr(type(df), "write", property(lambda self: sent.append(plan(self).count("Exchange")) or write.fget(self)))
+    index = text_index.build(df, str(tmp_path), ("company",))
+    assert sent == [plan(df).count("Exchange"), 0]
+    found = text_index.candidates(spark, index, "company", "co 29").collect()
+    # a block that was read in parts
+    index.grams(spark).write.mode("append").partitionBy("field").parquet(f"{tmp_path}/grams")
+    assert sorted(text_index.candidates(spark, index, "company", "co 29").collect()) == sorted(found)
+
+
+def test_slots_are_short():
+    import numpy as np
+
+    from noticemill.operators import text_index
+
+    rnd = np.random.default_rng(1)
+    for n in (1, 5, 100, 3000, 4000, 20_000):
+        slots = np.sort(rnd.choice(32_768, n, replace=False))
+        coded = text_index._slots(slots)
+        assert np.flatnonzero(np.unpackbits(text_index._bits(coded), bitorder="little")).tolist() == slots.tolist()
+        assert len(coded) <= min(n + 32_768 // 255, text_index.BITMAP_BYTES)
