@@ -162,8 +162,8 @@ def placed_words(spark: SparkSession, sf_dir: str) -> DataFrame:
 def incremental_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Merged filings and monthly sums after two files of a hundred have changed and one has gone."""
     source, folder = scratch.folder(spark), scratch.folder(spark)
-    raw = star.raw_notices(spark, sf_dir).withColumn("file", F.col("filing") % 100)
-    lines_of = lambda rows, at: rows.drop("filing").repartition("file").write.partitionBy("file").json(at)
+    raw = star.raw_notices(spark, sf_dir, F.col("l_orderkey") % 100).withColumn("file", F.col("filing") % 100)
+    lines_of = lambda rows, at: rows.drop("filing").write.partitionBy("file").option("compression", "gzip").json(at)
     lines_of(raw, source)
     ingest.ingest(spark, source, folder)
     for k in (3, 7, 20):

@@ -2,7 +2,7 @@
 
 A ledger has a line for each file: length, time and hash.  Files whose length or time changed are hashed again; content that was seen
 before is not parsed again, whatever its file is called.  Parsed rows are kept by content hash, with the hashes of their
-filings' keys.  After a change the keys of the rows that went or came are *touched*; only their rows are read, from the
+filings' keys, once: what is needed of them is read from there.  After a change the keys of the rows that went or came are *touched*; only their rows are read, from the
 changed files and from those others that share a key.  Merged filings are written for touched keys alone, and monthly sums as
 differences, so that what is read and written follows the change.  All tables of an ingestion are committed together.
 """
@@ -25,11 +25,12 @@ from ..sources import cells
 FIELDS = [f.name for f in NOTICE]
 LEDGER = "file string, path string, length long, modified timestamp, md5 string, home string"
 ROWS = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in NOTICE) + ", ord string, k long, md5 string, attempt string"
-POSTINGS = "k long, md5 string, attempt string"
 MERGED = ", ".join(f"{k} string" for k in KEYS) + ", employees long, notice_date string, address string, industry string, ord string, k long, gone boolean, attempt string"
 MONTHS = "month string, employees long, attempt string"
 #: Changed files that are named one by one; beyond, the folder is read and the others are left out.
 NAMED_FILES = 10_000
+#: Numbers of 64 bits that keys are marked in to be sent to every task.
+MARKS = 1 << 20
 
 
 def json_lines(files: DataFrame | None, spark: SparkSession, paths: list[str]) -> DataFrame:
@@ -90,6 +91,22 @@ def _rows_of(spark: SparkSession, folder: str, files: DataFrame, extra: DataFram
     return rows.join(own, ["md5", "attempt"]).select("file", "ord", "k", *FIELDS)
 
 
+def _marked(rows: DataFrame, keys: DataFrame) -> DataFrame:
+    """``rows`` (k, ...) with ``marked``, which is true of all rows whose k is one of ``keys`` and of few others.
+
+    Where few keys are wanted most rows need not be sent to them.
+    """
+    number, bit = F.pmod("k", F.lit(MARKS)), F.pmod(F.shiftright("k", 32), F.lit(64)).cast("int")
+    marks = keys.select(number.alias("_number"), bit.alias("_bit")).groupBy("_number").agg(F.expr("bit_or(shiftleft(1L, _bit))").alias("_marks"))
+    found = rows.withColumns({"_number": number, "_bit": bit}).join(F.broadcast(marks), "_number", "left")
+    return found.withColumn("marked", F.coalesce(F.getbit("_marks", F.col("_bit")) == 1, F.lit(False))).drop("_number", "_bit", "_marks")
+
+
+def _sharing(rows: DataFrame, keys: DataFrame) -> DataFrame:
+    """``rows`` whose k is one of ``keys``."""
+    return _marked(rows, keys).where("marked").drop("marked").join(keys, "k", "left_semi")
+
+
 def _merged(rows: DataFrame) -> DataFrame:
     return merge.merge_duplicates(rows).withColumn("k", F.xxhash64(*KEYS))
 
@@ -130,43 +147,45 @@ def _bring_up(spark: SparkSession, source: str, folder: str, base: int, attempt:
         named = new.select("file", "md5")
         rows = cells.normalise(raw).withColumn("k", F.xxhash64(*KEYS)).join(F.broadcast(named) if parsed <= NAMED_FILES else named, "file")
         # a file is read by few tasks, so that rows need not be brought together by their file
-        rows.select(*FIELDS, "ord", "k", "md5").write.partitionBy("md5").parquet(f"{folder}/rows/attempt={attempt}")
+        rows.select(*FIELDS, "ord", "k", "md5").write.partitionBy("md5").option("compression", "zstd").parquet(f"{folder}/rows/attempt={attempt}")
     # files without a row have no folder; the others give keys and files that share them
     went = _rows_of(spark, folder, gone)
     came = _rows_of(spark, folder, come)
-    with scratch.written(went.select("*", F.lit(False).alias("new")).unionByName(came.select("*", F.lit(True).alias("new")))) as moved:
-        touched = moved.select("k").distinct()
-        if parsed:
-            own = _committed(spark, folder, "rows", ROWS, [attempt]).select("k", "md5").distinct()
-            own.write.parquet(f"{folder}/postings/attempt={attempt}")
-        unchanged = after.join(come.select("file"), "file", "left_anti")
-        postings = _committed(spark, folder, "postings", POSTINGS).select("k", "md5").join(touched, "k", "left_semi")
-        shared = unchanged.join(postings.select("md5").distinct(), "md5", "left_semi")
-        with scratch.written(_rows_of(spark, folder, shared)) as others:
-            with scratch.written(others.join(touched, "k", "left_semi")) as rest:
-                fresh_rows, old_rows = (moved.where(f).drop("new").unionByName(rest) for f in (F.col("new"), ~F.col("new")))
-                # filings are merged once, and read again for what is gone and for the sums
-                target = f"{folder}/merged/attempt={attempt}"
-                _merged(fresh_rows).withColumn("gone", F.lit(False)).write.parquet(target)
-                fresh = spark.read.schema(MERGED).parquet(target).drop("attempt")
-                with scratch.written(_merged(old_rows).select(*fresh.columns[:-1])) as old:
-                    left = old.select("k", *KEYS).join(fresh.select("k"), "k", "left_anti").withColumn("gone", F.lit(True))
-                    sums = _months(fresh, 1).unionByName(_months(old, -1)).groupBy("month").agg(F.sum("employees").alias("employees"))
-                    sums.where(F.col("employees") != 0).write.parquet(f"{folder}/months/attempt={attempt}")
-                    fresh.where(F.lit(False)).unionByName(left, allowMissingColumns=True).write.mode("append").parquet(target)
-                after.select(*[c.split()[0] for c in LEDGER.split(", ")]).write.parquet(f"{folder}/ledger/attempt={attempt}")
-                read_rows = moved.count() + others.count()
-                found = Ingested(runs.commit(spark, folder, attempt, f"{base + 1:020}", base), changed, parsed, shared.count(), read_rows)
+    unchanged = after.join(come.select("file"), "file", "left_anti")
+    alone = unchanged.isEmpty()
+    touched = went.select("k").unionByName(came.select("k")).distinct()
+    if not alone:
+        postings = _sharing(_committed(spark, folder, "rows", ROWS).select("k", "md5"), touched)
+        unchanged = unchanged.join(postings.select("md5").distinct(), "md5", "left_semi")
+    with scratch.written(unchanged) as shared:
+        others = _rows_of(spark, folder, shared)
+        with scratch.written(others if alone else _sharing(others, touched)) as rest:
+            # filings are merged once, and read again for what is gone and for the sums
+            target = f"{folder}/merged/attempt={attempt}"
+            _merged(came.unionByName(rest)).withColumn("gone", F.lit(False)).write.option("compression", "zstd").parquet(target)
+            fresh = spark.read.schema(MERGED).parquet(target).drop("attempt")
+            with scratch.written(_merged(went.unionByName(rest)).select(*fresh.columns[:-1])) as old:
+                left = old.select("k", *KEYS)
+                left = (left if left.isEmpty() else left.join(fresh.select("k"), "k", "left_anti")).withColumn("gone", F.lit(True))
+                sums = _months(fresh, 1).unionByName(_months(old, -1)).groupBy("month").agg(F.sum("employees").alias("employees"))
+                sums.where(F.col("employees") != 0).write.parquet(f"{folder}/months/attempt={attempt}")
+                fresh.where(F.lit(False)).unionByName(left, allowMissingColumns=True).write.mode("append").parquet(target)
+            after.select(*[c.split()[0] for c in LEDGER.split(", ")]).write.parquet(f"{folder}/ledger/attempt={attempt}")
+            read_rows = went.count() + came.count() + others.count()
+            found = Ingested(runs.commit(spark, folder, attempt, f"{base + 1:020}", base), changed, parsed, shared.count(), read_rows)
     return found
 
 
 def merged(spark: SparkSession, folder: str) -> DataFrame:
     """All merged filings: of each key what the last ingestion that touched it wrote."""
     versions = runs.commits(spark, folder).select("attempt", "version")
+    first = versions.agg(F.min("version")).first()[0]
     rows = _committed(spark, folder, "merged", MERGED).join(F.broadcast(versions), "attempt")
     columns = [c for c in rows.columns if c not in ("attempt", "version", "k", *KEYS)]
-    last = rows.groupBy(*KEYS).agg(F.max_by(F.struct(*columns), "version").alias("r")).select(*KEYS, "r.*")
-    return last.where(~F.col("gone")).drop("gone")
+    # filings that only the first ingestion wrote stand there once; the others are compared
+    told = _marked(rows, rows.where(F.col("version") > F.lit(first)).select("k"))
+    last = told.where("marked").groupBy(*KEYS).agg(F.max_by(F.struct(*columns), "version").alias("r")).select(*KEYS, "r.*")
+    return last.unionByName(told.where("not marked").select(*last.columns)).where(~F.col("gone")).drop("gone")
 
 
 def months(spark: SparkSession, folder: str) -> DataFrame:

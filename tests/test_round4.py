@@ -107,3 +107,51 @@ def test_slots_are_short():
         coded = text_index._slots(slots)
         assert np.flatnonzero(np.unpackbits(text_index._bits(coded), bitorder="little")).tolist() == slots.tolist()
         assert len(coded) <= min(n + 32_768 // 255, text_index.BITMAP_BYTES)
+
+
+def test_an_ingestion_writes_rows_once(spark, tmp_path, monkeypatch):
+    from contextlib import contextmanager
+
+    from noticemill.plans import ingest
+    from noticemill.sinks import scratch
+
+    from .test_ingest_sources import full, now, put, rows
+
+    rnd, source, folder = random.Random(3), tmp_path / "in", str(tmp_path / "out")
+    source.mkdir()
+    for k in range(4):
+        put(source, k, rows(rnd, k))
+    aside, written = [], scratch.written
+
+    @contextmanager
+    def counted(df):
+        with written(df) as kept:
+            aside.append(kept.count() if "company" in kept.columns else 0)
+            yield kept
+
+    monkeypatch.setattr(scratch, "written", counted)
+    ingest.ingest(spark, str(source), folder)
+    assert sum(aside) == 0 and not (tmp_path / "out/postings").exists() and now(spark, folder) == full(spark, source)
+    aside.clear()
+    put(source, 1, [*rows(rnd, 9), rows(random.Random(3), 0)[0]])
+    ingest.ingest(spark, str(source), folder)
+    assert sum(aside) < 60 and now(spark, folder) == full(spark, source)
+
+
+def test_marked_rows_are_all_that_share_a_key(spark):
+    from noticemill.plans import ingest
+
+    rows = spark.range(4000).select(F.xxhash64("id").alias("k"))
+    keys = spark.range(0, 4000, 100).select(F.xxhash64("id").alias("k"))
+    marked = ingest._marked(rows, keys).where("marked")
+    assert marked.count() < 60 and marked.join(keys, "k", "left_semi").count() == 40
+    assert ingest._sharing(rows, keys).count() == 40 and ingest._marked(rows, keys.limit(0)).where("not marked").count() == 4000
+
+
+def test_files_are_dealt_before_their_texts_are_made(spark):
+    from noticemill.sources import star
+
+    dealt = star.raw_notices(spark, SMALL, F.col("l_orderkey") % 100)
+    sent = next(line for line in plan(dealt).split("Exchange")[1:] if "REPARTITION_BY_COL" in line)
+    assert "c_name" in sent and "lpad" in plan(dealt).split("Exchange")[0] and "lpad" not in sent
+    assert dealt.exceptAll(star.raw_notices(spark, SMALL)).count() == 0 and dealt.count() == star.raw_notices(spark, SMALL).count()
